@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from checks.stage import stage
 from palaver import schemas
@@ -585,24 +586,36 @@ def categorize(spark, sf_dir):
 # Streams
 
 
-def _value_files(spark, sf_dir, values: DataFrame) -> str:
-    """The records as files ordered by time, the way a topic is read."""
-    path = scratch_dir(spark, "values")
-    values.repartitionByRange(2, "timestamp").write.parquet(path)
-    return path
+class _Bus:
+    """A folder that receives bus records in two deliveries, the earlier half of the month first."""
 
+    def __init__(self, spark: SparkSession, sf_dir: str, name: str):
+        self.spark, self.stage, self.name = spark, stage(spark, sf_dir), name
+        self.folder = scratch_dir(spark, "bus")
 
-def _run(spark, query) -> None:
-    sinks.await_all([query])
+    def deliver(self, first_half: bool) -> DataFrame:
+        self.stage.bus_values(self.name, first_half).write.mode("append").parquet(self.folder)
+        return readers.scan_value_files(self.spark, self.folder)
+
+
+def _two_runs(spark, sf_dir, name: str, start: Callable[[DataFrame, str, str], StreamingQuery]) -> str:
+    """Run a stream to its end after each delivery, on one checkpoint; returns the output folder."""
+    bus, out, mark = _Bus(spark, sf_dir, name), scratch_dir(spark, "stream"), scratch_dir(spark, "marks")
+    for first_half in (True, False):
+        sinks.await_all([start(bus.deliver(first_half), out, mark)])
+    return out
+
+
+def _by_day(parse):
+    return lambda values, out, mark: sinks.append_to_table(
+        parse(values), out, mark, schemas.DAY_PARTITIONS, every=None
+    )
 
 
 @query
 def stream_messages(spark, sf_dir):
-    out, mark = scratch_dir(spark, "stream"), scratch_dir(spark, "marks")
-    values = readers.scan_value_files(spark, _value_files(spark, sf_dir, fixtures.message_values(spark, sf_dir)), 1)
-    stream = ingest.message_stream(values)
-    _run(spark, sinks.append_to_table(stream, out, mark, schemas.DAY_PARTITIONS, every=None))
-    return tables.read_table(spark, out).select(
+    out = _two_runs(spark, sf_dir, "messages", _by_day(ingest.message_stream))
+    return tables.read_table(spark, out, schemas.BRONZE_MESSAGES).select(
         "_id", "conversationId", "senderId", "messageType", "content",
         arrays.member_field(F.col("attachments"), "url").alias("urls"), F.size("reactions").alias("reactions"),
         "replyTo", "isEdited", "isDeleted", "isForwarded", "createdAt", "updatedAt", "sourceSystem", "year", "month",
@@ -612,35 +625,34 @@ def stream_messages(spark, sf_dir):
 
 @query
 def stream_events(spark, sf_dir):
-    out, mark = scratch_dir(spark, "stream"), scratch_dir(spark, "marks")
-    values = readers.scan_value_files(spark, _value_files(spark, sf_dir, fixtures.event_values(spark, sf_dir)), 1)
-    stream = ingest.event_stream(values)
-    _run(spark, sinks.append_to_table(stream, out, mark, schemas.DAY_PARTITIONS, every=None))
-    return tables.read_table(spark, out).select(*schemas.BRONZE_EVENTS)
+    out = _two_runs(spark, sf_dir, "events", _by_day(ingest.event_stream))
+    return tables.read_table(spark, out, schemas.BRONZE_EVENTS)
 
 
 @query
 def stream_live_metrics(spark, sf_dir):
-    out, mark = scratch_dir(spark, "stream"), scratch_dir(spark, "marks")
-    values = readers.scan_value_files(spark, _value_files(spark, sf_dir, fixtures.message_values(spark, sf_dir)), 1)
-    _run(spark, sinks.append_to_table(live.live_metrics_exact(values), out, mark, every=None))
-    return tables.read_table(spark, out)
+    return tables.read_table(spark, _two_runs(
+        spark, sf_dir, "messages",
+        lambda values, out, mark: sinks.append_to_table(live.live_metrics_exact(values), out, mark, every=None),
+    ))
 
 
 @query
 def stream_live_metrics_approx(spark, sf_dir):
-    out, mark = scratch_dir(spark, "stream"), scratch_dir(spark, "marks")
-    values = readers.scan_value_files(spark, _value_files(spark, sf_dir, fixtures.message_values(spark, sf_dir)), 1)
-    _run(spark, sinks.update_epochs(live.live_metrics(values), out, mark, every=None))
+    out = _two_runs(
+        spark, sf_dir, "messages",
+        lambda values, out, mark: sinks.update_epochs(live.live_metrics(values), out, mark, every=None),
+    )
     return sinks.latest_epochs(spark, out, ["windowStart", "windowEnd"])
 
 
 @query
 def stream_dedup(spark, sf_dir):
-    out, mark = scratch_dir(spark, "stream"), scratch_dir(spark, "marks")
-    values = readers.scan_value_files(spark, _value_files(spark, sf_dir, fixtures.message_values(spark, sf_dir)), 1)
-    once = ingest.drop_repeats(ingest.message_stream(values), ["_id"])
-    _run(spark, sinks.append_to_table(once, out, mark, every=None))
+    def once(values, out, mark):
+        stream = ingest.drop_repeats(ingest.message_stream(values), ["_id"])
+        return sinks.append_to_table(stream, out, mark, every=None)
+
+    out = _two_runs(spark, sf_dir, "messages", once)
     return tables.read_table(spark, out).select("_id", "conversationId", "senderId", "createdAt")
 
 
@@ -648,14 +660,11 @@ def stream_dedup(spark, sf_dir):
 def stream_two_queries(spark, sf_dir):
     """Message and event ingest side by side; rows per target table and day."""
     started, outs = [], {}
-    for name, values, parse in (
-        ("messages", fixtures.message_values(spark, sf_dir), ingest.message_stream),
-        ("events", fixtures.event_values(spark, sf_dir), ingest.event_stream),
-    ):
-        outs[name] = scratch_dir(spark, f"stream-{name}")
-        stream = parse(readers.scan_value_files(spark, _value_files(spark, sf_dir, values)))
-        mark = scratch_dir(spark, "marks")
-        started.append(sinks.append_to_table(stream, outs[name], mark, schemas.DAY_PARTITIONS, every=None))
+    for name, parse in (("messages", ingest.message_stream), ("events", ingest.event_stream)):
+        bus = _Bus(spark, sf_dir, name)
+        bus.deliver(True)
+        outs[name] = scratch_dir(spark, "stream")
+        started.append(_by_day(parse)(bus.deliver(False), outs[name], scratch_dir(spark, "marks")))
     sinks.await_all(started)
     per_day = [
         tables.read_table(spark, path).groupBy(F.lit(name).alias("table"), "year", "month", "day")

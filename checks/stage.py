@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from palaver.plans import activity, bronze, silver
 from palaver.plans.lake import TABLES
@@ -22,9 +23,9 @@ class Stage:
     def _table(self, name: str, build) -> DataFrame:
         path = f"{self.root}/{name}"
         if name not in self.written:
-            replace_table(build(), path, TABLES[name][1])
+            replace_table(build(), path, TABLES[name].partition_by)
             self.written.add(name)
-        return read_table(self.spark, path)
+        return read_table(self.spark, path, TABLES[name].contract)
 
     def bronze_messages(self) -> DataFrame:
         return self._table(
@@ -57,6 +58,15 @@ class Stage:
             "silver/user_activity", lambda: activity.user_activity(self.messages(), self.calls())
         )
 
+    def bus_values(self, name: str, first_half: bool) -> DataFrame:
+        """Bus records of ``messages`` or ``events``, split at the middle of the month."""
+        path = f"{self.root}/bus/{name}"
+        if path not in self.written:
+            values = getattr(fixtures, name.removesuffix("s") + "_values")(self.spark, self.sf_dir)
+            replace_table(values.withColumn("early", F.expr("timestamp < DATE '2024-01-16'")), path, ["early"])
+            self.written.add(path)
+        return read_table(self.spark, path).filter(F.col("early") == first_half).drop("early")
+
     def build(self) -> None:
         self.activity(), self.users(), self.conversations()
 

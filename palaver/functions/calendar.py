@@ -27,10 +27,9 @@ def hours_before(moment: Column, hours: int) -> Column:
     return moment - F.make_dt_interval(hours=F.lit(hours))
 
 
-def hour_counts(ts: Column, where: Column | None = None) -> list[Column]:
+def hour_counts(ts: str) -> list[Column]:
     """24 conditional counts ``h0`` .. ``h23``: a fixed-width histogram that combines map-side."""
-    hour = F.hour(ts) if where is None else F.when(where, F.hour(ts))
-    return [F.count(F.when(hour == h, 1)).alias(f"h{h}") for h in HOURS]
+    return [F.expr(f"count_if(hour({ts}) = {h}) AS h{h}") for h in HOURS]
 
 
 def busiest_hour(ties: str = "first") -> Column:
@@ -38,7 +37,7 @@ def busiest_hour(ties: str = "first") -> Column:
 
     ``ties`` picks the earliest (``first``) or the latest (``last``) of equal hours.
     """
-    counts = F.array(*[F.col(f"h{h}") for h in HOURS])
+    counts = F.array(*[f"h{h}" for h in HOURS])
     top = F.array_max(counts)
     if ties == "first":
         hour = F.array_position(counts, top) - 1

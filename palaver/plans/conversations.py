@@ -37,7 +37,7 @@ def message_profile(messages: DataFrame, as_of: AsOf) -> DataFrame:
         F.count(F.when(F.col("hasAttachments"), 1)).alias("withMedia"),
         F.sum("reactionCount").alias("reactions"),
         F.max("createdAt").alias("lastAt"),
-        *hour_counts(F.col("createdAt")),
+        *hour_counts("createdAt"),
     )
     summed = per_type.groupBy("conversationId").agg(
         F.sum("n").alias("totalMessages"),

@@ -100,7 +100,7 @@ def group_features(messages: DataFrame, conversations: DataFrame) -> DataFrame:
 def temporal_features(messages: DataFrame, as_of: AsOf) -> DataFrame:
     """Most frequent hour (the earliest of equal ones) and the share of weekday messages, last 30 days."""
     counted = _last_30_days(messages, as_of).groupBy(_sender()).agg(
-        *hour_counts(F.col("createdAt")), _weekday_ratio()
+        *hour_counts("createdAt"), _weekday_ratio()
     )
     return counted.select("userId", busiest_hour().alias("preferredHour"), "weekdayActivityRatio")
 
@@ -122,7 +122,7 @@ def user_features(
         *_windows(as_of), *_momentum(as_of), _churn(as_of), ever_wrote.alias("avgGroupSize")
     )
     from_messages = _last_30_days(messages, as_of).groupBy(_sender()).agg(
-        _contacts(), _weekday_ratio(), *hour_counts(F.col("createdAt"))
+        _contacts(), _weekday_ratio(), *hour_counts("createdAt")
     ).select("userId", "uniqueContacts", "weekdayActivityRatio", busiest_hour().alias("preferredHour"))
     joined = users.select("userId").join(from_activity, "userId", "left").join(from_messages, "userId", "left")
     if conversations is None:

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from palaver import schemas
 from palaver.functions.calendar import AsOf
 from palaver.operators.dedup import deduplicate
 from palaver.operators.retention import retain_layer
@@ -19,43 +21,53 @@ from palaver.plans.silver import silver_messages, silver_users
 from palaver.schemas import DAY_PARTITIONS, MONTH_PARTITIONS
 from palaver.sources.tables import find_table, read_table, replace_table, upsert_table
 
-# Table -> (merge keys, partition columns, column that orders versions of one key).
+class Spec(NamedTuple):
+    contract: schemas.Contract
+    keys: list[str]
+    partition_by: tuple[str, ...]
+    version: str  # orders versions of one key
+
+
 TABLES = {
-    "bronze/messages": (["_id"], DAY_PARTITIONS, "updatedAt"),
-    "bronze/users": (["_id"], MONTH_PARTITIONS, "updatedAt"),
-    "bronze/conversations": (["_id"], MONTH_PARTITIONS, "updatedAt"),
-    "bronze/calls": (["_id"], DAY_PARTITIONS, "createdAt"),
-    "silver/messages": (["messageId"], DAY_PARTITIONS, "updatedAt"),
-    "silver/users": (["userId"], MONTH_PARTITIONS, "updatedAt"),
-    "silver/user_activity": (["userId", "activityDate"], MONTH_PARTITIONS, "processedAt"),
-    "gold/metrics/daily": (["metricDate"], MONTH_PARTITIONS, "processedAt"),
-    "gold/analytics/user_engagement": (["userId", "calculationDate"], MONTH_PARTITIONS, "processedAt"),
+    "bronze/messages": Spec(schemas.BRONZE_MESSAGES, ["_id"], DAY_PARTITIONS, "updatedAt"),
+    "bronze/users": Spec(schemas.BRONZE_USERS, ["_id"], MONTH_PARTITIONS, "updatedAt"),
+    "bronze/conversations": Spec(schemas.BRONZE_CONVERSATIONS, ["_id"], MONTH_PARTITIONS, "updatedAt"),
+    "bronze/calls": Spec(schemas.BRONZE_CALLS, ["_id"], DAY_PARTITIONS, "createdAt"),
+    "silver/messages": Spec(schemas.SILVER_MESSAGES, ["messageId"], DAY_PARTITIONS, "updatedAt"),
+    "silver/users": Spec(schemas.SILVER_USERS, ["userId"], MONTH_PARTITIONS, "updatedAt"),
+    "silver/user_activity": Spec(
+        schemas.USER_ACTIVITY, ["userId", "activityDate"], MONTH_PARTITIONS, "processedAt"
+    ),
+    "gold/metrics/daily": Spec(schemas.DAILY_METRICS, ["metricDate"], MONTH_PARTITIONS, "processedAt"),
+    "gold/analytics/user_engagement": Spec(
+        schemas.USER_ENGAGEMENT, ["userId", "calculationDate"], MONTH_PARTITIONS, "processedAt"
+    ),
+    "gold/ml_features": Spec(schemas.USER_FEATURES, ["userId"], (), "processedAt"),
 }
 
 
 class Lake:
-    """Tables under one root. With ``previous``, every write merges into the table of that earlier root."""
+    """Tables under one root. With ``previous``, every upsert merges into the table of that earlier root."""
 
     def __init__(self, spark: SparkSession, root: str, previous: str | None = None):
         self.spark, self.root, self.previous = spark, root, previous
         self.rows: dict[str, int] = {}
 
     def table(self, name: str) -> DataFrame:
-        return read_table(self.spark, f"{self.root}/{name}")
+        return read_table(self.spark, f"{self.root}/{name}", TABLES[name].contract)
 
     def upsert(self, name: str, df: DataFrame) -> DataFrame:
-        keys, parts, version = TABLES[name]
-        path = f"{self.root}/{name}"
+        spec, path = TABLES[name], f"{self.root}/{name}"
         old = f"{self.previous}/{name}" if self.previous else None
-        if old and find_table(self.spark, old) is not None:
-            newest = deduplicate(df, keys, version)
-            self.rows[name] = upsert_table(self.spark, newest, old, keys, parts, out_path=path)
+        if old and find_table(self.spark, old, spec.contract) is not None:
+            newest = deduplicate(df, spec.keys, spec.version)
+            self.rows[name] = upsert_table(self.spark, newest, old, spec.keys, spec.partition_by, out_path=path)
         else:
-            self.rows[name] = replace_table(df, path, parts)
+            self.rows[name] = replace_table(df, path, spec.partition_by)
         return self.table(name)
 
     def replace(self, name: str, df: DataFrame) -> DataFrame:
-        self.rows[name] = replace_table(df, f"{self.root}/{name}")
+        self.rows[name] = replace_table(df, f"{self.root}/{name}", TABLES[name].partition_by)
         return self.table(name)
 
 

@@ -24,195 +24,162 @@ def _count_of(df: DataFrame, column: str) -> Column:
     return df.agg(F.count_distinct(column)).scalar()
 
 
+def _repeat(n: str, member: str, dtype: str) -> str:
+    """SQL for the array of ``member`` (an expression in ``i``) for i = 0 .. n-1."""
+    return f"CAST(IF({n} > 0, transform(sequence(0, CAST({n} AS INT) - 1), i -> {member}), array()) AS {dtype})"
+
+
 def shaped_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events thinned by user class, so that every trend, risk and segment occurs.
 
     Users with ``user_id % 5 = 0`` get each event twice, the copy 30 minutes later with suffix ``-2``.
     """
-    u, ts = F.col("user_id"), F.col("ts").cast("timestamp")
-    before, after = (lambda d: ts < F.lit(d).cast("timestamp")), (lambda d: ts >= F.lit(d).cast("timestamp"))
-    kept = (
-        (u % 5 == 0)
-        | ((u % 5 == 1) & before("2024-01-21"))
-        | ((u % 10 == 2) & before("2024-01-13"))
-        | ((u % 10 == 7) & before("2024-01-04"))
-        | ((u % 5 == 3) & after("2024-01-22"))
-        | ((u % 5 == 4) & after("2024-01-17"))
-    )
-
-    def copy(suffix: str, at: Column) -> Column:
-        return F.struct(F.concat(F.col("event_id").cast("string"), F.lit(suffix)).alias("id"), at.alias("at"))
-
-    once = F.array(copy("", ts))
-    twice = F.array(copy("", ts), copy("-2", ts + F.expr("INTERVAL 30 MINUTES")))
-    return (
-        table(spark, sf_dir, "events")
-        .filter(kept)
-        .select(
-            "event_id", "user_id", "event_type", F.get_json_object("props", "$.k").cast("int").alias("k"),
-            F.explode(F.when(u % 5 == 0, twice).otherwise(once)).alias("c"),
-        )
-        .select("event_id", "user_id", "event_type", "k", "c.id", "c.at")
+    kept = table(spark, sf_dir, "events").filter("""
+        user_id % 5 = 0
+        OR (user_id % 5 = 1 AND ts < DATE '2024-01-21')
+        OR (user_id % 10 = 2 AND ts < DATE '2024-01-13')
+        OR (user_id % 10 = 7 AND ts < DATE '2024-01-04')
+        OR (user_id % 5 = 3 AND ts >= DATE '2024-01-22')
+        OR (user_id % 5 = 4 AND ts >= DATE '2024-01-17')
+    """)
+    once = "named_struct('id', CAST(event_id AS STRING), 'at', CAST(ts AS TIMESTAMP))"
+    copy = "named_struct('id', event_id || '-2', 'at', CAST(ts AS TIMESTAMP) + INTERVAL 30 MINUTES)"
+    return kept.selectExpr(
+        "event_id", "user_id", "event_type", "CAST(get_json_object(props, '$.k') AS INT) AS k",
+        f"inline(IF(user_id % 5 = 0, array({once}, {copy}), array({once})))",
     )
 
 
-def _repeat(n: Column, make) -> Column:
-    """Array of ``make(0) .. make(n-1)``; empty for n = 0."""
-    return F.transform(F.filter(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), lambda i: i < n), make)
-
-
 def raw_messages(spark: SparkSession, sf_dir: str, versions: bool = True) -> DataFrame:
     """Message documents. With ``versions``, every tenth message also has an edited version one hour later."""
     conversations = table(spark, sf_dir, "conversations")
-    user, k = F.col("user_id"), F.col("k")
-    opening = conversations.filter("turn = 0").select(F.col("conv_id").alias("conv"), "text")
+    opening = conversations.filter("turn = 0").selectExpr("conv_id AS conv", "text")
     events = shaped_events(spark, sf_dir).withColumn(
-        "conv", (user * 7 + k) % _count_of(conversations, "conv_id")
+        "conv", F.expr("user_id * 7 + k") % _count_of(conversations, "conv_id")
     )
 
-    def attachment(kind: str) -> Column:
-        name = F.concat(F.lit(kind + "-"), F.col("id"))
-        return F.struct(
-            F.lit(kind).alias("type"), F.concat(F.lit("https://media.example.com/"), name).alias("url"),
-            name.alias("filename"), (F.col("event_id") * 10).alias("size"),
-            F.lit(kind + "/any").alias("mimeType"), F.lit(None).cast("string").alias("thumbnailUrl"),
+    def attachment(kind: str) -> str:
+        return (
+            f"named_struct('type', '{kind}', 'url', 'https://media.example.com/{kind}-' || id, "
+            f"'filename', '{kind}-' || id, 'size', event_id * 10, 'mimeType', '{kind}/any', "
+            "'thumbnailUrl', CAST(NULL AS STRING))"
         )
 
-    attachments = (
-        F.when(F.col("event_type") == "view", F.array(attachment("image")))
-        .when(F.col("event_type") == "purchase", F.array(attachment("video"), attachment("image")))
-        .when(F.col("event_type") != "error", F.array().cast(schemas.ATTACHMENTS))
-    )
-    reactions = _repeat(k % 4, lambda i: F.struct(
-        ((user + i) % 3).cast("string").alias("userId"), F.concat(F.lit("e"), i.cast("string")).alias("emoji"),
-        F.col("at").alias("createdAt"),
-    ))
-    kinds = F.create_map(*[F.lit(v) for v in (
-        "click", "text", "view", "image", "purchase", "video", "signup", "file", "error", "system",
-    )])
-    documents = events.join(opening, "conv", "left").select(
-        F.struct(F.col("id").alias("oid")).alias("_id"),
-        F.col("conv").cast("string").alias("conversationId"),
-        user.cast("string").alias("senderId"),
-        kinds[F.col("event_type")].alias("type"),
-        F.when(k % 10 != 0, F.col("text")).alias("content"),
-        attachments.alias("attachments"),
-        reactions.alias("reactions"),
-        F.when(k % 5 == 0, (F.col("event_id") - 1).cast("string")).alias("replyTo"),
-        F.lit(None).cast("boolean").alias("isEdited"),
-        (k == 99).alias("isDeleted"),
-        F.when(k % 13 == 0, F.lit(True)).alias("isForwarded"),
-        _repeat(k % 3, lambda i: (user + i + 1).cast("string")).alias("readBy"),
-        F.col("at").alias("createdAt"),
-        F.col("at").alias("updatedAt"),
-        F.when(k % 20 == 0, F.col("at") + F.expr("INTERVAL 1 DAY")).alias("expiresAt"),
-        "event_id",
+    reaction = "named_struct('userId', CAST((user_id + i) % 3 AS STRING), 'emoji', 'e' || i, 'createdAt', at)"
+    first = "named_struct('updatedAt', at, 'isEdited', CAST(NULL AS BOOLEAN))"
+    edited = "named_struct('updatedAt', at + INTERVAL 1 HOUR, 'isEdited', true)"
+    history = f"IF(event_id % 10 = 0, array({first}, {edited}), array({first}))" if versions else f"array({first})"
+    documents = events.join(opening, "conv", "left").selectExpr(
+        "named_struct('oid', id) AS _id",
+        "CAST(conv AS STRING) AS conversationId",
+        "CAST(user_id AS STRING) AS senderId",
+        """CASE event_type WHEN 'click' THEN 'text' WHEN 'view' THEN 'image' WHEN 'purchase' THEN 'video'
+             WHEN 'signup' THEN 'file' WHEN 'error' THEN 'system' END AS type""",
+        "IF(k % 10 = 0, NULL, text) AS content",
+        f"""CAST(CASE event_type WHEN 'view' THEN array({attachment('image')})
+             WHEN 'purchase' THEN array({attachment('video')}, {attachment('image')})
+             WHEN 'error' THEN NULL ELSE array() END AS {schemas.ATTACHMENTS}) AS attachments""",
+        f"{_repeat('k % 4', reaction, schemas.REACTIONS)} AS reactions",
+        "IF(k % 5 = 0, CAST(event_id - 1 AS STRING), NULL) AS replyTo",
+        "k = 99 AS isDeleted",
+        "IF(k % 13 = 0, true, NULL) AS isForwarded",
+        f"{_repeat('k % 3', 'CAST(user_id + i + 1 AS STRING)', schemas.STRINGS)} AS readBy",
+        "at AS createdAt",
+        "IF(k % 20 = 0, at + INTERVAL 1 DAY, NULL) AS expiresAt",
+        f"inline({history})",
     )
-    if versions:
-        first = F.struct(F.col("updatedAt").alias("at"), F.col("isEdited").alias("edited"))
-        later = F.struct((F.col("updatedAt") + F.expr("INTERVAL 1 HOUR")).alias("at"), F.lit(True).alias("edited"))
-        both = F.when(F.col("event_id") % 10 == 0, F.array(first, later)).otherwise(F.array(first))
-        documents = documents.withColumn("v", F.explode(both)).withColumns(
-            {"updatedAt": F.col("v.at"), "isEdited": F.col("v.edited")}
-        )
     return documents.select(*schemas.RAW_MESSAGES)
 
 
 def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
-    base = F.lit("2023-12-15").cast("timestamp")
-    created = base + F.make_dt_interval(days=(key % 45).cast("int"))
-    seen = F.when(key % 7 != 0, base + F.make_dt_interval(days=(key % 45 + key % 10).cast("int")))
-    return table(spark, sf_dir, "customer").select(
-        F.struct(key.cast("string").alias("oid")).alias("_id"),
-        F.concat(F.lit("+1"), F.lpad(key.cast("string"), 10, "0")).alias("phoneNumber"),
-        F.when(key % 50 != 0, F.concat(F.lower("c_name"), F.lit("@example.com"))).alias("email"),
-        F.lower("c_name").alias("username"),
-        F.col("c_name").alias("displayName"),
-        F.when(key % 3 == 1, "").when(key % 3 == 2, F.concat(F.lit("https://a.example.com/"), key)).alias("avatar"),
-        F.when(key % 4 == 0, F.concat(F.lit("bio of "), "c_name")).when(key % 4 == 1, "").alias("bio"),
-        F.when(key % 6 == 0, "busy").alias("status"),
-        seen.alias("lastSeen"),
-        F.when(key % 5 != 0, key % 5 == 1).alias("isOnline"),
-        F.when(key % 11 != 0, F.col("c_mktsegment")).alias("role"),
-        F.when(key % 9 == 0, F.lit(True)).alias("isBanned"),
-        (key % 2 == 0).alias("isVerified"),
-        created.alias("createdAt"),
-        created.alias("updatedAt"),
+    created = "TIMESTAMP '2023-12-15' + make_dt_interval(CAST(c_custkey % 45 AS INT))"
+    seen = "TIMESTAMP '2023-12-15' + make_dt_interval(CAST(c_custkey % 45 + c_custkey % 10 AS INT))"
+    return table(spark, sf_dir, "customer").selectExpr(
+        "named_struct('oid', CAST(c_custkey AS STRING)) AS _id",
+        "'+1' || lpad(CAST(c_custkey AS STRING), 10, '0') AS phoneNumber",
+        "IF(c_custkey % 50 = 0, NULL, lower(c_name) || '@example.com') AS email",
+        "lower(c_name) AS username",
+        "c_name AS displayName",
+        "CASE c_custkey % 3 WHEN 1 THEN '' WHEN 2 THEN 'https://a.example.com/' || c_custkey END AS avatar",
+        "CASE c_custkey % 4 WHEN 0 THEN 'bio of ' || c_name WHEN 1 THEN '' END AS bio",
+        "IF(c_custkey % 6 = 0, 'busy', NULL) AS status",
+        f"IF(c_custkey % 7 = 0, NULL, {seen}) AS lastSeen",
+        "IF(c_custkey % 5 = 0, NULL, c_custkey % 5 = 1) AS isOnline",
+        "IF(c_custkey % 11 = 0, NULL, c_mktsegment) AS role",
+        "IF(c_custkey % 9 = 0, true, NULL) AS isBanned",
+        "c_custkey % 2 = 0 AS isVerified",
+        f"{created} AS createdAt",
+        f"{created} AS updatedAt",
     )
 
 
 def raw_auth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accounts of every second customer; every tenth customer has an older account under the same email."""
-    key = F.col("c_custkey")
-    accounts = F.when(key % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    rows = table(spark, sf_dir, "customer").filter(key % 2 == 0).select("*", F.explode(accounts).alias("old"))
-    base = F.lit("2024-01-01").cast("timestamp")
-    return rows.select(
-        (key * 2 + F.col("old")).alias("id"),
-        F.concat(F.lower("c_name"), F.lit("@example.com")).alias("email"),
-        (key % 4 == 0).alias("email_verified"),
-        (key % 6 == 0).alias("two_factor_enabled"),
-        (base + F.make_dt_interval(days=(key % 28 - F.col("old")).cast("int"))).alias("last_login_at"),
-        F.abs("c_acctbal").cast("bigint").alias("login_count"),
-        F.lit("2023-12-01").cast("timestamp").alias("created_at"),
+    rows = table(spark, sf_dir, "customer").filter("c_custkey % 2 = 0").selectExpr(
+        "*", "explode(IF(c_custkey % 10 = 0, array(0, 1), array(0))) AS old"
+    )
+    return rows.selectExpr(
+        "c_custkey * 2 + old AS id",
+        "lower(c_name) || '@example.com' AS email",
+        "c_custkey % 4 = 0 AS email_verified",
+        "c_custkey % 6 = 0 AS two_factor_enabled",
+        "TIMESTAMP '2024-01-01' + make_dt_interval(CAST(c_custkey % 28 - old AS INT)) AS last_login_at",
+        "CAST(abs(c_acctbal) AS BIGINT) AS login_count",
+        "TIMESTAMP '2023-12-01' AS created_at",
     )
 
 
 def raw_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    conv = F.col("conv_id")
-    turns = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.count(F.lit(1)).cast("int").alias("turns"))
+    turns = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.count(F.lit(1)).alias("turns"))
     last = raw_messages(spark, sf_dir, versions=False).groupBy("conversationId").agg(
         F.max("createdAt").alias("lastAt")
     )
-    joined = turns.join(last, conv.cast("string") == F.col("conversationId"), "left")
-    created = F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(days=(conv % 30).cast("int"))
-    ids = _repeat(F.col("turns"), lambda i: ((conv + i) % 10).cast("string"))
-    group = F.col("turns") > 4
-    return joined.select(
-        F.struct(conv.cast("string").alias("oid")).alias("_id"),
-        F.when(group, "group").otherwise("single").alias("type"),
-        F.when(group, F.concat(F.lit("group "), conv)).alias("name"),
-        F.when(conv % 3 == 1, "").when(conv % 3 == 2, F.concat(F.lit("https://c.example.com/"), conv)).alias("avatar"),
-        ids.alias("participants"),
-        F.when(conv % 4 != 0, F.array((conv % 10).cast("string"))).alias("admins"),
-        F.when(conv % 5 != 0, F.concat(F.lit("last-"), conv)).alias("lastMessageId"),
-        F.when(conv % 5 != 0, F.col("lastAt")).alias("lastMessageAt"),
-        F.when(conv % 6 == 0, F.lit(True)).alias("isArchived"),
-        F.lit(None).cast("boolean").alias("isLocked"),
-        (conv % 10).cast("string").alias("createdBy"),
-        created.alias("createdAt"),
-        created.alias("updatedAt"),
+    joined = turns.withColumn("conversationId", F.expr("CAST(conv_id AS STRING)")).join(last, "conversationId", "left")
+    created = "TIMESTAMP '2024-01-01' + make_dt_interval(CAST(conv_id % 30 AS INT))"
+    return joined.selectExpr(
+        "named_struct('oid', conversationId) AS _id",
+        "IF(turns > 4, 'group', 'single') AS type",
+        "IF(turns > 4, 'group ' || conv_id, NULL) AS name",
+        "CASE conv_id % 3 WHEN 1 THEN '' WHEN 2 THEN 'https://c.example.com/' || conv_id END AS avatar",
+        f"{_repeat('turns', 'CAST((conv_id + i) % 10 AS STRING)', schemas.STRINGS)} AS participants",
+        "IF(conv_id % 4 = 0, NULL, array(CAST(conv_id % 10 AS STRING))) AS admins",
+        "IF(conv_id % 5 = 0, NULL, 'last-' || conv_id) AS lastMessageId",
+        "IF(conv_id % 5 = 0, NULL, lastAt) AS lastMessageAt",
+        "IF(conv_id % 6 = 0, true, NULL) AS isArchived",
+        "CAST(NULL AS BOOLEAN) AS isLocked",
+        "CAST(conv_id % 10 AS STRING) AS createdBy",
+        f"{created} AS createdAt",
+        f"{created} AS updatedAt",
     )
 
 
 def raw_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("o_orderkey")
-    orders = table(spark, sf_dir, "orders").filter(key % 3 == 0)
+    orders = table(spark, sf_dir, "orders").filter("o_orderkey % 3 = 0")
     people = (
-        table(spark, sf_dir, "lineitem").filter(F.col("l_orderkey") % 3 == 0)
-        .select("l_orderkey", F.col("l_suppkey").cast("string").alias("person"))
+        table(spark, sf_dir, "lineitem").filter("l_orderkey % 3 = 0")
+        .selectExpr("l_orderkey AS o_orderkey", "CAST(l_suppkey AS STRING) AS person")
         .distinct()
-        .groupBy("l_orderkey").agg(F.array_sort(F.collect_list("person")).alias("participantIds"))
+        .groupBy("o_orderkey").agg(F.array_sort(F.collect_list("person")).alias("participantIds"))
     )
     n_users = _count_of(table(spark, sf_dir, "events"), "user_id")
-    created = F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(
-        days=(key % 30).cast("int"), hours=(key % 24).cast("int")
+    calls = orders.join(people, "o_orderkey", "left").withColumn("initiator", F.col("o_custkey") % n_users).selectExpr(
+        "*",
+        "CASE o_orderstatus WHEN 'F' THEN 'ended' WHEN 'O' THEN 'ongoing' WHEN 'P' THEN 'missed' END AS status",
+        """TIMESTAMP '2024-01-01'
+             + make_dt_interval(CAST(o_orderkey % 30 AS INT), CAST(o_orderkey % 24 AS INT)) AS createdAt""",
+        "IF(o_orderstatus = 'P', NULL, CAST(floor(o_totalprice / 200) AS BIGINT)) AS duration",
     )
-    status = F.when(F.col("o_orderstatus") == "F", "ended").when(F.col("o_orderstatus") == "O", "ongoing")
-    missed = F.col("o_orderstatus") == "P"
-    duration = F.when(~missed, F.floor(F.col("o_totalprice") / 200).cast("bigint"))
-    return orders.join(people, key == F.col("l_orderkey"), "left").select(
-        F.struct(key.cast("string").alias("oid")).alias("_id"),
-        (F.col("o_custkey") % n_users).cast("string").alias("initiatorId"),
+    return calls.selectExpr(
+        "named_struct('oid', CAST(o_orderkey AS STRING)) AS _id",
+        "CAST(initiator AS STRING) AS initiatorId",
         "participantIds",
-        F.when(key % 4 == 0, (key % 10).cast("string")).alias("conversationId"),
-        F.when(key % 2 == 0, "video").otherwise("audio").alias("type"),
-        F.when(missed, "missed").otherwise(status).alias("status"),
-        F.when(~missed, created).alias("startTime"),
-        F.when(status == "ended", F.timestamp_seconds(F.unix_timestamp(created) + duration)).alias("endTime"),
-        duration.alias("duration"),
-        created.alias("createdAt"),
+        "IF(o_orderkey % 4 = 0, CAST(o_orderkey % 10 AS STRING), NULL) AS conversationId",
+        "IF(o_orderkey % 2 = 0, 'video', 'audio') AS type",
+        "status",
+        "IF(status = 'missed', NULL, createdAt) AS startTime",
+        "IF(status = 'ended', timestamp_seconds(unix_timestamp(createdAt) + duration), NULL) AS endTime",
+        "duration",
+        "createdAt",
     )
 
 

@@ -10,16 +10,18 @@ from pyspark.sql import functions as F
 
 from palaver.operators.layout import balance, cluster, compact
 from palaver.operators.merge import merge
+from palaver.schemas import Contract, ddl
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_table(spark: SparkSession, path: str, contract: Contract | None = None) -> DataFrame:
+    """The table at ``path``; with its contract, no file is opened to find the schema."""
+    return (spark.read.schema(ddl(contract)) if contract else spark.read).parquet(path)
 
 
-def find_table(spark: SparkSession, path: str) -> DataFrame | None:
+def find_table(spark: SparkSession, path: str, contract: Contract | None = None) -> DataFrame | None:
     """The table at ``path``, or None when there is no such path."""
     try:
-        return read_table(spark, path)
+        return read_table(spark, path, contract)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
