@@ -63,10 +63,13 @@ def require(df: DataFrame, names: Iterable[str]) -> DataFrame:
 def since(df: DataFrame, ts: str, start: Column) -> DataFrame:
     """Rows with ``ts >= start`` (a date compares at midnight).
 
-    Day-partitioned tables carry year/month/day; naming them lets the scan skip directories. The extra predicate
-    is one day wider than the real one, so a table written under another session zone loses no row.
+    Tables are laid out by year/month or year/month/day of the same time; naming those columns lets the scan skip
+    directories. The extra predicates are a day wider than the real one, so a table written under another session zone
+    loses no row.
     """
-    rows = df.filter(F.col(ts) >= start)
+    rows, margin = df.filter(F.col(ts) >= start), F.date_sub(start, 1)
+    if {"year", "month"} <= set(df.columns):
+        rows = rows.filter(F.last_day(F.make_date("year", "month", F.lit(1))) >= margin)
     if {"year", "month", "day"} <= set(df.columns):
-        rows = rows.filter(F.make_date("year", "month", "day") >= F.date_sub(start, 1))
+        rows = rows.filter(F.make_date("year", "month", "day") >= margin)
     return rows

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from palaver import schemas
 from palaver.functions.calendar import AsOf, as_date, days_since
-from palaver.functions.columns import fill_columns
+from palaver.functions.columns import fill_columns, since
 from palaver.functions.scores import activity_trend, churn_risk, engagement_score, user_segment
 from palaver.operators.enrich import restrict_to
 
@@ -45,7 +45,7 @@ def _lifetime() -> list[Column]:
 
 def rolling_activity(activity: DataFrame, as_of: AsOf) -> DataFrame:
     """7- and 30-day totals of every user seen in the last 30 days."""
-    recent = activity.filter(F.col("activityDate") >= F.date_sub(as_date(as_of), 30))
+    recent = since(activity, "activityDate", F.date_sub(as_date(as_of), 30))
     return recent.groupBy("userId").agg(
         *_window_sums(as_of, 7), *_window_sums(as_of, 30),
         F.count_distinct("activityDate").alias("uniqueActiveDaysLast30"), _daily_average(as_of),

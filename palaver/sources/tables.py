@@ -13,6 +13,10 @@ from palaver.operators.merge import merge
 from palaver.schemas import Contract, ddl
 
 
+# Up to this many directories go through the driver as a list of names.
+NAMED_DIRECTORIES = 1000
+
+
 def read_table(spark: SparkSession, path: str, contract: Contract | None = None) -> DataFrame:
     """The table at ``path``; with its contract, no file is opened to find the schema."""
     return (spark.read.schema(ddl(contract)) if contract else spark.read).parquet(path)
@@ -62,6 +66,19 @@ def upsert_table(
     return write_table(merge(target, source, keys), out_path, partition_by, mode="overwrite")
 
 
+def _in_same_directories(target: DataFrame, source: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Target rows in the directories that ``source`` has rows for.
+
+    Few directories are named in the filter, so the scan skips the others; many are matched by a semi join.
+    """
+    directory = F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in partition_by])
+    touched = source.select(directory.alias("_directory")).distinct()
+    names = [row[0] for row in touched.limit(NAMED_DIRECTORIES + 1).collect()]
+    if len(names) <= NAMED_DIRECTORIES:
+        return target.filter(directory.isin(names))
+    return target.join(touched, directory == F.col("_directory"), "left_semi")
+
+
 def upsert_partitions(
     spark: SparkSession,
     source: DataFrame,
@@ -72,9 +89,9 @@ def upsert_partitions(
 ) -> int:
     """Merge by rewriting only the directories that ``source`` touches.
 
-    For tables whose key fixes the partition (a message never changes its creation day). The directories to read are
-    found at run time by a semi join on the partition columns, which prunes the scan. The merged rows are staged
-    first; replacing directories from the staged copy can be repeated after a failure.
+    For tables whose key fixes the partition (a message never changes its creation day). Only those directories are
+    read back in full; of the others, keys alone. The merged rows are staged first; replacing directories from the
+    staged copy can be repeated after a failure.
 
     A key that sits in another directory than its new version fails the call, before anything is replaced: use
     ``upsert_table`` there.
@@ -89,9 +106,8 @@ def upsert_partitions(
     moved = target.select(*keys, *partition_by).join(homes, list(keys)).filter(elsewhere)
     if not moved.isEmpty():
         raise ValueError("a merge key changed its partition; use upsert_table")
-    touched = source.select(*partition_by).distinct()
-    slice_ = target.join(touched, list(partition_by), "left_semi").select(*target.columns)
-    write_table(merge(slice_, source, keys), staging_path, partition_by, mode="overwrite")
+    touched = _in_same_directories(target, source, partition_by)
+    write_table(merge(touched, source, keys), staging_path, partition_by, mode="overwrite")
     staged = balance(read_table(spark, staging_path), partition_by)
     seen = Observation()
     (
