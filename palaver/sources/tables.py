@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from palaver.operators.layout import balance, cluster, compact
 from palaver.operators.merge import merge
@@ -17,12 +18,15 @@ from palaver.schemas import Contract, ddl
 NAMED_DIRECTORIES = 1000
 
 
-def read_table(spark: SparkSession, path: str, contract: Contract | None = None) -> DataFrame:
-    """The table at ``path``; with its contract, no file is opened to find the schema."""
-    return (spark.read.schema(ddl(contract)) if contract else spark.read).parquet(path)
+def read_table(spark: SparkSession, path: str, contract: Contract | StructType | None = None) -> DataFrame:
+    """The table at ``path``; with its contract, no file is opened to find the schema, and none need exist."""
+    if contract is None:
+        return spark.read.parquet(path)
+    schema = contract if isinstance(contract, StructType) else ddl(contract)
+    return spark.read.schema(schema).parquet(path)
 
 
-def find_table(spark: SparkSession, path: str, contract: Contract | None = None) -> DataFrame | None:
+def find_table(spark: SparkSession, path: str, contract: Contract | StructType | None = None) -> DataFrame | None:
     """The table at ``path``, or None when there is no such path."""
     try:
         return read_table(spark, path, contract)
@@ -58,7 +62,7 @@ def upsert_table(
     A missing table is created at ``path`` (or ``out_path``). A table cannot be overwritten while it is read, so an
     existing one needs an ``out_path`` of its own.
     """
-    target = find_table(spark, path)
+    target = find_table(spark, path, source.schema)
     if target is None:
         return write_table(source, out_path or path, partition_by, mode="overwrite")
     if out_path is None or out_path.rstrip("/") == path.rstrip("/"):
@@ -96,7 +100,7 @@ def upsert_partitions(
     A key that sits in another directory than its new version fails the call, before anything is replaced: use
     ``upsert_table`` there.
     """
-    target = find_table(spark, path)
+    target = find_table(spark, path, source.schema)
     if target is None:
         return write_table(source, path, partition_by, mode="overwrite")
     homes = source.dropna(subset=list(keys)).select(*keys, *[F.col(c).alias(f"_new_{c}") for c in partition_by])
