@@ -39,7 +39,8 @@ def find_table(spark: SparkSession, path: str, contract: Contract | StructType |
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "append") -> int:
     """Write and return the row count, observed while writing (no second job)."""
     seen = Observation()
-    placed = balance(df, partition_by).observe(seen, F.count(F.lit(1)).alias("rows"))
+    placed = balance(df, partition_by) if partition_by else df
+    placed = placed.observe(seen, F.count(F.lit(1)).alias("rows"))
     placed.write.mode(mode).partitionBy(*partition_by).parquet(path)
     return seen.get["rows"]
 
