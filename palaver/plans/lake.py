@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palaver import schemas
-from palaver.functions.calendar import AsOf
+from palaver.functions.calendar import AsOf, as_date
+from palaver.functions.columns import since
 from palaver.operators.dedup import deduplicate
-from palaver.operators.retention import retain_layer
 from palaver.plans.activity import user_activity
 from palaver.plans.bronze import bronze_calls, bronze_conversations, bronze_messages, bronze_users
 from palaver.plans.daily import daily_metrics
@@ -19,13 +19,13 @@ from palaver.plans.engagement import user_engagement
 from palaver.plans.features import user_features
 from palaver.plans.silver import silver_messages, silver_users
 from palaver.schemas import DAY_PARTITIONS, MONTH_PARTITIONS
-from palaver.sources.tables import find_table, read_table, replace_table, upsert_table
+from palaver.sources.tables import find_table, read_table, replace_table, upsert_partitions, upsert_table
 
 class Spec(NamedTuple):
     contract: schemas.Contract
     keys: list[str]
     partition_by: tuple[str, ...]
-    version: str  # orders versions of one key
+    version: str | None = None  # orders versions of one key, where a batch may hold several
 
 
 TABLES = {
@@ -33,21 +33,24 @@ TABLES = {
     "bronze/users": Spec(schemas.BRONZE_USERS, ["_id"], MONTH_PARTITIONS, "updatedAt"),
     "bronze/conversations": Spec(schemas.BRONZE_CONVERSATIONS, ["_id"], MONTH_PARTITIONS, "updatedAt"),
     "bronze/calls": Spec(schemas.BRONZE_CALLS, ["_id"], DAY_PARTITIONS, "createdAt"),
-    "silver/messages": Spec(schemas.SILVER_MESSAGES, ["messageId"], DAY_PARTITIONS, "updatedAt"),
-    "silver/users": Spec(schemas.SILVER_USERS, ["userId"], MONTH_PARTITIONS, "updatedAt"),
-    "silver/user_activity": Spec(
-        schemas.USER_ACTIVITY, ["userId", "activityDate"], MONTH_PARTITIONS, "processedAt"
-    ),
-    "gold/metrics/daily": Spec(schemas.DAILY_METRICS, ["metricDate"], MONTH_PARTITIONS, "processedAt"),
+    "silver/messages": Spec(schemas.SILVER_MESSAGES, ["messageId"], DAY_PARTITIONS),
+    "silver/users": Spec(schemas.SILVER_USERS, ["userId"], MONTH_PARTITIONS),
+    "silver/user_activity": Spec(schemas.USER_ACTIVITY, ["userId", "activityDate"], MONTH_PARTITIONS),
+    "gold/metrics/daily": Spec(schemas.DAILY_METRICS, ["metricDate"], MONTH_PARTITIONS),
     "gold/analytics/user_engagement": Spec(
-        schemas.USER_ENGAGEMENT, ["userId", "calculationDate"], MONTH_PARTITIONS, "processedAt"
+        schemas.USER_ENGAGEMENT, ["userId", "calculationDate"], MONTH_PARTITIONS
     ),
-    "gold/ml_features": Spec(schemas.USER_FEATURES, ["userId"], (), "processedAt"),
+    "gold/ml_features": Spec(schemas.USER_FEATURES, ["userId"], ()),
 }
 
 
 class Lake:
-    """Tables under one root. With ``previous``, every upsert merges into the table of that earlier root."""
+    """Tables under one root.
+
+    With ``previous``, every upsert merges into the table of that earlier root. When ``previous`` is the root itself,
+    tables are updated in place, directory by directory; this holds for every table here, as a key never changes the
+    time its partition is made of.
+    """
 
     def __init__(self, spark: SparkSession, root: str, previous: str | None = None):
         self.spark, self.root, self.previous = spark, root, previous
@@ -59,11 +62,15 @@ class Lake:
     def upsert(self, name: str, df: DataFrame) -> DataFrame:
         spec, path = TABLES[name], f"{self.root}/{name}"
         old = f"{self.previous}/{name}" if self.previous else None
-        if old and find_table(self.spark, old, spec.contract) is not None:
-            newest = deduplicate(df, spec.keys, spec.version)
-            self.rows[name] = upsert_table(self.spark, newest, old, spec.keys, spec.partition_by, out_path=path)
-        else:
+        if old is None or find_table(self.spark, old, spec.contract) is None:
             self.rows[name] = replace_table(df, path, spec.partition_by)
+            return self.table(name)
+        newest = deduplicate(df, spec.keys, spec.version) if spec.version else df
+        if old == path:
+            staging = f"{self.root}/_staging/{name}"
+            self.rows[name] = upsert_partitions(self.spark, newest, path, spec.keys, spec.partition_by, staging)
+        else:
+            self.rows[name] = upsert_table(self.spark, newest, old, spec.keys, spec.partition_by, out_path=path)
         return self.table(name)
 
     def replace(self, name: str, df: DataFrame) -> DataFrame:
@@ -72,9 +79,24 @@ class Lake:
 
 
 def run_lake(
-    spark: SparkSession, raw: Mapping[str, DataFrame], root: str, as_of: AsOf, previous: str | None = None
+    spark: SparkSession,
+    raw: Mapping[str, DataFrame],
+    root: str,
+    as_of: AsOf,
+    previous: str | None = None,
+    changed_since: AsOf | None = None,
 ) -> Lake:
-    """Build all tables under ``root`` from raw frames ``messages users auth conversations calls``."""
+    """Build or update all tables under ``root`` from raw frames ``messages users auth conversations calls``.
+
+    ``changed_since`` names the earliest creation day of new or edited messages and calls in ``raw``: silver messages and
+    user activity are then recomputed, and merged, from that day on. It needs ``previous``.
+    """
+    if changed_since is not None and previous is None:
+        raise ValueError("changed_since updates existing tables: give previous")
+
+    def recent(df: DataFrame, date: str) -> DataFrame:
+        return df if changed_since is None else since(df, date, as_date(changed_since))
+
     lake = Lake(spark, root, previous)
     messages_b = lake.upsert("bronze/messages", bronze_messages(raw["messages"]))
     users_b = lake.upsert("bronze/users", bronze_users(raw["users"], raw["auth"]))
@@ -82,8 +104,8 @@ def run_lake(
     calls = lake.upsert("bronze/calls", bronze_calls(raw["calls"]))
 
     users = lake.upsert("silver/users", silver_users(users_b, as_of))
-    messages = lake.upsert("silver/messages", silver_messages(messages_b, users_b))
-    activity = lake.upsert("silver/user_activity", user_activity(messages, calls))
+    messages = lake.upsert("silver/messages", silver_messages(recent(messages_b, "createdAt"), users_b))
+    activity = lake.upsert("silver/user_activity", recent(user_activity(messages, calls), "activityDate"))
 
     lake.upsert("gold/metrics/daily", daily_metrics(messages, users, activity, calls, conversations))
     lake.upsert("gold/analytics/user_engagement", user_engagement(users, activity, messages, as_of))
@@ -100,8 +122,3 @@ def table_counts(lake: Lake) -> DataFrame:
     for one in counts[1:]:
         stacked = stacked.unionByName(one)
     return stacked
-
-
-def expired_removed(lake: Lake, name: str, date_column: str, as_of: AsOf) -> DataFrame:
-    """A table without the rows its layer no longer keeps."""
-    return retain_layer(lake.table(name), name.split("/")[0], date_column, as_of)

@@ -113,7 +113,7 @@ def upsert_partitions(
         raise ValueError("a merge key changed its partition; use upsert_table")
     touched = _in_same_directories(target, source, partition_by)
     write_table(merge(touched, source, keys), staging_path, partition_by, mode="overwrite")
-    staged = balance(read_table(spark, staging_path), partition_by)
+    staged = balance(read_table(spark, staging_path, source.schema), partition_by)
     seen = Observation()
     (
         staged.observe(seen, F.count(F.lit(1)).alias("rows"))

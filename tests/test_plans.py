@@ -255,21 +255,45 @@ def test_bronze_users_do_not_fan_out_on_shared_emails(spark):
     assert [(r._id, r.role, r.loginCount, r.twoFactorEnabled) for r in rows] == [("u1", "user", 9, True)]
 
 
-def test_lake_rerun_merges_into_the_earlier_root(spark, tmp_path):
-    def raw(content):
-        users = spark.range(0).selectExpr(*[f"CAST(NULL AS {t}) AS {c}" for c, t in schemas.RAW_USERS.items()])
-        auth = spark.range(0).selectExpr(*[f"CAST(NULL AS {t}) AS {c}" for c, t in schemas.RAW_AUTH.items()])
-        convs = spark.range(0).selectExpr(*[f"CAST(NULL AS {t}) AS {c}" for c, t in schemas.RAW_CONVERSATIONS.items()])
-        calls = spark.range(0).selectExpr(*[f"CAST(NULL AS {t}) AS {c}" for c, t in schemas.RAW_CALLS.items()])
-        first = raw_message(spark, content=content)
-        return {"messages": first, "users": users, "auth": auth, "conversations": convs, "calls": calls}
+def lake_input(spark, **message):
+    contracts = {"users": schemas.RAW_USERS, "auth": schemas.RAW_AUTH, "conversations": schemas.RAW_CONVERSATIONS,
+                 "calls": schemas.RAW_CALLS}
+    empty = {
+        name: spark.range(0).selectExpr(*[f"CAST(NULL AS {t}) AS {c}" for c, t in contract.items()])
+        for name, contract in contracts.items()
+    }
+    return {"messages": raw_message(spark, **message), **empty}
+
+
+def contents(df):
+    return {r.messageId: r.content for r in df.collect()}
+
 
+def test_lake_rerun_merges_into_the_earlier_root(spark, tmp_path):
     one, two = str(tmp_path / "one"), str(tmp_path / "two")
-    lake.run_lake(spark, raw("'a'"), one, AS_OF)
-    more = raw("'b'")
+    lake.run_lake(spark, lake_input(spark, content="'a'"), one, AS_OF)
+    more = lake_input(spark, content="'b'", updatedAt="TIMESTAMP '2024-01-02'")
     more["messages"] = more["messages"].unionByName(raw_message(spark, _id="named_struct('oid', 'm2')"))
     run = lake.run_lake(spark, more, two, AS_OF, previous=one)
     assert run.rows["silver/messages"] == 2
-    got = {r.messageId: r.content for r in tables.read_table(spark, f"{two}/silver/messages").collect()}
-    assert got == {"m1": "b", "m2": None}
+    assert contents(run.table("silver/messages")) == {"m1": "b", "m2": None}
     assert run.table("gold/metrics/daily").first().totalMessages == 2
+
+
+def test_lake_updates_in_place_from_a_day_on(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    days = {f"m{d}": {"_id": f"named_struct('oid', 'm{d}')", "createdAt": f"TIMESTAMP '2024-01-0{d}'",
+                      "updatedAt": f"TIMESTAMP '2024-01-0{d}'", "content": "'old'"} for d in (1, 2)}
+    first = lake_input(spark, **days["m1"])
+    first["messages"] = first["messages"].unionByName(raw_message(spark, **days["m2"]))
+    lake.run_lake(spark, first, root, AS_OF)
+    edit = lake_input(spark, **{**days["m2"], "content": "'new'", "updatedAt": "TIMESTAMP '2024-01-05'"})
+    untouched = sorted((tmp_path / "lake/silver/messages/year=2024/month=1/day=1").glob("*.parquet"))
+    run = lake.run_lake(spark, edit, root, AS_OF, previous=root, changed_since="2024-01-02")
+    assert contents(run.table("silver/messages")) == {"m1": "old", "m2": "new"}
+    assert run.rows["silver/messages"] == 1
+    assert sorted((tmp_path / "lake/silver/messages/year=2024/month=1/day=1").glob("*.parquet")) == untouched
+    act = by_key(run.table("silver/user_activity"), "activityDate")
+    assert act["2024-01-01",].newConversationsStarted == 1 and act["2024-01-02",].newConversationsStarted == 0
+    with pytest.raises(ValueError):
+        lake.run_lake(spark, edit, str(tmp_path / "x"), AS_OF, changed_since="2024-01-02")
