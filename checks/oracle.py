@@ -47,7 +47,8 @@ msg0 AS (
     c.at AS createdAt, c.at AS updatedAt,
     CASE WHEN c.k % 20 = 0 THEN c.at + INTERVAL 1 DAY END AS expiresAt
   FROM copies c CROSS JOIN n_conv n
-  LEFT JOIN conversations t ON t.turn = 0 AND t.conv_id = (c.user_id * 7 + c.k) % n.n
+  LEFT JOIN (SELECT conv_id, max(text) AS text FROM conversations WHERE turn = 0 GROUP BY 1) t
+    ON t.conv_id = (c.user_id * 7 + c.k) % n.n
 ),
 raw_messages AS (
   SELECT *, 0 AS version FROM msg0
@@ -94,7 +95,7 @@ b_conversations AS (
   SELECT CAST(t.conv_id AS VARCHAR) AS _id, CASE WHEN t.n > 4 THEN 'group' ELSE 'single' END AS conversationType,
     CASE WHEN t.n > 4 THEN 'group ' || t.conv_id END AS name,
     CASE t.conv_id % 3 WHEN 1 THEN '' WHEN 2 THEN 'https://c.example.com/' || t.conv_id END AS avatar,
-    [CAST((t.conv_id + i) % 10 AS VARCHAR) FOR i IN range(t.n)] AS participants,
+    [CAST((t.conv_id + i) % 10 AS VARCHAR) FOR i IN range(least(t.n, 10))] AS participants,
     CASE WHEN t.conv_id % 4 <> 0 THEN [CAST(t.conv_id % 10 AS VARCHAR)] ELSE CAST([] AS VARCHAR[]) END AS admins,
     CASE WHEN t.conv_id % 5 <> 0 THEN 'last-' || t.conv_id END AS lastMessageId,
     CASE WHEN t.conv_id % 5 <> 0 THEN l.at END AS lastMessageAt,
@@ -103,7 +104,7 @@ b_conversations AS (
   FROM turns t LEFT JOIN last_message l ON l.conversationId = CAST(t.conv_id AS VARCHAR)
 ),
 people AS (
-  SELECT l_orderkey, list_sort(list(DISTINCT CAST(l_suppkey AS VARCHAR))) AS ids FROM lineitem GROUP BY 1
+  SELECT l_orderkey, list_sort(list(DISTINCT CAST(l_suppkey % 50 AS VARCHAR))) AS ids FROM lineitem GROUP BY 1
 ),
 b_calls AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS _id, CAST(o_custkey % n.n AS VARCHAR) AS initiatorId,
@@ -265,7 +266,10 @@ SEGMENT = (
     "CASE WHEN days30 >= 25 AND sent30 >= 100 THEN 'power_user' WHEN days30 >= 15 AND sent30 >= 30 THEN 'regular'"
     " WHEN days30 >= 5 THEN 'casual' WHEN days30 >= 1 THEN 'at_risk' ELSE 'churned' END"
 )
-CHANGE = f"_id, conversationId, isEdited, isForwarded, {ts('createdAt', 'createdAt')}, {ts('updatedAt', 'updatedAt')}, version"
+CHANGE = (
+    "_id, conversationId, coalesce(isEdited, false) AS isEdited, coalesce(isForwarded, false) AS isForwarded, "
+    f"{ts('createdAt', 'createdAt')}, {ts('updatedAt', 'updatedAt')}, version"
+)
 YMD = "CAST(year({0}) AS INTEGER) AS year, CAST(month({0}) AS INTEGER) AS month, CAST(day({0}) AS INTEGER) AS day"
 YM = "CAST(year({0}) AS INTEGER) AS year, CAST(month({0}) AS INTEGER) AS month"
 DOW = "CAST(dayofweek({0}) + 1 AS INTEGER) AS dayOfWeek"
@@ -315,7 +319,7 @@ for name in ("merge_upsert", "merge_partitions"):
 SELECT {CHANGE} FROM raw_messages WHERE version = 1
 UNION ALL
 SELECT {CHANGE} FROM raw_messages
-WHERE version = 0 AND isForwarded IS NULL AND _id NOT IN (SELECT _id FROM raw_messages WHERE version = 1)""")
+WHERE version = 0 AND NOT coalesce(isForwarded, false) AND _id NOT IN (SELECT _id FROM raw_messages WHERE version = 1)""")
 for name in ("as_of_version", "dedup_latest"):
     add(name, f"SELECT {CHANGE} FROM latest")
 add("as_of_timestamp", f"""

@@ -53,8 +53,10 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 
 
 def _changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixtures.message_changes(spark, sf_dir).select(
-        "_id", "conversationId", "isEdited", "isForwarded", "createdAt", "updatedAt", "version"
+    """Change table of messages: ``version`` 0 as written, 1 as edited."""
+    return stage(spark, sf_dir).bronze_messages().select(
+        "_id", "conversationId", "isEdited", "isForwarded", "createdAt", "updatedAt",
+        F.expr("IF(updatedAt > createdAt, 1, 0) AS version"),
     )
 
 
@@ -91,7 +93,7 @@ def write_read_roundtrip(spark, sf_dir):
 def _merge_sides(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Target: first versions that are not forwarded. Source: all edited versions, some of them new to the target."""
     changes = _changes(spark, sf_dir)
-    return changes.filter("version = 0 AND isForwarded IS NULL"), changes.filter("version = 1")
+    return changes.filter("version = 0 AND NOT isForwarded"), changes.filter("version = 1")
 
 
 @query

@@ -53,7 +53,7 @@ def shaped_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_messages(spark: SparkSession, sf_dir: str, versions: bool = True) -> DataFrame:
     """Message documents. With ``versions``, every tenth message also has an edited version one hour later."""
     conversations = table(spark, sf_dir, "conversations")
-    opening = conversations.filter("turn = 0").selectExpr("conv_id AS conv", "text")
+    opening = conversations.filter("turn = 0").groupBy(F.col("conv_id").alias("conv")).agg(F.max("text").alias("text"))
     events = shaped_events(spark, sf_dir).withColumn(
         "conv", F.expr("user_id * 7 + k") % _count_of(conversations, "conv_id")
     )
@@ -130,6 +130,7 @@ def raw_auth(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversation documents: groups have more than four turns, and at most ten participants."""
     turns = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.count(F.lit(1)).alias("turns"))
     last = raw_messages(spark, sf_dir, versions=False).groupBy("conversationId").agg(
         F.max("createdAt").alias("lastAt")
@@ -141,7 +142,7 @@ def raw_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
         "IF(turns > 4, 'group', 'single') AS type",
         "IF(turns > 4, 'group ' || conv_id, NULL) AS name",
         "CASE conv_id % 3 WHEN 1 THEN '' WHEN 2 THEN 'https://c.example.com/' || conv_id END AS avatar",
-        f"{_repeat('turns', 'CAST((conv_id + i) % 10 AS STRING)', schemas.STRINGS)} AS participants",
+        f"{_repeat('least(turns, 10)', 'CAST((conv_id + i) % 10 AS STRING)', schemas.STRINGS)} AS participants",
         "IF(conv_id % 4 = 0, NULL, array(CAST(conv_id % 10 AS STRING))) AS admins",
         "IF(conv_id % 5 = 0, NULL, 'last-' || conv_id) AS lastMessageId",
         "IF(conv_id % 5 = 0, NULL, lastAt) AS lastMessageAt",
@@ -154,12 +155,12 @@ def raw_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Call documents of every third order. Suppliers modulo 50 take part, so a call has at most 50 participants."""
     orders = table(spark, sf_dir, "orders").filter("o_orderkey % 3 = 0")
     people = (
         table(spark, sf_dir, "lineitem").filter("l_orderkey % 3 = 0")
-        .selectExpr("l_orderkey AS o_orderkey", "CAST(l_suppkey AS STRING) AS person")
-        .distinct()
-        .groupBy("o_orderkey").agg(F.array_sort(F.collect_list("person")).alias("participantIds"))
+        .selectExpr("l_orderkey AS o_orderkey", "CAST(l_suppkey % 50 AS STRING) AS person")
+        .groupBy("o_orderkey").agg(F.array_sort(F.collect_set("person")).alias("participantIds"))
     )
     n_users = _count_of(table(spark, sf_dir, "events"), "user_id")
     calls = orders.join(people, "o_orderkey", "left").withColumn("initiator", F.col("o_custkey") % n_users).selectExpr(
@@ -198,9 +199,3 @@ def event_values(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").cast("string").alias("userId"), F.col("props").alias("payload"), at.alias("timestamp"),
     )
     return events.select(F.to_json(F.struct(*schemas.STREAM_EVENTS), JSON_OPTIONS).alias("value"), "timestamp")
-
-
-def message_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Change table of messages: ``version`` 0 as written, 1 as edited."""
-    messages = raw_messages(spark, sf_dir).withColumn("_id", F.col("_id.oid"))
-    return messages.withColumn("version", F.when(F.col("updatedAt") > F.col("createdAt"), 1).otherwise(0))
