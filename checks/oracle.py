@@ -131,7 +131,8 @@ s_messages AS (
     coalesce(m.isForwarded, false) AS isForwarded, CAST(len(m.readBy) AS INTEGER) AS readCount, m.createdAt,
     m.updatedAt, CAST(m.createdAt AS DATE) AS d, hour(m.createdAt) AS h,
     dayofweek(m.createdAt) IN (0, 6) AS isWeekend
-  FROM latest m LEFT JOIN raw_users u ON u._id = m.senderId
+  FROM latest m
+  LEFT JOIN (SELECT _id, max(displayName) AS displayName FROM raw_users GROUP BY 1) u ON u._id = m.senderId
 ),
 sent AS (
   SELECT senderId AS userId, d, count(*) AS messagesSent, count(*) FILTER (WHERE hasAttachments) AS mediaShared,

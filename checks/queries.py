@@ -794,7 +794,8 @@ def monthly_metrics(spark, sf_dir):
 @query
 def conversation_analytics(spark, sf_dir):
     s = stage(spark, sf_dir)
-    return conversations.conversation_analytics(s.conversations(), s.messages(), AS_OF)
+    latest = silver.silver_conversations(s.conversations(), AS_OF)
+    return conversations.conversation_analytics(latest, s.messages(), AS_OF)
 
 
 @query

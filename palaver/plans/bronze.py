@@ -9,7 +9,7 @@ from palaver import schemas
 from palaver.functions.arrays import or_empty
 from palaver.functions.columns import fill_defaults, time_parts, with_ingestion
 from palaver.operators.dedup import deduplicate
-from palaver.operators.enrich import lookup_sparse
+from palaver.operators.enrich import lookup_spread
 from palaver.sources.readers import auth_accounts
 
 
@@ -30,9 +30,10 @@ def bronze_messages(raw: DataFrame, source_system: str = "mongodb") -> DataFrame
 
 
 def bronze_users(raw: DataFrame, auth: DataFrame) -> DataFrame:
-    """User documents with their login account, matched on email.
+    """Latest user documents with their login account, matched on email: one row per user.
 
-    Several accounts may share an email; the one with the latest login is taken, so a user stays one row.
+    Several accounts may share an email; the one with the latest login is taken. Users are looked up by message jobs,
+    where a second row would multiply every message of that sender.
     """
     accounts = deduplicate(
         auth_accounts(auth).filter(F.col("authEmail").isNotNull()), ["authEmail"], "lastLoginAt",
@@ -40,7 +41,8 @@ def bronze_users(raw: DataFrame, auth: DataFrame) -> DataFrame:
     ).drop("authUserId", "authCreatedAt")
     defaults = {"isOnline": False, "role": "user", "isBanned": False, "isVerified": False}
     landed = _land(raw, "mongodb+mysql", {}, defaults)
-    joined = lookup_sparse(landed, "email", "_id", accounts, "authEmail")
+    latest = deduplicate(landed, ["_id"], "updatedAt", tie_break=["createdAt", "email"])
+    joined = lookup_spread(latest, "email", "_id", accounts, "authEmail")
     return schemas.conform(joined, schemas.BRONZE_USERS)
 
 

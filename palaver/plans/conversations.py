@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from palaver import schemas
-from palaver.functions.arrays import size_or_zero
 from palaver.functions.calendar import HOURS, AsOf, as_date, busiest_hour, days_since, hour_counts
 from palaver.functions.columns import fill_columns
 from palaver.functions.scores import conversation_health
@@ -64,11 +63,8 @@ def sender_profile(messages: DataFrame, as_of: AsOf) -> DataFrame:
 
 
 def conversation_analytics(conversations: DataFrame, messages: DataFrame, as_of: AsOf) -> DataFrame:
-    """One row per conversation of the bronze table."""
-    spine = conversations.select(
-        F.col("_id").alias("conversationId"), "conversationType", "createdAt",
-        size_or_zero(F.col("participants")).alias("participantCount"),
-    )
+    """One row per conversation of the silver table."""
+    spine = conversations.select("conversationId", "conversationType", "createdAt", "participantCount")
     joined = spine.join(message_profile(messages, as_of), "conversationId", "left").join(
         sender_profile(messages, as_of), "conversationId", "left"
     )

@@ -9,7 +9,6 @@ from palaver import schemas
 from palaver.functions.calendar import AsOf, as_date, days_since
 from palaver.functions.columns import fill_columns, since
 from palaver.functions.scores import activity_trend, churn_risk, engagement_score, user_segment
-from palaver.operators.enrich import restrict_to
 
 # Fixed value: idle days of a user who was never active.
 NEVER_ACTIVE_DAYS = 999
@@ -65,8 +64,8 @@ def network_size(messages: DataFrame) -> DataFrame:
 def groups_per_user(messages: DataFrame, conversations: DataFrame) -> DataFrame:
     """Group conversations each user wrote in. Messages shrink to distinct pairs before the join."""
     pairs = messages.select(F.col("senderId").alias("userId"), "conversationId").distinct()
-    groups = conversations.filter(F.col("conversationType") == "group")
-    return restrict_to(pairs, "conversationId", groups, "_id").groupBy("userId").agg(
+    groups = conversations.filter(F.col("conversationType") == "group").select(F.col("_id").alias("conversationId"))
+    return pairs.join(groups, "conversationId", "left_semi").groupBy("userId").agg(
         F.count(F.lit(1)).alias("groupsParticipating")
     )
 

@@ -89,9 +89,9 @@ def social_features(messages: DataFrame, as_of: AsOf) -> DataFrame:
 def group_features(messages: DataFrame, conversations: DataFrame) -> DataFrame:
     """Groups each user ever wrote in and their mean number of participants, instead of the placeholders."""
     pairs = messages.select(_sender(), "conversationId").distinct()
-    groups = conversations.filter(F.col("conversationType") == "group").select(
-        F.col("_id").alias("conversationId"), size_or_zero(F.col("participants")).alias("members")
-    )
+    groups = conversations.filter(F.col("conversationType") == "group").groupBy(
+        F.col("_id").alias("conversationId")
+    ).agg(F.max(size_or_zero(F.col("participants"))).alias("members"))
     return pairs.join(groups, "conversationId").groupBy("userId").agg(
         F.count(F.lit(1)).alias("groupCount"), F.avg("members").alias("avgGroupSize")
     )

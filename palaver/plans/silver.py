@@ -51,7 +51,7 @@ def latest_messages(messages: DataFrame) -> DataFrame:
 
 
 def silver_messages(messages: DataFrame, users: DataFrame) -> DataFrame:
-    """Latest messages with the sender's name.
+    """Latest messages with the sender's name. ``users`` is the written bronze table, one row per ``_id``.
 
     Aggregate from the written table, not from this frame: the lookup leaves rows hashed by sender, and Spark would
     take that as good enough for grouping by sender and skip the map-side combine that tames a hot sender.

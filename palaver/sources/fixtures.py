@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palaver import schemas
+from palaver.operators.enrich import lookup_spread
 
 AS_OF = "2024-01-31"
 # JSON is written with microseconds; the default keeps milliseconds.
@@ -53,10 +54,11 @@ def shaped_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_messages(spark: SparkSession, sf_dir: str, versions: bool = True) -> DataFrame:
     """Message documents. With ``versions``, every tenth message also has an edited version one hour later."""
     conversations = table(spark, sf_dir, "conversations")
-    opening = conversations.filter("turn = 0").groupBy(F.col("conv_id").alias("conv")).agg(F.max("text").alias("text"))
-    events = shaped_events(spark, sf_dir).withColumn(
-        "conv", F.expr("user_id * 7 + k") % _count_of(conversations, "conv_id")
+    opening = conversations.filter("turn = 0").groupBy(F.expr("CAST(conv_id AS STRING) AS opened")).agg(
+        F.max("text").alias("text")
     )
+    conversation = F.expr("user_id * 7 + k") % _count_of(conversations, "conv_id")
+    events = shaped_events(spark, sf_dir).withColumn("conversationId", conversation.cast("string"))
 
     def attachment(kind: str) -> str:
         return (
@@ -69,9 +71,9 @@ def raw_messages(spark: SparkSession, sf_dir: str, versions: bool = True) -> Dat
     first = "named_struct('updatedAt', at, 'isEdited', CAST(NULL AS BOOLEAN))"
     edited = "named_struct('updatedAt', at + INTERVAL 1 HOUR, 'isEdited', true)"
     history = f"IF(event_id % 10 = 0, array({first}, {edited}), array({first}))" if versions else f"array({first})"
-    documents = events.join(opening, "conv", "left").selectExpr(
+    documents = lookup_spread(events, "conversationId", "id", opening, "opened", copies=4).selectExpr(
         "named_struct('oid', id) AS _id",
-        "CAST(conv AS STRING) AS conversationId",
+        "conversationId",
         "CAST(user_id AS STRING) AS senderId",
         """CASE event_type WHEN 'click' THEN 'text' WHEN 'view' THEN 'image' WHEN 'purchase' THEN 'video'
              WHEN 'signup' THEN 'file' WHEN 'error' THEN 'system' END AS type""",

@@ -84,8 +84,8 @@ def test_lookups(spark):
     right = spark.createDataFrame([("a@x", 10), (None, 99)], "mail string, n int")
     want = [("1", "a@x", 10), ("2", None, None), ("3", "b@x", None), ("4", None, None)]
     assert sorted(rows(enrich.lookup(left, "email", right, "mail")), key=str) == sorted(want, key=str)
-    sparse = enrich.lookup_sparse(left, "email", "id", right, "mail")
-    assert sorted((tuple(r) for r in sparse.collect()), key=str) == sorted(want, key=str)
+    spread = enrich.lookup_spread(left, "email", "id", right, "mail")
+    assert sorted((tuple(r) for r in spread.collect()), key=str) == sorted(want, key=str)
     assert rows(enrich.restrict_to(left, "email", right, "mail")) == [("1", "a@x")]
 
 

@@ -163,7 +163,7 @@ def test_user_features(spark, messages, calls):
 
 def test_groups_come_from_conversations_when_given(spark, messages, calls):
     convs = spark.createDataFrame(
-        [("c1", "group", ["a", "b", "c"]), ("c2", "single", ["a"]), ("c3", "group", ["a"])],
+        [("c1", "group", ["a", "b", "c"]), ("c1", "group", ["a"]), ("c2", "single", ["a"]), ("c3", "group", ["a"])],
         "_id string, conversationType string, participants array<string>",
     )
     users = spark.createDataFrame([("u1",), ("u2",)], "userId string")
@@ -196,8 +196,8 @@ def test_weekly_retention(spark):
 
 def test_conversation_analytics_ties_and_silence(spark, messages):
     convs = spark.createDataFrame(
-        [("c1", "single", dt.datetime(2024, 1, 1), ["u1"]), ("empty", "group", dt.datetime(2024, 1, 31), None)],
-        "_id string, conversationType string, createdAt timestamp, participants array<string>",
+        [("c1", "single", dt.datetime(2024, 1, 1), 1), ("empty", "group", dt.datetime(2024, 1, 31), 0)],
+        "conversationId string, conversationType string, createdAt timestamp, participantCount int",
     )
     got = by_key(conversations.conversation_analytics(convs, messages, AS_OF), "conversationId")
     one = got["c1",]
@@ -245,14 +245,17 @@ def test_silver_messages_shuffle_no_nested_columns(spark, tmp_path):
 
 
 def test_bronze_users_do_not_fan_out_on_shared_emails(spark):
-    user = {"_id": "named_struct('oid', 'u1')", "email": "'a@x'", "createdAt": "TIMESTAMP '2024-01-01'"}
-    users = spark.range(1).selectExpr(*[f"CAST({user.get(c, 'NULL')} AS {t}) AS {c}" for c, t in schemas.RAW_USERS.items()])
+    user = {"_id": "named_struct('oid', 'u1')", "email": "'a@x'", "createdAt": "TIMESTAMP '2024-01-01'",
+            "updatedAt": "TIMESTAMP '2024-01-01' + make_dt_interval(CAST(id AS INT))", "displayName": "'v' || id"}
+    users = spark.range(3).selectExpr(*[f"CAST({user.get(c, 'NULL')} AS {t}) AS {c}" for c, t in schemas.RAW_USERS.items()])
     auth = spark.sql("""SELECT * FROM VALUES
         (1L, 'a@x', true, false, TIMESTAMP '2024-01-01', 5L, TIMESTAMP '2024-01-01'),
         (2L, 'a@x', false, true, TIMESTAMP '2024-01-03', 9L, TIMESTAMP '2024-01-01')
         AS t(id, email, email_verified, two_factor_enabled, last_login_at, login_count, created_at)""")
     rows = bronze.bronze_users(users, auth).collect()
-    assert [(r._id, r.role, r.loginCount, r.twoFactorEnabled) for r in rows] == [("u1", "user", 9, True)]
+    assert [(r._id, r.displayName, r.role, r.loginCount, r.twoFactorEnabled) for r in rows] == [
+        ("u1", "v2", "user", 9, True)
+    ]
 
 
 def lake_input(spark, **message):

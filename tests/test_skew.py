@@ -68,17 +68,19 @@ def test_sender_lookup_splits_the_hot_sender(spark, tmp_path):
     assert len(rows) == ROWS and all(r.senderName == "n" + r.senderId for r in rows)
 
 
-def test_null_emails_spread_over_partitions(spark):
-    left = spark.range(20_000).selectExpr("CAST(id AS STRING) AS _id", "IF(id % 3 = 0, 'a' || id, NULL) AS email")
+def test_null_and_hot_emails_spread_over_partitions(spark):
+    left = spark.range(20_000).selectExpr(
+        "CAST(id AS STRING) AS _id", "CASE id % 3 WHEN 0 THEN 'a' || id WHEN 1 THEN 'a0' END AS email"
+    )
     right = spark.range(20_000).selectExpr("'a' || id AS mail", "id AS n")
     with conf(
         spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false",
-        spark__sql__shuffle__partitions="8",
+        spark__sql__shuffle__partitions="32",
     ):
-        joined = enrich.lookup_sparse(left, "email", "_id", right, "mail")
+        joined = enrich.lookup_spread(left, "email", "_id", right, "mail")
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert joined.filter("n IS NOT NULL").count() == 6_667 + 6_667
     assert sum(sizes) == 20_000 and max(sizes) < 4_000
-    assert joined.filter("n IS NOT NULL").count() == 6_667
 
 
 def test_a_hot_day_is_written_by_several_tasks(spark, tmp_path):
