@@ -2,24 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-_local_root: str | None = None
-
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh path under ``spark.checkpoint.dir``, the folder all executors share.
-
-    Only a local session without that setting gets a folder of this machine.
-    """
-    global _local_root
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        _local_root = _local_root or tempfile.mkdtemp(prefix="palaver-")
-        root = _local_root
+    """A fresh path under ``spark.checkpoint.dir``, or where that is unset under the warehouse: all executors share both."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -4,8 +4,10 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from checks.compare import connect, difference
+from checks.oracle import ORACLE
+from checks.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no input tables")
@@ -17,15 +19,15 @@ def duck():
 
 
 def test_every_query_but_the_sketch_has_sql():
-    assert set(queries()) - set(oracle_sql()) == {"stream_live_metrics_approx"}
-    assert set(oracle_sql()) <= set(queries())
+    assert set(QUERIES) - set(ORACLE) == {"stream_live_metrics_approx"}
+    assert set(ORACLE) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    df = queries()[name](spark, SF_DIR)
-    if name in oracle_sql():
-        assert difference(df, duck, oracle_sql()[name]) is None
+    df = QUERIES[name](spark, SF_DIR)
+    if name in ORACLE:
+        assert difference(df, duck, ORACLE[name]) is None
     else:
         assert df.count() > 0
 
