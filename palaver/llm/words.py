@@ -102,8 +102,10 @@ def words_of(texts: pa.Array) -> Words:
     return Words(np.searchsorted(starts, offsets), mix(out), data, starts, ends)
 
 
-def sliced(batches: Iterable[pa.RecordBatch], column: str, most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that a piece holds at most ``most`` bytes of ``column``, or one row."""
+def sliced(
+    batches: Iterable[pa.RecordBatch], column: str, most: int = CHUNK_BYTES, rows: int = 4096
+) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that a piece holds at most ``rows`` rows and ``most`` bytes of ``column``, or one row."""
     for batch in batches:
         if batch.num_rows == 0:
             continue
@@ -112,7 +114,7 @@ def sliced(batches: Iterable[pa.RecordBatch], column: str, most: int = CHUNK_BYT
         at = 0
         while at < batch.num_rows:
             done = total[at - 1] if at else 0
-            to = max(at + 1, int(np.searchsorted(total, done + most, side="right")))
+            to = min(at + rows, max(at + 1, int(np.searchsorted(total, done + most, side="right"))))
             yield batch.slice(at, to - at)
             at = to
 
