@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from palaver.llm.bagminhash import op9_near_duplicates
+from palaver.llm.decontaminate import op7_decontamination
 from palaver.llm.langid import op8_language
 from palaver.llm.packing import op10_packing
 from palaver.llm.toxicity import op1_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op8_language, op9_near_duplicates, op10_packing)
+    f.__name__: f for f in (op1_toxicity, op7_decontamination, op8_language, op9_near_duplicates, op10_packing)
 }
 ORACLE: dict[str, str] = {}
