@@ -262,7 +262,7 @@ class Search:
             mine = np.flatnonzero(self.seg.window == length)
             out += self._scale(int(length), mine, offsets, terms, known, upto, total)
         if not out:
-            return tuple(np.zeros(0, np.int64) for _ in range(5))
+            return *(np.zeros(0, np.int64) for _ in range(4)), np.zeros(0)
         row, segment, matched, answer, cosine = (np.concatenate(c) for c in zip(*out))
         order = np.lexsort((-cosine, -answer, -matched, segment, row))
         row, segment = row[order], segment[order]
