@@ -78,7 +78,8 @@ class Ftrl:
 
 
 def _sigmoid(x):
-    return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
+    with np.errstate(over="ignore"):
+        return 1 / (1 + np.exp(-np.asarray(x, np.float64)))
 
 
 def calibrate(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]:
@@ -133,7 +134,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Model:
     present = docs.select("doc_id").filter(may_learn()).distinct()
     order = F.xxhash64("doc_id")
     chosen = marked.join(present, "doc_id", "left_semi").orderBy(order, "doc_id").limit(rows)
-    sample = docs.select("doc_id", "text").join(chosen, "doc_id").dropDuplicates(["doc_id"])
+    # At most ``rows`` keys with their labels are broadcast.
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
     fitted = (
         sample.repartition(1).sortWithinPartitions(order, "doc_id").select("text", "label")
         .mapInArrow(train, "slot int, weight double").toArrow()
