@@ -42,10 +42,10 @@ def shuffled(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "tex
     full = (
         docs.select(bucket.alias("bucket"), row.alias("_item")).repartition(buckets, "bucket")
         .groupBy("bucket").agg(F.collect_list("_item").alias("_items"))
-        .sortWithinPartitions("bucket")
     )
     # One number for each bucket is broadcast: 16 bytes for every BUCKET_BYTES of text.
-    mixed = full.join(F.broadcast(starts), "bucket").select(
+    # Sorted, so that the shuffle's random numbers meet the buckets in the same order whenever a task is repeated.
+    mixed = full.join(F.broadcast(starts), "bucket").sortWithinPartitions("bucket").select(
         "start", F.shuffle(F.array_sort("_items"), seed).alias("_mixed")
     ).select("start", F.posexplode("_mixed").alias("_at", "_item"))
     position = F.col("start") + F.col("_at")
