@@ -18,13 +18,11 @@ WITH_ = f"""
 WITH n_conv AS (SELECT count(DISTINCT conv_id) AS n FROM conversations),
 n_users AS (SELECT count(DISTINCT user_id) AS n FROM events),
 kept AS (
-  SELECT event_id, user_id, event_type, ts, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events
-  WHERE user_id % 5 = 0
-     OR (user_id % 5 = 1 AND ts < TIMESTAMP '2024-01-21')
-     OR (user_id % 10 = 2 AND ts < TIMESTAMP '2024-01-13')
-     OR (user_id % 10 = 7 AND ts < TIMESTAMP '2024-01-04')
-     OR (user_id % 5 = 3 AND ts >= TIMESTAMP '2024-01-22')
-     OR (user_id % 5 = 4 AND ts >= TIMESTAMP '2024-01-17')
+  SELECT event_id, user_id, event_type, CAST(json_extract(props, '$.k') AS INTEGER) AS k,
+    ts + to_days(CAST(CASE user_id % 10 WHEN 1 THEN n % 20 - n WHEN 6 THEN n % 20 - n WHEN 2 THEN n % 12 - n
+      WHEN 7 THEN n % 3 - n WHEN 3 THEN 21 + n % 10 - n WHEN 8 THEN 21 + n % 10 - n WHEN 4 THEN 16 + n % 15 - n
+      WHEN 9 THEN 16 + n % 15 - n ELSE 0 END AS INTEGER)) AS ts
+  FROM (SELECT *, CAST(ts AS DATE) - DATE '2024-01-01' AS n FROM events)
 ),
 copies AS (
   SELECT *, CAST(event_id AS VARCHAR) AS id, ts AS at FROM kept
@@ -47,8 +45,8 @@ msg0 AS (
     c.at AS createdAt, c.at AS updatedAt,
     CASE WHEN c.k % 20 = 0 THEN c.at + INTERVAL 1 DAY END AS expiresAt
   FROM copies c CROSS JOIN n_conv n
-  LEFT JOIN (SELECT conv_id, max(text) AS text FROM conversations WHERE turn = 0 GROUP BY 1) t
-    ON t.conv_id = (c.user_id * 7 + c.k) % n.n
+  LEFT JOIN (SELECT conv_id, turn % 4 AS slot, max(text) AS text FROM conversations GROUP BY 1, 2) t
+    ON t.conv_id = (c.user_id * 7 + c.k) % n.n AND t.slot = c.k % 4
 ),
 raw_messages AS (
   SELECT *, 0 AS version FROM msg0
@@ -72,12 +70,13 @@ raw_users AS (
   FROM customer
 ),
 raw_auth AS (
-  SELECT c_custkey * 2 + o AS id, lower(c_name) || '@example.com' AS email, c_custkey % 4 = 0 AS email_verified,
+  SELECT c_custkey * 2 + o AS id,
+    CASE WHEN c_custkey % 2 = 0 THEN '' ELSE 'work-' END || lower(c_name) || '@example.com' AS email, c_custkey % 4 = 0 AS email_verified,
     c_custkey % 6 = 0 AS two_factor_enabled,
     CAST(DATE '2024-01-01' + CAST(c_custkey % 28 - o AS INTEGER) AS TIMESTAMP) AS last_login_at,
     CAST(floor(abs(c_acctbal)) AS BIGINT) AS login_count, TIMESTAMP '2023-12-01' AS created_at
   FROM customer CROSS JOIN (VALUES (0), (1)) v(o)
-  WHERE c_custkey % 2 = 0 AND (o = 0 OR c_custkey % 10 = 0)
+  WHERE o = 0 OR c_custkey % 10 = 0
 ),
 b_users AS (
   SELECT u._id, u.phoneNumber, u.email, u.username, u.displayName, u.avatar, u.bio, u.status, u.lastSeen,
@@ -95,16 +94,18 @@ b_conversations AS (
   SELECT CAST(t.conv_id AS VARCHAR) AS _id, CASE WHEN t.n > 4 THEN 'group' ELSE 'single' END AS conversationType,
     CASE WHEN t.n > 4 THEN 'group ' || t.conv_id END AS name,
     CASE t.conv_id % 3 WHEN 1 THEN '' WHEN 2 THEN 'https://c.example.com/' || t.conv_id END AS avatar,
-    [CAST((t.conv_id + i) % 10 AS VARCHAR) FOR i IN range(least(t.n, 10))] AS participants,
-    CASE WHEN t.conv_id % 4 <> 0 THEN [CAST(t.conv_id % 10 AS VARCHAR)] ELSE CAST([] AS VARCHAR[]) END AS admins,
+    [CAST(t.conv_id + i AS VARCHAR) FOR i IN range(CASE WHEN t.n > 4 THEN 3 + t.conv_id % 8 ELSE 2 END)]
+      AS participants,
+    CASE WHEN t.conv_id % 4 <> 0 THEN [CAST(t.conv_id AS VARCHAR)] ELSE CAST([] AS VARCHAR[]) END AS admins,
     CASE WHEN t.conv_id % 5 <> 0 THEN 'last-' || t.conv_id END AS lastMessageId,
     CASE WHEN t.conv_id % 5 <> 0 THEN l.at END AS lastMessageAt,
-    t.conv_id % 6 = 0 AS isArchived, false AS isLocked, CAST(t.conv_id % 10 AS VARCHAR) AS createdBy,
+    t.conv_id % 6 = 0 AS isArchived, false AS isLocked, CAST(t.conv_id AS VARCHAR) AS createdBy,
     CAST(DATE '2024-01-01' + CAST(t.conv_id % 30 AS INTEGER) AS TIMESTAMP) AS createdAt
   FROM turns t LEFT JOIN last_message l ON l.conversationId = CAST(t.conv_id AS VARCHAR)
 ),
 people AS (
-  SELECT l_orderkey, list_sort(list(DISTINCT CAST(l_suppkey % 50 AS VARCHAR))) AS ids FROM lineitem GROUP BY 1
+  SELECT l_orderkey, list_sort(list_distinct([CAST(min(l_suppkey) AS VARCHAR), CAST(max(l_suppkey) AS VARCHAR)])) AS ids
+  FROM lineitem GROUP BY 1
 ),
 b_calls AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS _id, CAST(o_custkey % n.n AS VARCHAR) AS initiatorId,
@@ -115,7 +116,6 @@ b_calls AS (
     CASE WHEN o_orderstatus <> 'P' THEN CAST(floor(o_totalprice / 200) AS BIGINT) END AS duration,
     TIMESTAMP '2024-01-01' + to_days(CAST(o_orderkey % 30 AS INTEGER)) + to_hours(o_orderkey % 24) AS createdAt
   FROM orders CROSS JOIN n_users n LEFT JOIN people p ON p.l_orderkey = o_orderkey
-  WHERE o_orderkey % 3 = 0
 ),
 latest AS (
   SELECT * FROM raw_messages m
@@ -486,7 +486,7 @@ add("high_water_mark", f"SELECT {ts('max(updatedAt)', 'high_water_mark')} FROM r
 add("row_counts", """
 SELECT 'messages' AS "table", (SELECT count(*) FROM raw_messages) AS rows
 UNION ALL SELECT 'users', (SELECT count(*) FROM customer)
-UNION ALL SELECT 'calls', (SELECT count(*) FROM orders WHERE o_orderkey % 3 = 0)""")
+UNION ALL SELECT 'calls', (SELECT count(*) FROM orders)""")
 add("dedup_earliest", f"""
 SELECT _id, senderId, conversationId, {ts('createdAt', 'createdAt')}, {ts('updatedAt', 'updatedAt')} FROM (
   SELECT DISTINCT ON (senderId, conversationId) * FROM raw_messages
@@ -529,10 +529,16 @@ add("activity_trend", f"SELECT userId, {TREND} AS trend FROM scored WHERE days30
 add("churn_risk", f"SELECT userId, {risk(f'({AS_OF} - lastActiveDate)')} AS risk FROM scored")
 add("user_segment", f"SELECT userId, {SEGMENT} AS segment FROM scored WHERE days30 > 0")
 add("conversation_health", f"""
-SELECT _id, CASE WHEN idle > 30 THEN 'dead' WHEN idle > 14 THEN 'dying' WHEN made < 3 THEN 'quiet'
-  WHEN made >= 10 THEN 'thriving' ELSE 'active' END AS health
-FROM (SELECT _id, {AS_OF} - CAST(createdAt AS DATE) AS made, DATE '2024-02-20' - CAST(lastMessageAt AS DATE) AS idle
-      FROM b_conversations)""")
+SELECT _id, CAST(weekEnd AS VARCHAR) AS weekEnd, CASE WHEN idle > 30 THEN 'dead' WHEN idle > 14 THEN 'dying'
+  WHEN recent < 3 THEN 'quiet' WHEN recent >= 10 THEN 'thriving' ELSE 'active' END AS health
+FROM (
+  SELECT c._id, w.weekEnd, count(m.messageId) FILTER (WHERE w.weekEnd - m.d <= 7) AS recent,
+    coalesce(w.weekEnd - max(m.d), 999) AS idle
+  FROM b_conversations c
+  CROSS JOIN (SELECT unnest([DATE '2024-01-10', DATE '2024-01-17', DATE '2024-01-24', DATE '2024-01-31',
+    DATE '2024-02-20']) AS weekEnd) w
+  LEFT JOIN s_messages m ON m.conversationId = c._id AND m.d <= w.weekEnd
+  GROUP BY c._id, w.weekEnd)""")
 DURATION = "CASE WHEN duration < 60 THEN 'short' WHEN duration < 600 THEN 'medium' ELSE 'long' END"
 add("duration_category", f"SELECT _id, {DURATION} AS category FROM b_calls")
 add("categorize", """
@@ -558,8 +564,17 @@ SELECT {ts('w', 'windowStart')}, {ts('w + INTERVAL 1 MINUTE', 'windowEnd')}, cou
   count(DISTINCT senderId) AS activeUsers, count(DISTINCT conversationId) AS activeConversations,
   round(avg(length(content)), 6) AS avgMessageLength
 FROM (SELECT *, date_trunc('minute', createdAt) AS w FROM raw_messages)
-WHERE w + INTERVAL 1 MINUTE <= (SELECT max(createdAt) FROM raw_messages) - INTERVAL 10 MINUTE
 GROUP BY w""")
+add("stream_live_metrics_approx", f"""
+SELECT {ts('w', 'windowStart')}, {ts('w + INTERVAL 1 MINUTE', 'windowEnd')}, count(*) AS messageCount,
+  true AS usersClose, true AS conversationsClose, round(avg(length(content)), 6) AS avgMessageLength
+FROM (SELECT *, date_trunc('minute', createdAt) AS w FROM raw_messages)
+GROUP BY w""")
+add("stream_and_batch_messages", f"""
+SELECT _id, senderId, coalesce(isEdited, false) AS isEdited,
+  CASE WHEN createdAt < TIMESTAMP '2024-01-16' THEN 'mongodb' ELSE 'kafka' END AS sourceSystem,
+  {ts('createdAt', 'createdAt')}, {ts('updatedAt', 'updatedAt')}
+FROM latest""")
 add("stream_dedup", f"SELECT _id, conversationId, senderId, {ts('createdAt', 'createdAt')} FROM msg0")
 add("stream_two_queries", f"""
 SELECT 'messages' AS "table", {YMD.format('createdAt')}, count(*) AS rows FROM raw_messages GROUP BY ALL
@@ -641,18 +656,6 @@ SELECT u._id AS userId, CAST({AS_OF} AS VARCHAR) AS featureDate, coalesce(sent1,
   CAST(coalesce(sent7 - before7, 0) AS DOUBLE) AS engagementTrend, {AS_OF} - last > 7 AS willChurnNext7d
 FROM b_users u LEFT JOIN f_activity a ON a.userId = u._id LEFT JOIN f_messages m ON m.userId = u._id
 LEFT JOIN f_hour h ON h.userId = u._id LEFT JOIN network n ON n.userId = u._id""", FEATURES)
-add("medallion_run", """
-SELECT 'bronze/messages' AS "table", (SELECT count(*) FROM raw_messages) AS rows
-UNION ALL SELECT 'bronze/users', (SELECT count(*) FROM b_users)
-UNION ALL SELECT 'bronze/conversations', (SELECT count(*) FROM b_conversations)
-UNION ALL SELECT 'bronze/calls', (SELECT count(*) FROM b_calls)
-UNION ALL SELECT 'silver/users', (SELECT count(*) FROM b_users)
-UNION ALL SELECT 'silver/messages', (SELECT count(*) FROM s_messages)
-UNION ALL SELECT 'silver/user_activity', (SELECT count(*) FROM activity)
-UNION ALL SELECT 'gold/metrics/daily', (SELECT count(*) FROM dau)
-UNION ALL SELECT 'gold/analytics/user_engagement', (SELECT count(*) FROM b_users)
-UNION ALL SELECT 'gold/ml_features', (SELECT count(*) FROM b_users)""")
-
 add("silver_conversations", f"""
 SELECT _id AS conversationId, conversationType, name, coalesce(avatar, '') <> '' AS hasAvatar,
   CAST(len(participants) AS INTEGER) AS participantCount, CAST(len(admins) AS INTEGER) AS adminCount,
@@ -800,3 +803,48 @@ add("quality_report", "\nUNION ALL\n".join([
         "future:createdAt": f"CAST(createdAt AS DATE) > {AS_OF}",
     }),
 ]))
+
+
+def _content(name: str, table: str, key: str, *measures: str) -> str:
+    values = ", ".join(f"round(CAST({m} AS DOUBLE), 6) AS v{i}" for i, m in enumerate(measures))
+    return f"SELECT '{table}' AS \"table\", CAST({key} AS VARCHAR) AS key, {values} FROM ({ORACLE[name]})"
+
+
+CONTENT_SQL = "\nUNION ALL\n".join([
+    _content("silver_messages", "silver/messages", "messageId", "contentLength", "reactionCount", "isEdited"),
+    _content("daily_metrics", "gold/metrics/daily", "metricDate", "totalMessages", "activeUsers", "avgMessagesPerUser"),
+    _content(
+        "weekly_metrics", "gold/metrics/weekly", "weekStartDate", "weeklyActiveUsers", "returningUsers",
+        "engagementScore",
+    ),
+    _content(
+        "monthly_metrics", "gold/metrics/monthly", "yearMonth", "monthlyActiveUsers", "avgDailyMessages",
+        "peakDayOfWeek",
+    ),
+    _content(
+        "user_engagement", "gold/analytics/user_engagement", "userId", "totalMessagesSent",
+        "conversationsParticipating", "engagementScore",
+    ),
+    _content(
+        "conversation_analytics", "gold/analytics/conversations", "conversationId", "totalMessages",
+        "avgMessagesPerDay", "peakActivityHour",
+    ),
+    _content("user_features", "gold/ml_features", "userId", "msgSentLast30d", "uniqueContacts", "messageVelocity7d"),
+])
+for name in ("medallion_run", "merge_existing_lake"):
+    ORACLE[name] = CONTENT_SQL
+ORACLE["user_activity_incremental"] = ORACLE["user_activity"]
+
+
+def _with(column: str, *names: str) -> None:
+    """Queries that report a property of themselves: it holds for every row."""
+    for name in names:
+        ORACLE[name] = f"SELECT *, true AS {column} FROM ({ORACLE[name]})"
+
+
+_with("fewerFiles", "compact_rewrite")
+_with("rangesApart", "cluster_rewrite")
+_with(
+    "agrees", "activity_spine", "message_mix", "peak_hour", "feature_windows", "social_features", "temporal_features",
+    "velocity", "churn_label",
+)

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -22,6 +22,7 @@ from palaver.sources.fixtures import AS_OF
 from palaver.sources.scratch import scratch_dir
 from palaver.streaming import ingest, live, sinks
 
+WEEK_ENDS = ("2024-01-10", "2024-01-17", "2024-01-24", "2024-01-31", "2024-02-20")
 CLOCK = ("processedAt", "ingestTimestamp", "etlVersion")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -47,6 +48,17 @@ def plain(df: DataFrame, drop: tuple[str, ...] = CLOCK) -> DataFrame:
     return df.select(*out)
 
 
+def _agreeing(df: DataFrame, other: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """``df`` with ``agrees``: whether ``other``, the fused form that the jobs use, has the same values."""
+    right = other.select(*keys, F.struct(*columns).alias("_other"))
+    same = F.lit(True)
+    for c in columns:
+        a, b = F.col(c), F.col(f"_other.{c}")
+        close = F.abs(a - b) < 1e-9 if isinstance(df.schema[c].dataType, T.DoubleType) else a == b
+        same = same & F.coalesce(close, a.isNull() & b.isNull())
+    return df.join(right, keys, "left").withColumn("agrees", same).drop("_other")
+
+
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     QUERIES[fn.__name__] = lambda spark, sf_dir: plain(fn(spark, sf_dir))
     return fn
@@ -130,7 +142,11 @@ def compact_rewrite(spark, sf_dir):
     calls = bronze.bronze_calls(fixtures.raw_calls(spark, sf_dir))
     calls.repartition(8).write.parquet(scattered)
     tables.compact_table(spark, scattered, packed)
-    return tables.read_table(spark, packed).select(*schemas.BRONZE_CALLS)
+    before, after = (
+        tables.read_table(spark, p).select(F.input_file_name().alias("f")).agg(F.count_distinct("f")).scalar()
+        for p in (scattered, packed)
+    )
+    return tables.read_table(spark, packed).select(*schemas.BRONZE_CALLS).withColumn("fewerFiles", after < before)
 
 
 @query
@@ -138,8 +154,13 @@ def cluster_rewrite(spark, sf_dir):
     loose, ordered = scratch_dir(spark, "loose"), scratch_dir(spark, "ordered")
     stage(spark, sf_dir).messages().drop("content").write.parquet(loose)
     tables.cluster_table(spark, loose, ordered, ["conversationId", "senderId"], spread=["messageId"])
-    return tables.read_table(spark, ordered).select(
-        "messageId", "conversationId", "senderId", "messageType", "createdAt"
+    rows = tables.read_table(spark, ordered)
+    place = F.struct("conversationId", "senderId", "messageId")
+    ranges = rows.groupBy(F.input_file_name().alias("file")).agg(F.min(place).alias("low"), F.max(place).alias("high"))
+    before = F.lag("high").over(Window.orderBy("low"))  # one row for each file
+    apart = ranges.select((F.col("low") > before).alias("apart")).agg(F.coalesce(F.min("apart"), F.lit(True)))
+    return rows.select("messageId", "conversationId", "senderId", "messageType", "createdAt").withColumn(
+        "rangesApart", apart.scalar()
     )
 
 
@@ -273,9 +294,13 @@ def activity_spine(spark, sf_dir):
         activity.first_touch(messages),
     ):
         rows = rows.join(side, activity.USER_DAY, "left")
-    return columns.fill_columns(rows, 0, [
+    filled = columns.fill_columns(rows, 0, [
         "reactionsGiven", "callsInitiated", "totalCallDurationSeconds", "callsReceived", "newConversationsStarted",
     ])
+    return _agreeing(filled, activity.user_activity(messages, calls), activity.USER_DAY, [
+        "messagesSent", "mediaShared", "reactionsReceived", "conversationsActive", "reactionsGiven", "callsInitiated",
+        "callsReceived", "newConversationsStarted",
+    ])
 
 
 @query
@@ -283,7 +308,8 @@ def user_spine(spark, sf_dir):
     users = stage(spark, sf_dir).users().select("userId")
     totals = engagement.lifetime_totals(stage(spark, sf_dir).activity())
     joined = users.join(totals, "userId", "left")
-    joined = joined.join(engagement.network_size(stage(spark, sf_dir).messages()), "userId", "left")
+    pairs = engagement.contact_pairs(stage(spark, sf_dir).messages())
+    joined = joined.join(engagement.network_size(pairs), "userId", "left")
     return joined.select("userId", "totalMessagesSent", "lastActiveDate", "conversationsParticipating")
 
 
@@ -365,12 +391,16 @@ def dau(spark, sf_dir):
 
 @query
 def message_mix(spark, sf_dir):
-    return daily.message_mix(stage(spark, sf_dir).messages())
+    messages = stage(spark, sf_dir).messages()
+    return _agreeing(daily.message_mix(messages), daily.message_metrics(messages), ["metricDate"], [
+        "totalMessages", "textMessages", "mediaMessages", "totalReactions",
+    ])
 
 
 @query
 def peak_hour(spark, sf_dir):
-    return daily.peak_hour_per_day(stage(spark, sf_dir).messages())
+    messages = stage(spark, sf_dir).messages()
+    return _agreeing(daily.peak_hour_per_day(messages), daily.message_metrics(messages), ["metricDate"], ["peakHour"])
 
 
 @query
@@ -395,42 +425,59 @@ def lifetime_totals(spark, sf_dir):
 
 @query
 def network_size(spark, sf_dir):
-    return engagement.network_size(stage(spark, sf_dir).messages())
+    return engagement.network_size(engagement.contact_pairs(stage(spark, sf_dir).messages()))
 
 
 @query
 def groups_per_user(spark, sf_dir):
-    return engagement.groups_per_user(stage(spark, sf_dir).messages(), stage(spark, sf_dir).conversations())
+    pairs = engagement.contact_pairs(stage(spark, sf_dir).messages())
+    return engagement.groups_per_user(pairs, stage(spark, sf_dir).conversations())
+
+
+def _like_features(spark, sf_dir, part: DataFrame, columns: list[str]) -> DataFrame:
+    """``part`` against the feature vectors of the same users; users outside the spine agree with nothing and are left."""
+    s = stage(spark, sf_dir)
+    spine = s.activity().select("userId").union(s.messages().select(F.col("senderId"))).distinct()
+    return _agreeing(part, features.user_features(s.activity(), spine, s.messages(), AS_OF), ["userId"], columns)
 
 
 @query
 def feature_windows(spark, sf_dir):
-    return features.feature_windows(stage(spark, sf_dir).activity(), AS_OF)
+    part = features.feature_windows(stage(spark, sf_dir).activity(), AS_OF)
+    return _like_features(spark, sf_dir, part, [
+        "msgSentLast1d", "msgSentLast7d", "msgSentLast30d", "activeDaysLast7d", "activeDaysLast30d",
+        "avgSessionDurationMinutes",
+    ])
 
 
 @query
 def social_features(spark, sf_dir):
-    return features.social_features(stage(spark, sf_dir).messages(), AS_OF)
+    part = features.social_features(stage(spark, sf_dir).messages(), AS_OF)
+    return _like_features(spark, sf_dir, part, ["uniqueContacts", "groupCount", "avgGroupSize"])
 
 
 @query
 def group_features(spark, sf_dir):
-    return features.group_features(stage(spark, sf_dir).messages(), stage(spark, sf_dir).conversations())
+    pairs = engagement.contact_pairs(stage(spark, sf_dir).messages())
+    return features.group_features(pairs, stage(spark, sf_dir).conversations())
 
 
 @query
 def temporal_features(spark, sf_dir):
-    return features.temporal_features(stage(spark, sf_dir).messages(), AS_OF)
+    part = features.temporal_features(stage(spark, sf_dir).messages(), AS_OF)
+    return _like_features(spark, sf_dir, part, ["preferredHour", "weekdayActivityRatio"])
 
 
 @query
 def velocity(spark, sf_dir):
-    return features.velocity(stage(spark, sf_dir).activity(), AS_OF)
+    part = features.velocity(stage(spark, sf_dir).activity(), AS_OF)
+    return _like_features(spark, sf_dir, part, ["messageVelocity7d", "engagementTrend"])
 
 
 @query
 def churn_label(spark, sf_dir):
-    return features.churn_label(stage(spark, sf_dir).activity(), AS_OF)
+    part = features.churn_label(stage(spark, sf_dir).activity(), AS_OF)
+    return _like_features(spark, sf_dir, part, ["willChurnNext7d"])
 
 
 @query
@@ -442,8 +489,8 @@ def high_water_mark(spark, sf_dir):
 def row_counts(spark, sf_dir):
     s = stage(spark, sf_dir)
     named = {"messages": s.bronze_messages(), "users": s.bronze_users(), "calls": s.calls()}
-    counts = [df.agg(F.lit(n).alias("table"), F.count(F.lit(1)).alias("rows")) for n, df in named.items()]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+    observed = [(n, tables.write_table(df, scratch_dir(spark, "counted"))) for n, df in named.items()]
+    return spark.createDataFrame(observed, "table string, rows bigint")
 
 
 # Windows
@@ -565,10 +612,16 @@ def user_segment(spark, sf_dir):
 
 @query
 def conversation_health(spark, sf_dir):
-    """Days since creation stand in for the weekly count, so that every class occurs."""
-    made, last = F.datediff(F.lit(AS_OF), "createdAt"), F.datediff(F.lit("2024-02-20"), "lastMessageAt")
-    rows = stage(spark, sf_dir).conversations()
-    return rows.select("_id", scores.conversation_health(made, last).alias("health"))
+    """Messages of the last week and days since the last message, as of the end of every week of the month."""
+    s = stage(spark, sf_dir)
+    days = s.messages().select(F.col("conversationId").alias("_id"), F.to_date("createdAt").alias("d"))
+    weeks = F.explode(F.array(*[F.lit(w).cast("date") for w in WEEK_ENDS])).alias("weekEnd")
+    counted = days.select("_id", "d", weeks).filter("d <= weekEnd").groupBy("_id", "weekEnd").agg(
+        F.count_if(F.datediff("weekEnd", "d") <= 7).alias("recent"), F.datediff("weekEnd", F.max("d")).alias("idle")
+    )
+    rows = s.conversations().select("_id", weeks).join(counted, ["_id", "weekEnd"], "left")
+    health = scores.conversation_health(F.coalesce("recent", F.lit(0)), F.coalesce("idle", F.lit(999)))
+    return rows.select("_id", "weekEnd", health.alias("health"))
 
 
 @query
@@ -633,19 +686,53 @@ def stream_events(spark, sf_dir):
 
 @query
 def stream_live_metrics(spark, sf_dir):
-    return tables.read_table(spark, _two_runs(
-        spark, sf_dir, "messages",
-        lambda values, out, mark: sinks.append_to_table(live.live_metrics_exact(values), out, mark, every=None),
+    out = _two_runs(spark, sf_dir, "messages", lambda values, out, mark: sinks.merge_updates(
+        live.live_members(values), out, mark, live.MEMBER_KEYS, live.WINDOW_PARTITIONS, every=None
     ))
+    return live.live_metrics_exact(tables.read_table(spark, out))
 
 
 @query
 def stream_live_metrics_approx(spark, sf_dir):
-    out = _two_runs(
-        spark, sf_dir, "messages",
-        lambda values, out, mark: sinks.update_epochs(live.live_metrics(values), out, mark, every=None),
+    """Sketched counts against the exact ones: within three deviations (5% each) and one."""
+    out = _two_runs(spark, sf_dir, "messages", lambda values, out, mark: sinks.merge_updates(
+        live.live_metrics(values), out, mark, ["windowStart"], live.WINDOW_PARTITIONS, every=None
+    ))
+    rows = tables.read_table(spark, out).select(
+        "windowStart", "windowEnd", "messageCount", "activeUsers", "activeConversations", "avgMessageLength"
+    )
+    window = F.window("createdAt", live.WINDOW)
+    exact = fixtures.raw_messages(spark, sf_dir).groupBy(window).agg(
+        F.count_distinct("senderId").alias("users"), F.count_distinct("conversationId").alias("conversations")
+    ).select(F.col("window.start").alias("windowStart"), "users", "conversations")
+
+    def close(sketch: str, true: str) -> F.Column:
+        return F.abs(F.col(sketch) - F.col(true)) <= 0.15 * F.col(true) + 1
+
+    return rows.join(exact, "windowStart", "left").select(
+        "windowStart", "windowEnd", "messageCount", close("activeUsers", "users").alias("usersClose"),
+        close("activeConversations", "conversations").alias("conversationsClose"), "avgMessageLength",
+    )
+
+
+@query
+def stream_and_batch_messages(spark, sf_dir):
+    """One bronze table: the first half of the month by the batch upsert, the second by the stream, restarted once."""
+    spec, s = lake.TABLES["bronze/messages"], stage(spark, sf_dir)
+    path, mark = scratch_dir(spark, "bronze"), scratch_dir(spark, "marks")
+    early = s.bronze_messages().filter("createdAt < DATE '2024-01-16'")
+    newest = dedup.deduplicate(early, spec.keys, spec.version, tie_break=spec.tie_break)
+    tables.upsert_partitions(spark, newest, path, spec.keys, spec.partition_by)
+    bus = _Bus(spark, sf_dir, "messages")
+    for deliver in (True, False):
+        values = bus.deliver(False) if deliver else readers.scan_value_files(spark, bus.folder)
+        sinks.await_all([sinks.merge_updates(
+            ingest.message_stream(values), path, mark, spec.keys, spec.partition_by, "append", None, spec.version,
+            spec.tie_break,
+        )])
+    return tables.read_table(spark, path, schemas.BRONZE_MESSAGES).select(
+        "_id", "senderId", "isEdited", "sourceSystem", "createdAt", "updatedAt"
     )
-    return sinks.latest_epochs(spark, out, ["windowStart", "windowEnd"])
 
 
 @query
@@ -757,14 +844,62 @@ def user_features(spark, sf_dir):
     return features.user_features(s.activity(), s.users(), s.messages(), AS_OF)
 
 
-@query
-def medallion_run(spark, sf_dir):
-    raw = {
+def _raw(spark, sf_dir) -> dict[str, DataFrame]:
+    return {
         "messages": fixtures.raw_messages(spark, sf_dir), "users": fixtures.raw_users(spark, sf_dir),
         "auth": fixtures.raw_auth(spark, sf_dir), "conversations": fixtures.raw_conversations(spark, sf_dir),
         "calls": fixtures.raw_calls(spark, sf_dir),
     }
-    return lake.table_counts(lake.run_lake(spark, raw, scratch_dir(spark, "lake"), AS_OF))
+
+
+# Key and three measures of each table whose content a whole run is compared by.
+CONTENT = {
+    "silver/messages": ("messageId", "contentLength", "reactionCount", "isEdited"),
+    "gold/metrics/daily": ("metricDate", "totalMessages", "activeUsers", "avgMessagesPerUser"),
+    "gold/metrics/weekly": ("weekStartDate", "weeklyActiveUsers", "returningUsers", "engagementScore"),
+    "gold/metrics/monthly": ("yearMonth", "monthlyActiveUsers", "avgDailyMessages", "peakDayOfWeek"),
+    "gold/analytics/user_engagement": (
+        "userId", "totalMessagesSent", "conversationsParticipating", "engagementScore"
+    ),
+    "gold/analytics/conversations": ("conversationId", "totalMessages", "avgMessagesPerDay", "peakActivityHour"),
+    "gold/ml_features": ("userId", "msgSentLast30d", "uniqueContacts", "messageVelocity7d"),
+}
+
+
+def _content(run: lake.Lake) -> DataFrame:
+    out = None
+    for name, (key, *measures) in CONTENT.items():
+        values = [F.col(m).cast("double").alias(f"v{i}") for i, m in enumerate(measures)]
+        part = run.table(name).select(F.lit(name).alias("table"), F.col(key).cast("string").alias("key"), *values)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def updated_lake(spark: SparkSession, sf_dir: str) -> lake.Lake:
+    """A lake of the first half of the month, then updated in place by the second half and by late edits of the first."""
+    raw, root = _raw(spark, sf_dir), scratch_dir(spark, "lake")
+    edited, late = F.coalesce("isEdited", F.lit(False)), F.col("createdAt") >= F.lit("2024-01-16").cast("date")
+    lake.run_lake(spark, {
+        **raw, "messages": raw["messages"].filter(~edited & ~late), "calls": raw["calls"].filter(~late),
+    }, root, AS_OF)
+    return lake.run_lake(spark, {
+        **raw, "messages": raw["messages"].filter(edited | late), "calls": raw["calls"].filter(late),
+    }, root, AS_OF, changed_since="2024-01-16")
+
+
+@query
+def medallion_run(spark, sf_dir):
+    return _content(lake.run_lake(spark, _raw(spark, sf_dir), scratch_dir(spark, "lake"), AS_OF, cluster=True))
+
+
+@query
+def merge_existing_lake(spark, sf_dir):
+    return _content(updated_lake(spark, sf_dir))
+
+
+@query
+def user_activity_incremental(spark, sf_dir):
+    return updated_lake(spark, sf_dir).table("silver/user_activity")
 
 
 # Declared outputs

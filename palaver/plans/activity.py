@@ -89,10 +89,24 @@ def _facts(df: DataFrame, measures: dict[str, Column], from_messages: bool) -> D
     )
 
 
-def message_facts(messages: DataFrame) -> DataFrame:
+def first_contacts(messages: DataFrame) -> DataFrame:
+    """The first day on which each user wrote in each conversation."""
+    pairs = messages.groupBy(_sender(), "conversationId").agg(F.min(F.to_date("createdAt")).alias("firstDay"))
+    parts = time_parts("firstDay")
+    return schemas.conform(pairs.withColumns({p: parts[p] for p in schemas.DAY_PARTITIONS}), schemas.FIRST_CONTACTS)
+
+
+def new_contacts(recent: DataFrame, contacts: DataFrame, day: Column) -> DataFrame:
+    """First contacts from ``day`` on, from the messages of those days alone: pairs with an earlier contact are left out."""
+    old = contacts.filter(F.col("firstDay") < day).select("userId", "conversationId")
+    return first_contacts(recent).join(old, ["userId", "conversationId"], "left_anti").select(*schemas.FIRST_CONTACTS)
+
+
+def message_facts(messages: DataFrame, contacts: DataFrame | None = None) -> DataFrame:
     """One row per (user, conversation, day), so that one pass over messages serves every message measure.
 
-    The window finds each user's first day in a conversation; its groups hold one row per calendar day at most.
+    The window finds each user's first day in a conversation; its groups hold one row per calendar day at most. With
+    ``contacts``, the first contacts of the same days, there is no window and ``messages`` need not hold the history.
     """
     cube = messages.groupBy(_sender(), "conversationId", _day()).agg(
         F.count(F.lit(1)).alias("n"),
@@ -100,9 +114,12 @@ def message_facts(messages: DataFrame) -> DataFrame:
         F.sum("reactionCount").alias("reactions"),
         F.sum(F.when(F.col("reactionCount") > 0, F.col("reactionCount"))).alias("given"),
     )
-    first_day = F.min("activityDate").over(Window.partitionBy("userId", "conversationId"))
-    marked = cube.withColumn("isFirst", F.col("activityDate") == first_day)
-    return _facts(marked, {
+    if contacts is None:
+        first_day = F.min("activityDate").over(Window.partitionBy("userId", "conversationId"))
+        marked = cube.withColumn("isFirst", F.col("activityDate") == first_day)
+    else:
+        marked = cube.withColumn("isFirst", F.lit(False))
+    facts = _facts(marked, {
         "messagesSent": F.col("n"),
         "mediaShared": F.col("media"),
         "reactionsReceived": F.col("reactions"),
@@ -110,6 +127,10 @@ def message_facts(messages: DataFrame) -> DataFrame:
         "conversationsActive": F.col("conversationId").isNotNull().cast("int"),
         "newConversationsStarted": F.col("isFirst").cast("int"),
     }, from_messages=True)
+    if contacts is None:
+        return facts
+    started = contacts.groupBy("userId", "conversationId").agg(F.min("firstDay").alias("activityDate"))
+    return facts.unionByName(_facts(started, {"newConversationsStarted": F.lit(1)}, from_messages=True))
 
 
 def call_facts(calls: DataFrame) -> DataFrame:
@@ -132,8 +153,10 @@ def call_facts(calls: DataFrame) -> DataFrame:
     }, from_messages=False)
 
 
-def user_activity(messages: DataFrame, calls: DataFrame, spine: str = "messages") -> DataFrame:
-    """Activity per user and day.
+def user_activity(
+    messages: DataFrame, calls: DataFrame, spine: str = "messages", contacts: DataFrame | None = None
+) -> DataFrame:
+    """Activity per user and day; of some days only, when ``contacts`` holds the first contacts of these days.
 
     ``spine="messages"`` keeps days on which the user wrote a message; ``spine="full"`` also keeps days with only
     calls. Message and call facts are stacked and summed in one aggregation instead of joined: partial sums are
@@ -141,7 +164,7 @@ def user_activity(messages: DataFrame, calls: DataFrame, spine: str = "messages"
     """
     if spine not in ("messages", "full"):
         raise ValueError(f"unknown spine: {spine}")
-    facts = message_facts(messages).unionByName(call_facts(calls))
+    facts = message_facts(messages, contacts).unionByName(call_facts(calls))
     summed = facts.groupBy(*USER_DAY).agg(
         *[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in _MEASURES], F.max("fromMessages").alias("fromMessages")
     )

@@ -34,7 +34,7 @@ def distinct_user_dates(users: DataFrame) -> DataFrame:
 def active_users_per_day(activity: DataFrame) -> DataFrame:
     active = activity.filter("isActiveDay")
     return active.groupBy(F.col("activityDate").alias("metricDate")).agg(
-        F.count_distinct("userId").alias("activeUsers"),
+        F.count("userId").alias("activeUsers"),  # activity holds one row per user and day
         F.sum("messagesSent").alias("totalMessagesSent"),
         F.avg("messagesSent").alias("avgMessagesPerUser"),
     )

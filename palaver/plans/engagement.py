@@ -55,15 +55,17 @@ def lifetime_totals(activity: DataFrame) -> DataFrame:
     return activity.groupBy("userId").agg(*_lifetime())
 
 
-def network_size(messages: DataFrame) -> DataFrame:
-    return messages.groupBy(F.col("senderId").alias("userId")).agg(
-        F.count_distinct("conversationId").alias("conversationsParticipating")
-    )
+def contact_pairs(messages: DataFrame) -> DataFrame:
+    """Distinct (userId, conversationId) of messages; the written first contacts hold the same."""
+    return messages.select(F.col("senderId").alias("userId"), "conversationId").distinct()
+
+
+def network_size(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("userId").agg(F.count("conversationId").alias("conversationsParticipating"))
 
 
-def groups_per_user(messages: DataFrame, conversations: DataFrame) -> DataFrame:
-    """Group conversations each user wrote in. Messages shrink to distinct pairs before the join."""
-    pairs = messages.select(F.col("senderId").alias("userId"), "conversationId").distinct()
+def groups_per_user(pairs: DataFrame, conversations: DataFrame) -> DataFrame:
+    """Group conversations each user wrote in."""
     groups = conversations.filter(F.col("conversationType") == "group").select(F.col("_id").alias("conversationId"))
     return pairs.join(groups, "conversationId", "left_semi").groupBy("userId").agg(
         F.count(F.lit(1)).alias("groupsParticipating")
@@ -77,21 +79,23 @@ def user_engagement(
     as_of: AsOf,
     conversations: DataFrame | None = None,
     cap_score: bool = False,
+    pairs: DataFrame | None = None,
 ) -> DataFrame:
     """One row per user, active or not.
 
     ``activity`` is read once: both windows and the lifetime totals are conditional sums of one aggregation.
     ``groupsParticipating`` is 0 unless ``conversations`` are given. The trend compares the last 7 days with the
-    days of the 30-day window before them.
+    days of the 30-day window before them. ``pairs``, the written first contacts, spare a scan of all messages.
     """
+    pairs = contact_pairs(messages) if pairs is None else pairs.select("userId", "conversationId").distinct()
     totals = activity.groupBy("userId").agg(
         *_window_sums(as_of, 7), *_window_sums(as_of, 30), _daily_average(as_of), *_lifetime()
     )
-    joined = users.select("userId").join(totals, "userId", "left").join(network_size(messages), "userId", "left")
+    joined = users.select("userId").join(totals, "userId", "left").join(network_size(pairs), "userId", "left")
     if conversations is None:
         joined = joined.withColumn("groupsParticipating", F.lit(0).cast("bigint"))
     else:
-        joined = joined.join(groups_per_user(messages, conversations), "userId", "left")
+        joined = joined.join(groups_per_user(pairs, conversations), "userId", "left")
     filled = fill_columns(joined, 0, [c for c in joined.columns if c not in ("userId", "lastActiveDate")])
     idle = F.coalesce(days_since(F.col("lastActiveDate"), as_of), F.lit(NEVER_ACTIVE_DAYS))
     week, month = F.col("messagesSentLast7"), F.col("messagesSentLast30")

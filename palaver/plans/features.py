@@ -9,6 +9,7 @@ from palaver import schemas
 from palaver.functions.arrays import size_or_zero
 from palaver.functions.calendar import AsOf, as_date, busiest_hour, days_since, hour_counts
 from palaver.functions.columns import fill_columns, since
+from palaver.plans.engagement import contact_pairs
 
 # Placeholders and defaults of the feature contract.
 GROUP_SIZE_PLACEHOLDER = 5.0
@@ -86,13 +87,19 @@ def social_features(messages: DataFrame, as_of: AsOf) -> DataFrame:
     )
 
 
-def group_features(messages: DataFrame, conversations: DataFrame) -> DataFrame:
-    """Groups each user ever wrote in and their mean number of participants, instead of the placeholders."""
-    pairs = messages.select(_sender(), "conversationId").distinct()
-    groups = conversations.filter(F.col("conversationType") == "group").groupBy(
-        F.col("_id").alias("conversationId")
-    ).agg(F.max(size_or_zero(F.col("participants"))).alias("members"))
-    return pairs.join(groups, "conversationId").groupBy("userId").agg(
+def group_features(pairs: DataFrame, conversations: DataFrame) -> DataFrame:
+    """Groups each user ever wrote in and their mean number of participants, instead of the placeholders.
+
+    ``pairs`` are distinct (userId, conversationId). The conversations join as they are written, without an aggregate on
+    top, so that adaptive execution can split the pairs of a huge group; versions of one group are merged behind it.
+    """
+    groups = conversations.filter(F.col("conversationType") == "group").select(
+        F.col("_id").alias("conversationId"), size_or_zero(F.col("participants")).alias("members")
+    )
+    per_group = pairs.join(groups, "conversationId").groupBy("userId", "conversationId").agg(
+        F.max("members").alias("members")
+    )
+    return per_group.groupBy("userId").agg(
         F.count(F.lit(1)).alias("groupCount"), F.avg("members").alias("avgGroupSize")
     )
 
@@ -111,8 +118,10 @@ def user_features(
     messages: DataFrame,
     as_of: AsOf,
     conversations: DataFrame | None = None,
+    pairs: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per user: ``activity`` and the last 30 days of ``messages`` are each read once.
+    """One row per user. Contacts are counted apart from the hours, so that no hour counter goes through the shuffle of
+    (user, conversation) pairs.
 
     ``activity`` must cover ``messages``: whether a user ever wrote is taken from it, which spares a scan of the whole
     message history. With ``conversations``, group count and size are computed instead of the placeholders.
@@ -121,14 +130,19 @@ def user_features(
     from_activity = activity.groupBy("userId").agg(
         *_windows(as_of), *_momentum(as_of), _churn(as_of), ever_wrote.alias("avgGroupSize")
     )
-    from_messages = _last_30_days(messages, as_of).groupBy(_sender()).agg(
-        _contacts(), _weekday_ratio(), *hour_counts("createdAt")
-    ).select("userId", "uniqueContacts", "weekdayActivityRatio", busiest_hour().alias("preferredHour"))
+    recent = _last_30_days(messages, as_of)
+    from_messages = recent.groupBy(_sender()).agg(_weekday_ratio(), *hour_counts("createdAt")).select(
+        "userId", "weekdayActivityRatio", busiest_hour().alias("preferredHour")
+    )
+    contacts = recent.groupBy(_sender()).agg(_contacts())
     joined = users.select("userId").join(from_activity, "userId", "left").join(from_messages, "userId", "left")
+    joined = joined.join(contacts, "userId", "left")
     if conversations is None:
         joined = joined.withColumn("groupCount", F.lit(0).cast("bigint"))
     else:
-        joined = joined.drop("avgGroupSize").join(group_features(messages, conversations), "userId", "left")
+        joined = joined.drop("avgGroupSize").join(
+            group_features(contact_pairs(messages) if pairs is None else pairs, conversations), "userId", "left"
+        )
     filled = fill_columns(joined, DEFAULT_HOUR, ["preferredHour"])
     filled = fill_columns(filled, 0, [c for c in joined.columns if c not in ("userId", "preferredHour")])
     final = filled.withColumns({"featureDate": as_date(as_of), "processedAt": F.current_timestamp()})

@@ -12,64 +12,97 @@ from palaver import schemas
 from palaver.functions.calendar import AsOf, as_date
 from palaver.functions.columns import since
 from palaver.operators.dedup import deduplicate
-from palaver.plans.activity import user_activity
+from palaver.operators.layout import cluster as cluster_rows
+from palaver.operators.quality import quality_report
+from palaver.plans.activity import first_contacts, new_contacts, user_activity
 from palaver.plans.bronze import bronze_calls, bronze_conversations, bronze_messages, bronze_users
+from palaver.plans.conversations import conversation_analytics
 from palaver.plans.daily import daily_metrics
 from palaver.plans.engagement import user_engagement
 from palaver.plans.features import user_features
-from palaver.plans.silver import silver_messages, silver_users
+from palaver.plans.periods import monthly_metrics, weekly_metrics
+from palaver.plans.silver import silver_calls, silver_conversations, silver_messages, silver_users
 from palaver.schemas import DAY_PARTITIONS, MONTH_PARTITIONS
-from palaver.sources.tables import find_table, read_table, replace_table, upsert_partitions, upsert_table
+from palaver.sources.tables import (
+    find_table, overwrite_partitions, read_table, replace_table, staged, upsert_partitions, upsert_table,
+)
 
 class Spec(NamedTuple):
     contract: schemas.Contract
     keys: list[str]
     partition_by: tuple[str, ...]
     version: str | None = None  # orders versions of one key, where a batch may hold several
+    tie_break: tuple[str, ...] = ()  # decides between versions of the same time
 
 
 TABLES = {
-    "bronze/messages": Spec(schemas.BRONZE_MESSAGES, ["_id"], DAY_PARTITIONS, "updatedAt"),
-    "bronze/users": Spec(schemas.BRONZE_USERS, ["_id"], MONTH_PARTITIONS, "updatedAt"),
-    "bronze/conversations": Spec(schemas.BRONZE_CONVERSATIONS, ["_id"], MONTH_PARTITIONS, "updatedAt"),
-    "bronze/calls": Spec(schemas.BRONZE_CALLS, ["_id"], DAY_PARTITIONS, "createdAt"),
+    "bronze/messages": Spec(
+        schemas.BRONZE_MESSAGES, ["_id"], DAY_PARTITIONS, "updatedAt", ("createdAt", "messageType", "content")
+    ),
+    "bronze/events": Spec(schemas.BRONZE_EVENTS, ["eventId"], DAY_PARTITIONS, "timestamp", ("eventType", "payload")),
+    "bronze/users": Spec(schemas.BRONZE_USERS, ["_id"], MONTH_PARTITIONS, "updatedAt", ("createdAt", "email")),
+    "bronze/conversations": Spec(
+        schemas.BRONZE_CONVERSATIONS, ["_id"], MONTH_PARTITIONS, "updatedAt", ("createdAt", "conversationType")
+    ),
+    "bronze/calls": Spec(schemas.BRONZE_CALLS, ["_id"], DAY_PARTITIONS, "createdAt", ("endTime", "status", "duration")),
     "silver/messages": Spec(schemas.SILVER_MESSAGES, ["messageId"], DAY_PARTITIONS),
     "silver/users": Spec(schemas.SILVER_USERS, ["userId"], MONTH_PARTITIONS),
+    "silver/conversations": Spec(schemas.SILVER_CONVERSATIONS, ["conversationId"], MONTH_PARTITIONS),
+    "silver/calls": Spec(schemas.SILVER_CALLS, ["callId"], DAY_PARTITIONS),
+    "silver/first_contacts": Spec(schemas.FIRST_CONTACTS, ["userId", "conversationId"], DAY_PARTITIONS),
     "silver/user_activity": Spec(schemas.USER_ACTIVITY, ["userId", "activityDate"], MONTH_PARTITIONS),
     "gold/metrics/daily": Spec(schemas.DAILY_METRICS, ["metricDate"], MONTH_PARTITIONS),
+    "gold/metrics/weekly": Spec(schemas.WEEKLY_METRICS, ["weekStartDate"], ()),
+    "gold/metrics/monthly": Spec(schemas.MONTHLY_METRICS, ["monthDate"], ()),
     "gold/analytics/user_engagement": Spec(
         schemas.USER_ENGAGEMENT, ["userId", "calculationDate"], MONTH_PARTITIONS
     ),
+    "gold/analytics/conversations": Spec(
+        schemas.CONVERSATION_ANALYTICS, ["conversationId", "calculationDate"], MONTH_PARTITIONS
+    ),
     "gold/ml_features": Spec(schemas.USER_FEATURES, ["userId"], ()),
+    "quality": Spec(schemas.QUALITY_REPORT, ["table", "check"], ()),
 }
 
 
 class Lake:
     """Tables under one root.
 
-    With ``previous``, every upsert merges into the table of that earlier root. When ``previous`` is the root itself,
-    tables are updated in place, directory by directory; this holds for every table here, as a key never changes the
-    time its partition is made of.
+    An upsert merges into the table that exists under ``previous`` (the root itself unless another root is named); with
+    ``rebuild`` nothing earlier is looked at. In the root itself tables are updated in place, directory by directory; this
+    holds for every table here, as a key never changes the time its partition is made of.
     """
 
-    def __init__(self, spark: SparkSession, root: str, previous: str | None = None):
-        self.spark, self.root, self.previous = spark, root, previous
+    def __init__(self, spark: SparkSession, root: str, previous: str | None = None, rebuild: bool = False):
+        self.spark, self.root = spark, root.rstrip("/")
+        self.previous = None if rebuild else (previous or root).rstrip("/")
         self.rows: dict[str, int] = {}
 
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, f"{self.root}/{name}", TABLES[name].contract)
 
+    def earlier(self, name: str) -> DataFrame | None:
+        return find_table(self.spark, f"{self.previous}/{name}", TABLES[name].contract) if self.previous else None
+
+    def newest(self, name: str, df: DataFrame) -> DataFrame:
+        """One row for each key of the batch; rows without a key are versions of nothing."""
+        spec = TABLES[name]
+        if not spec.version:
+            return df
+        no_key = " OR ".join(f"`{k}` IS NULL" for k in spec.keys)
+        kept = deduplicate(df.dropna(subset=spec.keys), spec.keys, spec.version, tie_break=spec.tie_break)
+        return kept.unionByName(df.filter(no_key))
+
     def upsert(self, name: str, df: DataFrame) -> DataFrame:
         spec, path = TABLES[name], f"{self.root}/{name}"
-        old = f"{self.previous}/{name}" if self.previous else None
-        if old is None or find_table(self.spark, old, spec.contract) is None:
+        if self.earlier(name) is None:
             self.rows[name] = replace_table(df, path, spec.partition_by)
             return self.table(name)
-        newest = deduplicate(df, spec.keys, spec.version) if spec.version else df
-        if old == path:
-            staging = f"{self.root}/_staging/{name}"
-            self.rows[name] = upsert_partitions(self.spark, newest, path, spec.keys, spec.partition_by, staging)
+        newest = self.newest(name, df)
+        if self.previous == self.root:
+            self.rows[name] = upsert_partitions(self.spark, newest, path, spec.keys, spec.partition_by)
         else:
+            old = f"{self.previous}/{name}"
             self.rows[name] = upsert_table(self.spark, newest, old, spec.keys, spec.partition_by, out_path=path)
         return self.table(name)
 
@@ -77,6 +110,12 @@ class Lake:
         self.rows[name] = replace_table(df, f"{self.root}/{name}", TABLES[name].partition_by)
         return self.table(name)
 
+    def replace_days(self, name: str, df: DataFrame) -> DataFrame:
+        """Replace the directories that ``df``, staged first, has rows for."""
+        path, spec = f"{self.root}/{name}", TABLES[name]
+        self.rows[name] = overwrite_partitions(staged(df, "days"), path, spec.partition_by)
+        return self.table(name)
+
 
 def run_lake(
     spark: SparkSession,
@@ -85,34 +124,88 @@ def run_lake(
     as_of: AsOf,
     previous: str | None = None,
     changed_since: AsOf | None = None,
+    rebuild: bool = False,
+    cluster: bool = False,
 ) -> Lake:
     """Build or update all tables under ``root`` from raw frames ``messages users auth conversations calls``.
 
-    ``changed_since`` names the earliest creation day of new or edited messages and calls in ``raw``: silver messages and
-    user activity are then recomputed, and merged, from that day on. It needs ``previous``.
+    Tables that exist are merged into; ``rebuild`` replaces them. With ``changed_since``, silver messages and user activity
+    are recomputed, and merged, from that day on, or from the earliest creation day of the batch's messages and calls where
+    that is earlier, so that an edit of an old message reaches them. It needs existing tables. ``cluster`` rewrites silver
+    messages in the order of conversation and sender.
     """
-    if changed_since is not None and previous is None:
-        raise ValueError("changed_since updates existing tables: give previous")
+    lake = Lake(spark, root, previous, rebuild)
+    if changed_since is not None and lake.earlier("silver/messages") is None:
+        raise ValueError("changed_since updates existing tables; there are none")
+    batch = {"messages": staged(bronze_messages(raw["messages"]), "messages"), "calls": staged(bronze_calls(raw["calls"]), "calls")}
+    first = None
+    if changed_since is not None:
+        named = spark.range(1).select(as_date(changed_since).alias("d"))
+        days = named.unionByName(batch["messages"].select(F.to_date("createdAt").alias("d")))
+        first = days.unionByName(batch["calls"].select(F.to_date("createdAt").alias("d"))).agg(F.min("d")).first()[0]
 
     def recent(df: DataFrame, date: str) -> DataFrame:
-        return df if changed_since is None else since(df, date, as_date(changed_since))
+        return df if first is None else since(df, date, F.lit(first))
 
-    lake = Lake(spark, root, previous)
-    messages_b = lake.upsert("bronze/messages", bronze_messages(raw["messages"]))
+    messages_b = lake.upsert("bronze/messages", batch["messages"])
     users_b = lake.upsert("bronze/users", bronze_users(raw["users"], raw["auth"]))
     conversations = lake.upsert("bronze/conversations", bronze_conversations(raw["conversations"]))
-    calls = lake.upsert("bronze/calls", bronze_calls(raw["calls"]))
+    calls = lake.upsert("bronze/calls", batch["calls"])
 
     users = lake.upsert("silver/users", silver_users(users_b, as_of))
+    groups = lake.upsert("silver/conversations", silver_conversations(conversations, as_of))
+    lake.upsert("silver/calls", silver_calls(recent(calls, "createdAt")))
     messages = lake.upsert("silver/messages", silver_messages(recent(messages_b, "createdAt"), users_b))
-    activity = lake.upsert("silver/user_activity", recent(user_activity(messages, calls), "activityDate"))
-
-    lake.upsert("gold/metrics/daily", daily_metrics(messages, users, activity, calls, conversations))
-    lake.upsert("gold/analytics/user_engagement", user_engagement(users, activity, messages, as_of))
+    if cluster:
+        messages = lake.replace("silver/messages", _clustered(messages))
+
+    # The messages of the changed days give their first contacts; pairs that met before are left out.
+    written = recent(messages, "createdAt")
+    contacts = lake.earlier("silver/first_contacts") if first is not None else None
+    if contacts is None:
+        contacts = lake.replace("silver/first_contacts", first_contacts(messages))
+    else:
+        fresh = new_contacts(written, contacts, F.lit(first))
+        if lake.previous == lake.root:
+            contacts = lake.replace_days("silver/first_contacts", fresh)
+        else:
+            older = contacts.filter(F.col("firstDay") < F.lit(first))
+            contacts = lake.replace("silver/first_contacts", older.unionByName(fresh))
+    activity = lake.upsert("silver/user_activity", user_activity(
+        written, recent(calls, "createdAt"), contacts=recent(contacts, "firstDay")
+    ))
+
+    daily = lake.upsert("gold/metrics/daily", daily_metrics(messages, users, activity, calls, conversations))
+    every_day = staged(daily_metrics(messages, users, activity, calls, conversations, spine="full"), "days")
+    lake.replace("gold/metrics/weekly", weekly_metrics(every_day, activity))
+    lake.replace("gold/metrics/monthly", monthly_metrics(every_day, activity, messages))
+    lake.upsert("gold/analytics/user_engagement", user_engagement(users, activity, messages, as_of, pairs=contacts))
+    lake.upsert("gold/analytics/conversations", conversation_analytics(groups, messages, as_of))
     lake.replace("gold/ml_features", user_features(activity, users, messages, as_of))
+    lake.replace("quality", _quality(messages_b, users_b, calls, daily, as_of))
     return lake
 
 
+def _clustered(messages: DataFrame) -> DataFrame:
+    """Staged in the order that scans by conversation and sender prune best."""
+    return staged(cluster_rows(messages, [*DAY_PARTITIONS, "conversationId", "senderId"], ["messageId"]), "clustered")
+
+
+def _quality(messages: DataFrame, users: DataFrame, calls: DataFrame, daily: DataFrame, as_of: AsOf) -> DataFrame:
+    parts = [
+        quality_report(messages, "bronze.messages", ["_id"], ["conversationId", "senderId", "createdAt"],
+                       {"messageType": schemas.MESSAGE_TYPES}, ["createdAt"], as_of),
+        quality_report(users, "bronze.users", ["_id"], ["createdAt"], not_future=["createdAt"], as_of=as_of),
+        quality_report(calls, "bronze.calls", ["_id"], ["createdAt"],
+                       {"status": schemas.CALL_STATUSES, "callType": schemas.CALL_TYPES}, ["createdAt"], as_of),
+        quality_report(daily, "gold.metrics.daily", ["metricDate"], ["activeUsers"]),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def table_counts(lake: Lake) -> DataFrame:
     """One row per table of the run, counted from the files."""
     counts = [

@@ -112,6 +112,8 @@ SILVER_CALLS: Contract = {
     "startTime": "timestamp", "endTime": "timestamp", "durationSeconds": "bigint", "durationMinutes": "double",
     "durationCategory": "string", "createdAt": "timestamp", **_BY_DAY, "hour": "int", "processedAt": "timestamp",
 }
+FIRST_CONTACTS: Contract = {"userId": "string", "conversationId": "string", "firstDay": "date", **_BY_DAY}
+
 USER_ACTIVITY: Contract = {
     "userId": "string", "activityDate": "date", "messagesSent": "bigint", "messagesReceived": "bigint",
     "reactionsGiven": "bigint", "reactionsReceived": "bigint", "callsInitiated": "bigint",
@@ -169,6 +171,8 @@ CONVERSATION_ANALYTICS: Contract = {
 }
 
 # The enumerations of the data model.
+QUALITY_REPORT: Contract = {"table": "string", "check": "string", "failed": "bigint", "total": "bigint"}
+
 MESSAGE_TYPES = ("text", "image", "video", "audio", "file", "call", "system")
 MEDIA_TYPES = ("image", "video", "audio", "file")
 CONVERSATION_TYPES = ("single", "group")

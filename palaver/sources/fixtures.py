@@ -30,22 +30,26 @@ def _repeat(n: str, member: str, dtype: str) -> str:
     return f"CAST(IF({n} > 0, transform(sequence(0, CAST({n} AS INT) - 1), i -> {member}), array()) AS {dtype})"
 
 
+# First day and number of days that a user class is active in, by ``user_id % 10``; days count from DAY_ZERO.
+DAY_ZERO = "DATE '2024-01-01'"
+ACTIVE_DAYS = {1: (0, 20), 2: (0, 12), 3: (21, 10), 4: (16, 15), 6: (0, 20), 7: (0, 3), 8: (21, 10), 9: (16, 15)}
+
+
 def shaped_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events thinned by user class, so that every trend, risk and segment occurs.
+    """All events, moved by whole days into the days of their user's class, so that every trend, risk and segment occurs.
 
-    Users with ``user_id % 5 = 0`` get each event twice, the copy 30 minutes later with suffix ``-2``.
+    Users with ``user_id % 5 = 0`` stay where they are and get each event twice, the copy 30 minutes later with suffix
+    ``-2``.
     """
-    kept = table(spark, sf_dir, "events").filter("""
-        user_id % 5 = 0
-        OR (user_id % 5 = 1 AND ts < DATE '2024-01-21')
-        OR (user_id % 10 = 2 AND ts < DATE '2024-01-13')
-        OR (user_id % 10 = 7 AND ts < DATE '2024-01-04')
-        OR (user_id % 5 = 3 AND ts >= DATE '2024-01-22')
-        OR (user_id % 5 = 4 AND ts >= DATE '2024-01-17')
-    """)
-    once = "named_struct('id', CAST(event_id AS STRING), 'at', CAST(ts AS TIMESTAMP))"
-    copy = "named_struct('id', event_id || '-2', 'at', CAST(ts AS TIMESTAMP) + INTERVAL 30 MINUTES)"
-    return kept.selectExpr(
+    day = f"datediff(ts, {DAY_ZERO})"
+    moved = " ".join(
+        f"WHEN {u} THEN {first} + pmod({day}, {days}) - {day}" for u, (first, days) in ACTIVE_DAYS.items()
+    )
+    at = f"CAST(ts AS TIMESTAMP) + make_dt_interval(CASE user_id % 10 {moved} ELSE 0 END)"
+    events = table(spark, sf_dir, "events").selectExpr("*", f"{at} AS moved")
+    once = "named_struct('id', CAST(event_id AS STRING), 'at', moved)"
+    copy = "named_struct('id', event_id || '-2', 'at', moved + INTERVAL 30 MINUTES)"
+    return events.selectExpr(
         "event_id", "user_id", "event_type", "CAST(get_json_object(props, '$.k') AS INT) AS k",
         f"inline(IF(user_id % 5 = 0, array({once}, {copy}), array({once})))",
     )
@@ -54,11 +58,10 @@ def shaped_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_messages(spark: SparkSession, sf_dir: str, versions: bool = True) -> DataFrame:
     """Message documents. With ``versions``, every tenth message also has an edited version one hour later."""
     conversations = table(spark, sf_dir, "conversations")
-    opening = conversations.filter("turn = 0").groupBy(F.expr("CAST(conv_id AS STRING) AS opened")).agg(
-        F.max("text").alias("text")
-    )
+    texts = conversations.groupBy(F.expr("conv_id || ':' || turn % 4 AS told")).agg(F.max("text").alias("text"))
     conversation = F.expr("user_id * 7 + k") % _count_of(conversations, "conv_id")
     events = shaped_events(spark, sf_dir).withColumn("conversationId", conversation.cast("string"))
+    events = events.withColumn("tells", F.expr("conversationId || ':' || k % 4"))
 
     def attachment(kind: str) -> str:
         return (
@@ -71,7 +74,7 @@ def raw_messages(spark: SparkSession, sf_dir: str, versions: bool = True) -> Dat
     first = "named_struct('updatedAt', at, 'isEdited', CAST(NULL AS BOOLEAN))"
     edited = "named_struct('updatedAt', at + INTERVAL 1 HOUR, 'isEdited', true)"
     history = f"IF(event_id % 10 = 0, array({first}, {edited}), array({first}))" if versions else f"array({first})"
-    documents = lookup_spread(events, "conversationId", "id", opening, "opened", copies=4).selectExpr(
+    documents = lookup_spread(events, "tells", "id", texts, "told", copies=4).selectExpr(
         "named_struct('oid', id) AS _id",
         "conversationId",
         "CAST(user_id AS STRING) AS senderId",
@@ -116,13 +119,14 @@ def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_auth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Accounts of every second customer; every tenth customer has an older account under the same email."""
-    rows = table(spark, sf_dir, "customer").filter("c_custkey % 2 = 0").selectExpr(
+    """An account for every customer, of every second one under another email than the user's; every tenth customer has
+    an older account under the same email."""
+    rows = table(spark, sf_dir, "customer").selectExpr(
         "*", "explode(IF(c_custkey % 10 = 0, array(0, 1), array(0))) AS old"
     )
     return rows.selectExpr(
         "c_custkey * 2 + old AS id",
-        "lower(c_name) || '@example.com' AS email",
+        "IF(c_custkey % 2 = 0, '', 'work-') || lower(c_name) || '@example.com' AS email",
         "c_custkey % 4 = 0 AS email_verified",
         "c_custkey % 6 = 0 AS two_factor_enabled",
         "TIMESTAMP '2024-01-01' + make_dt_interval(CAST(c_custkey % 28 - old AS INT)) AS last_login_at",
@@ -132,7 +136,7 @@ def raw_auth(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversation documents: groups have more than four turns, and at most ten participants."""
+    """Conversation documents. Groups have more than four turns; participants are two, or three to ten by the group's id."""
     turns = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.count(F.lit(1)).alias("turns"))
     last = raw_messages(spark, sf_dir, versions=False).groupBy("conversationId").agg(
         F.max("createdAt").alias("lastAt")
@@ -144,25 +148,25 @@ def raw_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
         "IF(turns > 4, 'group', 'single') AS type",
         "IF(turns > 4, 'group ' || conv_id, NULL) AS name",
         "CASE conv_id % 3 WHEN 1 THEN '' WHEN 2 THEN 'https://c.example.com/' || conv_id END AS avatar",
-        f"{_repeat('least(turns, 10)', 'CAST((conv_id + i) % 10 AS STRING)', schemas.STRINGS)} AS participants",
-        "IF(conv_id % 4 = 0, NULL, array(CAST(conv_id % 10 AS STRING))) AS admins",
+        f"{_repeat('IF(turns > 4, 3 + conv_id % 8, 2)', 'CAST(conv_id + i AS STRING)', schemas.STRINGS)} AS participants",
+        "IF(conv_id % 4 = 0, NULL, array(CAST(conv_id AS STRING))) AS admins",
         "IF(conv_id % 5 = 0, NULL, 'last-' || conv_id) AS lastMessageId",
         "IF(conv_id % 5 = 0, NULL, lastAt) AS lastMessageAt",
         "IF(conv_id % 6 = 0, true, NULL) AS isArchived",
         "CAST(NULL AS BOOLEAN) AS isLocked",
-        "CAST(conv_id % 10 AS STRING) AS createdBy",
+        "CAST(conv_id AS STRING) AS createdBy",
         f"{created} AS createdAt",
         f"{created} AS updatedAt",
     )
 
 
 def raw_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Call documents of every third order. Suppliers modulo 50 take part, so a call has at most 50 participants."""
-    orders = table(spark, sf_dir, "orders").filter("o_orderkey % 3 = 0")
-    people = (
-        table(spark, sf_dir, "lineitem").filter("l_orderkey % 3 = 0")
-        .selectExpr("l_orderkey AS o_orderkey", "CAST(l_suppkey % 50 AS STRING) AS person")
-        .groupBy("o_orderkey").agg(F.array_sort(F.collect_set("person")).alias("participantIds"))
+    """Call documents, one for each order; the lowest and the highest supplier of its lines take part."""
+    orders = table(spark, sf_dir, "orders")
+    people = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.array_sort(F.array_distinct(F.array(
+            F.min("l_suppkey").cast("string"), F.max("l_suppkey").cast("string")
+        ))).alias("participantIds")
     )
     n_users = _count_of(table(spark, sf_dir, "events"), "user_id")
     calls = orders.join(people, "o_orderkey", "left").withColumn("initiator", F.col("o_custkey") % n_users).selectExpr(

@@ -5,17 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from palaver.operators.layout import balance, cluster, compact
 from palaver.operators.merge import merge
 from palaver.schemas import Contract, ddl
-
-
-# Up to this many directories go through the driver as a list of names.
-NAMED_DIRECTORIES = 1000
+from palaver.sources.scratch import scratch_dir
 
 
 def read_table(spark: SparkSession, path: str, contract: Contract | StructType | None = None) -> DataFrame:
@@ -61,27 +58,56 @@ def upsert_table(
     """Merge ``source`` into the table at ``path`` and write the result to ``out_path``.
 
     A missing table is created at ``path`` (or ``out_path``). A table cannot be overwritten while it is read, so an
-    existing one needs an ``out_path`` of its own.
+    existing one needs an ``out_path`` of its own. The source is staged, so it is computed once.
     """
     target = find_table(spark, path, source.schema)
     if target is None:
         return write_table(source, out_path or path, partition_by, mode="overwrite")
     if out_path is None or out_path.rstrip("/") == path.rstrip("/"):
         raise ValueError("an existing table is merged into a fresh directory: give out_path")
-    return write_table(merge(target, source, keys), out_path, partition_by, mode="overwrite")
+    return write_table(merge(target, staged(source, "source"), keys), out_path, partition_by, mode="overwrite")
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to a scratch folder and read back."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return read_table(df.sparkSession, path, df.schema)
+
+
+def _ordinal(partition_by: Sequence[str]) -> Column:
+    """Time partition columns (year, month, day) as one number that orders like them."""
+    out = F.lit(0)
+    for c in partition_by:
+        out = out * 100 + F.col(c)
+    return out
 
 
-def _in_same_directories(target: DataFrame, source: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Target rows in the directories that ``source`` has rows for.
+def in_same_directories(target: DataFrame, source: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Target rows in the directories that ``source`` (a written table) has rows for.
 
-    Few directories are named in the filter, so the scan skips the others; many are matched by a semi join.
+    A semi join on the partition columns decides, whatever their number. The lowest and the highest directory of the
+    source are scalar subqueries on the same columns, so the scan opens nothing outside that range.
     """
-    directory = F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in partition_by])
-    touched = source.select(directory.alias("_directory")).distinct()
-    names = [row[0] for row in touched.limit(NAMED_DIRECTORIES + 1).collect()]
-    if len(names) <= NAMED_DIRECTORIES:
-        return target.filter(directory.isin(names))
-    return target.join(touched, directory == F.col("_directory"), "left_semi")
+    touched = source.select(*partition_by).distinct()
+    place = _ordinal(partition_by)
+    low, high = (source.agg(f(place).alias("edge")).scalar() for f in (F.min, F.max))
+    near = target.filter(place.isNull() | ((place >= low) & (place <= high)))
+    same = [near[c].eqNullSafe(touched[c]) for c in partition_by]
+    return near.join(touched, same, "left_semi")
+
+
+def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> int:
+    """Replace the directories that ``df`` (not read from ``path``) has rows for; the others stay."""
+    seen = Observation()
+    (
+        balance(df, partition_by).observe(seen, F.count(F.lit(1)).alias("rows"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partition_by)
+        .parquet(path)
+    )
+    return seen.get["rows"]
 
 
 def upsert_partitions(
@@ -90,39 +116,33 @@ def upsert_partitions(
     path: str,
     keys: Sequence[str],
     partition_by: Sequence[str],
-    staging_path: str,
+    staging_path: str | None = None,
+    check_moved: bool = False,
 ) -> int:
     """Merge by rewriting only the directories that ``source`` touches.
 
-    For tables whose key fixes the partition (a message never changes its creation day). Only those directories are
-    read back in full; of the others, keys alone. The merged rows are staged first; replacing directories from the
-    staged copy can be repeated after a failure.
+    For tables whose key fixes the (integer) partition columns: a message never changes its creation day. The source is
+    staged first, so it is computed once; of the target only the touched directories are read. The merged rows are staged
+    too; replacing directories from the staged copy can be repeated after a failure.
 
-    A key that sits in another directory than its new version fails the call, before anything is replaced: use
-    ``upsert_table`` there.
+    ``check_moved`` also reads the keys of all other directories and fails the call, before anything is replaced, when a
+    key sits in another directory than its new version: use ``upsert_table`` there.
     """
     target = find_table(spark, path, source.schema)
     if target is None:
         return write_table(source, path, partition_by, mode="overwrite")
-    homes = source.dropna(subset=list(keys)).select(*keys, *[F.col(c).alias(f"_new_{c}") for c in partition_by])
-    elsewhere = F.lit(False)
-    for c in partition_by:
-        elsewhere = elsewhere | ~F.col(c).eqNullSafe(F.col(f"_new_{c}"))
-    moved = target.select(*keys, *partition_by).join(homes, list(keys)).filter(elsewhere)
-    if not moved.isEmpty():
-        raise ValueError("a merge key changed its partition; use upsert_table")
-    touched = _in_same_directories(target, source, partition_by)
-    write_table(merge(touched, source, keys), staging_path, partition_by, mode="overwrite")
-    staged = balance(read_table(spark, staging_path, source.schema), partition_by)
-    seen = Observation()
-    (
-        staged.observe(seen, F.count(F.lit(1)).alias("rows"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
-    return seen.get["rows"]
+    fresh = staged(source, "source")
+    if check_moved:
+        homes = fresh.dropna(subset=list(keys)).select(*keys, *[F.col(c).alias(f"_new_{c}") for c in partition_by])
+        elsewhere = F.lit(False)
+        for c in partition_by:
+            elsewhere = elsewhere | ~F.col(c).eqNullSafe(F.col(f"_new_{c}"))
+        if not target.select(*keys, *partition_by).join(homes, list(keys)).filter(elsewhere).isEmpty():
+            raise ValueError("a merge key changed its partition; use upsert_table")
+    staging_path = staging_path or scratch_dir(spark, "merged")
+    touched = in_same_directories(target, fresh, partition_by)
+    write_table(merge(touched, fresh, keys), staging_path, partition_by, mode="overwrite")
+    return overwrite_partitions(read_table(spark, staging_path, source.schema), path, partition_by)
 
 
 def compact_table(spark: SparkSession, path: str, out_path: str, partition_by: Sequence[str] = ()) -> None:

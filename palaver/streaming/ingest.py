@@ -64,5 +64,11 @@ def event_stream(values: DataFrame, watermark: str = WATERMARK) -> DataFrame:
 
 
 def drop_repeats(stream: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per key within the watermark delay. State is bounded by the watermark; rows older than it are dropped."""
-    return stream.dropDuplicatesWithinWatermark(keys)
+    """One row per key within the watermark delay. State is bounded by the watermark; rows older than it are dropped.
+
+    Rows without a key (malformed documents) are no repeats of each other: they pass by.
+    """
+    keyed = F.lit(True)
+    for k in keys:
+        keyed = keyed & F.col(k).isNotNull()
+    return stream.filter(keyed).dropDuplicatesWithinWatermark(keys).unionByName(stream.filter(~keyed))

@@ -21,6 +21,7 @@ def live_metrics(values: DataFrame, window: str = WINDOW, watermark: str = WATER
     Streams have no exact distinct count in one aggregation. The sketches hold a fixed number of bytes per window,
     however many users write.
     """
+    start = F.col("window.start")
     per_window = _timed(values, watermark).groupBy(F.window("busTimestamp", window)).agg(
         F.count(F.lit(1)).alias("messageCount"),
         F.approx_count_distinct("senderId").alias("activeUsers"),
@@ -28,34 +29,53 @@ def live_metrics(values: DataFrame, window: str = WINDOW, watermark: str = WATER
         F.avg(F.length("content")).alias("avgMessageLength"),
     )
     return per_window.select(
-        F.col("window.start").alias("windowStart"), F.col("window.end").alias("windowEnd"), "messageCount",
-        "activeUsers", "activeConversations", "avgMessageLength",
+        start.alias("windowStart"), F.col("window.end").alias("windowEnd"), "messageCount", "activeUsers",
+        "activeConversations", "avgMessageLength", F.year(start).alias("year"), F.month(start).alias("month"),
+        F.dayofmonth(start).alias("day"),
     )
 
 
-def live_metrics_exact(values: DataFrame, window: str = WINDOW, watermark: str = WATERMARK) -> DataFrame:
-    """The same with exact distinct counts, for append mode: a window is reported once it is closed.
+# A member row: what one sender, or one conversation, adds to one window.
+MEMBER_KEYS = ["windowStart", "kind", "id"]
+WINDOW_PARTITIONS = ("year", "month", "day")
 
-    Two chained aggregations: one row per window and member (sender or conversation), then one per window. State is
-    spread by member, so no window gathers its members into one set.
+
+def live_members(values: DataFrame, window: str = WINDOW, watermark: str = WATERMARK) -> DataFrame:
+    """Messages, characters and texts per window and member (sender or conversation), for update mode.
+
+    State is spread by member, so no window gathers its members into one set. A null sender or conversation is the member
+    with an empty id of kind ``unknown sender`` or ``unknown conversation``, spread over slots by message, so that a hot
+    null is not one state key.
     """
-    members = F.array(
-        F.struct(F.lit("sender").alias("kind"), F.col("senderId").alias("id")),
-        F.struct(F.lit("conversation").alias("kind"), F.col("conversationId").alias("id")),
+    slot = F.pmod(F.xxhash64("_id"), F.lit(64)).cast("string")
+
+    def member(kind: str, name: str):
+        unknown = F.struct(F.lit(f"unknown {kind}").alias("kind"), slot.alias("id"))
+        known = F.struct(F.lit(kind).alias("kind"), F.col(name).alias("id"))
+        return F.when(F.col(name).isNull(), unknown).otherwise(known)
+
+    members = F.array(member("sender", "senderId"), member("conversation", "conversationId"))
+    rows = _timed(values, watermark).select(
+        "busTimestamp", F.length("content").alias("chars"), F.explode(members).alias("m")
     )
-    rows = _timed(values, watermark).select("busTimestamp", F.length("content").alias("chars"), F.explode(members).alias("m"))
     per_member = rows.groupBy(F.window("busTimestamp", window), "m.kind", "m.id").agg(
         F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"), F.count("chars").alias("texts")
     )
-    sender, known = F.col("kind") == "sender", F.col("id").isNotNull()
-    per_window = per_member.groupBy("window").agg(
+    start = F.col("window.start")
+    return per_member.select(
+        start.alias("windowStart"), F.col("window.end").alias("windowEnd"), "kind", "id", "n", "chars", "texts",
+        F.year(start).alias("year"), F.month(start).alias("month"), F.dayofmonth(start).alias("day"),
+    )
+
+
+def live_metrics_exact(members: DataFrame) -> DataFrame:
+    """Exact metrics of every window, open ones included, from the merged table of ``live_members``."""
+    sender = F.col("kind").isin("sender", "unknown sender")
+    per_window = members.groupBy("windowStart", "windowEnd").agg(
         F.sum(F.when(sender, F.col("n"))).alias("messageCount"),
-        F.count(F.when(sender & known, 1)).alias("activeUsers"),
-        F.count(F.when(~sender & known, 1)).alias("activeConversations"),
+        F.count_if(F.col("kind") == "sender").alias("activeUsers"),
+        F.count_if(F.col("kind") == "conversation").alias("activeConversations"),
         F.sum(F.when(sender, F.col("chars"))).alias("chars"),
         F.sum(F.when(sender, F.col("texts"))).alias("texts"),
     )
-    return per_window.select(
-        F.col("window.start").alias("windowStart"), F.col("window.end").alias("windowEnd"), "messageCount",
-        "activeUsers", "activeConversations", F.try_divide("chars", "texts").alias("avgMessageLength"),
-    )
+    return per_window.withColumn("avgMessageLength", F.try_divide("chars", "texts")).drop("chars", "texts")

@@ -119,9 +119,7 @@ def test_write_counts_rows_and_upsert_needs_a_fresh_folder(spark, tmp_path):
     assert tables.find_table(spark, str(tmp_path / "none")) is None
 
 
-@pytest.mark.parametrize("named", [1000, 0])
-def test_upsert_partitions_rewrites_only_touched_directories(spark, tmp_path, monkeypatch, named):
-    monkeypatch.setattr(tables, "NAMED_DIRECTORIES", named)
+def test_upsert_partitions_rewrites_only_touched_directories(spark, tmp_path):
     path = str(tmp_path / "t")
     first = spark.createDataFrame([(1, "a", 1), (2, "b", 2), (4, "n", None), (5, "m", None)], "k int, v string, p int")
     change = spark.createDataFrame([(2, "B", 2), (3, "C", 3), (4, "N", None)], "k int, v string, p int")
@@ -134,7 +132,43 @@ def test_upsert_partitions_rewrites_only_touched_directories(spark, tmp_path, mo
     assert sorted((tmp_path / "t" / "p=1").glob("*.parquet")) == untouched
     moved = spark.createDataFrame([(2, "B", 1)], "k int, v string, p int")
     with pytest.raises(ValueError, match="changed its partition"):
-        tables.upsert_partitions(spark, moved, path, ["k"], ["p"], str(tmp_path / "s2"))
+        tables.upsert_partitions(spark, moved, path, ["k"], ["p"], str(tmp_path / "s2"), check_moved=True)
+
+
+def test_upsert_partitions_has_one_form_for_any_number_of_directories(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(1600).selectExpr("id AS k", "'old' AS v", "CAST(id AS INT) AS p").coalesce(1).write.partitionBy("p").parquet(path)
+    change = spark.range(50, 1550).selectExpr("id AS k", "'new' AS v", "CAST(id AS INT) AS p").coalesce(1)
+    assert tables.upsert_partitions(spark, change, path, ["k"], ["p"]) == 1500
+    got = spark.read.parquet(path).groupBy("v").count().collect()
+    assert {r.v: r["count"] for r in got} == {"old": 100, "new": 1500}
+
+
+def test_upsert_scans_the_range_of_the_batch_only(spark, tmp_path):
+    path, batch = str(tmp_path / "t"), str(tmp_path / "b")
+    spark.range(30).selectExpr("id AS k", "CAST(id % 3 AS INT) AS p").write.partitionBy("p").parquet(path)
+    spark.range(1).selectExpr("1L AS k", "1 AS p").write.parquet(batch)
+    near = tables.in_same_directories(spark.read.parquet(path), spark.read.parquet(batch), ["p"])
+    assert near.count() == 10
+    scan = next(line for line in plan(near).splitlines() if "FileScan" in line and "/t]" in line)
+    assert "Subquery" in scan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+
+
+def test_a_source_is_computed_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    first = spark.createDataFrame([(1, "a", 1)], "k int, v string, p int")
+    tables.upsert_partitions(spark, first, path, ["k"], ["p"])
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(rows):
+        for batch in rows:
+            seen.add(batch.num_rows)
+            yield batch
+
+    source = spark.createDataFrame([(1, "b", 1), (2, "c", 1)], first.schema).mapInArrow(count, first.schema)
+    tables.upsert_partitions(spark, source, path, ["k"], ["p"])
+    assert seen.value == 2
+    assert rows(spark.read.parquet(path).select("k", "v")) == [(1, "b"), (2, "c")]
 
 
 def test_layout_keeps_all_rows_and_splits_a_hot_value(spark, tmp_path):

@@ -98,11 +98,11 @@ def test_distinct_counts_send_pairs_not_rows(spark, tmp_path):
     """Conversations per sender: the first shuffle already carries distinct (sender, conversation) pairs."""
     messages = silver.latest_messages(hot_messages(spark, str(tmp_path / "b")))
     tables.replace_table(messages, str(tmp_path / "s"))
-    sized = engagement.network_size(spark.read.parquet(str(tmp_path / "s")))
+    sized = engagement.network_size(engagement.contact_pairs(spark.read.parquet(str(tmp_path / "s"))))
     rows = {r.userId: r.conversationsParticipating for r in sized.collect()}
     assert rows["7"] == 50
-    text = final_plan(engagement.network_size(spark.read.parquet(str(tmp_path / "s"))))
-    first_exchange = text[: text.rindex("Exchange hashpartitioning(senderId")]
-    assert "Exchange hashpartitioning(senderId" in first_exchange
-    below = text[text.rindex("Exchange hashpartitioning(senderId"):]
-    assert "HashAggregate(keys=[senderId" in below and "conversationId" in below.splitlines()[0]
+    text = final_plan(engagement.network_size(engagement.contact_pairs(spark.read.parquet(str(tmp_path / "s")))))
+    exchanges = [line for line in text.splitlines() if "Exchange hashpartitioning(" in line]
+    assert "conversationId" in exchanges[-1] and "conversationId" not in exchanges[0]
+    below = text[text.rindex("Exchange hashpartitioning("):]
+    assert "HashAggregate(keys=" in below and "conversationId" in below.split("HashAggregate(keys=")[1].splitlines()[0]

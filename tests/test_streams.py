@@ -1,10 +1,12 @@
 import datetime as dt
 import json
+import threading
 
 import pytest
 
 from palaver import schemas
-from palaver.sources import readers
+from palaver.plans import lake
+from palaver.sources import readers, tables
 from palaver.streaming import ingest, live, sinks
 
 
@@ -85,22 +87,72 @@ LIVE = [
 ]
 
 
-def test_live_metrics_exact_reports_closed_windows(bus):
-    bus.send(LIVE)
-    sinks.await_all([sinks.append_to_table(live.live_metrics_exact(bus.values()), bus.out, bus.mark, every=None)])
-    got = {r.windowStart: r[1:] for r in bus.read().collect()}
-    assert got == {at(0): (at(1), 3, 2, 2, 2.0), at(1): (at(2), 1, 1, 1, 4.0)}
+def merged(bus, stream, keys):
+    sinks.await_all([sinks.merge_updates(stream, bus.out, bus.mark, keys, live.WINDOW_PARTITIONS, every=None)])
 
 
-def test_live_metrics_update_mode_keeps_the_latest_value(spark, bus):
+def test_live_metrics_exact_report_every_window(bus):
     def run():
-        sinks.await_all([sinks.update_epochs(live.live_metrics(bus.values()), bus.out, bus.mark, every=None)])
+        merged(bus, live.live_members(bus.values()), live.MEMBER_KEYS)
+        return {r.windowStart: r for r in live.live_metrics_exact(bus.read()).collect()}
 
     bus.send(LIVE)
-    run()
+    got = run()
+    assert set(got) == {at(0), at(1), at(40)}
+    bus.send([record("6", 40, "u9", "c1", "x", 5), record("7", 40, None, None, "yyy", 6)])
+    last = run()[at(40)]
+    assert (last.messageCount, last.activeUsers, last.activeConversations, last.avgMessageLength) == (3, 2, 1, 2.0)
+    first = run()[at(0)]
+    assert (first.messageCount, first.activeUsers, first.activeConversations, first.avgMessageLength) == (3, 2, 2, 2.0)
+
+
+def test_live_metrics_update_mode_keeps_the_latest_value(bus):
+    bus.send(LIVE)
+    merged(bus, live.live_metrics(bus.values()), ["windowStart"])
     bus.send([record("6", 40, "u9", "c1", "x", 5)])
-    run()
-    got = {r.windowStart: r[1:] for r in sinks.latest_epochs(spark, bus.out, ["windowStart"]).collect()}
-    assert got[at(0)] == (at(1), 3, 2, 2, 2.0)
-    assert got[at(40)] == (at(41), 2, 2, 1, 1.5)
+    merged(bus, live.live_metrics(bus.values()), ["windowStart"])
+    got = {r.windowStart: r for r in bus.read().collect()}
     assert len(got) == 3
+    assert (got[at(0)].messageCount, got[at(0)].activeUsers, got[at(40)].messageCount) == (3, 2, 2)
+
+
+def test_batch_and_stream_share_a_table(spark, bus):
+    spec = lake.TABLES["bronze/messages"]
+    when = "TIMESTAMP '2024-01-01 10:00:00'"
+    values = {"_id": "'a'", "content": "'batch'", "createdAt": when, "updatedAt": when, "year": "2024", "month": "1",
+              "day": "1"}
+    batch = spark.range(1).selectExpr(*[
+        f"CAST({values.get(c, 'NULL')} AS {t}) AS {c}" for c, t in schemas.BRONZE_MESSAGES.items()
+    ])
+    tables.upsert_partitions(spark, batch, bus.out, spec.keys, spec.partition_by)
+
+    def run():
+        sinks.await_all([sinks.merge_updates(
+            ingest.message_stream(bus.values()), bus.out, bus.mark, spec.keys, spec.partition_by, "append", None,
+            spec.version, spec.tie_break,
+        )])
+        return sorted((str(r._id), r.content) for r in spark.read.parquet(bus.out).select("_id", "content").collect())
+
+    bus.send([record("b", 1), ("{broken", at(2)), ("{broken too", at(3))])
+    assert run() == [("None", None), ("None", None), ("a", "batch"), ("b", "hi")]
+    bus.send([record("a", 5, content="edit"), record("b", -60, content="older")])  # an edit, and a version that is older
+    assert run() == [("None", None), ("None", None), ("a", "edit"), ("b", "hi")]
+    assert run() == [("None", None), ("None", None), ("a", "edit"), ("b", "hi")]
+
+
+def test_rows_without_a_key_are_no_repeats(bus):
+    bus.send([record("a", 0), ("{broken", at(1)), ("{x", at(1)), ("{y", at(2)), record("a", 0)])
+    stream = ingest.drop_repeats(ingest.message_stream(bus.values()), ["_id"])
+    sinks.await_all([sinks.append_to_table(stream, bus.out, bus.mark, every=None)])
+    assert sorted(str(r._id) for r in bus.read().collect()) == ["None", "None", "None", "a"]
+
+
+def test_interval_queries_end_together(spark, bus):
+    bus.send([record("a", 0)])
+    spark.streams.resetTerminated()  # queries of earlier tests have ended
+    query = sinks.append_to_table(ingest.message_stream(bus.values()), bus.out, bus.mark, every="1 second")
+    threading.Timer(6, query.stop).start()
+    sinks.await_any(spark)
+    assert not query.isActive
+    spark.streams.resetTerminated()
+    assert bus.read().count() == 1
