@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +27,19 @@ def may_learn(key: str = "doc_id") -> Column:
     return F.col(key).isNotNull() & ~held_out(key)
 
 
+def on_workers(df: DataFrame) -> DataFrame:
+    """``df``, after naming the folder of this package in the search path of the session's Python workers.
+
+    Where the package is installed, or shipped with the job, this changes nothing; it spares both where driver and workers
+    see the same folder.
+    """
+    environment, root = df.sparkSession.sparkContext.environment, str(Path(__file__).parents[2])
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*filter(None, paths), root])
+    return df
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` written under the shared folder and read back: computed once, and whole when an executor is lost."""
     path = scratch_dir(df.sparkSession, label)

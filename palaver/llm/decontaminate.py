@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palaver.llm.common import table, written
+from palaver.llm.common import on_workers, table, written
 from palaver.llm.words import sliced, words_of
 
 PASSAGE = 64
@@ -136,7 +136,7 @@ def term_rows(docs: DataFrame, slots: np.ndarray) -> DataFrame:
                 names=["doc_id", "own", "terms"],
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+    return on_workers(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         run, "doc_id long, own int, terms array<int>"
     )
 
@@ -177,7 +177,7 @@ def passage_frequencies(rows: DataFrame, size: int) -> tuple[np.ndarray, int]:
             [pa.array(np.append(at, -1).astype(np.int32)), pa.array(np.append(found[at], total))], names=["term", "n"]
         )
 
-    got = rows.mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    got = on_workers(rows).mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     term, n = got["term"].to_numpy(), got["n"].to_numpy()
     out = np.zeros(size, np.int64)
     out[term[term >= 0]] = n[term >= 0]
@@ -216,7 +216,7 @@ def latent_terms(rows: DataFrame, idf: np.ndarray, rank: int = RANK, seed: int =
         )
 
     schema = "term int, " + ", ".join(f"{c} float" for c in names)
-    got = rows.mapInArrow(run, schema).groupBy("term").agg(*[F.sum(c).alias(c) for c in names]).toArrow()
+    got = on_workers(rows).mapInArrow(run, schema).groupBy("term").agg(*[F.sum(c).alias(c) for c in names]).toArrow()
     image = np.zeros((size, rank))
     image[got["term"].to_numpy()] = np.stack([got[c].to_numpy() for c in names], 1)
     shift = 1e-6 * max(np.linalg.norm(image), 1e-9)
@@ -315,7 +315,7 @@ def search(rows: DataFrame, seg: Segments, latent: np.ndarray) -> DataFrame:
                 names=["doc_id", "item_id", "segment", "words", "answer_words", "matched", "answer", "cosine"],
             )
 
-    return rows.mapInArrow(
+    return on_workers(rows).mapInArrow(
         run,
         "doc_id long, item_id long, segment int, words long, answer_words long, matched long, answer long, cosine double",
     )

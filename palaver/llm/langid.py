@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from palaver.llm.common import held_out, may_learn, table, without
+from palaver.llm.common import held_out, may_learn, on_workers, table, without
 from palaver.llm.words import plain_array, sliced, string_buffers
 
 WINDOW = 256
@@ -203,7 +203,7 @@ def fit(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE) -> Network | Non
         T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("nth", T.LongType()),
         T.StructField("lang", T.StringType()), T.StructField("bytes", T.BinaryType()),
     ])
-    got = sample.select("doc_id", "text", "lang").mapInArrow(cut, schema).toArrow().sort_by(
+    got = on_workers(sample).select("doc_id", "text", "lang").mapInArrow(cut, schema).toArrow().sort_by(
         [("doc_id", "ascending"), ("nth", "ascending")]
     )
     if not got.num_rows:
@@ -237,7 +237,7 @@ def identify(docs: DataFrame, net: Network | None, keep: list[str] | None = None
                 [*[batch.column(c) for c in kept], pred, out], names=[*kept, "lang_pred", "score"]
             )
 
-    return source.mapInArrow(run, schema)
+    return on_workers(source).mapInArrow(run, schema)
 
 
 def op8_language(spark, sf_dir: str) -> DataFrame:

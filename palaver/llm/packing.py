@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palaver.llm.common import table, written
+from palaver.llm.common import on_workers, table, written
 from palaver.llm.tokens import encoder
 from palaver.llm.words import sliced
 
@@ -64,7 +64,7 @@ def pieces(docs: DataFrame, capacity: Capacity = Capacity(), path: str | None =
             columns = [pa.array(c, t) for c, t in zip(zip(*out), kinds)]
             yield pa.RecordBatch.from_arrays(columns, names=names[: len(columns)])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+    return on_workers(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         cut, schema + (", ids array<long>" if with_ids else "")
     )
 
@@ -113,7 +113,7 @@ def pack(cut: DataFrame, capacity: Capacity = Capacity(), group: int = GROUP) ->
         return part[columns]
 
     filled = (
-        short.withColumn("_group", F.pmod(place, F.lit(groups))).groupBy("_group")
+        on_workers(short).withColumn("_group", F.pmod(place, F.lit(groups))).groupBy("_group")
         .applyInPandas(fill, f"{fields}, sequence_id long, offset long")
     )
     # Numbers of sequences of one full piece are negative: no other sequence has them.

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from palaver.llm.common import table, written
+from palaver.llm.common import on_workers, table, written
 
 SCALE = 1024
 TOP = 10
@@ -125,7 +125,7 @@ def search(vectors: DataFrame, queries: DataFrame, top: int = TOP, pivots: int =
         return pd.DataFrame({"query_id": q_id[query], "vec_id": x_id[row], "score": score.astype(np.int64)})
 
     keys = ["_x", "_q"]
-    found = dealt(x, "_x", x_blocks, "_q", q_blocks).groupBy(*keys).cogroup(
+    found = dealt(on_workers(x), "_x", x_blocks, "_q", q_blocks).groupBy(*keys).cogroup(
         dealt(q, "_q", q_blocks, "_x", x_blocks).groupBy(*keys)
     ).applyInPandas(run, "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palaver.llm.common import table
+from palaver.llm.common import on_workers, table
 from palaver.llm.tokens import encoder
 from palaver.llm.words import sliced
 
@@ -78,7 +78,7 @@ def section_counts(docs: DataFrame, path: str | None = None) -> DataFrame:
                 names=["doc_id", "section", "start", "end", "tokens"],
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+    return on_workers(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         run, "doc_id long, section int, start long, end long, tokens long"
     )
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from palaver.llm.common import held_out, may_learn, table, without
+from palaver.llm.common import held_out, may_learn, on_workers, table, without
 from palaver.llm.words import grams, sliced, words_of
 
 BITS = 20
@@ -137,7 +137,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Model:
     # At most ``rows`` keys with their labels are broadcast.
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
     fitted = (
-        sample.repartition(1).sortWithinPartitions(order, "doc_id").select("text", "label")
+        on_workers(sample).repartition(1).sortWithinPartitions(order, "doc_id").select("text", "label")
         .mapInArrow(train, "slot int, weight double").toArrow()
     )
     slots, weights = fitted["slot"].to_numpy(), fitted["weight"].to_numpy()
@@ -167,7 +167,7 @@ def score(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataF
             out = pa.array(scores(batch.column("text"), dense, model.intercept))
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], out], names=[*kept, "score"])
 
-    return source.mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return on_workers(source).mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def op1_toxicity(spark, sf_dir: str) -> DataFrame:
