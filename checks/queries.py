@@ -844,7 +844,7 @@ def user_features(spark, sf_dir):
     return features.user_features(s.activity(), s.users(), s.messages(), AS_OF)
 
 
-def _raw(spark, sf_dir) -> dict[str, DataFrame]:
+def raw_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {
         "messages": fixtures.raw_messages(spark, sf_dir), "users": fixtures.raw_users(spark, sf_dir),
         "auth": fixtures.raw_auth(spark, sf_dir), "conversations": fixtures.raw_conversations(spark, sf_dir),
@@ -877,7 +877,7 @@ def _content(run: lake.Lake) -> DataFrame:
 
 def updated_lake(spark: SparkSession, sf_dir: str) -> lake.Lake:
     """A lake of the first half of the month, then updated in place by the second half and by late edits of the first."""
-    raw, root = _raw(spark, sf_dir), scratch_dir(spark, "lake")
+    raw, root = raw_inputs(spark, sf_dir), scratch_dir(spark, "lake")
     edited, late = F.coalesce("isEdited", F.lit(False)), F.col("createdAt") >= F.lit("2024-01-16").cast("date")
     lake.run_lake(spark, {
         **raw, "messages": raw["messages"].filter(~edited & ~late), "calls": raw["calls"].filter(~late),
@@ -889,7 +889,7 @@ def updated_lake(spark: SparkSession, sf_dir: str) -> lake.Lake:
 
 @query
 def medallion_run(spark, sf_dir):
-    return _content(lake.run_lake(spark, _raw(spark, sf_dir), scratch_dir(spark, "lake"), AS_OF, cluster=True))
+    return _content(lake.run_lake(spark, raw_inputs(spark, sf_dir), scratch_dir(spark, "lake"), AS_OF, cluster=True))
 
 
 @query
