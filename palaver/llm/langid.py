@@ -6,8 +6,8 @@ softmax over the learned languages. A text's probabilities are the normalised me
 weighted by length, so every byte of every text counts. For application, each filter is folded into tables over byte
 pairs, and windows go through in batches of fixed size, however long a text is.
 
-Learning takes a bounded sample: at most ``DOCS_PER_LANGUAGE`` texts of each language (lowest key hash) and
-``WINDOWS_PER_DOC`` windows of each, spread over the whole text.
+Learning takes a bounded sample: at most ``DOCS_PER_LANGUAGE`` texts of each language (lowest key hash), ``DOCS`` in all,
+and ``WINDOWS_PER_DOC`` windows of each, spread over the whole text.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0, and so is every text when no row could be
 learned from. Columns named like an output column are replaced.
@@ -32,6 +32,8 @@ WIDTHS = (2, 3, 4)
 FILTERS = 16
 EMBEDDING = 8
 DOCS_PER_LANGUAGE = 600
+# At most this many texts are learned from in all; the first of every language come before the second of any.
+DOCS = 60_000
 WINDOWS_PER_DOC = 4
 EPOCHS = 8
 BATCH = 64
@@ -170,18 +172,19 @@ class Applied:
         return p.argmax(1), p.max(1)
 
 
-def fit(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE) -> Network | None:
+def fit(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE, most: int = DOCS) -> Network | None:
     """Learn from ``docs`` (doc_id, text, lang), but for every fifth key; None when nothing can be learned.
 
-    Keys and languages alone go through the choice of the sample. The driver gets at most ``per_language`` x
-    ``WINDOWS_PER_DOC`` windows of 256 bytes for each language.
+    Keys and languages alone go through the choice of the sample; at most ``most`` of them are broadcast to fetch the
+    texts. The driver gets at most ``WINDOWS_PER_DOC`` windows of 256 bytes for each.
     """
     by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = (
         docs.select("doc_id", "lang").filter(may_learn() & F.col("lang").isNotNull()).distinct()
         .withColumn("_nth", F.row_number().over(by_hash)).filter(F.col("_nth") <= per_language)
     )
-    sample = docs.select("doc_id", "text").join(chosen.groupBy("doc_id").agg(F.min("lang").alias("lang")), "doc_id")
+    keys = chosen.orderBy("_nth", "lang").limit(most).groupBy("doc_id").agg(F.min("lang").alias("lang"))
+    sample = docs.select("doc_id", "text").join(F.broadcast(keys), "doc_id")
     sample = sample.dropDuplicates(["doc_id"]).filter(F.col("text").rlike(r"\p{L}"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,6 +251,12 @@ def op8_language(spark, sf_dir: str) -> DataFrame:
 
 
 def language_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents in a learned language; those without a letter, and those no language is likely for, go."""
-    found = identify(docs, fit(docs)).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= DECIDED))
+    """The documents in a learned language; those without a letter, and those no language is likely for, go.
+
+    Where no row could be learned from, only those without a letter go.
+    """
+    net = fit(docs)
+    if net is None:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    found = identify(docs, net).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= DECIDED))
     return found.select(*docs.columns)
