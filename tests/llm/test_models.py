@@ -96,6 +96,17 @@ def test_language_without_rows(spark):
     assert langid.fit(docs) is None
     assert {(r.lang_pred, r.score) for r in langid.identify(docs, None).collect()} == {("und", 0.0)}
     assert langid.fit(docs.limit(0)) is None
+    assert [r.doc_id for r in langid.language_stage(spark, docs, "").collect()] == [1]
+
+
+def test_language_stage_keeps_clean_documents(spark):
+    rng = random.Random(5)
+    rows = [(i, " ".join(words(rng, 80, ALPHABETS["aa" if i % 2 else "bb"])), "aa" if i % 2 else "bb") for i in range(80)]
+    docs = documents(spark, rows + [(*o, None) for o in ODD])
+    kept = langid.language_stage(spark, docs, "")
+    assert kept.columns == docs.columns
+    ids = {r.doc_id for r in kept.collect()}
+    assert {r[0] for r in rows} <= ids and not {900_001, 900_002, 900_003} & ids
 
 
 def test_folded_tables_equal_the_convolution():
