@@ -482,7 +482,8 @@ SELECT userId, round(CAST(sent7 AS DOUBLE) / 7.0, 6) AS messageVelocity7d,
   CAST(sent7 - before7 AS DOUBLE) AS engagementTrend
 FROM f_activity""", FEATURES)
 add("churn_label", f"SELECT userId, {AS_OF} - last > 7 AS willChurnNext7d FROM f_activity", FEATURES)
-add("high_water_mark", f"SELECT {ts('max(updatedAt)', 'high_water_mark')} FROM raw_messages")
+add("high_water_mark", f"""
+SELECT {ts('max(updatedAt)', 'high_water_mark')}, {ts('max(createdAt)', '"newestCreated"')} FROM raw_messages""")
 add("row_counts", """
 SELECT 'messages' AS "table", (SELECT count(*) FROM raw_messages) AS rows
 UNION ALL SELECT 'users', (SELECT count(*) FROM customer)

@@ -273,7 +273,7 @@ def time_partitions(spark, sf_dir):
 
 @query
 def users_auth_left(spark, sf_dir):
-    rows = bronze.bronze_users(fixtures.raw_users(spark, sf_dir), fixtures.raw_auth(spark, sf_dir))
+    rows = bronze.bronze_users(fixtures.raw_users(spark, sf_dir), stage(spark, sf_dir).accounts())
     return rows.select("_id", "email", "emailVerified", "twoFactorEnabled", "lastLoginAt", "loginCount")
 
 
@@ -482,7 +482,10 @@ def churn_label(spark, sf_dir):
 
 @query
 def high_water_mark(spark, sf_dir):
-    return incremental.high_water_mark(stage(spark, sf_dir).bronze_messages(), "updatedAt")
+    """Of edits over all rows, of creations from the newest directory alone."""
+    rows = stage(spark, sf_dir).bronze_messages()
+    created = incremental.high_water_mark(rows, "createdAt", schemas.DAY_PARTITIONS).scalar()
+    return incremental.high_water_mark(rows, "updatedAt").withColumn("newestCreated", created)
 
 
 @query
@@ -777,7 +780,7 @@ def bronze_messages(spark, sf_dir):
 
 @query
 def bronze_users(spark, sf_dir):
-    return bronze.bronze_users(fixtures.raw_users(spark, sf_dir), fixtures.raw_auth(spark, sf_dir))
+    return bronze.bronze_users(fixtures.raw_users(spark, sf_dir), stage(spark, sf_dir).accounts())
 
 
 @query

@@ -32,9 +32,16 @@ class Stage:
             "bronze/messages", lambda: bronze.bronze_messages(fixtures.raw_messages(self.spark, self.sf_dir))
         )
 
+    def accounts(self) -> DataFrame:
+        path = f"{self.root}/accounts"
+        if path not in self.written:
+            replace_table(bronze.login_accounts(fixtures.raw_auth(self.spark, self.sf_dir)), path)
+            self.written.add(path)
+        return read_table(self.spark, path)
+
     def bronze_users(self) -> DataFrame:
         return self._table("bronze/users", lambda: bronze.bronze_users(
-            fixtures.raw_users(self.spark, self.sf_dir), fixtures.raw_auth(self.spark, self.sf_dir)
+            fixtures.raw_users(self.spark, self.sf_dir), self.accounts()
         ))
 
     def conversations(self) -> DataFrame:

@@ -9,7 +9,7 @@ from palaver import schemas
 from palaver.functions.arrays import or_empty
 from palaver.functions.columns import fill_defaults, time_parts, with_ingestion
 from palaver.operators.dedup import deduplicate
-from palaver.operators.enrich import lookup_spread
+from palaver.operators.enrich import lookup
 from palaver.sources.readers import auth_accounts
 
 
@@ -29,21 +29,27 @@ def bronze_messages(raw: DataFrame, source_system: str = "mongodb") -> DataFrame
     return schemas.conform(landed, schemas.BRONZE_MESSAGES)
 
 
-def bronze_users(raw: DataFrame, auth: DataFrame) -> DataFrame:
-    """Latest user documents with their login account, matched on email: one row per user.
-
-    Several accounts may share an email; the one with the latest login is taken. Users are looked up by message jobs,
-    where a second row would multiply every message of that sender.
-    """
-    accounts = deduplicate(
+def login_accounts(auth: DataFrame) -> DataFrame:
+    """One account per email: of several, the one with the latest login."""
+    return deduplicate(
         auth_accounts(auth).filter(F.col("authEmail").isNotNull()), ["authEmail"], "lastLoginAt",
         tie_break=["authUserId"],
     ).drop("authUserId", "authCreatedAt")
+
+
+def bronze_users(raw: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Latest user documents with their login account, matched on email: one row per user.
+
+    ``accounts`` are the written ``login_accounts``: on a written table, adaptive execution can split the users of a
+    shared email. Users without an email go past the join. Users are looked up by message jobs, where a second row would
+    multiply every message of that sender.
+    """
     defaults = {"isOnline": False, "role": "user", "isBanned": False, "isVerified": False}
     landed = _land(raw, "mongodb+mysql", {}, defaults)
     latest = deduplicate(landed, ["_id"], "updatedAt", tie_break=["createdAt", "email"])
-    joined = lookup_spread(latest, "email", "_id", accounts, "authEmail")
-    return schemas.conform(joined, schemas.BRONZE_USERS)
+    joined = lookup(latest.filter(F.col("email").isNotNull()), "email", accounts, "authEmail")
+    alone = latest.filter(F.col("email").isNull())
+    return schemas.conform(joined.unionByName(alone, allowMissingColumns=True), schemas.BRONZE_USERS)
 
 
 def bronze_conversations(raw: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from palaver.operators.dedup import deduplicate
 from palaver.operators.layout import cluster as cluster_rows
 from palaver.operators.quality import quality_report
 from palaver.plans.activity import first_contacts, new_contacts, user_activity
-from palaver.plans.bronze import bronze_calls, bronze_conversations, bronze_messages, bronze_users
+from palaver.plans.bronze import bronze_calls, bronze_conversations, bronze_messages, bronze_users, login_accounts
 from palaver.plans.conversations import conversation_analytics
 from palaver.plans.daily import daily_metrics
 from palaver.plans.engagement import user_engagement
@@ -148,7 +148,7 @@ def run_lake(
         return df if first is None else since(df, date, F.lit(first))
 
     messages_b = lake.upsert("bronze/messages", batch["messages"])
-    users_b = lake.upsert("bronze/users", bronze_users(raw["users"], raw["auth"]))
+    users_b = lake.upsert("bronze/users", bronze_users(raw["users"], staged(login_accounts(raw["auth"]), "accounts")))
     conversations = lake.upsert("bronze/conversations", bronze_conversations(raw["conversations"]))
     calls = lake.upsert("bronze/calls", batch["calls"])
 

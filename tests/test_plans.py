@@ -253,7 +253,7 @@ def test_bronze_users_do_not_fan_out_on_shared_emails(spark):
         (1L, 'a@x', true, false, TIMESTAMP '2024-01-01', 5L, TIMESTAMP '2024-01-01'),
         (2L, 'a@x', false, true, TIMESTAMP '2024-01-03', 9L, TIMESTAMP '2024-01-01')
         AS t(id, email, email_verified, two_factor_enabled, last_login_at, login_count, created_at)""")
-    rows = bronze.bronze_users(users, auth).collect()
+    rows = bronze.bronze_users(users, bronze.login_accounts(auth)).collect()
     assert [(r._id, r.displayName, r.role, r.loginCount, r.twoFactorEnabled) for r in rows] == [
         ("u1", "v2", "user", 9, True)
     ]
