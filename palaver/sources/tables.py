@@ -141,7 +141,7 @@ def upsert_partitions(
             raise ValueError("a merge key changed its partition; use upsert_table")
     staging_path = staging_path or scratch_dir(spark, "merged")
     touched = in_same_directories(target, fresh, partition_by)
-    write_table(merge(touched, fresh, keys), staging_path, partition_by, mode="overwrite")
+    write_table(merge(touched, fresh, keys), staging_path, mode="overwrite")
     return overwrite_partitions(read_table(spark, staging_path, source.schema), path, partition_by)
 
 
