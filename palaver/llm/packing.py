@@ -42,7 +42,9 @@ class Capacity:
     weights: tuple[float, float, float] = (1.0, 0.05, 0.05)
 
 
-def pieces(docs: DataFrame, capacity: Capacity = Capacity(), path: str | None = None, with_ids: bool = False) -> DataFrame:
+def pieces(
+    docs: DataFrame, capacity: Capacity = Capacity(), path: str | None = None, with_ids: bool = False
+) -> DataFrame:
     """doc_id, row (tells rows with the same doc_id apart), piece, start, length, ids_crc32; with ``with_ids`` the ids too."""
     schema = "doc_id long, row long, piece int, start long, length long, ids_crc32 long"
     size = capacity.tokens
