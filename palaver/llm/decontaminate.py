@@ -1,14 +1,20 @@
 """Benchmark decontamination: latent semantic retrieval, then longest common subsequence and answer checks.
 
 Passages are 64 words in a row; their terms are the words that occur in the benchmark, weighted by inverse passage
-frequency. One pass over all passages gives ``G @ Q`` for the Gram matrix ``G`` of the normalised TF-IDF rows and a random
-orthonormal ``Q``; its Nystrom form is the randomised singular value decomposition (terms by ``RANK``). Benchmark items
-and windows of the documents are sums of latent term vectors. A window about as long as the item, moved by a sixth of its
-length, is a candidate from cosine 0.62 on. Candidates are decided on the words themselves, in twice the window: the item
-is leaked if 0.8 of its words are a common subsequence, or 0.6 of them with half of the words of its last sentence (its
-answer). All documents and all words of them count in every step; there is no cap on candidates.
-
-Items over 64 words are cut into equal segments, searched apart and added up. Items are taken in blocks of ``BLOCK``
+frequency. One pass over all passages gives ``G @ Q`` for the Gram matrix ``G`` of the normalised
+TF-IDF rows and a random orthonormal ``Q``; its Nystrom form is the randomised singular value decomposition (terms by
+``RANK``). Benchmark items and windows of the documents are sums of latent term vectors, whose cosine is given for each
+leak; it decides nothing.
+
+Leaks are decided on the words themselves: an item is leaked if, in a stretch of twice its words, 0.8 of its words are a
+common subsequence, or 0.6 of them with half of the words of its last sentence (its answer). Regions of that length and a
+step more begin every step (a sixth of the item), so any such stretch lies inside one. Candidates are exact. At least 0.6
+of the item's words must be in the region, so of the rarest 0.4 and ``ANCHORS`` more at least ``ANCHORS`` are; hits of
+these in the texts, sorted by item and place, give the regions that have so many. Those that hold 0.6 of the item's words
+in any order are compared. All documents and all words of them count in every step; there is no cap on candidates.
+
+Items over 64 words are cut into equal segments, searched apart and added up; where one segment reaches 0.6, all of them
+count for that document, however little of them is found. Items are taken in blocks of ``BLOCK``
 segments, so what a task holds does not grow with the benchmark; each block is a pass over the documents.
 
 Defined results: items without ``SHORTEST`` words are too short to tell from ordinary text and are not searched; texts
@@ -23,7 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from palaver.llm.common import on_workers, table, written
@@ -33,18 +39,20 @@ PASSAGE = 64
 RANK = 64
 # Terms in more than this share of the passages carry no weight.
 COMMON = 0.2
-COSINE = 0.62
 RATIO_ALONE, RATIO_WITH_ANSWER, ANSWER_SHARE = 0.8, 0.6, 0.5
+LEAST = min(RATIO_ALONE, RATIO_WITH_ANSWER)
 SHORTEST = 8
 SEGMENT = 64
 BLOCK = 512
-# Window lengths are powers of this; an item is at most a tenth longer or shorter than its windows.
-GROWTH = 1.2
+# Regions of a segment begin a sixth of its length apart.
 STEPS = 6
 SLOT_BITS = 20
 # Long texts are handled in pieces of this many words, which share OVERLAP words with the next.
 PIECE, OVERLAP = 8192, 256
 CHUNK_WORDS = 32_768
+# Rare words of a segment that a region must hold before it is looked at, and their hits that are held together, about.
+ANCHORS = 4
+PAIRS = 1 << 19
 
 
 @dataclass
@@ -65,10 +73,6 @@ class Segments:
     def lengths(self) -> np.ndarray:
         return np.diff(self.first)
 
-    @property
-    def window(self) -> np.ndarray:
-        return np.round(GROWTH ** np.round(np.log(self.lengths) / np.log(GROWTH))).astype(np.int64)
-
 
 def answer_of(text: str) -> str:
     """The last sentence or line that holds a word."""
@@ -238,8 +242,11 @@ def _match(regions: np.ndarray, segment: np.ndarray, masks: np.ndarray, full: np
 
 
 class Search:
-    def __init__(self, seg: Segments, latent: np.ndarray):
+    def __init__(self, seg: Segments, latent: np.ndarray, frequency: np.ndarray):
         self.seg = seg
+        self.step = np.maximum(1, seg.lengths // STEPS)
+        self.region = 2 * seg.lengths + self.step  # begins are a step apart: any stretch of twice the item is inside one
+        self._anchors(frequency)
         self.latent = np.vstack([latent, np.zeros((1, latent.shape[1]), np.float32)])
         owner = np.repeat(np.arange(len(seg.item)), seg.lengths)
         self.masks = np.zeros((len(seg.item), seg.size + 1), np.uint64)  # the last column is for other words
@@ -249,76 +256,162 @@ class Search:
         vectors = np.add.reduceat(latent[seg.terms], seg.first[:-1], axis=0)
         self.vectors = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
 
+    def _anchors(self, frequency: np.ndarray) -> None:
+        """The rarest words of each segment: a region with enough of the segment's words holds ``self.least`` of these.
+
+        Words of the segment that may be missing, and ``least`` more; each place of the segment counts.
+        """
+        lengths = self.seg.lengths
+        self.need = np.ceil(LEAST * lengths - 1e-9).astype(np.int64)
+        self.least = np.minimum(ANCHORS, self.need)
+        owner = np.repeat(np.arange(len(lengths)), lengths)
+        order = np.lexsort((self.seg.terms, frequency[self.seg.terms], owner))
+        rank = np.arange(len(order)) - self.seg.first[owner]
+        kept = rank < (lengths - self.need + self.least)[owner]
+        self.anchor, self.anchor_of = self.seg.terms[order][kept], owner[kept]
+
     def __call__(self, offsets: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Row, segment, matched words, matched words of the answer and cosine of the best window of each pair."""
+        """Row, segment, matched words, matched words of the answer and cosine of the best region of each pair."""
+        terms = np.where(terms < 0, self.seg.size, terms)
+        found = [np.zeros((5, 0), np.int64)]
+        for row, segment, begin in self._candidates(offsets, terms):
+            for k in range(0, len(row), 4096):
+                found.append(self._verified(row[k : k + 4096], segment[k : k + 4096], begin[k : k + 4096], offsets, terms, self.need))
+        return self._best(found, offsets, terms)
+
+    def whole(self, offsets: np.ndarray, terms: np.ndarray, items: list[list[int]]) -> tuple[np.ndarray, ...]:
+        """The same for all segments of the given items of each row (by their first segment), however little is found."""
         terms = np.where(terms < 0, self.seg.size, terms)
-        known = np.concatenate([[0], np.cumsum(terms < self.seg.size)])
-        weighted = self.latent.any(1)[terms]
-        upto = np.concatenate([[0], np.cumsum(weighted)])
-        total = np.zeros((upto[-1] + 1, self.latent.shape[1]), np.float32)
-        np.cumsum(self.latent[terms[weighted]], axis=0, out=total[1:])
-        out: list[tuple] = []
-        for length in np.unique(self.seg.window):
-            mine = np.flatnonzero(self.seg.window == length)
-            out += self._scale(int(length), mine, offsets, terms, known, upto, total)
-        if not out:
-            return *(np.zeros(0, np.int64) for _ in range(4)), np.zeros(0)
-        row, segment, matched, answer, cosine = (np.concatenate(c) for c in zip(*out))
-        order = np.lexsort((-cosine, -answer, -matched, segment, row))
+        found = [np.zeros((5, 0), np.int64)]
+        ends = np.append(np.flatnonzero(self.seg.part == 0), len(self.seg.part))
+        for row, size in enumerate(np.diff(offsets)):
+            for item in items[row]:
+                for s in range(item, ends[np.searchsorted(ends, item, side="right")]):
+                    n = max(0, -(-int(size - self.region[s]) // int(self.step[s]))) + 1
+                    begin = offsets[row] + np.arange(n) * self.step[s]
+                    one = self._verified(np.full(n, row), np.full(n, s), begin, offsets, terms, np.ones_like(self.need))
+                    found.append(one[:, np.lexsort((-one[3], -one[2]))[:1]])
+        return self._best(found, offsets, terms)
+
+    def _best(self, found: list[np.ndarray], offsets: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, ...]:
+        row, segment, matched, answer, begin = np.concatenate(found, axis=1)
+        words, answer_words = self.seg.item_words[segment], self.seg.answer_words[segment]
+        with_answer = (matched >= RATIO_WITH_ANSWER * words) & (answer >= ANSWER_SHARE * answer_words)
+        passed = (matched >= RATIO_ALONE * words) | with_answer
+        order = np.lexsort((begin, -answer, -matched, ~passed, segment, row))
         row, segment = row[order], segment[order]
         best = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(segment, prepend=-1) != 0))
-        return row[best], segment[best], matched[order][best], answer[order][best], cosine[order][best]
-
-    def _scale(self, length, mine, offsets, terms, known, upto, total) -> Iterator[tuple]:
-        step = max(1, length // STEPS)
-        sizes = np.diff(offsets)
-        n = np.where(sizes > 0, np.maximum(0, -(-(sizes - length) // step)) + 1, 0)
-        row = np.repeat(np.arange(len(sizes)), n)
-        begin = offsets[row] + (np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)) * step
-        end = np.minimum(begin + length, offsets[row + 1])
-        # A window with fewer words of the vocabulary than a leak of the shortest item here is none.
-        least = int(np.ceil(0.5 * self.seg.lengths[mine].min() - 1e-9))
-        keep = np.flatnonzero(known[end] - known[begin] >= least)
-        for at in range(0, len(keep), 8192):
-            part = keep[at : at + 8192]
-            x = total[upto[end[part]]] - total[upto[begin[part]]]
-            dot = x @ self.vectors[mine].T
-            norm = np.sqrt(np.einsum("ij,ij->i", x, x))
-            window, segment = np.nonzero(dot >= COSINE * np.maximum(norm, 1e-9)[:, None])
-            for k in range(0, len(window), 4096):
-                w, s = window[k : k + 4096], mine[segment[k : k + 4096]]
-                place = begin[part[w]][:, None] - length // 2 + np.arange(2 * length)
-                inside = (place >= offsets[row[part[w]]][:, None]) & (place < offsets[row[part[w]] + 1][:, None])
-                regions = np.where(inside, terms[np.where(inside, place, 0)], self.seg.size)
-                bits = _match(regions, s, self.masks, self.full)
-                matched = np.bitwise_count(bits).astype(np.int64)
-                answer = np.bitwise_count(bits & self.seg.answer_bits[s]).astype(np.int64)
-                good = matched >= 0.5 * self.seg.lengths[s]
-                cosine = dot[w, segment[k : k + 4096]] / np.maximum(norm[w], 1e-9)
-                yield row[part[w]][good], s[good], matched[good], answer[good], cosine[good].astype(np.float64)
-
-
-def search(rows: DataFrame, seg: Segments, latent: np.ndarray) -> DataFrame:
-    """Common subsequences of document pieces and item segments that the cosine made candidates."""
+        order, row, segment = order[best], row[best], segment[best]
+        cosine = [np.zeros(0)]
+        for k in range(0, len(row), 256):
+            part = slice(k, k + 256)
+            cosine.append(self._cosine(row[part], segment[part], begin[order[part]], offsets, terms))
+        return row, segment, matched[order], answer[order], np.concatenate(cosine)
+
+    def _candidates(self, offsets: np.ndarray, terms: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Row, segment and begin of all regions with ``least`` anchors, in portions of about ``PAIRS`` anchor hits."""
+        row_of = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+        gap = int(self.region.max())
+        place = np.arange(len(terms)) + row_of * gap  # no region reaches into the next row
+        order = np.argsort(terms, kind="stable")
+        count = np.bincount(terms, minlength=self.seg.size + 1)
+        first = np.cumsum(count) - count
+        hits = np.concatenate([[0], np.cumsum(count[self.anchor])])
+        begins = np.searchsorted(self.anchor_of, np.arange(len(self.seg.item) + 1))  # anchors of each segment
+        base, low = gap * (len(offsets) + 1) + len(terms), 0
+        while low < len(self.seg.item):
+            high = max(low + 1, int(np.searchsorted(hits[begins], hits[begins[low]] + PAIRS, side="right")) - 1)
+            high = min(high, len(self.seg.item))
+            mine = slice(begins[low], begins[high])
+            n = count[self.anchor[mine]]
+            at = np.repeat(first[self.anchor[mine]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            key = np.sort(np.repeat((self.anchor_of[mine] - low) * base, n) + place[order[at]])
+            yield self._regions(key, base, low, offsets, row_of, gap)
+            low = high
+
+    def _regions(self, key, base, low, offsets, row_of, gap) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The regions in which a sorted hit is the first one and ``least`` hits lie."""
+        # Padded places back to places: the row is that whose padded begin is the last one before.
+        segment = low + key // base
+        last = np.arange(len(key)) + self.least[segment] - 1
+        inside = np.flatnonzero(last < len(key))
+        close = inside[key[last[inside]] - key[inside] < self.region[segment[inside]]]
+        segment, here, end = segment[close], key[close] % base, key[last[close]] % base
+        before = np.where(close > 0, key[np.maximum(close - 1, 0)], -1)
+        before = np.where(before // base == segment - low, before % base, -1)
+        padded = offsets[:-1] + np.arange(len(offsets) - 1) * gap
+        row = np.searchsorted(padded, here, side="right") - 1
+        start, size = padded[row], np.diff(offsets)[row]
+        step, region = self.step[segment], self.region[segment]
+        least = np.maximum(np.maximum(before + 1, end - region + 1) - start, 0)
+        lowest = -(-least // step)
+        highest = np.minimum((here - start) // step, np.maximum(0, -(-(size - region) // step)))
+        n = np.maximum(highest - lowest + 1, 0)
+        nth = np.repeat(lowest - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        return np.repeat(row, n), np.repeat(segment, n), offsets[np.repeat(row, n)] + nth * np.repeat(step, n)
+
+    def _verified(self, row, segment, begin, offsets, terms, need) -> np.ndarray:
+        """Row, segment, matched words, matched answer words and begin of the regions that can be a leak."""
+        regions = self._words(row, segment, begin, offsets, terms)
+        # No common subsequence is longer than the number of the segment's words that the region holds.
+        present = np.bitwise_or.reduce(self.masks[segment[:, None], regions], axis=1)
+        full = np.flatnonzero(np.bitwise_count(present) >= need[segment])
+        row, segment, begin, regions = row[full], segment[full], begin[full], regions[full]
+        bits = _match(regions, segment, self.masks, self.full)
+        matched = np.bitwise_count(bits).astype(np.int64)
+        answer = np.bitwise_count(bits & self.seg.answer_bits[segment]).astype(np.int64)
+        return np.stack([row, segment, matched, answer, begin])[:, matched >= need[segment]]
+
+    def _words(self, row, segment, begin, offsets, terms) -> np.ndarray:
+        ahead = np.arange(int(self.region[segment].max(initial=0)))
+        place = begin[:, None] + ahead
+        inside = (place < offsets[row + 1][:, None]) & (ahead < self.region[segment][:, None])
+        return np.where(inside, terms[np.where(inside, place, 0)], self.seg.size)
+
+    def _cosine(self, row, segment, begin, offsets, terms) -> np.ndarray:
+        """The highest cosine of a window as long as the segment inside each region."""
+        vectors = self.latent[self._words(row, segment, begin, offsets, terms)]
+        total = np.concatenate([np.zeros_like(vectors[:, :1]), np.cumsum(vectors, axis=1)], axis=1)
+        best, each, length = np.zeros(len(row)), np.arange(len(row)), self.seg.lengths[segment]
+        for k in range(2 * STEPS + 4):
+            low = np.minimum(k * self.step[segment], self.region[segment] - length)
+            x = total[each, low + length] - total[each, low]
+            dot = np.einsum("ij,ij->i", x, self.vectors[segment])
+            best = np.maximum(best, dot / np.maximum(np.linalg.norm(x, axis=1), 1e-9))
+        return best
+
+
+FOUND = (
+    "doc_id long, item_id long, item int, segment int, words long, answer_words long, matched long, answer long, "
+    "cosine double"
+)
+
+
+def search(rows: DataFrame, seg: Segments, latent: np.ndarray, frequency: np.ndarray) -> DataFrame:
+    """Common subsequences of document pieces and item segments with ``LEAST`` of the segment's words or more.
+
+    Where ``rows`` name items (``items``, by their first segments), those of all their segments instead.
+    """
+    named = "items" in rows.columns
+    first = np.maximum.accumulate(np.where(seg.part == 0, np.arange(len(seg.part)), 0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = Search(seg, latent)
+        find = Search(seg, latent, frequency)
         items = pa.array(seg.item, pa.int64())
         for part, offsets, terms in _chunks(batches):
-            row, segment, matched, answer, cosine = find(offsets, terms)
+            got = find.whole(offsets, terms, part.column("items").to_pylist()) if named else find(offsets, terms)
+            row, segment, matched, answer, cosine = got
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc_id").take(pa.array(row)), items.take(pa.array(segment)),
-                    pa.array(seg.part[segment].astype(np.int32)), pa.array(seg.item_words[segment]),
-                    pa.array(seg.answer_words[segment]), pa.array(matched), pa.array(answer), pa.array(cosine),
+                    pa.array(first[segment].astype(np.int32)), pa.array(seg.part[segment].astype(np.int32)),
+                    pa.array(seg.item_words[segment]), pa.array(seg.answer_words[segment]), pa.array(matched),
+                    pa.array(answer), pa.array(cosine),
                 ],
-                names=["doc_id", "item_id", "segment", "words", "answer_words", "matched", "answer", "cosine"],
+                names=["doc_id", "item_id", "item", "segment", "words", "answer_words", "matched", "answer", "cosine"],
             )
 
-    return on_workers(rows).mapInArrow(
-        run,
-        "doc_id long, item_id long, segment int, words long, answer_words long, matched long, answer long, cosine double",
-    )
+    return on_workers(rows).mapInArrow(run, FOUND)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -328,19 +421,32 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         rows = written(term_rows(docs, seg.slots), "terms")
         df, total = passage_frequencies(rows, seg.size)
         idf = np.where(df <= COMMON * total, np.log((1 + total) / (1 + df)), 0.0)
-        part = written(search(rows, seg, latent_terms(rows, idf)), "found")
+        latent = latent_terms(rows, idf)
+        part = written(search(rows, seg, latent, df), "found")
         found = part if found is None else found.unionByName(part)
+        if seg.part.any():
+            # An item of several segments can be a leak if one of them has LEAST of its words; the others count too.
+            named = part.filter(F.col("words") > SEGMENT).groupBy(F.col("doc_id").alias("_doc")).agg(
+                F.collect_set("item").alias("items")
+            )
+            again = rows.join(named, F.col("doc_id").eqNullSafe(F.col("_doc"))).select(*rows.columns, "items")
+            found = found.unionByName(written(search(again, seg, latent, df), "found"))
     if found is None:
         empty = "doc_id long, item_id long, words long, matched long, answer_words long, answer long, cosine double"
         return docs.sparkSession.createDataFrame([], empty + ", ratio double")
     best = found.groupBy("doc_id", "item_id", "segment", "words", "answer_words").agg(
-        F.max(F.struct("matched", "answer", "cosine")).alias("b")
+        F.max(F.struct(_leaked(), "matched", "answer", "cosine")).alias("b")
     )
     whole = best.groupBy("doc_id", "item_id", "words", "answer_words").agg(
         F.sum("b.matched").alias("matched"), F.sum("b.answer").alias("answer"), F.max("b.cosine").alias("cosine")
     ).withColumn("ratio", F.col("matched") / F.col("words"))
-    with_answer = (F.col("ratio") >= RATIO_WITH_ANSWER) & (F.col("answer") >= ANSWER_SHARE * F.col("answer_words"))
-    return whole.filter((F.col("ratio") >= RATIO_ALONE) | with_answer)
+    return whole.filter(_leaked())
+
+
+def _leaked() -> Column:
+    ratio = F.col("matched") / F.col("words")
+    with_answer = (ratio >= RATIO_WITH_ANSWER) & (F.col("answer") >= ANSWER_SHARE * F.col("answer_words"))
+    return (ratio >= RATIO_ALONE) | with_answer
 
 
 def op7_decontamination(spark, sf_dir: str) -> DataFrame:

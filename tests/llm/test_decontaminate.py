@@ -120,3 +120,43 @@ def test_long_texts_are_whole(spark, monkeypatch):
         assert [tuple(r)[:2] for r in D.leaks(documents(spark, [(1, " ".join(text))]), bench).collect()] == [(1, 5)]
         if at:
             break
+
+
+def test_edited_items_are_found_as_by_brute_force(spark):
+    rng = random.Random(7)
+    vocabulary = words(rng, 400)
+    usual = [vocabulary[min(int(rng.paretovariate(0.7)), 400) - 1] for _ in range(20_000)]
+    items, docs, planted = {}, {}, set()
+    for i in range(40):
+        n = rng.randint(15, 64)
+        items[i] = [rng.choice(usual) for _ in range(n)]
+        for kind in ("replaced", "replaced", "inserted", "inserted"):
+            copy = list(items[i])
+            if kind == "replaced":  # the last quarter, the answer, stays
+                for k in rng.sample(range(n - n // 4), int(n * rng.choice([0.2, 0.3, 0.4]))):
+                    copy[k] = words(rng, 1)[0]
+            else:
+                for _ in range(int(n * rng.choice([0.25, 0.5, 0.75]))):
+                    copy.insert(rng.randrange(1, len(copy)), rng.choice(usual))
+            planted.add((len(docs), i))
+            docs[len(docs)] = [rng.choice(usual) for _ in range(60)] + copy + [rng.choice(usual) for _ in range(60)]
+    bench = [(i, " ".join(w[: -(len(w) // 4)]) + ". " + " ".join(w[-(len(w) // 4) :])) for i, w in items.items()]
+    found = D.leaks(documents(spark, [(d, " ".join(w)) for d, w in docs.items()]),
+                    spark.createDataFrame(bench, "item_id long, text string")).collect()
+    got = {(r.doc_id, r.item_id): r.matched for r in found}
+    assert planted <= set(got)
+    for d in range(0, len(docs), 8):
+        for i, item in items.items():
+            n, w = len(item), docs[d]
+            best = max(lcs(item, w[a : a + 2 * n]) for a in range(0, max(1, len(w) - 2 * n + 1), 4))
+            assert got.get((d, i), 0) >= best or best < D.RATIO_ALONE * n
+
+
+def test_all_segments_of_a_long_item_count(spark):
+    rng = random.Random(8)
+    item = words(rng, 150)
+    text = words(rng, 40) + item[:120] + words(rng, 40)  # of the last of three segments 0.4
+    bench = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    docs = documents(spark, [(1, " ".join(text)), (None, " ".join(text)), (2, " ".join(item[:80]))])
+    got = sorted((r.doc_id or 0, r.matched) for r in D.leaks(docs, bench).collect())
+    assert got == [(0, 120), (1, 120)]
