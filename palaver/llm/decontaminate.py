@@ -1,7 +1,7 @@
 """Benchmark decontamination: latent semantic retrieval, then longest common subsequence and answer checks.
 
-Passages are 64 words in a row; their terms are the words that occur in the benchmark, weighted by inverse passage
-frequency. One pass over all passages gives ``G @ Q`` for the Gram matrix ``G`` of the normalised
+Passages are 64 words in a row; their terms are the words that occur in the benchmark, weighted by a smoothed inverse
+passage frequency of 1 at least. One pass over all passages gives ``G @ Q`` for the Gram matrix ``G`` of the normalised
 TF-IDF rows and a random orthonormal ``Q``; its Nystrom form is the randomised singular value decomposition (terms by
 ``RANK``). Benchmark items and windows of the documents are sums of latent term vectors, whose cosine is given for each
 leak; it decides nothing.
@@ -37,8 +37,6 @@ from palaver.llm.words import sliced, words_of
 
 PASSAGE = 64
 RANK = 64
-# Terms in more than this share of the passages carry no weight.
-COMMON = 0.2
 RATIO_ALONE, RATIO_WITH_ANSWER, ANSWER_SHARE = 0.8, 0.6, 0.5
 LEAST = min(RATIO_ALONE, RATIO_WITH_ANSWER)
 SHORTEST = 8
@@ -420,7 +418,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for seg in blocks((r[0], r[1]) for r in benchmark.select("item_id", "text").toLocalIterator()):
         rows = written(term_rows(docs, seg.slots), "terms")
         df, total = passage_frequencies(rows, seg.size)
-        idf = np.where(df <= COMMON * total, np.log((1 + total) / (1 + df)), 0.0)
+        idf = 1 + np.log((1 + total) / (1 + df))  # positive for every term, however common it is
         latent = latent_terms(rows, idf)
         part = written(search(rows, seg, latent, df), "found")
         found = part if found is None else found.unionByName(part)

@@ -122,6 +122,30 @@ def test_long_texts_are_whole(spark, monkeypatch):
             break
 
 
+def test_an_item_that_a_third_of_short_rows_hold_is_found(spark):
+    rng = random.Random(5)
+    item = words(rng, 34)
+    texts = {d: words(rng, rng.randint(20, 60)) for d in range(90)}
+    for d in range(0, 90, 3):
+        texts[d][5:5] = item
+    bench = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    got = D.leaks(documents(spark, [(d, " ".join(t)) for d, t in texts.items()]), bench).collect()
+    assert {(r.doc_id, r.item_id, r.ratio) for r in got} == {(d, 7, 1.0) for d in range(0, 90, 3)}
+    assert min(r.cosine for r in got) > 0
+
+
+def test_items_of_frequent_words_are_found(spark):
+    rng = random.Random(6)
+    frequent = words(rng, 40)
+    item = [rng.choice(frequent) for _ in range(30)]
+    texts = {d: [rng.choice(frequent) for _ in range(60)] for d in range(60)}
+    for d in range(5):
+        texts[d][20:20] = item
+    bench = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    got = {r.doc_id: r.ratio for r in D.leaks(documents(spark, [(d, " ".join(t)) for d, t in texts.items()]), bench).collect()}
+    assert {d for d, ratio in got.items() if ratio == 1} == set(range(5))
+
+
 def test_edited_items_are_found_as_by_brute_force(spark):
     rng = random.Random(7)
     vocabulary = words(rng, 400)
