@@ -13,6 +13,7 @@ from palaver.llm.langid import op8_language
 from palaver.llm.packing import op10_packing
 from palaver.llm.perspectives import op4_perspectives
 from palaver.llm.pivot_search import op2_pivot_search
+from palaver.llm.resampling import op11_resampling
 from palaver.llm.sharding import op3_sharding
 from palaver.llm.token_counts import op5_token_counts
 from palaver.llm.toxicity import op1_toxicity
@@ -22,7 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_pivot_search, op3_sharding, op4_perspectives, op5_token_counts, op6_url_filter,
-        op7_decontamination, op8_language, op9_near_duplicates, op10_packing,
+        op7_decontamination, op8_language, op9_near_duplicates, op10_packing, op11_resampling,
     )
 }
 ORACLE: dict[str, str] = {
