@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from palaver.llm import perspectives, pivot_search, url_filter
 from palaver.llm.bagminhash import op9_near_duplicates
+from palaver.llm.context_tree import op12_lm_scores
 from palaver.llm.decontaminate import op7_decontamination
 from palaver.llm.langid import op8_language
 from palaver.llm.packing import op10_packing
@@ -24,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_toxicity, op2_pivot_search, op3_sharding, op4_perspectives, op5_token_counts, op6_url_filter,
         op7_decontamination, op8_language, op9_near_duplicates, op10_packing, op11_resampling,
+        op12_lm_scores,
     )
 }
 ORACLE: dict[str, str] = {
