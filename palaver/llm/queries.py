@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from palaver.llm import perspectives, pivot_search, url_filter
+from palaver.llm.alignment import op13_alignment
 from palaver.llm.bagminhash import op9_near_duplicates
 from palaver.llm.context_tree import op12_lm_scores
 from palaver.llm.decontaminate import op7_decontamination
@@ -25,7 +26,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_toxicity, op2_pivot_search, op3_sharding, op4_perspectives, op5_token_counts, op6_url_filter,
         op7_decontamination, op8_language, op9_near_duplicates, op10_packing, op11_resampling,
-        op12_lm_scores,
+        op12_lm_scores, op13_alignment,
     )
 }
 ORACLE: dict[str, str] = {
