@@ -1,6 +1,10 @@
 """Every registered query against its SQL, on the smallest tables."""
 
 import os
+import shutil
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 
@@ -33,3 +37,15 @@ def test_query(spark, duck, name):
 
 def test_entry(spark):
     assert entry(spark).count() > 0
+
+
+def test_entry_without_the_optional_subpackage(tmp_path):
+    """A copy of the tree without its folder and its tests: the entry still offers all other queries."""
+    root, copy = Path(__file__).parents[1], tmp_path / "copy"
+    shutil.copytree(root, copy, ignore=shutil.ignore_patterns(".git", "llm", "__pycache__", ".pytest_cache"))
+    code = "import __spark_entry__ as e; print(sorted(e.queries()) == sorted(e.oracle_sql()), 'pipeline' in e.queries())"
+    for gone in ([], ["corpus_pipeline.py"]):
+        for name in gone:
+            (copy / name).unlink()
+        out = subprocess.run([sys.executable, "-c", code], cwd=copy, capture_output=True, text=True, timeout=120)
+        assert out.stdout.split() == ["True", "False"], out.stderr
