@@ -31,7 +31,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from itertools import islice
+from itertools import islice, repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -41,9 +41,9 @@ from pyspark.sql import functions as F
 
 from palaver.llm.common import on_workers, table, written
 from palaver.llm.frequent import frequent
-from palaver.llm.words import CHUNK_BYTES, sliced
+from palaver.llm.words import CHUNK_BYTES, plain_array, sliced, string_buffers
 
-DEPTH = 6
+DEPTH = 5
 # The deepest levels that a task works out by itself, for all cells that share the shorter context.
 LOCAL = 2
 # Distinct cells, and words, that a task gathers before it hands them on.
@@ -52,6 +52,10 @@ CELLS_TOGETHER, WORDS_TOGETHER = 1 << 21, 1 << 19
 FREQUENT_CELLS, FREQUENT_WORDS = 1 << 20, 1 << 16
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _WORDS_IN_BLOCK = CHUNK_BYTES // 8
+# Texts of more bytes are coded in blocks.
+LONG = 4 * CHUNK_BYTES
+# Bytes as they are coded: A-Z lower-cased, every blank as a space.
+_CODED = np.frombuffer(bytes(range(256)).lower().translate(bytes.maketrans(b"\t\n\v\f\r", b" " * 5)), np.uint8)
 
 
 def is_held_out() -> Column:
@@ -83,37 +87,92 @@ def cells_of(text: str | None, depth: int = DEPTH) -> Iterator[np.ndarray]:
         yield out
 
 
-def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Sum two rows of counts (training, all) over equal keys."""
-    key, row = np.unique(np.concatenate(keys), return_inverse=True)
-    both = np.concatenate(counts, axis=1)
-    return key, np.stack([np.bincount(row, c, minlength=len(key)).astype(np.int64) for c in both])
+def coded(texts: pa.Array, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Coded bytes of several texts in a row, ``depth`` blanks before each; the first byte and the words of each."""
+    offsets, raw = string_buffers(plain_array(texts))
+    data = _CODED[raw]
+    blank = data == 32
+    keep = ~blank
+    keep[1:] |= ~blank[:-1]  # of a run of blanks the first
+    filled = np.flatnonzero(np.diff(offsets))
+    keep[offsets[filled]] = ~blank[offsets[filled]]
+    unclosed = np.zeros(len(texts), np.int64)
+    unclosed[filled] = ~blank[offsets[filled + 1] - 1]
+    kept, words = (np.concatenate([[0], np.cumsum(x)])[offsets] for x in (keep, keep & blank))
+    first = np.concatenate([[0], np.cumsum(np.diff(kept) + unclosed + depth + 1)])
+    out = np.full(first[-1], 32, np.uint8)
+    out[np.arange(kept[-1]) + np.repeat(first[:-1] + depth - kept[:-1], np.diff(kept))] = data[keep]
+    return out, first, np.diff(words) + unclosed
+
+
+def batch_cells(batch: pa.RecordBatch, depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Cells of the texts of a batch, and the text of each; a very long text comes in blocks."""
+    if batch.column("text").nbytes > LONG:
+        for i, text in enumerate(batch.column("text")):
+            for cells in cells_of(text.as_py(), depth):
+                yield cells, np.full(len(cells), i)
+        return
+    data, first, _ = coded(batch.column("text"), depth)
+    inside = np.ones(len(data), bool)
+    inside[(first[:-1, None] + np.arange(depth)).reshape(-1)] = False
+    wide = data.astype(np.int64)
+    cells = wide.copy()
+    for back in range(1, depth + 1):
+        cells[depth:] |= wide[depth - back : len(wide) - back] << (8 * (depth - back + 1))
+    yield cells[inside], np.repeat(np.arange(batch.num_rows), np.diff(first) - depth)
+
+
+def batch_words(batch: pa.RecordBatch) -> Iterator[tuple[list[bytes], np.ndarray]]:
+    """Words of the texts of a batch, and the text of each."""
+    if batch.column("text").nbytes > LONG:
+        for i, text in enumerate(batch.column("text")):
+            for block, _ in word_blocks(text.as_py()):
+                yield block, np.full(len(block), i)
+        return
+    data, _, words = coded(batch.column("text"), 0)
+    yield data.tobytes().split(), np.repeat(np.arange(batch.num_rows), words)
+
+
+def _runs(values: np.ndarray) -> np.ndarray:
+    """Where each run of equal values starts."""
+    return np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, np.int64)
+
+
+def _tally(marked: list[np.ndarray], known: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Add occurrences to sorted keys with counts."""
+    values = np.sort(np.concatenate(marked)) if marked else np.zeros(0, np.int64)
+    first = _runs(values)
+    both = np.concatenate([known, values[first]])
+    order = np.argsort(both, kind="stable")  # two sorted runs are merged in one go
+    both, counts = both[order], np.concatenate([sums, np.diff(np.append(first, len(values)))])[order]
+    first = _runs(both)
+    return both[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
 def cell_counts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     """cell, n (in training texts) and total (in all texts)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(key), pa.array(n[0]), pa.array(n[1])], names=["cell", "n", "total"])
-
-        known, sums = np.zeros(0, np.int64), np.zeros((2, 0), np.int64)
-        keys, counts, waiting = [], [], 0
+        def out(marked: np.ndarray, count: np.ndarray) -> pa.RecordBatch:
+            cell, held = marked >> 1, marked & 1
+            first = _runs(cell)
+            n, total = (np.add.reduceat(x, first) if len(first) else x for x in (count * (1 - held), count))
+            return pa.RecordBatch.from_arrays([pa.array(cell[first]), pa.array(n), pa.array(total)], names=["cell", "n", "total"])
+
+        # Keys are the cell and a last bit for held-out texts.
+        known, sums = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        marked: list[np.ndarray] = []
         for batch in sliced(batches, "text"):
-            held = batch.column("held_out").to_pylist()
-            for i, text in enumerate(batch.column("text")):
-                for cells in cells_of(text.as_py(), depth):
-                    keys.append(cells)
-                    counts.append(np.stack([np.full(len(cells), not held[i], np.int64), np.ones(len(cells), np.int64)]))
-                    waiting += len(cells)
-                    if waiting > CHUNK_BYTES:
-                        key, n = _merged(keys, counts)
-                        known, sums = _merged([known, key], [sums, n])
-                        keys, counts, waiting = [], [], 0
-                        if len(known) > CELLS_TOGETHER:
-                            yield out(known, sums)
-                            known, sums = known[:0], sums[:, :0]
-        yield out(*_merged([known, *keys], [sums, *counts]))
+            held = batch.column("held_out").to_numpy(zero_copy_only=False).astype(np.int64)
+            for cells, text in batch_cells(batch, depth):
+                marked.append(cells << 1 | held[text])
+                if sum(map(len, marked)) > 4 * CHUNK_BYTES:
+                    known, sums = _tally(marked, known, sums)
+                    marked = []
+                    if len(known) > CELLS_TOGETHER:
+                        yield out(known, sums)
+                        known, sums = known[:0], sums[:0]
+        yield out(*_tally(marked, known, sums))
 
     parts = on_workers(docs).select("text", "held_out").mapInArrow(run, "cell long, n long, total long")
     return parts.groupBy("cell").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
@@ -130,12 +189,11 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
         seen: Counter = Counter()
         for batch in sliced(batches, "text"):
-            for text in batch.column("text"):
-                for block, _ in word_blocks(text.as_py()):
-                    seen.update(block)
-                    if len(seen) > WORDS_TOGETHER:
-                        yield out(seen)
-                        seen = Counter()
+            for block, _ in batch_words(batch):
+                seen.update(block)
+                if len(seen) > WORDS_TOGETHER:
+                    yield out(seen)
+                    seen = Counter()
         yield out(seen)
 
     parts = on_workers(docs.filter("NOT held_out")).select("text").mapInArrow(run, "word binary, c long")
@@ -306,39 +364,42 @@ def scores(
     common_cells = frequent(cells, "total", most_cells).select("cell", "log10").orderBy("cell").toArrow()
     known, lengths = common_cells.column("cell").to_numpy(), common_cells.column("log10").to_numpy()
     common_words = frequent(vocabulary, "c", most_words).toArrow()
-    words = dict(zip(common_words.column("word").to_pylist(), common_words.column("c").to_pylist()))
+    words = {w: i for i, w in enumerate(common_words.column("word").to_pylist())}
     share = n + v + 1
+    by_word = np.log10((np.append(common_words.column("c").to_numpy(), 0) + 1) / share)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text"):
-            ids, held, first = (batch.column(c).to_pylist() for c in ("doc_id", "held_out", "row"))
-            whole, loose_cells, loose_words = [], [], []
-            for i, text in enumerate(batch.column("text")):
-                tokens, in_vocabulary, base, score, size = 1, int(ends > 0), math.log10((ends + 1) / share), 0.0, 0
-                text = text.as_py()
-                rare: Counter = Counter()
-                for block, _ in word_blocks(text):
-                    tokens += len(block)
-                    for word, times in Counter(block).items():
-                        c = words.get(word)
-                        if c is None:
-                            rare[word] += times
-                        else:
-                            in_vocabulary += times
-                            base += times * math.log10((c + 1) / share)
-                loose_words.extend((first[i], word, times) for word, times in rare.items())
-                others = []
-                for found in cells_of(text, depth):
-                    cell, times = np.unique(found, return_counts=True)
-                    size += len(found)
-                    at = np.minimum(np.searchsorted(known, cell), max(len(known) - 1, 0))
-                    hit = known[at] == cell if len(known) else np.zeros(len(cell), bool)
-                    score += float((lengths[at[hit]] * times[hit]).sum()) if hit.any() else 0.0
-                    others.append(np.repeat(cell[~hit], times[~hit]))
-                cell, times = np.unique(np.concatenate(others), return_counts=True)
-                loose_cells.extend(zip([first[i]] * len(cell), cell.tolist(), times.tolist()))
-                whole.append((first[i], ids[i], held[i], tokens, in_vocabulary, size, base, score))
-            yield _batch(whole, loose_cells, loose_words)
+            many, rows = batch.num_rows, batch.column("row").to_numpy()
+            tokens, in_vocabulary = np.ones(many, np.int64), np.full(many, int(ends > 0))
+            base, score, size = np.full(many, math.log10((ends + 1) / share)), np.zeros(many), np.zeros(many, np.int64)
+            for block, text in batch_words(batch):
+                at = np.fromiter(map(words.get, block, repeat(-1)), np.int64, len(block))
+                tokens += np.bincount(text, minlength=many)
+                in_vocabulary += np.bincount(text[at >= 0], minlength=many)
+                base += np.bincount(text[at >= 0], by_word[at[at >= 0]], minlength=many)
+                late = np.flatnonzero(at < 0)
+                rare = Counter(zip(text[late].tolist(), map(block.__getitem__, late.tolist())))
+                yield _found(
+                    2, rows[np.array([t for t, _ in rare], np.int64)], word=[w for _, w in rare], times=list(rare.values())
+                )
+            for cells, text in batch_cells(batch, depth):
+                size += np.bincount(text, minlength=many)
+                order = np.argsort(cells)
+                cells, text = cells[order], text[order]
+                first = _runs(cells)
+                at = np.minimum(np.searchsorted(known, cells[first]), max(len(known) - 1, 0))
+                hit = known[at] == cells[first] if len(known) else np.zeros(len(first), bool)
+                values = np.zeros(len(first))
+                values[hit] = lengths[at[hit]]
+                times = np.diff(np.append(first, len(cells)))
+                score += np.bincount(text, np.repeat(values, times), minlength=many)
+                late = np.flatnonzero(np.repeat(~hit, times))
+                yield _found(1, rows[text[late]], cell=cells[late], times=np.ones(len(late), np.int64))
+            yield _found(
+                0, rows, doc_id=batch.column("doc_id"), held_out=batch.column("held_out"), n_tokens=tokens,
+                n_known=in_vocabulary, bytes=size, base_score=base, score=score,
+            )
 
     numbered = on_workers(docs).withColumn("row", F.monotonically_increasing_id())
     found = written(numbered.mapInArrow(run, _FOUND), "scored")
@@ -365,23 +426,21 @@ _FOUND = (
     "kind int, row long, doc_id long, held_out boolean, n_tokens long, n_known long, bytes long, base_score double, "
     "score double, cell long, word binary, times long"
 )
-
-
-def _batch(whole: list[tuple], cells: list[tuple], words: list[tuple]) -> pa.RecordBatch:
-    kinds = [0] * len(whole) + [1] * len(cells) + [2] * len(words)
-    texts = list(zip(*whole)) if whole else [()] * 8
-    none = [None] * (len(cells) + len(words))
-    rows = [*texts[0], *(c[0] for c in cells), *(w[0] for w in words)]
-    cell = [None] * len(whole) + [c[1] for c in cells] + [None] * len(words)
-    word = [None] * (len(whole) + len(cells)) + [w[1] for w in words]
-    times = [None] * len(whole) + [c[2] for c in cells] + [w[2] for w in words]
-    kinds_of = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-    columns = [pa.array([*c, *none], t) for c, t in zip(texts[1:], kinds_of)]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(kinds, pa.int32()), pa.array(rows, pa.int64()), *columns, pa.array(cell, pa.int64()),
-         pa.array(word, pa.binary()), pa.array(times, pa.int64())],
-        names=[c.split()[0] for c in _FOUND.split(", ")],
-    )
+_TYPES = {"int": pa.int32(), "long": pa.int64(), "boolean": pa.bool_(), "double": pa.float64(), "binary": pa.binary()}
+
+
+def _found(kind: int, rows: np.ndarray, **columns) -> pa.RecordBatch:
+    """Rows of one kind; the columns of other kinds are null."""
+    columns |= {"kind": np.full(len(rows), kind, np.int32), "row": rows}
+    names, types = zip(*(c.split() for c in _FOUND.split(", ")))
+    arrays = []
+    for name, kind_of in zip(names, types):
+        values = columns.get(name)
+        arrays.append(
+            pa.nulls(len(rows), _TYPES[kind_of]) if values is None
+            else values if isinstance(values, pa.Array) else pa.array(values, _TYPES[kind_of])
+        )
+    return pa.RecordBatch.from_arrays(arrays, names=list(names))
 
 
 def op12_lm_scores(spark, sf_dir: str) -> DataFrame:

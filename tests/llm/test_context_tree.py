@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from palaver.llm.context_tree import (
-    _whole_groups, cell_counts, cells_of, code_lengths, log_gamma, node_levels, op12_lm_scores, scores,
+    _whole_groups, batch_cells, batch_words, cell_counts, cells_of, code_lengths, log_gamma, node_levels, op12_lm_scores, scores,
 )
 from palaver.llm.frequent import frequent
 from tests.llm.data import ODD, documents, words
@@ -150,6 +150,18 @@ def test_blocks_go_on(monkeypatch):
     assert len(parts) > 5 and [c for p in parts for c in p.tolist()] == whole
 
 
+@pytest.mark.parametrize("long", [0, 1 << 20])
+def test_batches_equal_single_texts(monkeypatch, long):
+    monkeypatch.setattr("palaver.llm.context_tree.LONG", long)
+    texts = ["a B", None, "", " ", "two  words\n", "\tlead", "x", "É ü\x0b z ", " \r\n ", "end"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    cells, text = (np.concatenate(c) for c in zip(*batch_cells(batch, 3)))
+    words = [(t, w) for block, text_of in batch_words(batch) for t, w in zip(text_of.tolist(), block)]
+    for i, t in enumerate(texts):
+        assert cells[text == i].tolist() == np.concatenate(list(cells_of(t, 3))).tolist()
+        assert [w for k, w in words if k == i] == plain_words(t)
+
+
 def test_log_gamma(spark):
     values = [0.5, 1.0, 1.5, 3.0, 20.5, 1e6 + 0.5, 1e12]
     got = spark.createDataFrame([(v,) for v in values], "x double").select(log_gamma(F.col("x"), F.log)).collect()
