@@ -45,8 +45,9 @@ msg0 AS (
     c.at AS createdAt, c.at AS updatedAt,
     CASE WHEN c.k % 20 = 0 THEN c.at + INTERVAL 1 DAY END AS expiresAt
   FROM copies c CROSS JOIN n_conv n
-  LEFT JOIN (SELECT conv_id, turn % 4 AS slot, max(text) AS text FROM conversations GROUP BY 1, 2) t
-    ON t.conv_id = (c.user_id * 7 + c.k) % n.n AND t.slot = c.k % 4
+  LEFT JOIN (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, text) - 1 AS slot,
+      count(*) OVER (PARTITION BY conv_id) AS turns, text FROM conversations) t
+    ON t.conv_id = (c.user_id * 7 + c.k) % n.n AND t.slot = c.event_id % t.turns
 ),
 raw_messages AS (
   SELECT *, 0 AS version FROM msg0
@@ -104,7 +105,7 @@ b_conversations AS (
   FROM turns t LEFT JOIN last_message l ON l.conversationId = CAST(t.conv_id AS VARCHAR)
 ),
 people AS (
-  SELECT l_orderkey, list_sort(list_distinct([CAST(min(l_suppkey) AS VARCHAR), CAST(max(l_suppkey) AS VARCHAR)])) AS ids
+  SELECT l_orderkey, list_sort(list_distinct(list(CAST(l_suppkey AS VARCHAR)))) AS ids
   FROM lineitem GROUP BY 1
 ),
 b_calls AS (

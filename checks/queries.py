@@ -17,7 +17,7 @@ from palaver import schemas
 from palaver.functions import arrays, calendar, columns, scores
 from palaver.operators import dedup, enrich, history, incremental, merge, quality, retention, running
 from palaver.plans import activity, bronze, conversations, daily, engagement, features, lake, periods, silver
-from palaver.sources import fixtures, readers, tables
+from palaver.sources import changes, fixtures, readers, tables
 from palaver.sources.fixtures import AS_OF
 from palaver.sources.scratch import scratch_dir
 from palaver.streaming import ingest, live, sinks
@@ -689,10 +689,10 @@ def stream_events(spark, sf_dir):
 
 @query
 def stream_live_metrics(spark, sf_dir):
-    out = _two_runs(spark, sf_dir, "messages", lambda values, out, mark: sinks.merge_updates(
-        live.live_members(values), out, mark, live.MEMBER_KEYS, live.WINDOW_PARTITIONS, every=None
+    out = _two_runs(spark, sf_dir, "messages", lambda values, out, mark: sinks.add_changes(
+        live.live_members(values), out, mark, "update", None
     ))
-    return live.live_metrics_exact(tables.read_table(spark, out))
+    return live.live_metrics_exact(changes.read_current(spark, out, live.MEMBERS))
 
 
 @query
@@ -729,11 +729,10 @@ def stream_and_batch_messages(spark, sf_dir):
     bus = _Bus(spark, sf_dir, "messages")
     for deliver in (True, False):
         values = bus.deliver(False) if deliver else readers.scan_value_files(spark, bus.folder)
-        sinks.await_all([sinks.merge_updates(
-            ingest.message_stream(values), path, mark, spec.keys, spec.partition_by, "append", None, spec.version,
-            spec.tie_break,
-        )])
-    return tables.read_table(spark, path, schemas.BRONZE_MESSAGES).select(
+        sinks.await_all([sinks.add_changes(ingest.message_stream(values), path, mark, every=None)])
+        if deliver:  # a batch job runs in between
+            changes.fold_changes(spark, path, spec.keyed)
+    return changes.read_current(spark, path, spec.keyed).select(
         "_id", "senderId", "isEdited", "sourceSystem", "createdAt", "updatedAt"
     )
 

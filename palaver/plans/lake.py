@@ -23,6 +23,7 @@ from palaver.plans.features import user_features
 from palaver.plans.periods import monthly_metrics, weekly_metrics
 from palaver.plans.silver import silver_calls, silver_conversations, silver_messages, silver_users
 from palaver.schemas import DAY_PARTITIONS, MONTH_PARTITIONS
+from palaver.sources.changes import Keyed, fold_changes, read_changes
 from palaver.sources.tables import (
     find_table, overwrite_partitions, read_table, replace_table, staged, upsert_partitions, upsert_table,
 )
@@ -34,6 +35,10 @@ class Spec(NamedTuple):
     version: str | None = None  # orders versions of one key, where a batch may hold several
     tie_break: tuple[str, ...] = ()  # decides between versions of the same time
 
+    @property
+    def keyed(self) -> Keyed:
+        return Keyed(self.contract, self.keys, self.partition_by, self.version, self.tie_break)
+
 
 TABLES = {
     "bronze/messages": Spec(
@@ -84,6 +89,16 @@ class Lake:
     def earlier(self, name: str) -> DataFrame | None:
         return find_table(self.spark, f"{self.previous}/{name}", TABLES[name].contract) if self.previous else None
 
+    def fold(self, name: str) -> DataFrame | None:
+        """Fold what streams have added to the table; the creation times of those rows, or None."""
+        path = f"{self.root}/{name}"
+        changes = read_changes(self.spark, path, TABLES[name].contract)
+        if changes is None:
+            return None
+        times = staged(changes.select("createdAt"), "changed")
+        fold_changes(self.spark, path, TABLES[name].keyed)
+        return times
+
     def newest(self, name: str, df: DataFrame) -> DataFrame:
         """One row for each key of the batch; rows without a key are versions of nothing."""
         spec = TABLES[name]
@@ -138,10 +153,14 @@ def run_lake(
     if changed_since is not None and lake.earlier("silver/messages") is None:
         raise ValueError("changed_since updates existing tables; there are none")
     batch = {"messages": staged(bronze_messages(raw["messages"]), "messages"), "calls": staged(bronze_calls(raw["calls"]), "calls")}
+    # In place, a run takes in what streams have added to the bronze messages since the last one.
+    streamed = lake.fold("bronze/messages") if lake.previous == lake.root else None
     first = None
     if changed_since is not None:
         named = spark.range(1).select(as_date(changed_since).alias("d"))
         days = named.unionByName(batch["messages"].select(F.to_date("createdAt").alias("d")))
+        if streamed is not None:
+            days = days.unionByName(streamed.select(F.to_date("createdAt").alias("d")))
         first = days.unionByName(batch["calls"].select(F.to_date("createdAt").alias("d"))).agg(F.min("d")).first()[0]
 
     def recent(df: DataFrame, date: str) -> DataFrame:

@@ -6,7 +6,7 @@ orders and line items. Every frame is built over whole tables and is lazy.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from palaver import schemas
@@ -58,10 +58,14 @@ def shaped_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_messages(spark: SparkSession, sf_dir: str, versions: bool = True) -> DataFrame:
     """Message documents. With ``versions``, every tenth message also has an edited version one hour later."""
     conversations = table(spark, sf_dir, "conversations")
-    texts = conversations.groupBy(F.expr("conv_id || ':' || turn % 4 AS told")).agg(F.max("text").alias("text"))
+    # An event tells one turn of its conversation, so that all turns are told where there are events enough.
+    place = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "text")) - 1
+    texts = conversations.select(F.concat_ws(":", "conv_id", place).alias("told"), "text")
+    turns = conversations.groupBy(F.col("conv_id").cast("string").alias("conversationId")).agg(F.count(F.lit(1)).alias("turns"))
     conversation = F.expr("user_id * 7 + k") % _count_of(conversations, "conv_id")
     events = shaped_events(spark, sf_dir).withColumn("conversationId", conversation.cast("string"))
-    events = events.withColumn("tells", F.expr("conversationId || ':' || k % 4"))
+    events = events.join(turns, "conversationId", "left")
+    events = events.withColumn("tells", F.expr("conversationId || ':' || event_id % turns"))
 
     def attachment(kind: str) -> str:
         return (
@@ -161,12 +165,10 @@ def raw_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Call documents, one for each order; the lowest and the highest supplier of its lines take part."""
+    """Call documents, one for each order; all suppliers of its lines take part."""
     orders = table(spark, sf_dir, "orders")
     people = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.array_sort(F.array_distinct(F.array(
-            F.min("l_suppkey").cast("string"), F.max("l_suppkey").cast("string")
-        ))).alias("participantIds")
+        F.array_sort(F.collect_set(F.col("l_suppkey").cast("string"))).alias("participantIds")
     )
     n_users = _count_of(table(spark, sf_dir, "events"), "user_id")
     calls = orders.join(people, "o_orderkey", "left").withColumn("initiator", F.col("o_custkey") % n_users).selectExpr(

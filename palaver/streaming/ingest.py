@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from palaver import schemas
@@ -12,13 +12,14 @@ WATERMARK = "10 minutes"
 SOURCE_SYSTEM = "kafka"
 
 
-def parse_values(values: DataFrame, contract: schemas.Contract) -> DataFrame:
-    """JSON documents as columns, beside the bus timestamp.
+def parse_values(values: DataFrame, contract: schemas.Contract, *more: Column) -> DataFrame:
+    """JSON documents as columns, beside the bus timestamp and ``more`` columns made of the raw rows.
 
     Malformed documents give null columns, unknown fields are ignored; no row is lost.
     """
     parsed = F.from_json(F.col("value").cast("string"), schemas.ddl(contract)).alias("data")
-    return values.select(parsed, F.col("timestamp").alias("busTimestamp")).select("data.*", "busTimestamp")
+    raw = F.struct(F.col("timestamp").alias("busTimestamp"), *more).alias("raw")
+    return values.select(parsed, raw).select("data.*", "raw.*")
 
 
 def _stamp(df: DataFrame, event_time: str, watermark: str) -> DataFrame:

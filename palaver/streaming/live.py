@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from palaver.schemas import STREAM_MESSAGES
+from palaver.sources.changes import Keyed
 from palaver.streaming.ingest import WATERMARK, parse_values
 
 WINDOW = "1 minute"
 
 
-def _timed(values: DataFrame, watermark: str) -> DataFrame:
-    return parse_values(values, STREAM_MESSAGES).withWatermark("busTimestamp", watermark)
+def _timed(values: DataFrame, watermark: str, *more: Column) -> DataFrame:
+    return parse_values(values, STREAM_MESSAGES, *more).withWatermark("busTimestamp", watermark)
 
 
 def live_metrics(values: DataFrame, window: str = WINDOW, watermark: str = WATERMARK) -> DataFrame:
@@ -38,24 +39,30 @@ def live_metrics(values: DataFrame, window: str = WINDOW, watermark: str = WATER
 # A member row: what one sender, or one conversation, adds to one window.
 MEMBER_KEYS = ["windowStart", "kind", "id"]
 WINDOW_PARTITIONS = ("year", "month", "day")
+# Member rows grow from batch to batch, so the latest batch is current.
+MEMBERS = Keyed(
+    {"windowStart": "timestamp", "windowEnd": "timestamp", "kind": "string", "id": "string", "n": "bigint",
+     "chars": "bigint", "texts": "bigint", "year": "int", "month": "int", "day": "int"},
+    MEMBER_KEYS, WINDOW_PARTITIONS,
+)
 
 
 def live_members(values: DataFrame, window: str = WINDOW, watermark: str = WATERMARK) -> DataFrame:
     """Messages, characters and texts per window and member (sender or conversation), for update mode.
 
     State is spread by member, so no window gathers its members into one set. A null sender or conversation is the member
-    with an empty id of kind ``unknown sender`` or ``unknown conversation``, spread over slots by message, so that a hot
-    null is not one state key.
+    with an empty id of kind ``unknown sender`` or ``unknown conversation``, spread over slots by the
+    whole bus record (a malformed one has no message id), so that a hot null is not one state key.
     """
-    slot = F.pmod(F.xxhash64("_id"), F.lit(64)).cast("string")
+    slot = F.pmod(F.xxhash64("value", "timestamp"), F.lit(64)).cast("string").alias("slot")
 
     def member(kind: str, name: str):
-        unknown = F.struct(F.lit(f"unknown {kind}").alias("kind"), slot.alias("id"))
+        unknown = F.struct(F.lit(f"unknown {kind}").alias("kind"), F.col("slot").alias("id"))
         known = F.struct(F.lit(kind).alias("kind"), F.col(name).alias("id"))
         return F.when(F.col(name).isNull(), unknown).otherwise(known)
 
     members = F.array(member("sender", "senderId"), member("conversation", "conversationId"))
-    rows = _timed(values, watermark).select(
+    rows = _timed(values, watermark, slot).select(
         "busTimestamp", F.length("content").alias("chars"), F.explode(members).alias("m")
     )
     per_member = rows.groupBy(F.window("busTimestamp", window), "m.kind", "m.id").agg(

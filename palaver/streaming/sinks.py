@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from palaver.operators.dedup import deduplicate
+from palaver.sources.changes import append_changes
 from palaver.sources.tables import find_table, in_same_directories, staged, upsert_partitions
 
 TRIGGER = "1 minute"
@@ -71,6 +72,21 @@ def merge_updates(
     return _triggered(writer, every).start()
 
 
+def add_changes(
+    stream: DataFrame, path: str, checkpoint: str, mode: str = "append", every: str | None = TRIGGER, source: str = "stream"
+) -> StreamingQuery:
+    """Append each micro-batch to the change folder of the table at ``path``; a batch costs what it holds.
+
+    Readers use ``read_current``; a batch job folds the changes in. ``source`` must be of this checkpoint alone.
+    """
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        append_changes(batch, path, epoch, source)
+
+    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(write)
+    return _triggered(writer, every).start()
+
+
 def await_all(queries: Sequence[StreamingQuery]) -> None:
     """Wait for queries that end by themselves (no interval); a failure is raised."""
     for query in queries:

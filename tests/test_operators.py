@@ -188,3 +188,15 @@ def test_reader_options():
     assert options["partitionColumn"] == "id" and options["numPartitions"] == "8" and options["user"] == "u"
     with pytest.raises(ValueError):
         readers.relational_options("jdbc:x", "users", "drv", split_on="id")
+
+
+def test_inputs_use_every_supplier_and_turn(spark):
+    from palaver.sources import fixtures
+
+    sf_dir = "/root/testdata/sf0.01"
+    pairs = fixtures.raw_calls(spark, sf_dir).selectExpr("_id.oid", "explode(participantIds)").distinct().count()
+    lines = fixtures.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey").distinct()
+    assert pairs == lines.count()
+    texts = fixtures.table(spark, sf_dir, "conversations").select("text").distinct()
+    told = fixtures.raw_messages(spark, sf_dir, versions=False).select(F.col("content").alias("text")).distinct()
+    assert texts.join(told, "text", "left_anti").count() == 0
