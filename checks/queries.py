@@ -925,7 +925,7 @@ def weekly_metrics(spark, sf_dir):
 @query
 def monthly_metrics(spark, sf_dir):
     s = stage(spark, sf_dir)
-    return periods.monthly_metrics(_daily(spark, sf_dir, "full"), s.activity(), s.messages())
+    return periods.monthly_metrics(_daily(spark, sf_dir, "full"), s.activity(), daily.message_types_per_day(s.messages()))
 
 
 @query

@@ -83,6 +83,31 @@ def call_metrics(calls: DataFrame) -> DataFrame:
     )
 
 
+def message_types_per_day(messages: DataFrame) -> DataFrame:
+    """Message count by type as a map; the list it is built from has one entry per type."""
+    counted = messages.filter(F.col("messageType").isNotNull()).groupBy(_on("createdAt"), "messageType").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    entries = F.array_sort(F.collect_list(F.struct("messageType", "n")))
+    return counted.groupBy("metricDate").agg(F.map_from_entries(entries).alias("messageTypes"))
+
+
+def day_states(messages: DataFrame, activity: DataFrame, calls: DataFrame) -> DataFrame:
+    """What messages, activity and calls add to each day: one row for each day on which there was any.
+
+    A day's row depends on that day alone, so rows of days without changes can be kept from run to run. Daily, weekly and
+    monthly metrics are made of these rows. Messages are read three times on purpose: counting conversations and types
+    shuffles one narrow row per group, and the other measures next to nothing.
+    """
+    joined = active_users_per_day(activity).filter(F.col("metricDate").isNotNull())
+    for side in (
+        message_metrics(messages), active_conversations_per_day(messages), message_types_per_day(messages),
+        call_metrics(calls),
+    ):
+        joined = joined.join(side.filter(F.col("metricDate").isNotNull()), "metricDate", "full")
+    return schemas.conform(joined.withColumns(time_parts("metricDate")), schemas.DAY_STATES)
+
+
 def daily_metrics(
     messages: DataFrame,
     users: DataFrame,
@@ -91,23 +116,22 @@ def daily_metrics(
     conversations: DataFrame,
     spine: str = "dau",
 ) -> DataFrame:
+    """Metrics per day straight from the tables; see ``daily_from_states``."""
+    return daily_from_states(day_states(messages, activity, calls), users, conversations, spine)
+
+
+def daily_from_states(states: DataFrame, users: DataFrame, conversations: DataFrame, spine: str = "dau") -> DataFrame:
     """One row per day.
 
     ``spine="dau"`` reports days with active users, and only those days feed the running totals; ``spine="full"``
-    reports every day on which anything happened. All joins are between per-day aggregates that are already
-    partitioned by date.
-
-    Messages are read twice on purpose: counting conversations shuffles one row per (day, conversation), and these
-    stay two columns wide when the other measures, which shuffle next to nothing, are not carried along.
+    reports every day on which anything happened. All joins are between per-day rows. Users and conversations may be
+    entered late, for days long gone, so their new ones are counted over the whole (narrow) tables.
     """
     if spine not in ("dau", "full"):
         raise ValueError(f"unknown spine: {spine}")
     how = "left" if spine == "dau" else "full"
-    joined = active_users_per_day(activity)
-    for side in (
-        new_per_day(users, "newUsers"), message_metrics(messages), call_metrics(calls),
-        new_per_day(conversations, "newConversations"), active_conversations_per_day(messages),
-    ):
+    joined = (states.filter("activeUsers IS NOT NULL") if spine == "dau" else states).drop("messageTypes", "year", "month")
+    for side in (new_per_day(users, "newUsers"), new_per_day(conversations, "newConversations")):
         joined = joined.join(side.filter(F.col("metricDate").isNotNull()), "metricDate", how)
     totals = running_totals(
         joined, "metricDate", {"totalUsers": "newUsers", "totalConversations": "newConversations"}

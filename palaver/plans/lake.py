@@ -17,7 +17,7 @@ from palaver.operators.quality import quality_report
 from palaver.plans.activity import first_contacts, new_contacts, user_activity
 from palaver.plans.bronze import bronze_calls, bronze_conversations, bronze_messages, bronze_users, login_accounts
 from palaver.plans.conversations import conversation_analytics
-from palaver.plans.daily import daily_metrics
+from palaver.plans.daily import daily_from_states, day_states
 from palaver.plans.engagement import user_engagement
 from palaver.plans.features import user_features
 from palaver.plans.periods import monthly_metrics, weekly_metrics
@@ -56,6 +56,7 @@ TABLES = {
     "silver/calls": Spec(schemas.SILVER_CALLS, ["callId"], DAY_PARTITIONS),
     "silver/first_contacts": Spec(schemas.FIRST_CONTACTS, ["userId", "conversationId"], DAY_PARTITIONS),
     "silver/user_activity": Spec(schemas.USER_ACTIVITY, ["userId", "activityDate"], MONTH_PARTITIONS),
+    "gold/metrics/day_states": Spec(schemas.DAY_STATES, ["metricDate"], MONTH_PARTITIONS),
     "gold/metrics/daily": Spec(schemas.DAILY_METRICS, ["metricDate"], MONTH_PARTITIONS),
     "gold/metrics/weekly": Spec(schemas.WEEKLY_METRICS, ["weekStartDate"], ()),
     "gold/metrics/monthly": Spec(schemas.MONTHLY_METRICS, ["monthDate"], ()),
@@ -194,10 +195,15 @@ def run_lake(
         written, recent(calls, "createdAt"), contacts=recent(contacts, "firstDay")
     ))
 
-    daily = lake.upsert("gold/metrics/daily", daily_metrics(messages, users, activity, calls, conversations))
-    every_day = staged(daily_metrics(messages, users, activity, calls, conversations, spine="full"), "days")
+    # Days before the changed ones keep their state, so no message, call or activity of theirs is read for the metrics.
+    kept = lake.earlier("gold/metrics/day_states") is not None
+    states = lake.upsert("gold/metrics/day_states", day_states(
+        written, recent(activity, "activityDate"), recent(calls, "createdAt")
+    ) if kept else day_states(messages, activity, calls))
+    daily = lake.upsert("gold/metrics/daily", daily_from_states(states, users, conversations))
+    every_day = staged(daily_from_states(states, users, conversations, spine="full"), "days")
     lake.replace("gold/metrics/weekly", weekly_metrics(every_day, activity))
-    lake.replace("gold/metrics/monthly", monthly_metrics(every_day, activity, messages))
+    lake.replace("gold/metrics/monthly", monthly_metrics(every_day, activity, states))
     lake.upsert("gold/analytics/user_engagement", user_engagement(users, activity, messages, as_of, pairs=contacts))
     lake.upsert("gold/analytics/conversations", conversation_analytics(groups, messages, as_of))
     lake.replace("gold/ml_features", user_features(activity, users, messages, as_of))

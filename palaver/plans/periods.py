@@ -105,16 +105,16 @@ def weekly_metrics(daily: DataFrame, activity: DataFrame) -> DataFrame:
     return schemas.conform(final, schemas.WEEKLY_METRICS)
 
 
-def message_types_per_month(messages: DataFrame) -> DataFrame:
-    """Message count by type as a map; the list it is built from has one entry per type."""
-    counted = messages.groupBy(_month("createdAt").alias("period"), "messageType").agg(F.count(F.lit(1)).alias("n"))
+def message_types_per_month(per_day: DataFrame) -> DataFrame:
+    """Message count by type as a map, added up from the maps of the days (``metricDate``, ``messageTypes``)."""
+    counted = per_day.select(_month("metricDate").alias("period"), F.explode("messageTypes").alias("messageType", "n"))
+    counted = counted.groupBy("period", "messageType").agg(F.sum("n").alias("n"))
     entries = F.array_sort(F.collect_list(F.struct("messageType", "n")))
-    return counted.dropna(subset=["messageType"]).groupBy("period").agg(
-        F.map_from_entries(entries).alias("topMessageTypes")
-    )
+    return counted.groupBy("period").agg(F.map_from_entries(entries).alias("topMessageTypes"))
 
 
-def monthly_metrics(daily: DataFrame, activity: DataFrame, messages: DataFrame) -> DataFrame:
+def monthly_metrics(daily: DataFrame, activity: DataFrame, message_types: DataFrame) -> DataFrame:
+    """``message_types`` has the type counts of days, as ``daily.message_types_per_day`` or the day states do."""
     per_weekday = [
         F.coalesce(F.sum(F.when(F.col("dayOfWeek") == d, F.col("totalMessages"))), F.lit(0)) for d in range(1, 8)
     ]
@@ -125,7 +125,7 @@ def monthly_metrics(daily: DataFrame, activity: DataFrame, messages: DataFrame)
     )
     following = F.add_months("period", 1)
     retention = _retention(_active_users(activity, _month("activityDate")), following, F.lit(None).cast("double"))
-    joined = _with_retention(rollup, retention).join(message_types_per_month(messages), "period", "left")
+    joined = _with_retention(rollup, retention).join(message_types_per_month(message_types), "period", "left")
     active = F.col("activeUsers").cast("double")
     final = joined.withColumns({
         "monthDate": F.col("period"),

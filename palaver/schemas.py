@@ -121,6 +121,13 @@ USER_ACTIVITY: Contract = {
     "newConversationsStarted": "bigint", "mediaShared": "bigint", "isActiveDay": "boolean", **_BY_DAY,
     "dayOfWeek": "int", "processedAt": "timestamp",
 }
+DAY_STATES: Contract = {
+    "metricDate": "date", "activeUsers": "bigint", "avgMessagesPerUser": "double", "totalMessages": "bigint",
+    "textMessages": "bigint", "mediaMessages": "bigint", "totalReactions": "bigint", "peakHour": "int",
+    "activeConversations": "bigint", "messageTypes": "map<string,bigint>", "totalCalls": "bigint", "audioCalls": "bigint",
+    "videoCalls": "bigint", "totalCallDurationMinutes": "double", "avgCallDurationMinutes": "double", "year": "int",
+    "month": "int",
+}
 DAILY_METRICS: Contract = {
     "metricDate": "date", "totalUsers": "bigint", "activeUsers": "bigint", "newUsers": "bigint",
     "totalMessages": "bigint", "textMessages": "bigint", "mediaMessages": "bigint", "totalCalls": "bigint",

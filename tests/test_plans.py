@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from palaver import schemas
 from palaver.functions.columns import since
 from palaver.plans import activity, bronze, conversations, daily, engagement, features, lake, periods, silver
-from palaver.sources import tables
+from palaver.sources import changes, tables
 
 AS_OF = "2024-01-31"
 
@@ -343,4 +343,49 @@ def test_pair_counts_stay_narrow(spark, messages, tmp_path):
     path = str(tmp_path / "act")
     spark.sql("SELECT 'u' AS userId, DATE '2024-01-01' AS activityDate, true AS isActiveDay, 1L AS messagesSent").write.parquet(path)
     text = plan(daily.active_users_per_day(spark.read.parquet(path)))
-    assert text.count("Exchange hashpartitioning") == 1
\ No newline at end of file
+    assert text.count("Exchange hashpartitioning") == 1
+
+def metric_rows(run):
+    names = ("gold/metrics/day_states", "gold/metrics/daily", "gold/metrics/weekly", "gold/metrics/monthly")
+    return {n: sorted(str(r.asDict()) for r in run.table(n).drop("processedAt").collect()) for n in names}
+
+
+def test_day_states_are_kept_and_equal_a_rebuild(spark, tmp_path, monkeypatch):
+    """Two months of messages, then an edit, a streamed message and new rows from one day on."""
+    def many(days, **columns):
+        out = None
+        for i, (month, day) in enumerate(days):
+            at = f"TIMESTAMP '2024-{month:02d}-{day:02d} {8 + i % 5}:00:00'"
+            one = raw_message(spark, **{"_id": f"named_struct('oid', 'm{month}-{day}')", "createdAt": at, "updatedAt": at,
+                                        "type": "'text'" if day % 3 else "'image'", **columns})
+            out = one if out is None else out.unionByName(one)
+        return out
+
+    old_days, new_days = [(1, d) for d in (2, 5, 9, 30)] + [(2, 1), (2, 3)], [(2, 3), (2, 4), (2, 5)]
+    old = lake_input(spark) | {"messages": many(old_days)}
+    new = lake_input(spark) | {"messages": many(new_days, updatedAt="TIMESTAMP '2024-02-09'", type="'video'")}
+    root = str(tmp_path / "lake")
+    lake.run_lake(spark, old, root, "2024-02-10")
+    late = bronze.bronze_messages(many([(2, 2)]))
+    changes.append_changes(late, f"{root}/bronze/messages", 0)
+
+    seen, plain = [], lake.day_states
+    monkeypatch.setattr(lake, "day_states", lambda *tables: seen.append(tables) or plain(*tables))
+    run = lake.run_lake(spark, new, root, "2024-02-10", changed_since="2024-02-04")
+    ((messages, acts, _),) = seen
+    assert str(messages.agg(F.min(F.to_date("createdAt"))).first()[0]) == "2024-02-02"  # the streamed one
+    assert str(acts.agg(F.min("activityDate")).first()[0]) >= "2024-02-02"
+    assert "PartitionFilters: [isnotnull" in plan(messages)
+    everything = lake_input(spark) | {"messages": many(old_days).unionByName(many([(2, 2)])).unionByName(new["messages"])}
+    rebuilt = lake.run_lake(spark, everything, str(tmp_path / "again"), "2024-02-10")
+    assert metric_rows(run) == metric_rows(rebuilt)
+    assert len(metric_rows(run)["gold/metrics/day_states"]) >= 8
+
+
+def test_a_lake_without_day_states_gets_them_for_all_days(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    lake.run_lake(spark, lake_input(spark), root, AS_OF)
+    before = metric_rows(lake.Lake(spark, root))
+    (tmp_path / "lake/gold/metrics/day_states").rename(tmp_path / "away")
+    run = lake.run_lake(spark, lake_input(spark), root, AS_OF, changed_since="2024-01-20")
+    assert metric_rows(run) == before
