@@ -620,6 +620,7 @@ add("user_activity", ACTIVITY + "activity")
 add("user_activity_full", ACTIVITY + "activity_full")
 add("daily_metrics", DAILY + "WHERE in_dau")
 add("daily_metrics_full", DAILY)
+add("daily_metrics_carried", DAILY)
 IDLE = f"coalesce({AS_OF} - lastActiveDate, 999)"
 ENGAGED = """
 engaged AS (
@@ -850,3 +851,5 @@ _with(
     "agrees", "activity_spine", "message_mix", "peak_hour", "feature_windows", "social_features", "temporal_features",
     "velocity", "churn_label",
 )
+
+ORACLE["retention_expiry"] = ORACLE["retention_filter"]

@@ -194,6 +194,15 @@ def retention_filter(spark, sf_dir):
     return retention.retain_partitions(kept, "2024-04-10", retention.RETENTION_DAYS["bronze"])
 
 
+@query
+def retention_expiry(spark, sf_dir):
+    """The bronze messages after the removal of old days from the table itself."""
+    path = scratch_dir(spark, "expiring")
+    tables.replace_table(stage(spark, sf_dir).bronze_messages(), path, schemas.DAY_PARTITIONS)
+    retention.expire_days(spark, path, "2024-04-10", retention.RETENTION_DAYS["bronze"])
+    return tables.read_table(spark, path, schemas.BRONZE_MESSAGES).select("_id", "createdAt", "year", "month", "day")
+
+
 # Projections and filters
 
 
@@ -817,6 +826,19 @@ def _daily(spark, sf_dir, spine: str) -> DataFrame:
     return daily.daily_metrics(s.messages(), s.users(), s.activity(), s.calls(), s.conversations(), spine)
 
 
+@query
+def daily_metrics_carried(spark, sf_dir):
+    """Daily metrics of kept day states: those of the first half of the month, then those of the second merged in."""
+    s, path = stage(spark, sf_dir), scratch_dir(spark, "states")
+    for half in ("< DATE '2024-01-16'", ">= DATE '2024-01-16'"):
+        part = daily.day_states(
+            s.messages().filter(f"createdAt {half}"), s.activity().filter(f"activityDate {half}"),
+            s.calls().filter(f"createdAt {half}"),
+        )
+        tables.upsert_partitions(spark, part, path, ["metricDate"], schemas.MONTH_PARTITIONS)
+    return daily.daily_from_states(tables.read_table(spark, path, schemas.DAY_STATES), s.users(), s.conversations(), "full")
+
+
 @query
 def daily_metrics(spark, sf_dir):
     return _daily(spark, sf_dir, "dau")

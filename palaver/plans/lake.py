@@ -14,6 +14,7 @@ from palaver.functions.columns import since
 from palaver.operators.dedup import deduplicate
 from palaver.operators.layout import cluster as cluster_rows
 from palaver.operators.quality import quality_report
+from palaver.operators.retention import RETENTION_DAYS, expire_days
 from palaver.plans.activity import first_contacts, new_contacts, user_activity
 from palaver.plans.bronze import bronze_calls, bronze_conversations, bronze_messages, bronze_users, login_accounts
 from palaver.plans.conversations import conversation_analytics
@@ -142,13 +143,14 @@ def run_lake(
     changed_since: AsOf | None = None,
     rebuild: bool = False,
     cluster: bool = False,
+    expire: bool = False,
 ) -> Lake:
     """Build or update all tables under ``root`` from raw frames ``messages users auth conversations calls``.
 
     Tables that exist are merged into; ``rebuild`` replaces them. With ``changed_since``, silver messages and user activity
     are recomputed, and merged, from that day on, or from the earliest creation day of the batch's messages and calls where
     that is earlier, so that an edit of an old message reaches them. It needs existing tables. ``cluster`` rewrites silver
-    messages in the order of conversation and sender.
+    messages in the order of conversation and sender. ``expire`` at last removes the days past the limit of their layer.
     """
     lake = Lake(spark, root, previous, rebuild)
     if changed_since is not None and lake.earlier("silver/messages") is None:
@@ -208,9 +210,23 @@ def run_lake(
     lake.upsert("gold/analytics/conversations", conversation_analytics(groups, messages, as_of))
     lake.replace("gold/ml_features", user_features(activity, users, messages, as_of))
     lake.replace("quality", _quality(messages_b, users_b, calls, daily, as_of))
+    if expire:
+        expire_lake(spark, root, as_of)
     return lake
 
 
+# Tables of facts by day. First contacts stay: a pair that met once is never new again.
+EXPIRING = ("bronze/messages", "bronze/events", "bronze/calls", "silver/messages", "silver/calls")
+
+
+def expire_lake(spark: SparkSession, root: str, as_of: AsOf) -> dict[str, int]:
+    """Remove days past the limit of their layer; the number of days that went, by table."""
+    return {
+        name: len(expire_days(spark, f"{root.rstrip('/')}/{name}", as_of, RETENTION_DAYS[name.split("/")[0]]))
+        for name in EXPIRING
+    }
+
+
 def _clustered(messages: DataFrame) -> DataFrame:
     """Staged in the order that scans by conversation and sender prune best."""
     return staged(cluster_rows(messages, [*DAY_PARTITIONS, "conversationId", "senderId"], ["messageId"]), "clustered")

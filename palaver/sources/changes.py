@@ -24,6 +24,7 @@ from pyspark.sql.types import StructType
 from palaver.operators.dedup import deduplicate
 from palaver.operators.merge import merge
 from palaver.schemas import Contract, ddl
+from palaver.sources.files import Files
 from palaver.sources.scratch import scratch_dir
 from palaver.sources.tables import find_table, in_same_directories, overwrite_partitions, read_table, staged, write_table
 
@@ -40,27 +41,6 @@ class Keyed(NamedTuple):
     tie_break: Sequence[str] = ()
 
 
-class _Files:
-    """The file system of a path, by Hadoop's own interface: listing, marks and removal."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self._path = spark._jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-
-    def matching(self, pattern: str) -> list[str]:
-        found = self._fs.globStatus(self._path(pattern))
-        return sorted(s.getPath().toString() for s in found or [])
-
-    def exists(self, path: str) -> bool:
-        return self._fs.exists(self._path(path))
-
-    def touch(self, path: str) -> None:
-        self._fs.create(self._path(path), True).close()
-
-    def remove(self, path: str) -> None:
-        self._fs.delete(self._path(path), True)
-
-
 def changes_path(path: str) -> str:
     return f"{path.rstrip('/')}.changes"
 
@@ -68,13 +48,13 @@ def changes_path(path: str) -> str:
 def append_changes(batch: DataFrame, path: str, number: int, source: str = "stream") -> None:
     """Write one micro-batch. ``source`` names the checkpoint: numbers count within it."""
     target = f"{changes_path(path)}/_source={source}/_batch={number}"
-    if not _Files(batch.sparkSession, target).exists(f"{target}/{FOLDED}"):
+    if not Files(batch.sparkSession, target).exists(f"{target}/{FOLDED}"):
         batch.write.mode("overwrite").parquet(target)
 
 
 def committed_batches(spark: SparkSession, path: str) -> list[str]:
     """Directories of the batches that wait to be folded."""
-    files = _Files(spark, path)
+    files = Files(spark, path)
     pattern = f"{changes_path(path)}/_source=*/_batch=*"
     folded = {f.rsplit("/", 1)[0] for f in files.matching(f"{pattern}/{FOLDED}")}
     return [d for f in files.matching(f"{pattern}/{DONE}") if (d := f.rsplit("/", 1)[0]) not in folded]
@@ -141,7 +121,7 @@ _INTENT = "staged string, batches array<string>, partition_by array<string>"
 
 def _finish(spark: SparkSession, path: str) -> None:
     """Carry out a fold whose merged rows are staged. Each step can be repeated."""
-    files, intent = _Files(spark, path), f"{changes_path(path)}/{INTENT}"
+    files, intent = Files(spark, path), f"{changes_path(path)}/{INTENT}"
     if not files.exists(f"{intent}/{DONE}"):
         return
     todo = read_table(spark, intent, StructType.fromDDL(_INTENT)).first()

@@ -200,3 +200,20 @@ def test_inputs_use_every_supplier_and_turn(spark):
     texts = fixtures.table(spark, sf_dir, "conversations").select("text").distinct()
     told = fixtures.raw_messages(spark, sf_dir, versions=False).select(F.col("content").alias("text")).distinct()
     assert texts.join(told, "text", "left_anti").count() == 0
+
+
+def test_expired_days_are_removed_and_nothing_else(spark, tmp_path):
+    path = str(tmp_path / "t")
+    days = ["2023-12-31", "2024-01-01", "2024-01-10", "2024-01-11", "2024-03-01"]
+    rows = spark.createDataFrame([(d,) for d in days] + [(None,)], "d string").selectExpr(
+        "d", "year(d) AS year", "month(d) AS month", "day(d) AS day"
+    )
+    tables.write_table(rows, path, ("year", "month", "day"))
+    kept = {f: f.stat().st_mtime_ns for f in tmp_path.rglob("*.parquet") if "month=3" in str(f)}
+    limits = retention.retain_partitions(rows, "2024-04-10", 90).count()
+    gone = retention.expire_days(spark, path, "2024-04-10", 90)
+    assert gone == [dt.date(2023, 12, 31), dt.date(2024, 1, 1), dt.date(2024, 1, 10)]
+    assert sorted(str(r.d) for r in spark.read.parquet(path).collect()) == ["2024-01-11", "2024-03-01", "None"]
+    assert limits == 2 and all(f.stat().st_mtime_ns == t for f, t in kept.items())
+    assert retention.expire_days(spark, path, "2024-04-10", 90) == []
+    assert retention.expire_days(spark, str(tmp_path / "none"), "2024-04-10", 90) == []
