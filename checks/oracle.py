@@ -435,6 +435,17 @@ SELECT userId, totalMessagesSent, totalMessagesReceived, totalReactionsGiven, to
   totalCallsInitiated, totalCallsReceived, round(totalMinutes, 6) AS totalCallDurationMinutes,
   CAST(lastActiveDate AS VARCHAR) AS lastActiveDate
 FROM lifetime""")
+add("user_totals_carried", """
+SELECT l.userId, b.sent30 AS messagesSentLast30, CASE WHEN b.days30 > 0 THEN 0 END AS messagesReceivedLast30,
+  b.given30 AS reactionsGivenLast30, b.received30 AS reactionsReceivedLast30, b.made30 AS callsInitiatedLast30,
+  b.got30 AS callsReceivedLast30, b.days30 AS activeDaysLast30, round(b.minutes30, 6) AS callDurationLast30,
+  a.sent7 AS messagesSentLast7, CASE WHEN a.days7 > 0 THEN 0 END AS messagesReceivedLast7,
+  a.given7 AS reactionsGivenLast7, a.received7 AS reactionsReceivedLast7, a.made7 AS callsInitiatedLast7,
+  a.got7 AS callsReceivedLast7, a.days7 AS activeDaysLast7, round(a.minutes7, 6) AS callDurationLast7,
+  round(b.avg30, 6) AS avgDailyMessagesLast30, totalMessagesSent, totalMessagesReceived, totalReactionsGiven,
+  totalReactionsReceived, totalCallsInitiated, totalCallsReceived, round(totalMinutes, 6) AS totalCallDurationMinutes,
+  CAST(lastActiveDate AS VARCHAR) AS lastActiveDate
+FROM lifetime l LEFT JOIN last30 b ON b.userId = l.userId LEFT JOIN last7 a ON a.userId = l.userId""")
 add("network_size", "SELECT userId, conversationsParticipating FROM network")
 add("groups_per_user", "SELECT userId, groupsParticipating FROM group_net")
 
@@ -853,3 +864,5 @@ _with(
 )
 
 ORACLE["retention_expiry"] = ORACLE["retention_filter"]
+ORACLE["cluster_two_columns"] = f"""
+SELECT * EXCLUDE (rangesApart), true AS conversationIdSkips, true AS senderIdSkips FROM ({ORACLE["cluster_rewrite"]})"""

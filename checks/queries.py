@@ -5,6 +5,7 @@ Results drop clock columns and carry dates, timestamps, lists and maps as text,
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -15,8 +16,8 @@ from pyspark.sql.streaming import StreamingQuery
 from checks.stage import stage
 from palaver import schemas
 from palaver.functions import arrays, calendar, columns, scores
-from palaver.operators import dedup, enrich, history, incremental, merge, quality, retention, running
-from palaver.plans import activity, bronze, conversations, daily, engagement, features, lake, periods, silver
+from palaver.operators import dedup, enrich, history, incremental, layout, merge, quality, retention, running
+from palaver.plans import activity, bronze, conversations, daily, engagement, features, lake, periods, silver, totals
 from palaver.sources import changes, fixtures, readers, tables
 from palaver.sources.fixtures import AS_OF
 from palaver.sources.scratch import scratch_dir
@@ -164,6 +165,24 @@ def cluster_rewrite(spark, sf_dir):
     )
 
 
+@query
+def cluster_two_columns(spark, sf_dir):
+    """Messages in 16 files; per column, whether a value's filter opens at most half of them, on the mean of all values."""
+    loose, ordered = scratch_dir(spark, "loose"), scratch_dir(spark, "ordered")
+    stage(spark, sf_dir).messages().drop("content").write.parquet(loose)
+    keys = ["conversationId", "senderId"]
+    layout.cluster_interleaved(tables.read_table(spark, loose), keys, ["messageId"], partitions=16).write.parquet(ordered)
+    rows = tables.read_table(spark, ordered)
+    out = rows.select("messageId", *keys, "messageType", "createdAt")
+    for c in keys:
+        files = rows.groupBy(F.input_file_name().alias("file")).agg(F.min(c).alias("low"), F.max(c).alias("high"))
+        ranges = files.agg(F.collect_list(F.struct("low", "high"))).scalar()  # one entry for each file
+        opened = F.size(F.filter(F.col("ranges"), lambda r: (r["low"] <= F.col(c)) & (F.col(c) <= r["high"])))
+        share = rows.select(c).distinct().withColumn("ranges", ranges).agg(F.avg(opened / F.size("ranges")))
+        out = out.withColumn(f"{c}Skips", F.coalesce(share.scalar() <= 0.5, F.lit(True)))
+    return out
+
+
 @query
 def replace_snapshot(spark, sf_dir):
     path = scratch_dir(spark, "snapshot")
@@ -432,6 +451,23 @@ def lifetime_totals(spark, sf_dir):
     return engagement.lifetime_totals(stage(spark, sf_dir).activity())
 
 
+@query
+def user_totals_carried(spark, sf_dir):
+    """Totals as of the tenth, carried to the twentieth and then to the end of the month.
+
+    Each state sees the activity of its own time; in the last step all days from the twelfth on count as changed, and what
+    they held before is half of it.
+    """
+    rows = stage(spark, sf_dir).activity()
+    day = F.col("activityDate")
+    partial = rows.filter(day <= F.lit("2024-01-20")).filter("activityDate < DATE '2024-01-12' OR messagesSent % 2 = 0")
+    state = tables.staged(totals.user_totals(rows.filter(day <= F.lit("2024-01-10")), "2024-01-10"), "totals")
+    eleventh, twelfth = dt.date(2024, 1, 11), dt.date(2024, 1, 12)
+    state = totals.carry_totals(state, rows.filter("false"), partial, eleventh, "2024-01-20")
+    old_days = partial.filter(day >= F.lit(twelfth))
+    return totals.windows_and_lifetime(totals.carry_totals(state, old_days, rows, twelfth, AS_OF))
+
+
 @query
 def network_size(spark, sf_dir):
     return engagement.network_size(engagement.contact_pairs(stage(spark, sf_dir).messages()))

@@ -80,17 +80,20 @@ def user_engagement(
     conversations: DataFrame | None = None,
     cap_score: bool = False,
     pairs: DataFrame | None = None,
+    totals: DataFrame | None = None,
 ) -> DataFrame:
     """One row per user, active or not.
 
-    ``activity`` is read once: both windows and the lifetime totals are conditional sums of one aggregation.
+    ``activity`` is read once: both windows and the lifetime totals are conditional sums of one aggregation. With carried
+    ``totals`` (``totals.windows_and_lifetime``) it is not read at all.
     ``groupsParticipating`` is 0 unless ``conversations`` are given. The trend compares the last 7 days with the
     days of the 30-day window before them. ``pairs``, the written first contacts, spare a scan of all messages.
     """
     pairs = contact_pairs(messages) if pairs is None else pairs.select("userId", "conversationId").distinct()
-    totals = activity.groupBy("userId").agg(
-        *_window_sums(as_of, 7), *_window_sums(as_of, 30), _daily_average(as_of), *_lifetime()
-    )
+    if totals is None:
+        totals = activity.groupBy("userId").agg(
+            *_window_sums(as_of, 7), *_window_sums(as_of, 30), _daily_average(as_of), *_lifetime()
+        )
     joined = users.select("userId").join(totals, "userId", "left").join(network_size(pairs), "userId", "left")
     if conversations is None:
         joined = joined.withColumn("groupsParticipating", F.lit(0).cast("bigint"))

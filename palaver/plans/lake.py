@@ -12,7 +12,7 @@ from palaver import schemas
 from palaver.functions.calendar import AsOf, as_date
 from palaver.functions.columns import since
 from palaver.operators.dedup import deduplicate
-from palaver.operators.layout import cluster as cluster_rows
+from palaver.operators.layout import cluster_interleaved
 from palaver.operators.quality import quality_report
 from palaver.operators.retention import RETENTION_DAYS, expire_days
 from palaver.plans.activity import first_contacts, new_contacts, user_activity
@@ -23,8 +23,10 @@ from palaver.plans.engagement import user_engagement
 from palaver.plans.features import user_features
 from palaver.plans.periods import monthly_metrics, weekly_metrics
 from palaver.plans.silver import silver_calls, silver_conversations, silver_messages, silver_users
+from palaver.plans.totals import carry_totals, user_totals, windows_and_lifetime
 from palaver.schemas import DAY_PARTITIONS, MONTH_PARTITIONS
 from palaver.sources.changes import Keyed, fold_changes, read_changes
+from palaver.sources.files import Files
 from palaver.sources.tables import (
     find_table, overwrite_partitions, read_table, replace_table, staged, upsert_partitions, upsert_table,
 )
@@ -64,6 +66,7 @@ TABLES = {
     "gold/analytics/user_engagement": Spec(
         schemas.USER_ENGAGEMENT, ["userId", "calculationDate"], MONTH_PARTITIONS
     ),
+    "gold/analytics/user_totals": Spec(schemas.USER_TOTALS, ["userId"], ()),
     "gold/analytics/conversations": Spec(
         schemas.CONVERSATION_ANALYTICS, ["conversationId", "calculationDate"], MONTH_PARTITIONS
     ),
@@ -123,8 +126,8 @@ class Lake:
             self.rows[name] = upsert_table(self.spark, newest, old, spec.keys, spec.partition_by, out_path=path)
         return self.table(name)
 
-    def replace(self, name: str, df: DataFrame) -> DataFrame:
-        self.rows[name] = replace_table(df, f"{self.root}/{name}", TABLES[name].partition_by)
+    def replace(self, name: str, df: DataFrame, placed: bool = False) -> DataFrame:
+        self.rows[name] = replace_table(df, f"{self.root}/{name}", TABLES[name].partition_by, placed)
         return self.table(name)
 
     def replace_days(self, name: str, df: DataFrame) -> DataFrame:
@@ -150,7 +153,7 @@ def run_lake(
     Tables that exist are merged into; ``rebuild`` replaces them. With ``changed_since``, silver messages and user activity
     are recomputed, and merged, from that day on, or from the earliest creation day of the batch's messages and calls where
     that is earlier, so that an edit of an old message reaches them. It needs existing tables. ``cluster`` rewrites silver
-    messages in the order of conversation and sender. ``expire`` at last removes the days past the limit of their layer.
+    messages so that scans by conversation and scans by sender prune. ``expire`` at last removes the days past the limit of their layer.
     """
     lake = Lake(spark, root, previous, rebuild)
     if changed_since is not None and lake.earlier("silver/messages") is None:
@@ -179,7 +182,7 @@ def run_lake(
     lake.upsert("silver/calls", silver_calls(recent(calls, "createdAt")))
     messages = lake.upsert("silver/messages", silver_messages(recent(messages_b, "createdAt"), users_b))
     if cluster:
-        messages = lake.replace("silver/messages", _clustered(messages))
+        messages = lake.replace("silver/messages", _clustered(messages), placed=True)
 
     # The messages of the changed days give their first contacts; pairs that met before are left out.
     written = recent(messages, "createdAt")
@@ -193,9 +196,21 @@ def run_lake(
         else:
             older = contacts.filter(F.col("firstDay") < F.lit(first))
             contacts = lake.replace("silver/first_contacts", older.unionByName(fresh))
+    # Totals per user are carried: the changed days are subtracted as they were, so those are put aside before the merge.
+    carried = old_days = None
+    if first is not None and not _totals_open(lake, lake.previous):
+        carried, earlier = lake.earlier("gold/analytics/user_totals"), lake.earlier("silver/user_activity")
+        old_days = None if carried is None else staged(recent(earlier, "activityDate"), "old_days")
+    _mark_totals(lake, True)
     activity = lake.upsert("silver/user_activity", user_activity(
         written, recent(calls, "createdAt"), contacts=recent(contacts, "firstDay")
     ))
+    if carried is None:
+        fresh_totals = user_totals(activity, as_of)
+    else:
+        fresh_totals = carry_totals(carried, old_days, activity, first, as_of)
+    totals = lake.replace("gold/analytics/user_totals", fresh_totals)
+    _mark_totals(lake, False)
 
     # Days before the changed ones keep their state, so no message, call or activity of theirs is read for the metrics.
     kept = lake.earlier("gold/metrics/day_states") is not None
@@ -206,7 +221,9 @@ def run_lake(
     every_day = staged(daily_from_states(states, users, conversations, spine="full"), "days")
     lake.replace("gold/metrics/weekly", weekly_metrics(every_day, activity))
     lake.replace("gold/metrics/monthly", monthly_metrics(every_day, activity, states))
-    lake.upsert("gold/analytics/user_engagement", user_engagement(users, activity, messages, as_of, pairs=contacts))
+    lake.upsert("gold/analytics/user_engagement", user_engagement(
+        users, activity, messages, as_of, pairs=contacts, totals=windows_and_lifetime(totals)
+    ))
     lake.upsert("gold/analytics/conversations", conversation_analytics(groups, messages, as_of))
     lake.replace("gold/ml_features", user_features(activity, users, messages, as_of))
     lake.replace("quality", _quality(messages_b, users_b, calls, daily, as_of))
@@ -215,6 +232,20 @@ def run_lake(
     return lake
 
 
+def _totals_mark(root: str) -> str:
+    return f"{root}/gold/analytics/_user_totals_open"
+
+
+def _totals_open(lake: Lake, root: str) -> bool:
+    """Whether a run stopped between its changes of the activity and the new totals: these are then summed anew."""
+    return Files(lake.spark, root).exists(_totals_mark(root))
+
+
+def _mark_totals(lake: Lake, is_open: bool) -> None:
+    files, mark = Files(lake.spark, lake.root), _totals_mark(lake.root)
+    files.touch(mark) if is_open else files.remove(mark)
+
+
 # Tables of facts by day. First contacts stay: a pair that met once is never new again.
 EXPIRING = ("bronze/messages", "bronze/events", "bronze/calls", "silver/messages", "silver/calls")
 
@@ -228,8 +259,8 @@ def expire_lake(spark: SparkSession, root: str, as_of: AsOf) -> dict[str, int]:
 
 
 def _clustered(messages: DataFrame) -> DataFrame:
-    """Staged in the order that scans by conversation and sender prune best."""
-    return staged(cluster_rows(messages, [*DAY_PARTITIONS, "conversationId", "senderId"], ["messageId"]), "clustered")
+    """A copy of the rows, ordered so that scans by conversation and scans by sender skip files and row groups."""
+    return cluster_interleaved(staged(messages, "loose"), ["conversationId", "senderId"], ["messageId"], DAY_PARTITIONS)
 
 
 def _quality(messages: DataFrame, users: DataFrame, calls: DataFrame, daily: DataFrame, as_of: AsOf) -> DataFrame:

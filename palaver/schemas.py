@@ -121,6 +121,15 @@ USER_ACTIVITY: Contract = {
     "newConversationsStarted": "bigint", "mediaShared": "bigint", "isActiveDay": "boolean", **_BY_DAY,
     "dayOfWeek": "int", "processedAt": "timestamp",
 }
+TOTAL_WINDOWS = (7, 30)
+TOTAL_MEASURES = (
+    "messagesSent", "messagesReceived", "reactionsGiven", "reactionsReceived", "callsInitiated", "callsReceived",
+)
+USER_TOTALS: Contract = {
+    "userId": "string", "asOf": "date", "lastActiveDate": "date",
+    **{f"{m}{span}": "bigint" for m in (*TOTAL_MEASURES, "callSeconds", "activeDays", "days")
+       for span in (*[f"Last{w}" for w in TOTAL_WINDOWS], "Total")},
+}
 DAY_STATES: Contract = {
     "metricDate": "date", "activeUsers": "bigint", "avgMessagesPerUser": "double", "totalMessages": "bigint",
     "textMessages": "bigint", "mediaMessages": "bigint", "totalReactions": "bigint", "peakHour": "int",

@@ -33,18 +33,19 @@ def find_table(spark: SparkSession, path: str, contract: Contract | StructType |
         raise
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "append") -> int:
-    """Write and return the row count, observed while writing (no second job)."""
+def write_table(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "append", placed: bool = False
+) -> int:
+    """Write and return the row count, observed while writing (no second job). ``placed`` rows are written where they are."""
     seen = Observation()
-    placed = balance(df, partition_by) if partition_by else df
-    placed = placed.observe(seen, F.count(F.lit(1)).alias("rows"))
-    placed.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    rows = balance(df, partition_by) if partition_by and not placed else df
+    rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode).partitionBy(*partition_by).parquet(path)
     return seen.get["rows"]
 
 
-def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
+def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), placed: bool = False) -> int:
     """Create the table or replace its whole content; ``df`` must not read from ``path``."""
-    return write_table(df, path, partition_by, mode="overwrite")
+    return write_table(df, path, partition_by, mode="overwrite", placed=placed)
 
 
 def upsert_table(

@@ -217,3 +217,42 @@ def test_expired_days_are_removed_and_nothing_else(spark, tmp_path):
     assert limits == 2 and all(f.stat().st_mtime_ns == t for f, t in kept.items())
     assert retention.expire_days(spark, path, "2024-04-10", 90) == []
     assert retention.expire_days(spark, str(tmp_path / "none"), "2024-04-10", 90) == []
+
+
+def test_interleaved_files_are_skipped_by_either_column(spark, tmp_path):
+    rows = spark.range(40_000).selectExpr(
+        "id", "'c' || lpad(CAST(xxhash64(id) % 997 AS STRING), 6, '0') AS c",
+        "IF(id % 3 = 0, 'hot', 's' || lpad(CAST(abs(xxhash64(id, 1)) % 499 AS STRING), 6, '0')) AS s", "id % 7 AS _place",
+    ).withColumn("s", F.when(F.col("id") % 1000 > 0, F.col("s")))
+    loose = str(tmp_path / "loose")
+    rows.write.parquet(loose)
+    table = spark.read.parquet(loose)
+
+    def opened(df, name):
+        df.write.parquet(str(tmp_path / name))
+        back = spark.read.parquet(str(tmp_path / name))
+        assert back.columns == table.columns and back.exceptAll(table).isEmpty() and back.count() == 40_000
+        files = back.groupBy(F.input_file_name()).agg(*[f(k).alias(f"{f.__name__}_{k}") for k in "cs" for f in (F.min, F.max)]).collect()
+        biggest = back.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+        assert biggest < 2 * 40_000 / 16
+        shares = []
+        for k in "cs":
+            values = [r[0] for r in back.select(k).dropna().distinct().collect()]
+            hits = sum(f[f"min_{k}"] <= v <= f[f"max_{k}"] for v in values for f in files)
+            shares.append(hits / len(values) / len(files))
+        return shares
+
+    both = opened(layout.cluster_interleaved(table, ["c", "s"], ["id"], partitions=16), "both")
+    plain = opened(layout.cluster(table, ["c", "s"], ["id"], partitions=16), "plain")
+    assert max(both) <= 0.5 and plain[0] <= 0.2 and plain[1] >= 0.9
+
+
+def test_interleaving_of_few_null_or_no_values(spark):
+    df = spark.createDataFrame([(1, None, 5.0), (2, None, 5.0), (2, None, None)], "a int, b string, c double")
+    for rows in (df, df.filter("false")):
+        out = layout.cluster_interleaved(rows, ["a", "b", "c"], partitions=2)
+        assert sorted(map(str, out.collect())) == sorted(map(str, rows.collect()))
+    number = layout.interleaved([F.lit(5), F.lit(3)], 3)
+    assert spark.range(1).select(number).first()[0] == 0b100111
+    with pytest.raises(ValueError):
+        layout.cluster_interleaved(df, ["a", "b", "c"], bits=21)
