@@ -578,6 +578,13 @@ SELECT {ts('w', 'windowStart')}, {ts('w + INTERVAL 1 MINUTE', 'windowEnd')}, cou
   round(avg(length(content)), 6) AS avgMessageLength
 FROM (SELECT *, date_trunc('minute', createdAt) AS w FROM raw_messages)
 GROUP BY w""")
+add("stream_live_metrics_final", f"""
+SELECT {ts('w', 'windowStart')}, {ts('w + INTERVAL 1 MINUTE', 'windowEnd')}, count(*) AS messageCount,
+  count(DISTINCT senderId) AS activeUsers, count(DISTINCT conversationId) AS activeConversations,
+  round(avg(length(content)), 6) AS avgMessageLength
+FROM (SELECT *, date_trunc('minute', createdAt) AS w FROM raw_messages)
+GROUP BY w
+HAVING w + INTERVAL 1 MINUTE <= (SELECT max(createdAt) FROM raw_messages) - INTERVAL 10 MINUTE""")
 add("stream_live_metrics_approx", f"""
 SELECT {ts('w', 'windowStart')}, {ts('w + INTERVAL 1 MINUTE', 'windowEnd')}, count(*) AS messageCount,
   true AS usersClose, true AS conversationsClose, round(avg(length(content)), 6) AS avgMessageLength

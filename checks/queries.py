@@ -740,6 +740,15 @@ def stream_live_metrics(spark, sf_dir):
     return live.live_metrics_exact(changes.read_current(spark, out, live.MEMBERS))
 
 
+@query
+def stream_live_metrics_final(spark, sf_dir):
+    """The windows that the watermark has closed at the end of the stream."""
+    out = _two_runs(spark, sf_dir, "messages", lambda values, out, mark: sinks.append_to_table(
+        live.live_metrics_final(values), out, mark, live.WINDOW_PARTITIONS, every=None
+    ))
+    return tables.read_table(spark, out).drop(*live.WINDOW_PARTITIONS)
+
+
 @query
 def stream_live_metrics_approx(spark, sf_dir):
     """Sketched counts against the exact ones: within three deviations (5% each) and one."""

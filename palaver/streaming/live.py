@@ -47,9 +47,13 @@ MEMBERS = Keyed(
 )
 
 
-def live_members(values: DataFrame, window: str = WINDOW, watermark: str = WATERMARK) -> DataFrame:
+def live_members(
+    values: DataFrame, window: str = WINDOW, watermark: str = WATERMARK, keep_window: bool = False
+) -> DataFrame:
     """Messages, characters and texts per window and member (sender or conversation), for update mode.
 
+    ``keep_window`` leaves the window column itself, by which a further aggregation of the stream can group.
+
     State is spread by member, so no window gathers its members into one set. A null sender or conversation is the member
     with an empty id of kind ``unknown sender`` or ``unknown conversation``, spread over slots by the
     whole bus record (a malformed one has no message id), so that a hot null is not one state key.
@@ -68,6 +72,8 @@ def live_members(values: DataFrame, window: str = WINDOW, watermark: str = WATER
     per_member = rows.groupBy(F.window("busTimestamp", window), "m.kind", "m.id").agg(
         F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"), F.count("chars").alias("texts")
     )
+    if keep_window:
+        return per_member
     start = F.col("window.start")
     return per_member.select(
         start.alias("windowStart"), F.col("window.end").alias("windowEnd"), "kind", "id", "n", "chars", "texts",
@@ -75,10 +81,9 @@ def live_members(values: DataFrame, window: str = WINDOW, watermark: str = WATER
     )
 
 
-def live_metrics_exact(members: DataFrame) -> DataFrame:
-    """Exact metrics of every window, open ones included, from the merged table of ``live_members``."""
+def _window_totals(members: DataFrame, *window: str) -> DataFrame:
     sender = F.col("kind").isin("sender", "unknown sender")
-    per_window = members.groupBy("windowStart", "windowEnd").agg(
+    per_window = members.groupBy(*window).agg(
         F.sum(F.when(sender, F.col("n"))).alias("messageCount"),
         F.count_if(F.col("kind") == "sender").alias("activeUsers"),
         F.count_if(F.col("kind") == "conversation").alias("activeConversations"),
@@ -86,3 +91,26 @@ def live_metrics_exact(members: DataFrame) -> DataFrame:
         F.sum(F.when(sender, F.col("texts"))).alias("texts"),
     )
     return per_window.withColumn("avgMessageLength", F.try_divide("chars", "texts")).drop("chars", "texts")
+
+
+def live_metrics_exact(members: DataFrame) -> DataFrame:
+    """Exact metrics of every window, open ones included, from the merged table of ``live_members``."""
+    return _window_totals(members, "windowStart", "windowEnd")
+
+
+def live_metrics_final(values: DataFrame, window: str = WINDOW, watermark: str = WATERMARK) -> DataFrame:
+    """Exact metrics of every window once it is closed, from one query in append mode.
+
+    Two aggregations follow each other: the first holds one row for each window and member, spread by member; when the
+    watermark passes the end of a window they go on to the second, which counts them. Nothing is merged into a table, and
+    a row of the result never changes. Windows that the watermark has not passed are not reported, records later than the
+    watermark do not count.
+    """
+    members = live_members(values, window, watermark, keep_window=True)
+    totals = _window_totals(members, "window")
+    start = F.col("window.start")
+    return totals.select(
+        start.alias("windowStart"), F.col("window.end").alias("windowEnd"), "messageCount", "activeUsers",
+        "activeConversations", "avgMessageLength", F.year(start).alias("year"), F.month(start).alias("month"),
+        F.dayofmonth(start).alias("day"),
+    )

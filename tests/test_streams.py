@@ -156,3 +156,22 @@ def test_interval_queries_end_together(spark, bus):
     assert not query.isActive
     spark.streams.resetTerminated()
     assert bus.read().count() == 1
+
+
+def test_final_live_metrics_report_closed_windows_once(bus):
+    def run():
+        sinks.await_all([sinks.append_to_table(
+            live.live_metrics_final(bus.values()), bus.out, bus.mark, live.WINDOW_PARTITIONS, every=None
+        )])
+        rows = bus.read().collect()
+        got = {r.windowStart: (r.messageCount, r.activeUsers, r.activeConversations, r.avgMessageLength) for r in rows}
+        assert len(got) == len(rows)
+        return got
+
+    bus.send(LIVE)
+    bus.send([record("6", 1, None, None, "yy", 6)])
+    first = run()
+    assert first == {at(0): (3, 2, 2, 2.0), at(1): (2, 1, 1, 3.0)}  # the window at 40 minutes is open
+    bus.send([record("late", 0, "u9", "c9"), record("7", 40, "u4", "c1", "x", 5), record("8", 59, "u4", "c1")])
+    second = run()
+    assert second == first | {at(40): (2, 2, 1, 1.5)}
