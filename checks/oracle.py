@@ -873,3 +873,4 @@ _with(
 ORACLE["retention_expiry"] = ORACLE["retention_filter"]
 ORACLE["cluster_two_columns"] = f"""
 SELECT * EXCLUDE (rangesApart), true AS conversationIdSkips, true AS senderIdSkips FROM ({ORACLE["cluster_rewrite"]})"""
+ORACLE["single_jobs"] = ORACLE["medallion_run"]

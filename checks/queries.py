@@ -17,7 +17,7 @@ from checks.stage import stage
 from palaver import schemas
 from palaver.functions import arrays, calendar, columns, scores
 from palaver.operators import dedup, enrich, history, incremental, layout, merge, quality, retention, running
-from palaver.plans import activity, bronze, conversations, daily, engagement, features, lake, periods, silver, totals
+from palaver.plans import activity, bronze, conversations, daily, engagement, features, jobs, lake, periods, silver, totals
 from palaver.sources import changes, fixtures, readers, tables
 from palaver.sources.fixtures import AS_OF
 from palaver.sources.scratch import scratch_dir
@@ -961,6 +961,15 @@ def medallion_run(spark, sf_dir):
     return _content(lake.run_lake(spark, raw_inputs(spark, sf_dir), scratch_dir(spark, "lake"), AS_OF, cluster=True))
 
 
+@query
+def single_jobs(spark, sf_dir):
+    """The tables of a whole run, each made by a call of its own."""
+    root, raw = scratch_dir(spark, "lake"), raw_inputs(spark, sf_dir)
+    for name in jobs.JOBS:
+        run = jobs.run_jobs(spark, root, [name], AS_OF, raw)
+    return _content(run)
+
+
 @query
 def merge_existing_lake(spark, sf_dir):
     return _content(updated_lake(spark, sf_dir))

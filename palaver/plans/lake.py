@@ -201,7 +201,7 @@ def run_lake(
     if first is not None and not _totals_open(lake, lake.previous):
         carried, earlier = lake.earlier("gold/analytics/user_totals"), lake.earlier("silver/user_activity")
         old_days = None if carried is None else staged(recent(earlier, "activityDate"), "old_days")
-    _mark_totals(lake, True)
+    mark_totals(lake, True)
     activity = lake.upsert("silver/user_activity", user_activity(
         written, recent(calls, "createdAt"), contacts=recent(contacts, "firstDay")
     ))
@@ -210,7 +210,7 @@ def run_lake(
     else:
         fresh_totals = carry_totals(carried, old_days, activity, first, as_of)
     totals = lake.replace("gold/analytics/user_totals", fresh_totals)
-    _mark_totals(lake, False)
+    mark_totals(lake, False)
 
     # Days before the changed ones keep their state, so no message, call or activity of theirs is read for the metrics.
     kept = lake.earlier("gold/metrics/day_states") is not None
@@ -226,7 +226,7 @@ def run_lake(
     ))
     lake.upsert("gold/analytics/conversations", conversation_analytics(groups, messages, as_of))
     lake.replace("gold/ml_features", user_features(activity, users, messages, as_of))
-    lake.replace("quality", _quality(messages_b, users_b, calls, daily, as_of))
+    lake.replace("quality", quality_rows(messages_b, users_b, calls, daily, as_of))
     if expire:
         expire_lake(spark, root, as_of)
     return lake
@@ -241,7 +241,8 @@ def _totals_open(lake: Lake, root: str) -> bool:
     return Files(lake.spark, root).exists(_totals_mark(root))
 
 
-def _mark_totals(lake: Lake, is_open: bool) -> None:
+def mark_totals(lake: Lake, is_open: bool) -> None:
+    """Set while the activity may be newer than the totals."""
     files, mark = Files(lake.spark, lake.root), _totals_mark(lake.root)
     files.touch(mark) if is_open else files.remove(mark)
 
@@ -263,7 +264,7 @@ def _clustered(messages: DataFrame) -> DataFrame:
     return cluster_interleaved(staged(messages, "loose"), ["conversationId", "senderId"], ["messageId"], DAY_PARTITIONS)
 
 
-def _quality(messages: DataFrame, users: DataFrame, calls: DataFrame, daily: DataFrame, as_of: AsOf) -> DataFrame:
+def quality_rows(messages: DataFrame, users: DataFrame, calls: DataFrame, daily: DataFrame, as_of: AsOf) -> DataFrame:
     parts = [
         quality_report(messages, "bronze.messages", ["_id"], ["conversationId", "senderId", "createdAt"],
                        {"messageType": schemas.MESSAGE_TYPES}, ["createdAt"], as_of),
