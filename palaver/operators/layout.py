@@ -45,12 +45,16 @@ def range_ends(df: DataFrame, column: str, ranges: int) -> list:
     return [r["end"] for r in ends.collect()][:-1]
 
 
-def range_rank(column: str, ends: Sequence) -> Column:
-    """Number of the range a value falls into, from 0; nulls are in the first one."""
+def range_rank(column: str, ends: Sequence, ranges: int) -> Column:
+    """Number of the range a value falls into, from 0; nulls are in the first one.
+
+    Where there are fewer ranges, the numbers are spread over ``ranges`` all the same: otherwise a column of few values
+    would only have low bits, and one of many would decide the order alone.
+    """
     if not ends:
         return F.lit(0)
     below = F.filter(F.array(*[F.lit(e) for e in ends]), lambda end: end < F.col(column))
-    return F.when(F.col(column).isNull(), F.lit(0)).otherwise(F.size(below))
+    return F.when(F.col(column).isNull(), F.lit(0)).otherwise((F.size(below) * ranges / (len(ends) + 1)).cast("int"))
 
 
 def interleaved(ranks: Sequence[Column], bits: int) -> Column:
@@ -81,7 +85,7 @@ def cluster_interleaved(
     place = "_place"
     while place in df.columns:
         place = "_" + place
-    ranks = [range_rank(c, range_ends(df, c, 2**bits)) for c in columns]
+    ranks = [range_rank(c, range_ends(df, c, 2**bits), 2**bits) for c in columns]
     order = [*partition_by, place, *columns, *[c for c in spread if c not in columns]]
     placed = df.withColumn(place, interleaved(ranks, bits))
     ranged = placed.repartitionByRange(partitions, *order) if partitions else placed.repartitionByRange(*order)

@@ -252,6 +252,8 @@ def test_interleaving_of_few_null_or_no_values(spark):
     for rows in (df, df.filter("false")):
         out = layout.cluster_interleaved(rows, ["a", "b", "c"], partitions=2)
         assert sorted(map(str, out.collect())) == sorted(map(str, rows.collect()))
+    few = spark.range(5).select("id", layout.range_rank("id", [0, 1, 2], 64).alias("rank")).collect()
+    assert [r["rank"] for r in few] == [0, 16, 32, 48, 48]
     number = layout.interleaved([F.lit(5), F.lit(3)], 3)
     assert spark.range(1).select(number).first()[0] == 0b100111
     with pytest.raises(ValueError):
