@@ -3,28 +3,35 @@
 Passages are 64 words in a row; their terms are the words that occur in the benchmark, weighted by a smoothed inverse
 passage frequency of 1 at least. One pass over all passages gives ``G @ Q`` for the Gram matrix ``G`` of the normalised
 TF-IDF rows and a random orthonormal ``Q``; its Nystrom form is the randomised singular value decomposition (terms by
-``RANK``). Benchmark items and windows of the documents are sums of latent term vectors, whose cosine is given for each
-leak; it decides nothing.
+``RANK``). Benchmark items and windows of the documents are folded in as sums of term vectors over singular values.
+
+Candidates are the windows of about 1, 1.5 and 2 times an item's length, a sixth of it apart, whose cosine with the item
+reaches the item's threshold. That is measured in the same latent space: ``TRIALS`` edited copies of the item (0.4 of the
+words replaced by words of the corpus, or as many inserted as it has) are folded in, and the threshold is what a share of
+``RECALL`` of them reaches. A second, exact source adds what edits hide from the cosine. At least 0.6 of the item's words
+must be in the region, so of the rarest 0.4 and ``ANCHORS`` more at least ``ANCHORS`` are; hits of these in the texts,
+sorted by item and place, give the regions that have so many. ``by_cosine`` tells whether the cosine led to a leak.
 
 Leaks are decided on the words themselves: an item is leaked if, in a stretch of twice its words, 0.8 of its words are a
 common subsequence, or 0.6 of them with half of the words of its last sentence (its answer). Regions of that length and a
-step more begin every step (a sixth of the item), so any such stretch lies inside one. Candidates are exact. At least 0.6
-of the item's words must be in the region, so of the rarest 0.4 and ``ANCHORS`` more at least ``ANCHORS`` are; hits of
-these in the texts, sorted by item and place, give the regions that have so many. Those that hold 0.6 of the item's words
-in any order are compared. All documents and all words of them count in every step; there is no cap on candidates.
+step more begin every step (a sixth of the item), so any such stretch lies inside one. Candidate regions that hold 0.6 of
+the item's words in any order are compared. All documents and all words of them count in every step; there is no cap on
+candidates.
 
 Items over 64 words are cut into equal segments, searched apart and added up; where one segment reaches 0.6, all of them
 count for that document, however little of them is found. Items are taken in blocks of ``BLOCK``
 segments, so what a task holds does not grow with the benchmark; each block is a pass over the documents.
 
-Defined results: items without ``SHORTEST`` words are too short to tell from ordinary text and are not searched; texts
-without words leak nothing. Rows with the same doc_id count as one document; a null doc_id is kept as a null.
+Defined results: items of ``RUN_FROM`` to ``SHORTEST - 1`` words are leaked only by a run of all their words, items of
+fewer words are not searched, since ordinary text holds them; a run of characters without spaces is one word. Texts
+without words leak nothing. Rows are told apart by doc_id and text: rows that share a doc_id, or have none, count
+separately unless their texts are equal; equal rows are one.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,15 +43,17 @@ from palaver.llm.common import on_workers, table, written
 from palaver.llm.words import sliced, words_of
 
 PASSAGE = 64
-RANK = 64
+RANK, OVERSAMPLED = 128, 8
 RATIO_ALONE, RATIO_WITH_ANSWER, ANSWER_SHARE = 0.8, 0.6, 0.5
 LEAST = min(RATIO_ALONE, RATIO_WITH_ANSWER)
-SHORTEST = 8
+SHORTEST, RUN_FROM = 8, 4
 SEGMENT = 64
 BLOCK = 512
 # Regions of a segment begin a sixth of its length apart.
 STEPS = 6
 SLOT_BITS = 20
+# Share of edited copies that a cosine threshold lets through, copies tried for each segment, and the lowest threshold.
+RECALL, TRIALS, LOWEST = 0.95, 64, 0.2
 # Long texts are handled in pieces of this many words, which share OVERLAP words with the next.
 PIECE, OVERLAP = 8192, 256
 CHUNK_WORDS = 32_768
@@ -64,7 +73,7 @@ class Segments:
     answer_bits: np.ndarray
     terms: np.ndarray
     first: np.ndarray
-    slots: np.ndarray  # term of each word slot, -1 for words that no item has
+    vocabulary: np.ndarray  # word hashes of the terms, sorted
     size: int
 
     @property
@@ -85,7 +94,7 @@ def blocks(items: Iterable[tuple[int | None, str | None]]) -> Iterator[Segments]
     for item_id, text in items:
         pair = words_of(pa.array([text or "", answer_of(text or "")]))
         words, answer = pair.counts
-        if words < SHORTEST:
+        if words < RUN_FROM:
             continue
         rows.append((item_id, pair.hashes[:words], int(answer)))
         n += -(-words // SEGMENT)
@@ -104,25 +113,49 @@ def _segments(rows: list[tuple]) -> Segments:
             bits = sum(1 << i for i in range(b - a) if a + i >= len(hashes) - answer)
             item.append(item_id), part.append(k), item_words.append(len(hashes)), answer_words.append(answer)
             answer_bits.append(bits), pieces.append(hashes[a:b])
-    slot = (np.concatenate(pieces) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-    used, terms = np.unique(slot, return_inverse=True)
-    slots = np.full(1 << SLOT_BITS, -1, np.int32)
-    slots[used] = np.arange(len(used))
+    vocabulary, terms = np.unique(np.concatenate(pieces), return_inverse=True)
     first = np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
     return Segments(
         item, np.array(part), np.array(item_words), np.array(answer_words), np.array(answer_bits, np.uint64), terms,
-        first, slots, len(used),
+        first, vocabulary, len(vocabulary),
     )
 
 
-def term_rows(docs: DataFrame, slots: np.ndarray) -> DataFrame:
-    """doc_id, own (words that no later row of the text repeats), terms; one row for each piece of a text."""
+def term_lookup(vocabulary: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
+    """Function from word hashes to places in the sorted vocabulary, -1 for other words; whole hashes are compared."""
+    slot = (vocabulary >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+    used, first, runs = np.unique(slot, return_index=True, return_counts=True)
+    table = np.full(1 << SLOT_BITS, -1, np.int32)
+    table[used] = first
+    longest = int(runs.max(initial=0))
+
+    def look(hashes: np.ndarray) -> np.ndarray:
+        term = table[(hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)]
+        at = np.flatnonzero(term >= 0)
+        place, found = term[at], np.full(len(at), -1, np.int32)
+        for k in range(longest):  # words of one slot stand side by side
+            here = np.minimum(place + k, len(vocabulary) - 1)
+            found = np.where(vocabulary[here] == hashes[at], here, found)
+        term[at] = found
+        return term
+
+    return look
+
+
+def text_key(docs: DataFrame) -> Column:
+    """Tells texts of rows with one doc_id, or none, apart."""
+    return F.md5(F.coalesce(docs["text"], F.lit("")))
+
+
+def term_rows(docs: DataFrame, vocabulary: np.ndarray) -> DataFrame:
+    """doc_id, key (of the text), own (words that no later row of the text repeats), terms; a row for a piece of a text."""
     step = PIECE - OVERLAP
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        look = term_lookup(vocabulary)
         for batch in sliced(batches, "text"):
             words = words_of(batch.column("text"))
-            terms = slots[(words.hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)]
+            terms = look(words.hashes)
             n = -(-words.counts // step)
             text = np.repeat(np.arange(batch.num_rows), n)
             begin = (np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)) * step
@@ -132,14 +165,15 @@ def term_rows(docs: DataFrame, slots: np.ndarray) -> DataFrame:
             at = np.repeat(words.first[:-1][text] + begin - offsets[:-1], size) + np.arange(offsets[-1])
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id").take(pa.array(text)), pa.array(np.minimum(left, step).astype(np.int32)),
+                    batch.column("doc_id").take(pa.array(text)), batch.column("key").take(pa.array(text)),
+                    pa.array(np.minimum(left, step).astype(np.int32)),
                     pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(terms[at])),
                 ],
-                names=["doc_id", "own", "terms"],
+                names=["doc_id", "key", "own", "terms"],
             )
 
-    return on_workers(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, own int, terms array<int>"
+    return on_workers(docs).select(docs["doc_id"].cast("long").alias("doc_id"), text_key(docs).alias("key"), docs["text"]).mapInArrow(
+        run, "doc_id long, key string, own int, terms array<int>"
     )
 
 
@@ -167,34 +201,37 @@ def _passages(part: pa.RecordBatch, offsets: np.ndarray, terms: np.ndarray) -> t
     return passage[keep], terms[keep], int(n.sum())
 
 
-def passage_frequencies(rows: DataFrame, size: int) -> tuple[np.ndarray, int]:
+def passage_frequencies(rows: DataFrame, size: int) -> tuple[np.ndarray, int, float]:
+    """Passages that hold each term, the number of passages, and the share of all words that are terms."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, total = np.zeros(size, np.int64), 0
+        found, total, words, inside = np.zeros(size, np.int64), 0, 0, 0
         for part, offsets, terms in _chunks(batches):
             passage, term, n = _passages(part, offsets, terms)
-            total += n
+            total, words, inside = total + n, words + len(terms), inside + int((terms >= 0).sum())
             found += np.bincount(np.unique(passage * size + term) % size, minlength=size)
         at = np.flatnonzero(found)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.append(at, -1).astype(np.int32)), pa.array(np.append(found[at], total))], names=["term", "n"]
+            [pa.array(np.append(at, [-1, -2, -3]).astype(np.int32)), pa.array(np.append(found[at], [total, words, inside]))],
+            names=["term", "n"],
         )
 
     got = on_workers(rows).mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     term, n = got["term"].to_numpy(), got["n"].to_numpy()
     out = np.zeros(size, np.int64)
     out[term[term >= 0]] = n[term >= 0]
-    return out, int(n[term < 0].sum())
+    total, words, inside = (int(n[term == k].sum()) for k in (-1, -2, -3))
+    return out, total, inside / max(words, 1)
 
 
 def latent_terms(rows: DataFrame, idf: np.ndarray, rank: int = RANK, seed: int = 5) -> np.ndarray:
     """Weighted latent vector of each term: the randomised decomposition of all passages, in one pass."""
     size = len(idf)
-    rank = min(rank, size)
-    base = np.linalg.qr(np.random.default_rng(seed).normal(size=(size, rank)))[0]
-    names = [f"c{i}" for i in range(rank)]
+    rank, sketch = min(rank, size), min(rank + OVERSAMPLED, size)
+    base = np.linalg.qr(np.random.default_rng(seed).normal(size=(size, sketch)))[0]
+    names = [f"c{i}" for i in range(sketch)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, start = np.zeros((size, rank), np.float32), base.astype(np.float32)
+        out, start = np.zeros((size, sketch), np.float32), base.astype(np.float32)
         for part, offsets, terms in _chunks(batches):
             passage, term, n = _passages(part, offsets, terms)
             weight = idf[term].astype(np.float32)
@@ -213,21 +250,24 @@ def latent_terms(rows: DataFrame, idf: np.ndarray, rank: int = RANK, seed: int =
             out[term[order][edge]] += np.add.reduceat(back, edge, axis=0)
         at = np.flatnonzero(np.abs(out).sum(1))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(at.astype(np.int32)), *[pa.array(np.ascontiguousarray(out[at, i])) for i in range(rank)]],
+            [pa.array(at.astype(np.int32)), *[pa.array(np.ascontiguousarray(out[at, i])) for i in range(sketch)]],
             names=["term", *names],
         )
 
     schema = "term int, " + ", ".join(f"{c} float" for c in names)
     got = on_workers(rows).mapInArrow(run, schema).groupBy("term").agg(*[F.sum(c).alias(c) for c in names]).toArrow()
-    image = np.zeros((size, rank))
+    image = np.zeros((size, sketch))
     image[got["term"].to_numpy()] = np.stack([got[c].to_numpy() for c in names], 1)
     shift = 1e-6 * max(np.linalg.norm(image), 1e-9)
     image += shift * base
     core = base.T @ image
-    root = np.linalg.cholesky((core + core.T) / 2 + 1e-12 * np.eye(rank))
+    root = np.linalg.cholesky((core + core.T) / 2 + 1e-12 * np.eye(sketch))
     left, singular, _ = np.linalg.svd(np.linalg.solve(root, image.T).T, full_matrices=False)
-    values = np.maximum(singular**2 - shift, 1e-9)
-    return (idf[:, None] * left * values**-0.25).astype(np.float32)
+    left, singular = left[:, :rank], singular[:rank]
+    values = singular**2 - shift
+    # Folding in divides by the singular values; directions of rounding errors are left out.
+    scale = np.where(values > 10 * shift, np.maximum(values, 1e-12) ** -0.5, 0)
+    return (idf[:, None] * left * scale).astype(np.float32)
 
 
 def _match(regions: np.ndarray, segment: np.ndarray, masks: np.ndarray, full: np.ndarray) -> np.ndarray:
@@ -239,20 +279,71 @@ def _match(regions: np.ndarray, segment: np.ndarray, masks: np.ndarray, full: np
     return ~state & full[segment]
 
 
+@dataclass
+class Windows:
+    """Segments of like lengths: windows begin every ``step`` words and are ``blocks`` steps long."""
+
+    segments: np.ndarray
+    step: int
+    blocks: list[int]
+
+
+def window_classes(lengths: np.ndarray) -> list[Windows]:
+    """Segments by length, steps from an eighth to a quarter of it, each the double of the one before."""
+    level = np.floor(np.log2(np.maximum(lengths, 1) / 12)).astype(int)
+    out = []
+    for k in np.unique(np.maximum(level, -1)):
+        mine = np.flatnonzero(np.maximum(level, -1) == k)
+        step = 3 << int(k) if k >= 0 else 1
+        blocks = {max(1, round(f * lengths[mine].mean() / step)) for f in (1, 1.5, 2)}
+        out.append(Windows(mine, step, sorted(blocks)))
+    return out
+
+
+def item_vectors(seg: Segments, latent: np.ndarray) -> np.ndarray:
+    vectors = np.add.reduceat(latent[seg.terms], seg.first[:-1], axis=0)
+    return vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
+
+
+def cosine_thresholds(seg: Segments, latent: np.ndarray, frequency: np.ndarray, share: float, seed: int = 11) -> np.ndarray:
+    """The cosine that ``RECALL`` of the edited copies of each segment reach, in windows of their length.
+
+    Words between are drawn like those of the corpus: ``share`` of them are terms, by their frequency.
+    """
+    rng, vectors = np.random.default_rng(seed), item_vectors(seg, latent)
+    chance = (frequency + 1) / (frequency + 1).sum()
+    out = np.ones(len(seg.item))
+    for windows in window_classes(seg.lengths):
+        for s in windows.segments:
+            words = latent[seg.terms[seg.first[s] : seg.first[s + 1]]]
+            n = len(words)
+            for kept, blocks in ((LEAST, windows.blocks[0]), (1.0, windows.blocks[-1])):
+                keep = rng.random((TRIALS, n)).argsort(axis=1) < int(np.ceil(kept * n - 1e-9))
+                others = int(round(share * max(0, blocks * windows.step - keep[0].sum())))
+                noise = latent[rng.choice(seg.size, (TRIALS, others), p=chance)].sum(axis=1)
+                copies = keep.astype(np.float32) @ words + noise
+                cosine = copies @ vectors[s] / np.maximum(np.linalg.norm(copies, axis=1), 1e-9)
+                out[s] = min(out[s], np.quantile(cosine, 1 - RECALL))
+    return np.maximum(out, LOWEST).astype(np.float32)
+
+
 class Search:
-    def __init__(self, seg: Segments, latent: np.ndarray, frequency: np.ndarray):
+    def __init__(self, seg: Segments, latent: np.ndarray, frequency: np.ndarray, threshold: np.ndarray):
         self.seg = seg
-        self.step = np.maximum(1, seg.lengths // STEPS)
-        self.region = 2 * seg.lengths + self.step  # begins are a step apart: any stretch of twice the item is inside one
+        short = seg.item_words < SHORTEST  # searched for a run of all their words
+        self.step = np.where(short, 1, np.maximum(1, seg.lengths // STEPS))
+        # Begins are a step apart: any stretch of twice the item is inside one region.
+        self.region = np.where(short, seg.lengths, 2 * seg.lengths + self.step)
+        self.need = np.where(short, seg.lengths, np.ceil(LEAST * seg.lengths - 1e-9).astype(np.int64))
         self._anchors(frequency)
+        self.threshold, self.classes = threshold, window_classes(seg.lengths)
         self.latent = np.vstack([latent, np.zeros((1, latent.shape[1]), np.float32)])
         owner = np.repeat(np.arange(len(seg.item)), seg.lengths)
         self.masks = np.zeros((len(seg.item), seg.size + 1), np.uint64)  # the last column is for other words
         bit = np.uint64(1) << (np.arange(len(seg.terms)) - seg.first[owner]).astype(np.uint64)
         np.bitwise_or.at(self.masks, (owner, seg.terms), bit)
         self.full = np.array([(1 << int(n)) - 1 for n in seg.lengths], np.uint64)
-        vectors = np.add.reduceat(latent[seg.terms], seg.first[:-1], axis=0)
-        self.vectors = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
+        self.vectors = item_vectors(seg, latent)
 
     def _anchors(self, frequency: np.ndarray) -> None:
         """The rarest words of each segment: a region with enough of the segment's words holds ``self.least`` of these.
@@ -260,7 +351,6 @@ class Search:
         Words of the segment that may be missing, and ``least`` more; each place of the segment counts.
         """
         lengths = self.seg.lengths
-        self.need = np.ceil(LEAST * lengths - 1e-9).astype(np.int64)
         self.least = np.minimum(ANCHORS, self.need)
         owner = np.repeat(np.arange(len(lengths)), lengths)
         order = np.lexsort((self.seg.terms, frequency[self.seg.terms], owner))
@@ -269,18 +359,65 @@ class Search:
         self.anchor, self.anchor_of = self.seg.terms[order][kept], owner[kept]
 
     def __call__(self, offsets: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Row, segment, matched words, matched words of the answer and cosine of the best region of each pair."""
+        """Row, segment, matched words, matched words of the answer, cosine of the best region of each pair, by_cosine."""
         terms = np.where(terms < 0, self.seg.size, terms)
-        found = [np.zeros((5, 0), np.int64)]
-        for row, segment, begin in self._candidates(offsets, terms):
-            for k in range(0, len(row), 4096):
-                found.append(self._verified(row[k : k + 4096], segment[k : k + 4096], begin[k : k + 4096], offsets, terms, self.need))
+        found = [np.zeros((6, 0), np.int64)]
+        for source, by_cosine in ((self._by_cosine, 1), (self._candidates, 0)):
+            for row, segment, begin in source(offsets, terms):
+                for k in range(0, len(row), 4096):
+                    part = slice(k, k + 4096)
+                    one = self._verified(row[part], segment[part], begin[part], offsets, terms, self.need)
+                    found.append(np.vstack([one, np.full((1, one.shape[1]), by_cosine)]))
         return self._best(found, offsets, terms)
 
+    def _by_cosine(self, offsets: np.ndarray, terms: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Row, segment and begin of the regions around the windows whose cosine reaches the segment's threshold."""
+        size = np.diff(offsets)
+        filled = np.flatnonzero(size)
+        size, start = size[filled], offsets[filled]
+        done, sums = 1, None
+        for windows in self.classes:
+            n = -(-size // windows.step)  # blocks of each row
+            end = np.cumsum(n)
+            if sums is None or windows.step % done:
+                sums, begins, each = self.latent[terms], start, windows.step
+            else:
+                begins, each = before, windows.step // done
+            at = np.arange(end[-1] if len(end) else 0) - np.repeat(end - n, n)
+            sums = np.add.reduceat(sums, np.repeat(begins, n) + at * each, axis=0) if len(at) else sums[:0]
+            done, before = windows.step, end - n
+            if len(at):
+                yield from self._near(windows, sums, np.repeat(np.arange(len(size)), n), end, n, filled, size, start)
+
+    def _near(self, windows, sums, row_of, end, n, filled, size, start):
+        mine, rank = windows.segments, sums.shape[1]
+        total = np.zeros((len(sums) + 1, rank), np.float32)
+        np.cumsum(sums, axis=0, out=total[1:])
+        dots = np.zeros((len(sums) + 1, len(mine)), np.float32)
+        np.cumsum(sums @ self.vectors[mine].T, axis=0, out=dots[1:])
+        keys = []
+        for k in windows.blocks:
+            # A row shorter than the window is one window.
+            block = np.flatnonzero(np.arange(len(sums)) <= np.maximum(end - k, end - n)[row_of])
+            stop = np.minimum(block + k, end[row_of[block]])
+            x = total[stop] - total[block]
+            norm = np.sqrt(np.einsum("ij,ij->i", x, x))
+            near = (dots[stop] - dots[block]) >= np.maximum(norm, 1e-6)[:, None] * self.threshold[mine]
+            hit, which = np.nonzero(near)
+            row, segment = row_of[block[hit]], mine[which]
+            step, region = self.step[segment], self.region[segment]
+            low = (block[hit] - (end - n)[row]) * windows.step
+            high = np.minimum(low + k * windows.step, size[row])
+            for begin in (low // step, -(-np.maximum(high - region, 0) // step)):
+                keys.append((row * len(self.seg.item) + segment) * (PIECE + 1) + begin)
+        pair, begin = np.divmod(np.unique(np.concatenate(keys)), PIECE + 1)
+        row, segment = np.divmod(pair, len(self.seg.item))
+        yield filled[row], segment, start[row] + begin * self.step[segment]
+
     def whole(self, offsets: np.ndarray, terms: np.ndarray, items: list[list[int]]) -> tuple[np.ndarray, ...]:
         """The same for all segments of the given items of each row (by their first segment), however little is found."""
         terms = np.where(terms < 0, self.seg.size, terms)
-        found = [np.zeros((5, 0), np.int64)]
+        found = [np.zeros((6, 0), np.int64)]
         ends = np.append(np.flatnonzero(self.seg.part == 0), len(self.seg.part))
         for row, size in enumerate(np.diff(offsets)):
             for item in items[row]:
@@ -288,23 +425,25 @@ class Search:
                     n = max(0, -(-int(size - self.region[s]) // int(self.step[s]))) + 1
                     begin = offsets[row] + np.arange(n) * self.step[s]
                     one = self._verified(np.full(n, row), np.full(n, s), begin, offsets, terms, np.ones_like(self.need))
-                    found.append(one[:, np.lexsort((-one[3], -one[2]))[:1]])
+                    best = one[:, np.lexsort((-one[3], -one[2]))[:1]]
+                    found.append(np.vstack([best, np.zeros_like(best[:1])]))
         return self._best(found, offsets, terms)
 
     def _best(self, found: list[np.ndarray], offsets: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, ...]:
-        row, segment, matched, answer, begin = np.concatenate(found, axis=1)
+        row, segment, matched, answer, begin, by_cosine = np.concatenate(found, axis=1)
         words, answer_words = self.seg.item_words[segment], self.seg.answer_words[segment]
         with_answer = (matched >= RATIO_WITH_ANSWER * words) & (answer >= ANSWER_SHARE * answer_words)
         passed = (matched >= RATIO_ALONE * words) | with_answer
         order = np.lexsort((begin, -answer, -matched, ~passed, segment, row))
         row, segment = row[order], segment[order]
         best = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(segment, prepend=-1) != 0))
+        by_cosine = np.maximum.reduceat(by_cosine[order], best) > 0 if len(best) else by_cosine > 0
         order, row, segment = order[best], row[best], segment[best]
         cosine = [np.zeros(0)]
         for k in range(0, len(row), 256):
             part = slice(k, k + 256)
             cosine.append(self._cosine(row[part], segment[part], begin[order[part]], offsets, terms))
-        return row, segment, matched[order], answer[order], np.concatenate(cosine)
+        return row, segment, matched[order], answer[order], np.concatenate(cosine), by_cosine
 
     def _candidates(self, offsets: np.ndarray, terms: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Row, segment and begin of all regions with ``least`` anchors, in portions of about ``PAIRS`` anchor hits."""
@@ -380,12 +519,14 @@ class Search:
 
 
 FOUND = (
-    "doc_id long, item_id long, item int, segment int, words long, answer_words long, matched long, answer long, "
-    "cosine double"
+    "doc_id long, key string, item_id long, item int, segment int, words long, answer_words long, matched long, "
+    "answer long, cosine double, by_cosine boolean"
 )
 
 
-def search(rows: DataFrame, seg: Segments, latent: np.ndarray, frequency: np.ndarray) -> DataFrame:
+def search(
+    rows: DataFrame, seg: Segments, latent: np.ndarray, frequency: np.ndarray, threshold: np.ndarray
+) -> DataFrame:
     """Common subsequences of document pieces and item segments with ``LEAST`` of the segment's words or more.
 
     Where ``rows`` name items (``items``, by their first segments), those of all their segments instead.
@@ -394,51 +535,60 @@ def search(rows: DataFrame, seg: Segments, latent: np.ndarray, frequency: np.nda
     first = np.maximum.accumulate(np.where(seg.part == 0, np.arange(len(seg.part)), 0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = Search(seg, latent, frequency)
+        find = Search(seg, latent, frequency, threshold)
         items = pa.array(seg.item, pa.int64())
         for part, offsets, terms in _chunks(batches):
             got = find.whole(offsets, terms, part.column("items").to_pylist()) if named else find(offsets, terms)
-            row, segment, matched, answer, cosine = got
+            row, segment, matched, answer, cosine, by_cosine = got
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column("doc_id").take(pa.array(row)), items.take(pa.array(segment)),
+                    part.column("doc_id").take(pa.array(row)), part.column("key").take(pa.array(row)), items.take(pa.array(segment)),
                     pa.array(first[segment].astype(np.int32)), pa.array(seg.part[segment].astype(np.int32)),
                     pa.array(seg.item_words[segment]), pa.array(seg.answer_words[segment]), pa.array(matched),
-                    pa.array(answer), pa.array(cosine),
+                    pa.array(answer), pa.array(cosine), pa.array(by_cosine),
                 ],
-                names=["doc_id", "item_id", "item", "segment", "words", "answer_words", "matched", "answer", "cosine"],
+                names=[f.split()[0] for f in FOUND.split(", ")],
             )
 
     return on_workers(rows).mapInArrow(run, FOUND)
 
 
+LEAKS = (
+    "doc_id", "item_id", "words", "matched", "answer_words", "answer", "ratio", "cosine", "by_cosine", "key"
+)
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, item_id) of every leak, with the words of the item and of its answer that are found, and the cosine."""
+    """(doc_id, item_id) of every leak, with the words of the item and of its answer that are found, the cosine, whether
+    the cosine search led to it, and the key of the text."""
     found = None
     for seg in blocks((r[0], r[1]) for r in benchmark.select("item_id", "text").toLocalIterator()):
-        rows = written(term_rows(docs, seg.slots), "terms")
-        df, total = passage_frequencies(rows, seg.size)
+        rows = written(term_rows(docs, seg.vocabulary), "terms")
+        df, total, share = passage_frequencies(rows, seg.size)
         idf = 1 + np.log((1 + total) / (1 + df))  # positive for every term, however common it is
         latent = latent_terms(rows, idf)
-        part = written(search(rows, seg, latent, df), "found")
+        threshold = cosine_thresholds(seg, latent, df, share)
+        part = written(search(rows, seg, latent, df, threshold), "found")
         found = part if found is None else found.unionByName(part)
         if seg.part.any():
             # An item of several segments can be a leak if one of them has LEAST of its words; the others count too.
-            named = part.filter(F.col("words") > SEGMENT).groupBy(F.col("doc_id").alias("_doc")).agg(
-                F.collect_set("item").alias("items")
-            )
-            again = rows.join(named, F.col("doc_id").eqNullSafe(F.col("_doc"))).select(*rows.columns, "items")
-            found = found.unionByName(written(search(again, seg, latent, df), "found"))
+            named = part.filter(F.col("words") > SEGMENT).groupBy(
+                F.col("doc_id").alias("_doc"), F.col("key").alias("_key")
+            ).agg(F.collect_set("item").alias("items"))
+            same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("key") == F.col("_key"))
+            again = rows.join(named, same).select(*rows.columns, "items")
+            found = found.unionByName(written(search(again, seg, latent, df, threshold), "found"))
     if found is None:
-        empty = "doc_id long, item_id long, words long, matched long, answer_words long, answer long, cosine double"
-        return docs.sparkSession.createDataFrame([], empty + ", ratio double")
-    best = found.groupBy("doc_id", "item_id", "segment", "words", "answer_words").agg(
-        F.max(F.struct(_leaked(), "matched", "answer", "cosine")).alias("b")
+        empty = "doc_id long, item_id long, words long, matched long, answer_words long, answer long, ratio double"
+        return docs.sparkSession.createDataFrame([], empty + ", cosine double, by_cosine boolean, key string")
+    best = found.groupBy("doc_id", "key", "item_id", "segment", "words", "answer_words").agg(
+        F.max(F.struct(_leaked(), "matched", "answer", "cosine")).alias("b"), F.max("by_cosine").alias("by_cosine")
     )
-    whole = best.groupBy("doc_id", "item_id", "words", "answer_words").agg(
-        F.sum("b.matched").alias("matched"), F.sum("b.answer").alias("answer"), F.max("b.cosine").alias("cosine")
+    whole = best.groupBy("doc_id", "key", "item_id", "words", "answer_words").agg(
+        F.sum("b.matched").alias("matched"), F.sum("b.answer").alias("answer"), F.max("b.cosine").alias("cosine"),
+        F.max("by_cosine").alias("by_cosine"),
     ).withColumn("ratio", F.col("matched") / F.col("words"))
-    return whole.filter(_leaked())
+    return whole.filter(_leaked()).select(*LEAKS)
 
 
 def _leaked() -> Column:
@@ -448,13 +598,13 @@ def _leaked() -> Column:
 
 
 def op7_decontamination(spark, sf_dir: str) -> DataFrame:
-    """Leaks of benchmark items in documents: doc_id, item_id, matched words, ratio, cosine."""
-    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
-        "doc_id", "item_id", "words", "matched", "answer_words", "answer", "ratio", "cosine"
-    )
+    """Leaks of benchmark items in documents: doc_id, item_id, matched words, ratio, cosine, by_cosine."""
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(*LEAKS[:-1])
 
 
 def decontamination_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents in which no benchmark item leaked."""
-    leaked = leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(leaked, "doc_id", "left_anti").select(*docs.columns)
+    """The rows in whose text no benchmark item leaked."""
+    found = leaks(docs, table(spark, sf_dir, "benchmark"))
+    leaked = found.select(F.col("doc_id").alias("_doc"), F.col("key").alias("_key")).distinct()
+    same = docs["doc_id"].cast("long").eqNullSafe(leaked["_doc"]) & (text_key(docs) == leaked["_key"])
+    return docs.join(leaked, same, "left_anti")

@@ -101,9 +101,9 @@ def test_latent_terms_span_the_leading_singular_vectors(spark):
     topics = [words(rng, 12) for _ in range(3)]
     docs = documents(spark, [(i, " ".join(rng.choice(topics[i % 3]) for _ in range(64))) for i in range(120)])
     seg = next(D.blocks((i, " ".join(t)) for i, t in enumerate(topics)))
-    rows = D.term_rows(docs, seg.slots)
-    df, total = D.passage_frequencies(rows, seg.size)
-    assert total == 120
+    rows = D.term_rows(docs, seg.vocabulary)
+    df, total, share = D.passage_frequencies(rows, seg.size)
+    assert total == 120 and share == 1
     idf = np.log((1 + total) / (1 + df))
     latent = D.latent_terms(rows, idf, rank=3)
     vectors = np.add.reduceat(latent[seg.terms], seg.first[:-1], axis=0)
@@ -169,6 +169,8 @@ def test_edited_items_are_found_as_by_brute_force(spark):
                     spark.createDataFrame(bench, "item_id long, text string")).collect()
     got = {(r.doc_id, r.item_id): r.matched for r in found}
     assert planted <= set(got)
+    # The share of all pairs' leaks that the cosine leads to, without the exact source.
+    assert len({(r.doc_id, r.item_id) for r in found if r.by_cosine} & planted) >= 0.9 * len(planted)
     for d in range(0, len(docs), 8):
         for i, item in items.items():
             n, w = len(item), docs[d]
@@ -184,3 +186,56 @@ def test_all_segments_of_a_long_item_count(spark):
     docs = documents(spark, [(1, " ".join(text)), (None, " ".join(text)), (2, " ".join(item[:80]))])
     got = sorted((r.doc_id or 0, r.matched) for r in D.leaks(docs, bench).collect())
     assert got == [(0, 120), (1, 120)]
+
+
+def test_cosine_thresholds_let_edited_copies_through_and_few_others():
+    rng = np.random.default_rng(9)
+    seg = D._segments([(i, rng.integers(0, 2**63, 40).astype(np.uint64), 10) for i in range(50)])
+    latent = np.linalg.qr(rng.normal(size=(seg.size, 64)))[0].astype(np.float32)
+    threshold = D.cosine_thresholds(seg, latent, np.ones(seg.size), 0.5)
+    find = D.Search(seg, latent, np.ones(seg.size), threshold)
+    held, others = 0, 0
+    for s in range(50):
+        copy = seg.terms[seg.first[s] : seg.first[s + 1]].copy()
+        copy[rng.choice(30, 16, replace=False)] = -1
+        text = np.concatenate([np.full(60, -1), copy, np.full(50, -1)])
+        text[:30] = rng.integers(0, seg.size, 30)
+        pairs = {int(x) for _, segment, _ in find._by_cosine(np.array([0, len(text)]), np.where(text < 0, seg.size, text)) for x in segment}
+        held, others = held + (s in pairs), others + len(pairs - {s})
+    assert held >= 45 and others < 250
+
+
+def test_short_items_are_found_as_runs(spark):
+    rng = random.Random(10)
+    item, body = words(rng, 7), words(rng, 80)
+    split = body[:20] + item[:4] + ["between"] + item[4:] + body[20:]
+    docs = documents(spark, [(1, " ".join(body[:30] + item + body[30:])), (2, " ".join(split)), (3, " ".join(item)),
+                             (4, " ".join(item[:6])), (5, "the end")])
+    bench = spark.createDataFrame([(7, " ".join(item)), (8, "the end")], "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.matched) for r in D.leaks(docs, bench).collect())
+    assert got == [(1, 7, 7), (3, 7, 7)]  # two words are too few to search
+
+
+def test_rows_without_or_with_one_doc_id_count_apart(spark, tmp_path):
+    rng = random.Random(11)
+    item, body = words(rng, 120), words(rng, 50)
+    whole, clean = " ".join(body + item), " ".join(body)
+    bench = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    halves = [(None, " ".join(item[:60])), (None, " ".join(item[60:]))]
+    assert D.leaks(documents(spark, halves), bench).count() == 0
+    rows = halves + [(None, whole), (None, clean), (5, whole), (5, clean), (6, whole), (6, whole), (None, None)]
+    docs = documents(spark, rows).withColumn("key", F.lit("mine")).withColumn("_key", F.lit(1)).withColumn("terms", F.lit(2))
+    found = sorted((r.doc_id or 0) for r in D.leaks(docs, bench).collect())
+    assert found == [0, 5, 6]
+    kept = D.decontamination_stage(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id or 0, r.text or "") for r in kept.collect())) == sorted(
+        [(0, t) for _, t in halves] + [(0, clean), (5, clean), (0, "")]
+    )
+
+
+def test_terms_are_told_apart_by_their_whole_hashes():
+    vocabulary = np.array([5, 6, 9, 1 << 60], np.uint64)  # the first three share a slot
+    look = D.term_lookup(vocabulary)
+    assert look(np.array([6, 7, 9, 1 << 60, (1 << 60) + 1, 5, 2**64 - 1], np.uint64)).tolist() == [1, -1, 2, 3, -1, 0, -1]
