@@ -327,6 +327,21 @@ def cosine_thresholds(seg: Segments, latent: np.ndarray, frequency: np.ndarray,
     return np.maximum(out, LOWEST).astype(np.float32)
 
 
+def _sliding(x: np.ndarray, sizes: list[int]) -> Iterator[np.ndarray]:
+    """Sums of ``size`` rows in a row, for each size, from sums over powers of two; short of the end by ``size`` - 1."""
+    powers = [x]
+    while 2 << (len(powers) - 1) <= sizes[-1]:
+        half = 1 << (len(powers) - 1)
+        powers.append(powers[-1][:-half] + powers[-1][half:])
+    for size in sizes:
+        out, done = None, 0
+        for k, part in enumerate(powers):
+            if size >> k & 1:
+                n, part = len(x) - size + 1, part[done:]
+                out, done = part[:n] if out is None else out + part[:n], done + (1 << k)
+        yield out
+
+
 class Search:
     def __init__(self, seg: Segments, latent: np.ndarray, frequency: np.ndarray, threshold: np.ndarray):
         self.seg = seg
@@ -373,46 +388,45 @@ class Search:
     def _by_cosine(self, offsets: np.ndarray, terms: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Row, segment and begin of the regions around the windows whose cosine reaches the segment's threshold."""
         size = np.diff(offsets)
-        filled = np.flatnonzero(size)
-        size, start = size[filled], offsets[filled]
-        done, sums = 1, None
         for windows in self.classes:
-            n = -(-size // windows.step)  # blocks of each row
-            end = np.cumsum(n)
-            if sums is None or windows.step % done:
-                sums, begins, each = self.latent[terms], start, windows.step
-            else:
-                begins, each = before, windows.step // done
-            at = np.arange(end[-1] if len(end) else 0) - np.repeat(end - n, n)
-            sums = np.add.reduceat(sums, np.repeat(begins, n) + at * each, axis=0) if len(at) else sums[:0]
-            done, before = windows.step, end - n
-            if len(at):
-                yield from self._near(windows, sums, np.repeat(np.arange(len(size)), n), end, n, filled, size, start)
-
-    def _near(self, windows, sums, row_of, end, n, filled, size, start):
-        mine, rank = windows.segments, sums.shape[1]
-        total = np.zeros((len(sums) + 1, rank), np.float32)
-        np.cumsum(sums, axis=0, out=total[1:])
-        dots = np.zeros((len(sums) + 1, len(mine)), np.float32)
-        np.cumsum(sums @ self.vectors[mine].T, axis=0, out=dots[1:])
-        keys = []
-        for k in windows.blocks:
+            # Rows in blocks of ``step`` words, each row followed by empty blocks, so that no window reaches the next.
+            n = -(-size // windows.step)
+            padded = n + windows.blocks[-1]
+            end = np.cumsum(padded)
+            row_of = np.repeat(np.arange(len(size)), n)
+            nth = np.arange(len(row_of)) - np.repeat(np.cumsum(n) - n, n)
+            block = np.repeat(end - padded, n) + nth
+            sums = np.zeros((int(end[-1]), self.latent.shape[1]), np.float32)
+            word, last = offsets[row_of] + nth * windows.step, offsets[row_of + 1]
+            part = self.latent[terms[word]]
+            for k in range(1, windows.step):
+                part += self.latent[np.where(word + k < last, terms[np.minimum(word + k, len(terms) - 1)], self.seg.size)]
+            sums[block] = part
+            yield self._near(windows, sums, row_of, nth, block, n, size, offsets)
+
+    def _near(self, windows, sums, row_of, nth, block, n, size, offsets) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        mine = windows.segments
+        place = np.full(len(sums), -1)  # of each block among those that hold words
+        place[block] = np.arange(len(block))
+        ones, keys = np.ones(sums.shape[1], np.float32), []
+        for k, x, dots in zip(
+            windows.blocks, _sliding(sums, windows.blocks), _sliding(sums @ self.vectors[mine].T, windows.blocks)
+        ):
+            norm = np.sqrt((x * x) @ ones)
+            at = np.flatnonzero(dots >= np.maximum(norm, 1e-6)[:, None] * self.threshold[mine])
+            hit, which = place[at // len(mine)], at % len(mine)
+            row = row_of[hit]
             # A row shorter than the window is one window.
-            block = np.flatnonzero(np.arange(len(sums)) <= np.maximum(end - k, end - n)[row_of])
-            stop = np.minimum(block + k, end[row_of[block]])
-            x = total[stop] - total[block]
-            norm = np.sqrt(np.einsum("ij,ij->i", x, x))
-            near = (dots[stop] - dots[block]) >= np.maximum(norm, 1e-6)[:, None] * self.threshold[mine]
-            hit, which = np.nonzero(near)
-            row, segment = row_of[block[hit]], mine[which]
+            whole = (hit >= 0) & (nth[hit] <= np.maximum(n[row] - k, 0))
+            hit, row, segment = hit[whole], row[whole], mine[which[whole]]
             step, region = self.step[segment], self.region[segment]
-            low = (block[hit] - (end - n)[row]) * windows.step
+            low = nth[hit] * windows.step
             high = np.minimum(low + k * windows.step, size[row])
             for begin in (low // step, -(-np.maximum(high - region, 0) // step)):
                 keys.append((row * len(self.seg.item) + segment) * (PIECE + 1) + begin)
         pair, begin = np.divmod(np.unique(np.concatenate(keys)), PIECE + 1)
         row, segment = np.divmod(pair, len(self.seg.item))
-        yield filled[row], segment, start[row] + begin * self.step[segment]
+        return row, segment, offsets[row] + begin * self.step[segment]
 
     def whole(self, offsets: np.ndarray, terms: np.ndarray, items: list[list[int]]) -> tuple[np.ndarray, ...]:
         """The same for all segments of the given items of each row (by their first segment), however little is found."""
