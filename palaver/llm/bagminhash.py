@@ -15,8 +15,9 @@ all of them with probability 0.0002. Each bucket has a hub, its node that shares
 compared with the most central of its hubs, and nodes that this leaves without any link with their next one: first by
 weight and by a 252-bit digest of the signature, then exactly on the texts. So there is about one comparison for each node,
 however large its group, and most of a group of copies is connected then. The nodes that are not in the component of one of
-their hubs are compared exactly with all other nodes of that hub, in blocks: every pair of a bucket ends up compared or
-connected, without a cap, and only links are written out, one for each two components and block.
+their hubs are compared exactly with all other nodes of that hub, in blocks, and with the hub itself unless that was done
+before: every pair of a bucket ends up compared or connected, without a cap, and only links are written out, one for each two
+components and block.
 
 Defined results: a text of one to four words is one shingle; texts without a word are linked if they are equal; a null
 text is a class of its own. Rows are classed by their own text, whatever doc_id they share; the class of rows without a
@@ -244,17 +245,27 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def compared(family: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links between the nodes of a hub (node, hub) that are outside its component and all other nodes of the hub."""
+    """Links between the nodes of a hub (node, hub, settled) that are outside its component and all others of its buckets.
+
+    The hub itself is among these where a node outside is not ``settled`` with it, that is, not compared exactly before.
+    """
     of_hub = labels.select(F.col("node").alias("hub"), F.col("label").alias("_hub_label"))
     named = family.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    named = named.join(of_hub, "hub", "left")
-    outside = F.col("label") != F.coalesce("_hub_label", "hub")
-    named = written(named.select("hub", "node", "label", outside.alias("outside")), "named")
+    named = named.join(of_hub, "hub", "left").withColumn("hub_label", F.coalesce("_hub_label", "hub"))
+    outside = F.col("label") != F.col("hub_label")
+    named = written(named.select("hub", "node", "label", "hub_label", "settled", outside.alias("outside")), "named")
     blocks = named.groupBy("hub").agg(
-        F.ceil(F.count_if("outside") / OUTSIDE).alias("obs"), F.ceil(F.count(F.lit(1)) / ALL).alias("xbs"),
-        F.count(F.lit(1)).alias("size"),
-    ).filter("obs > 0 AND size > 1")
-    named = named.join(written(blocks, "blocks"), "hub")
+        F.count_if("outside").alias("apart"), F.count(F.lit(1)).alias("size"), F.first("hub_label").alias("hub_label"),
+        F.count_if(F.col("outside") & ~F.col("settled")).alias("open"),
+    ).filter("apart > 0 AND (size > 1 OR open > 0)").select(
+        "hub", "hub_label", (F.col("open") > 0).alias("open"), F.ceil(F.col("apart") / OUTSIDE).alias("obs"),
+        F.ceil((F.col("size") + 1) / ALL).alias("xbs"),
+    )
+    blocks = written(blocks, "blocks")
+    itself = blocks.filter("open").select(
+        "hub", F.col("hub").alias("node"), F.col("hub_label").alias("label"), F.lit(False).alias("outside"), "obs", "xbs"
+    )
+    named = named.drop("hub_label", "settled").join(blocks.drop("hub_label", "open"), "hub").unionByName(itself)
     ob, xb = F.pmod(F.xxhash64("node"), F.col("obs")), F.pmod(F.xxhash64("node", F.lit(1)), F.col("xbs"))
     every_o, every_x = (F.explode(F.sequence(F.lit(0), F.col(c) - 1)) for c in ("obs", "xbs"))
     node = ["hub", "node", "label"]
@@ -290,11 +301,16 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _fits(a: str, b: str) -> Column:
+    """Whether the weights of two nodes let them be similar; exact."""
+    wa, wb = F.col(f"{a}.weight"), F.col(f"{b}.weight")
+    return F.least(wa, wb) >= SIMILAR * F.greatest(wa, wb) - 1e-9
+
+
 def _close(a: str, b: str) -> Column:
-    """Whether two nodes can be similar, by weights and digests. Exact for the weights."""
+    """Whether two nodes look similar, by weights and digests."""
     different = sum((F.bit_count(F.col(f"{a}.d{i}").bitwiseXOR(F.col(f"{b}.d{i}"))) for i in range(4)), F.lit(0))
-    wa, wb = F.col(f"{a}.weight"), F.col(f"{b}.weight")
-    return (F.least(wa, wb) >= SIMILAR * F.greatest(wa, wb) - 1e-9) & (different <= DIFFERENT_BITS)
+    return _fits(a, b) & (different <= DIFFERENT_BITS)
 
 
 def row_classes(docs: DataFrame) -> DataFrame:
@@ -322,24 +338,30 @@ def row_classes(docs: DataFrame) -> DataFrame:
     family = members.join(written(hubs, "hubs"), "bucket").filter("node <> hub").select("node", "hub", "_central").distinct()
     turn = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("_central"), "hub"))  # 36 rows at most
     family = written(family.select("node", "hub", turn.alias("turn")), "family")
+    met = family.alias("p").join(info.alias("a"), F.col("p.node") == F.col("a.node")).join(
+        info.alias("b"), F.col("p.hub") == F.col("b.node")
+    ).select("p.node", "p.hub", "turn", _fits("a", "b").alias("fits"), _close("a", "b").alias("close"))
+    family = written(met, "met")
     involved = nodes.select("node", "key").join(members.select("node").distinct(), "node", "left_semi")
     texts = docs.select(_key().alias("key"), "text").join(involved, "key").select("node", "text")
     texts = written(texts.dropDuplicates(["node"]), "texts")
 
-    edges = None
+    edges = seen = None
     for k in range(TURNS):
-        turn = family.filter(F.col("turn") == k + 1).select("node", "hub")
+        star = family.filter((F.col("turn") == k + 1) & F.col("close")).select("node", "hub")
         if edges is not None:
             linked = edges.select("node").union(edges.select("hub")).distinct()
-            turn = turn.join(linked, "node", "left_anti")
-        star = turn.alias("p").join(info.alias("a"), F.col("p.node") == F.col("a.node")).join(
-            info.alias("b"), F.col("p.hub") == F.col("b.node")
-        ).filter(_close("a", "b")).select("p.node", "p.hub")
-        found = written(verified(written(star, "star"), texts), "linked")
+            star = star.join(linked, "node", "left_anti")
+        star = written(star, "star")
+        found = written(verified(star, texts), "linked")
         edges = found if edges is None else edges.unionByName(found)
+        seen = star if seen is None else seen.unionByName(star)
     labels = written(components(edges), "first")
 
-    late = written(compared(family.drop("turn"), labels, texts), "linked")
+    # Pairs of a node and a hub that no turn took up, or that the digest alone kept apart, are still open.
+    done = family.join(seen.withColumn("_seen", F.lit(True)), ["node", "hub"], "left")
+    settled = ~F.col("fits") | F.coalesce("_seen", F.lit(False))
+    late = written(compared(done.select("node", "hub", settled.alias("settled")), labels, texts), "linked")
     joined = edges.unionByName(late)
     labels = labels if late.isEmpty() else written(components(joined), "second")
 

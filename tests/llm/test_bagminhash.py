@@ -55,6 +55,26 @@ def test_classes_equal_all_pairs(spark, seed):
     assert {r.doc_id: r.class_id for r in B.classes(docs).collect()} == plain_classes(texts)
 
 
+@pytest.mark.parametrize("constant, value", [("TURNS", 1), ("DIFFERENT_BITS", -1)])
+def test_pairs_with_a_hub_that_no_turn_compares_are_not_lost(spark, monkeypatch, constant, value):
+    """All hubs but the first, or every digest: what the turns leave out is compared exactly, the hub itself too."""
+    monkeypatch.setattr(B, constant, value)
+    texts = corpus(random.Random(3))
+    docs = documents(spark, list(texts.items())).repartition(5)
+    assert {r.doc_id: r.class_id for r in B.classes(docs).collect()} == plain_classes(texts)
+
+
+def test_a_hub_is_compared_with_the_nodes_outside_that_are_not_settled(spark):
+    text = " ".join(words(random.Random(7), 100))
+    texts = spark.createDataFrame([(n, f"{text} t{n}") for n in range(4)], "node long, text string")
+    labels = spark.createDataFrame([(3, 0)], "node long, label long")
+    family = spark.createDataFrame([(1, 0, False), (2, 0, True), (3, 0, True)], "node long, hub long, settled boolean")
+    assert sorted(B.compared(family.filter("node = 1"), labels.limit(0), texts).collect()) == [(1, 0)]
+    assert B.compared(family.filter("node > 1 AND node < 3"), labels.limit(0), texts).isEmpty()
+    got = {frozenset(r) for r in B.compared(family, labels, texts).collect()}
+    assert got & {frozenset((1, 0)), frozenset((1, 3))} and got & {frozenset((1, 2)), frozenset((2, 3)), frozenset((2, 0))}
+
+
 def test_odd_rows(spark):
     rows = ODD + [(900_007, "word " * 60_000), (900_008, ""), (900_009, None), (900_010, "ONE!")]
     docs = documents(spark, rows).withColumn("class_id", F.lit("mine")).withColumn("weight", F.lit(1))
