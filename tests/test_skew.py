@@ -68,6 +68,28 @@ def test_sender_lookup_splits_the_hot_sender(spark, tmp_path):
     assert len(rows) == ROWS and all(r.senderName == "n" + r.senderId for r in rows)
 
 
+def test_texts_are_not_shuffled_by_sender(spark, tmp_path):
+    """The contents pass one exchange, by message, and the name is that of the version that stays."""
+    messages = hot_messages(spark, str(tmp_path / "b"))
+    edited = messages.filter("_id IN ('5', '6')").withColumns({
+        "senderId": F.lit("12"), "updatedAt": F.col("updatedAt") + F.expr("INTERVAL 1 DAY"),
+    })
+    tables.replace_table(messages.unionByName(edited).unionByName(edited), str(tmp_path / "c"))
+    users = spark.range(500).selectExpr("CAST(id AS STRING) AS _id", "'n' || id AS displayName")
+    with conf(
+        spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false",
+    ):
+        named = silver.silver_messages(tables.read_table(spark, str(tmp_path / "c"), schemas.BRONZE_MESSAGES), users)
+        text = named._jdf.queryExecution().executedPlan().toString()
+        lines = text.splitlines()
+        exchanges = [i for i, line in enumerate(lines) if "Exchange hashpartitioning(" in line]
+        wide = [lines[i] for i in exchanges if any("content#" in line for line in lines[i + 1 : i + 4])]
+        assert len(wide) == 1 and "_id#" in wide[0]
+        rows = {r.messageId: (r.senderId, r.senderName) for r in named.collect()}
+    assert len(rows) == ROWS and rows["5"] == rows["6"] == ("12", "n12")
+    assert all(name == ("n" + sender if int(sender) < 500 else None) for sender, name in rows.values())
+
+
 def test_null_and_hot_emails_spread_over_partitions(spark):
     left = spark.range(20_000).selectExpr(
         "CAST(id AS STRING) AS _id", "CASE id % 3 WHEN 0 THEN 'a' || id WHEN 1 THEN 'a0' END AS email"
