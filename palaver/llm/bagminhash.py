@@ -387,15 +387,15 @@ def op9_near_duplicates(spark, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each class, that with the lowest doc_id; of rows equal in doc_id and text, any one of them."""
-    rows = row_classes(docs).filter("key IS NOT NULL").groupBy("key").agg(
-        F.max("kept").alias("_stays"), F.count(F.lit(1)).alias("_copies")
-    )
-    # Keys that something happens to; most rows have none.
-    decided = written(rows.filter("NOT _stays OR _copies > 1"), "decided")
+    """One row of each class, that with the lowest doc_id; of rows equal in doc_id and text, any one of them.
+
+    The texts are shuffled once: the rows that go are taken away, and repeated ones dropped where that has placed them.
+    """
+    rows = row_classes(docs).filter("key IS NOT NULL").groupBy("key").agg(F.max("kept").alias("_stays"))
     taken = {c.lower() for c in docs.columns}
     own = next(n for n in (f"_key{i}" for i in range(len(taken) + 1)) if n not in taken)
-    named = decided.select(F.col("key").alias(own), F.col("_stays").alias(f"{own}_stays"))
-    both = docs.withColumn(own, _key()).join(named, own, "left")
-    once = both.filter(F.col(f"{own}_stays")).dropDuplicates([own])
-    return both.filter(F.col(f"{own}_stays").isNull()).unionByName(once).select(*[F.col(f"`{c}`") for c in docs.columns])
+    gone = written(rows.filter("NOT _stays").select(F.col("key").alias(own)), "gone")
+    # Rows without a text are classes of their own and have no key.
+    keyed = docs.filter("text IS NOT NULL").withColumn(own, _key())
+    once = keyed.join(gone, own, "left_anti").dropDuplicates([own])
+    return once.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(docs.filter("text IS NULL"))

@@ -170,3 +170,10 @@ def test_stage_keeps_one_of_equal_rows(spark):
     got = B.near_duplicate_stage(spark, docs, "")
     assert got.columns == docs.columns
     assert Counter(r.doc_id for r in got.collect()) == {1: 1, None: 1, 3: 2}
+
+
+def test_stage_joins_the_texts_once(spark):
+    docs = documents(spark, [(1, "a b c d e f"), (1, "a b c d e f"), (2, "a b c d e f"), (3, None), (3, None)])
+    stage = B.near_duplicate_stage(spark, docs, "")
+    assert stage._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+    assert Counter((r.doc_id, r.text) for r in stage.collect()) == {(1, "a b c d e f"): 1, (3, None): 2}
