@@ -9,7 +9,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from palaver.operators.dedup import deduplicate
 from palaver.sources.changes import append_changes
-from palaver.sources.tables import find_table, in_same_directories, staged, upsert_partitions
+from palaver.sources.tables import CODEC, find_table, in_same_directories, staged, upsert_partitions
 
 TRIGGER = "1 minute"
 
@@ -29,7 +29,7 @@ def append_to_table(
     """
     writer = (
         stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
-        .partitionBy(*partition_by)
+        .option("compression", CODEC).partitionBy(*partition_by)
     )
     return _triggered(writer, every).start(path)
 

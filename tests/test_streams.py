@@ -4,6 +4,7 @@ import threading
 
 import pytest
 
+from checks.stage import Stage
 from palaver import schemas
 from palaver.plans import lake
 from palaver.sources import readers, tables
@@ -175,3 +176,31 @@ def test_final_live_metrics_report_closed_windows_once(bus):
     bus.send([record("late", 0, "u9", "c9"), record("7", 40, "u4", "c1", "x", 5), record("8", 59, "u4", "c1")])
     second = run()
     assert second == first | {at(40): (2, 2, 1, 1.5)}
+
+
+def test_stream_files_are_written_with_the_codec_of_tables(bus):
+    bus.send([record("a", 0), record("b", 1)])
+    ingest_once(bus)
+    changed = str(bus.tmp / "changed")
+    sinks.await_all([sinks.add_changes(ingest.message_stream(bus.values()), changed, str(bus.tmp / "m2"), every=None)])
+    for folder in ("out", "changed.changes"):
+        files = list((bus.tmp / folder).rglob("*.parquet"))
+        assert files and all(f".{tables.CODEC}." in f.name for f in files)
+
+
+def test_bus_records_are_written_where_they_are_made(spark, tmp_path):
+    """Four tasks make the records and four write them, by halves of the month: there is no shuffle between."""
+    made = spark.range(0, 40, 1, 4).selectExpr(
+        "id AS event_id", "TIMESTAMP_NTZ '2024-01-01' + make_dt_interval(CAST(id % 2 * 20 AS INT)) AS ts", "id AS user_id",
+        "'click' AS event_type", "CAST(id AS DOUBLE) AS value", "'{\"k\": 1}' AS props",
+    )
+    made.write.parquet(str(tmp_path / "events.parquet"))
+    layers = Stage(spark, str(tmp_path))
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")
+    try:
+        early, late = (layers.bus_values("events", half) for half in (True, False))
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert {json.loads(r.value)["eventId"] for r in early.collect()} == {str(i) for i in range(0, 40, 2)}
+    assert early.count() + late.count() == 40
+    assert len(early.inputFiles()) == 4
