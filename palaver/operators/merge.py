@@ -21,15 +21,21 @@ def unique_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def merge(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Update-all / insert-all: target rows without a partner in ``source``, plus every source row.
+def unmatched(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target rows without a partner in ``source``, whose keys must be unique.
 
     Target rows with a null key part have no partner; they go past the join, so that they do not meet in one task.
-    ``source`` is read twice: stage it where that costs, or where it may change between two reads.
     """
     complete = F.lit(True)
     for k in keys:
         complete = complete & F.col(k).isNotNull()
     kept = target.filter(complete).join(unique_keys(source, keys), list(keys), "left_anti")
-    out = kept.select(*target.columns).unionByName(target.filter(~complete))
-    return out.unionByName(source.select(*target.columns))
+    return kept.select(*target.columns).unionByName(target.filter(~complete))
+
+
+def merge(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Update-all / insert-all: target rows without a partner in ``source``, plus every source row.
+
+    ``source`` is read twice: stage it where that costs, or where it may change between two reads.
+    """
+    return unmatched(target, source, keys).unionByName(source.select(*target.columns))

@@ -137,3 +137,13 @@ def test_an_unfinished_batch_is_not_seen(spark, path):
     (done,) = Path(changes.changes_path(path)).rglob("_SUCCESS")
     os.remove(done)
     assert content(read_current(spark, path, SPEC)) == BASE
+
+
+def test_a_fold_stages_each_row_once(spark, path, monkeypatch):
+    sizes, plain = [], changes.write_table
+    monkeypatch.setattr(changes, "write_table", lambda df, out, *a, **k: sizes.append((out, plain(df, out, *a, **k))))
+    append_changes(rows(spark, *FIRST), path, 0)
+    assert fold_changes(spark, path, SPEC) == 1
+    # a, b and d are current and two loose rows new; c and the loose row of the table stay.
+    assert sorted(n for out, n in sizes if "/fold-" in out) == [2, 5]
+    assert content(spark.read.schema(DDL).parquet(path)) == AFTER - Counter({("a", 1, 2, "tie"): 1}) + Counter({("a", 1, 2, "new"): 1})

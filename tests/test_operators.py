@@ -258,3 +258,15 @@ def test_interleaving_of_few_null_or_no_values(spark):
     assert spark.range(1).select(number).first()[0] == 0b100111
     with pytest.raises(ValueError):
         layout.cluster_interleaved(df, ["a", "b", "c"], bits=21)
+
+
+def test_upsert_partitions_stages_each_row_once(spark, tmp_path):
+    path, staging = str(tmp_path / "t"), str(tmp_path / "s")
+    ddl = "k string, p int, v string"
+    first = [("a", 1, "old"), ("b", 1, "old"), ("c", 2, "old"), (None, 1, "loose")]
+    tables.replace_table(spark.createDataFrame(first, ddl), path, ["p"])
+    change = spark.createDataFrame([("a", 1, "new"), ("d", 3, "new")], ddl)
+    assert tables.upsert_partitions(spark, change, path, ["k"], ["p"], staging) == 4
+    assert sorted(r.v for r in spark.read.parquet(staging).collect()) == ["loose", "old"]
+    rows = {(r.k, r.p, r.v) for r in spark.read.schema(ddl).parquet(path).collect()}
+    assert rows == {("a", 1, "new"), ("b", 1, "old"), ("c", 2, "old"), ("d", 3, "new"), (None, 1, "loose")}
