@@ -389,3 +389,18 @@ def test_a_lake_without_day_states_gets_them_for_all_days(spark, tmp_path):
     (tmp_path / "lake/gold/metrics/day_states").rename(tmp_path / "away")
     run = lake.run_lake(spark, lake_input(spark), root, AS_OF, changed_since="2024-01-20")
     assert metric_rows(run) == before
+
+
+def test_a_first_clustered_load_writes_messages_once_a_layer(spark, tmp_path, monkeypatch):
+    """The raw messages are not staged, and the silver ones are written once beside the copy that clustering reads."""
+    staged, written = [], []
+    plain_staged, plain_replace = lake.staged, lake.replace_table
+    monkeypatch.setattr(lake, "staged", lambda df, label: staged.append(label) or plain_staged(df, label))
+    monkeypatch.setattr(lake, "replace_table", lambda df, path, *a, **k: written.append(path) or plain_replace(df, path, *a, **k))
+    root = str(tmp_path / "lake")
+    run = lake.run_lake(spark, lake_input(spark, content="'a'"), root, AS_OF, cluster=True)
+    assert contents(run.table("silver/messages")) == {"m1": "a"} and run.rows["silver/messages"] == 1
+    assert staged.count("loose") == 1 and "messages" not in staged and "calls" not in staged
+    assert written.count(f"{root}/silver/messages") == 1
+    again = lake.run_lake(spark, lake_input(spark, content="'b'", updatedAt="TIMESTAMP '2024-01-09'"), root, AS_OF, cluster=True)
+    assert contents(again.table("silver/messages")) == {"m1": "b"} and staged.count("messages") == 1
