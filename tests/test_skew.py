@@ -2,12 +2,14 @@
 
 from contextlib import contextmanager
 
+import pytest
 from pyspark.sql import functions as F
 
 from palaver import schemas
 from palaver.operators import enrich
 from palaver.plans import bronze, engagement, silver
-from palaver.sources import tables
+from palaver.plans.lake import Lake
+from palaver.sources import fixtures, tables
 
 ROWS = 30_000
 
@@ -128,3 +130,34 @@ def test_distinct_counts_send_pairs_not_rows(spark, tmp_path):
     assert "conversationId" in exchanges[-1] and "conversationId" not in exchanges[0]
     below = text[text.rindex("Exchange hashpartitioning("):]
     assert "HashAggregate(keys=" in below and "conversationId" in below.split("HashAggregate(keys=")[1].splitlines()[0]
+
+
+@pytest.mark.parametrize("name", ["bronze/messages", "silver/messages"])
+def test_a_first_load_writes_messages_without_a_shuffle_by_day(spark, tmp_path, name):
+    """Each file holds rows of one task of the given frame; a hot day has a file of every task that has rows of it."""
+    messages = hot_messages(spark, str(tmp_path / "b"))
+    df = messages if name == "bronze/messages" else silver.silver_messages(
+        messages, spark.range(1000).selectExpr("CAST(id AS STRING) AS _id", "'n' || id AS displayName")
+    )
+    lake = Lake(spark, str(tmp_path / "lake"))
+    task = F.concat(F.lit("task "), F.spark_partition_id())
+    with conf(
+        spark, spark__sql__adaptive__coalescePartitions__enabled="false", spark__sql__shuffle__partitions="4",
+        spark__sql__files__maxPartitionBytes="100KB", spark__sql__files__openCostInBytes="1",
+    ):
+        rows = lake.upsert(name, df.withColumn("messageType", task))
+    assert lake.rows[name] == rows.count() == ROWS
+    files = rows.groupBy(F.input_file_name().alias("file"), "day").agg(F.count_distinct("messageType").alias("tasks")).collect()
+    assert {r.tasks for r in files} == {1}
+    assert len([r for r in files if r.day == 1]) == rows.select("messageType").distinct().count() > 1
+
+
+def test_events_of_one_file_become_messages_in_several_tasks(spark, tmp_path):
+    spark.range(0, 20_000, 1, 1).selectExpr(
+        "id AS event_id", "TIMESTAMP '2024-01-01' + make_dt_interval(CAST(id % 30 AS INT)) AS ts", "id % 100 AS user_id",
+        "'click' AS event_type", "1.0D AS value", "'{\"k\":' || id % 100 || '}' AS props",
+    ).write.parquet(str(tmp_path / "events.parquet"))
+    with conf(spark, spark__sql__adaptive__coalescePartitions__enabled="false", spark__sql__shuffle__partitions="4"):
+        events = fixtures.shaped_events(spark, str(tmp_path))
+        sizes = [r["count"] for r in events.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 24_000 and len(sizes) > 1 and max(sizes) < 20_000
