@@ -30,6 +30,7 @@ separately unless their texts are equal; equal rows are one.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
@@ -57,6 +58,8 @@ RECALL, TRIALS, LOWEST = 0.95, 64, 0.2
 # Long texts are handled in pieces of this many words, which share OVERLAP words with the next.
 PIECE, OVERLAP = 8192, 256
 CHUNK_WORDS = 32_768
+# Words of the search, whose block sums are to stay in the cache; terms of the decomposition that are taken as a matrix.
+SEARCH_WORDS, USUAL = 8_192, 512
 # Rare words of a segment that a region must hold before it is looked at, and their hits that are held together, about.
 ANCHORS = 4
 PAIRS = 1 << 19
@@ -142,14 +145,22 @@ def term_lookup(vocabulary: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
     return look
 
 
+def term_type(size: int) -> np.dtype:
+    """The numbers in which places of ``size`` terms, and -1, are written."""
+    return np.dtype("<i2" if size <= 1 << 15 else "<i4")
+
+
 def text_key(docs: DataFrame) -> Column:
     """Tells texts of rows with one doc_id, or none, apart."""
     return F.md5(F.coalesce(docs["text"], F.lit("")))
 
 
 def term_rows(docs: DataFrame, vocabulary: np.ndarray) -> DataFrame:
-    """doc_id, key (of the text), own (words that no later row of the text repeats), terms; a row for a piece of a text."""
-    step = PIECE - OVERLAP
+    """doc_id, key (of the text), own (words that no later row of the text repeats), terms; a row for a piece of a text.
+
+    The terms of a row are the bytes of numbers of ``term_type``, which cost Spark less than an array.
+    """
+    step, kind = PIECE - OVERLAP, term_type(len(vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         look = term_lookup(vocabulary)
@@ -163,30 +174,36 @@ def term_rows(docs: DataFrame, vocabulary: np.ndarray) -> DataFrame:
             size = np.minimum(left, PIECE)
             offsets = np.concatenate([[0], np.cumsum(size)])
             at = np.repeat(words.first[:-1][text] + begin - offsets[:-1], size) + np.arange(offsets[-1])
+            ends, data = pa.py_buffer((offsets * kind.itemsize).astype(np.int32)), pa.py_buffer(terms[at].astype(kind))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").take(pa.array(text)), batch.column("key").take(pa.array(text)),
                     pa.array(np.minimum(left, step).astype(np.int32)),
-                    pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(terms[at])),
+                    pa.Array.from_buffers(pa.binary(), len(text), [None, ends, data]),
                 ],
                 names=["doc_id", "key", "own", "terms"],
             )
 
     return on_workers(docs).select(docs["doc_id"].cast("long").alias("doc_id"), text_key(docs).alias("key"), docs["text"]).mapInArrow(
-        run, "doc_id long, key string, own int, terms array<int>"
+        run, "doc_id long, key string, own int, terms binary"
     )
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Rows of about ``CHUNK_WORDS`` words together: batch, offsets of the rows, terms."""
+def _chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Rows of about ``CHUNK_WORDS`` words together: batch, offsets of the rows, terms of a vocabulary of ``size``."""
+    kind = term_type(size)
     for batch in batches:
-        lists = batch.column("terms")
-        offsets = lists.offsets.to_numpy().astype(np.int64)
+        if batch.num_rows == 0:
+            continue
+        column = batch.column("terms")
+        _, ends, data = column.buffers()
+        offsets = np.frombuffer(ends, np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+        values = np.frombuffer(data or b"", np.uint8)[offsets[0] : offsets[-1]].view(kind)
+        offsets = (offsets - offsets[0]) // kind.itemsize
         at = 0
         while at < batch.num_rows:
             to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + CHUNK_WORDS, side="right")) - 1)
-            values = lists.values.slice(offsets[at], offsets[to] - offsets[at]).to_numpy(zero_copy_only=False)
-            yield batch.slice(at, to - at), offsets[at : to + 1] - offsets[at], values
+            yield batch.slice(at, to - at), offsets[at : to + 1] - offsets[at], values[offsets[at] : offsets[to]].astype(np.int32)
             at = to
 
 
@@ -205,7 +222,7 @@ def passage_frequencies(rows: DataFrame, size: int) -> tuple[np.ndarray, int, fl
     """Passages that hold each term, the number of passages, and the share of all words that are terms."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, total, words, inside = np.zeros(size, np.int64), 0, 0, 0
-        for part, offsets, terms in _chunks(batches):
+        for part, offsets, terms in _chunks(batches, size):
             passage, term, n = _passages(part, offsets, terms)
             total, words, inside = total + n, words + len(terms), inside + int((terms >= 0).sum())
             found += np.bincount(np.unique(passage * size + term) % size, minlength=size)
@@ -230,24 +247,32 @@ def latent_terms(rows: DataFrame, idf: np.ndarray, rank: int = RANK, seed: int =
     base = np.linalg.qr(np.random.default_rng(seed).normal(size=(size, sketch)))[0]
     names = [f"c{i}" for i in range(sketch)]
 
+    usual = np.argsort(idf, kind="stable")[:USUAL]  # most words of passages are one of few terms: these are a matrix
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, start = np.zeros((size, sketch), np.float32), base.astype(np.float32)
-        for part, offsets, terms in _chunks(batches):
+        # A term's weight in a passage is its own weight over the norm of the passage, so sums need none inside.
+        out, start = np.zeros((size, sketch), np.float32), (idf[:, None] * base).astype(np.float32)
+        column = np.full(size, -1)
+        column[usual] = np.arange(len(usual))
+        for part, offsets, terms in _chunks(batches, size):
             passage, term, n = _passages(part, offsets, terms)
-            weight = idf[term].astype(np.float32)
-            heavy = weight > 0
-            passage, term, weight = passage[heavy], term[heavy], weight[heavy]
-            if not len(term):
-                continue
-            norm = np.sqrt(np.bincount(passage, weight**2, minlength=n))
-            weight /= norm[passage].astype(np.float32)
+            norm = np.bincount(passage, idf[term] ** 2, minlength=n)
+            at = column[term]
+            rare = at < 0
+            counts = np.bincount(passage[~rare] * len(usual) + at[~rare], minlength=n * len(usual))
+            counts = counts.reshape(n, len(usual)).astype(np.float32)
+            sums = counts @ start[usual]
+            passage, term = passage[rare], term[rare]
             edge = np.flatnonzero(np.diff(passage, prepend=-1))
-            sums = np.add.reduceat(start[term] * weight[:, None], edge, axis=0)
+            if len(edge):
+                sums[passage[edge]] += np.add.reduceat(start[term], edge, axis=0)
+            sums /= np.where(norm > 0, norm, 1)[:, None].astype(np.float32)
+            out[usual] += counts.T @ sums
             order = np.argsort(term, kind="stable")
-            nth = np.cumsum(np.diff(passage, prepend=-1) != 0) - 1
-            back = sums[nth[order]] * weight[order][:, None]
             edge = np.flatnonzero(np.diff(term[order], prepend=-1))
-            out[term[order][edge]] += np.add.reduceat(back, edge, axis=0)
+            if len(edge):
+                out[term[order][edge]] += np.add.reduceat(sums[passage[order]], edge, axis=0)
+        out *= idf[:, None].astype(np.float32)
         at = np.flatnonzero(np.abs(out).sum(1))
         yield pa.RecordBatch.from_arrays(
             [pa.array(at.astype(np.int32)), *[pa.array(np.ascontiguousarray(out[at, i])) for i in range(sketch)]],
@@ -328,20 +353,32 @@ def cosine_thresholds(seg: Segments, latent: np.ndarray, frequency: np.ndarray,
 
 
 def _sliding(x: np.ndarray, sizes: list[int]) -> Iterator[np.ndarray]:
-    """Sums of ``size`` rows in a row, for each size, from sums over powers of two; short of the end by ``size`` - 1."""
-    powers = [x]
-    while 2 << (len(powers) - 1) <= sizes[-1]:
-        half = 1 << (len(powers) - 1)
+    """Sums of ``size`` rows in a row, for each size; short of the end by ``size`` - 1.
+
+    They are made of sums over what divides all sizes, times powers of two.
+    """
+    unit, n = math.gcd(*sizes), len(x)
+    powers = [sum((x[k : n - unit + 1 + k] for k in range(1, unit)), x[: n - unit + 1])]
+    while 2 * unit << (len(powers) - 1) <= sizes[-1]:
+        half = unit << (len(powers) - 1)
         powers.append(powers[-1][:-half] + powers[-1][half:])
     for size in sizes:
         out, done = None, 0
         for k, part in enumerate(powers):
-            if size >> k & 1:
-                n, part = len(x) - size + 1, part[done:]
-                out, done = part[:n] if out is None else out + part[:n], done + (1 << k)
+            if size // unit >> k & 1:
+                m, part = n - size + 1, part[done:]
+                out, done = part[:m] if out is None else out + part[:m], done + (unit << k)
         yield out
 
 
+def _places(flags: np.ndarray) -> np.ndarray:
+    """Flat places of the few flags that are set; eight at once are passed over."""
+    flat, whole = flags.ravel(), flags.size // 8 * 8
+    some = np.flatnonzero(flat[:whole].view(np.uint64))
+    at = np.flatnonzero(flat[:whole].reshape(-1, 8)[some])
+    return np.concatenate([some[at >> 3] * 8 + (at & 7), whole + np.flatnonzero(flat[whole:])])
+
+
 class Search:
     def __init__(self, seg: Segments, latent: np.ndarray, frequency: np.ndarray, threshold: np.ndarray):
         self.seg = seg
@@ -359,6 +396,7 @@ class Search:
         np.bitwise_or.at(self.masks, (owner, seg.terms), bit)
         self.full = np.array([(1 << int(n)) - 1 for n in seg.lengths], np.uint64)
         self.vectors = item_vectors(seg, latent)
+        self.scaled = self.vectors / threshold[:, None]
 
     def _anchors(self, frequency: np.ndarray) -> None:
         """The rarest words of each segment: a region with enough of the segment's words holds ``self.least`` of these.
@@ -376,49 +414,63 @@ class Search:
     def __call__(self, offsets: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, ...]:
         """Row, segment, matched words, matched words of the answer, cosine of the best region of each pair, by_cosine."""
         terms = np.where(terms < 0, self.seg.size, terms)
-        found = [np.zeros((6, 0), np.int64)]
-        for source, by_cosine in ((self._by_cosine, 1), (self._candidates, 0)):
-            for row, segment, begin in source(offsets, terms):
-                for k in range(0, len(row), 4096):
-                    part = slice(k, k + 4096)
-                    one = self._verified(row[part], segment[part], begin[part], offsets, terms, self.need)
-                    found.append(np.vstack([one, np.full((1, one.shape[1]), by_cosine)]))
+        found, near = [np.zeros((6, 0), np.int64)], np.concatenate([*self._by_cosine(offsets, terms)], axis=1)
+        near = near[:, np.argsort(near[1], kind="stable")]
+        for low, high, base, key, gap in self._hits(offsets, terms):
+            # Regions of the cosine with fewer anchors hold too few of the segment's words.
+            row, segment, begin = near[:, slice(*np.searchsorted(near[1], [low, high]))]
+            start = (segment - low) * base + begin + row * gap
+            inside = np.searchsorted(key, start + self.region[segment]) - np.searchsorted(key, start)
+            held = inside >= self.least[segment]
+            others = self._regions(key, base, low, offsets, gap)
+            row, segment, begin = np.concatenate([np.stack([row, segment, begin])[:, held], others], axis=1)
+            by_cosine = np.arange(len(row)) < np.count_nonzero(held)
+            for k in range(0, len(row), 4096):
+                part = slice(k, k + 4096)
+                found.append(self._verified(row[part], segment[part], begin[part], by_cosine[part], offsets, terms, self.need))
         return self._best(found, offsets, terms)
 
-    def _by_cosine(self, offsets: np.ndarray, terms: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    def _by_cosine(self, offsets: np.ndarray, terms: np.ndarray) -> Iterator[np.ndarray]:
         """Row, segment and begin of the regions around the windows whose cosine reaches the segment's threshold."""
+        at = 0
+        while at < len(offsets) - 1:
+            to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + SEARCH_WORDS, side="right")) - 1)
+            first = offsets[at]
+            for found in self._windows(offsets[at : to + 1] - first, terms[first : offsets[to]]):
+                yield found + np.array([[at], [0], [first]])
+            at = to
+
+    def _windows(self, offsets: np.ndarray, terms: np.ndarray) -> Iterator[np.ndarray]:
         size = np.diff(offsets)
-        for windows in self.classes:
-            # Rows in blocks of ``step`` words, each row followed by empty blocks, so that no window reaches the next.
-            n = -(-size // windows.step)
-            padded = n + windows.blocks[-1]
-            end = np.cumsum(padded)
-            row_of = np.repeat(np.arange(len(size)), n)
-            nth = np.arange(len(row_of)) - np.repeat(np.cumsum(n) - n, n)
-            block = np.repeat(end - padded, n) + nth
-            sums = np.zeros((int(end[-1]), self.latent.shape[1]), np.float32)
-            word, last = offsets[row_of] + nth * windows.step, offsets[row_of + 1]
-            part = self.latent[terms[word]]
-            for k in range(1, windows.step):
-                part += self.latent[np.where(word + k < last, terms[np.minimum(word + k, len(terms) - 1)], self.seg.size)]
-            sums[block] = part
-            yield self._near(windows, sums, row_of, nth, block, n, size, offsets)
-
-    def _near(self, windows, sums, row_of, nth, block, n, size, offsets) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        # Rows in blocks of the widest step and, of any class, as long as its longest window, so that none reaches the next.
+        widest = self.classes[-1].step
+        longest = max(w.step * w.blocks[-1] for w in self.classes)
+        padded = -(-np.maximum(size, longest) // widest) * widest
+        end = np.cumsum(padded)
+        words = np.full(int(end[-1]), self.seg.size, terms.dtype)
+        words[np.arange(len(terms)) + np.repeat(end - padded - offsets[:-1], size)] = terms
+        step, sums = 1, None
+        for windows in self.classes:  # each step is a multiple of the one before
+            times = windows.step // step
+            parts = [words[k::times] if sums is None else sums[k::times] for k in range(times)]
+            if sums is None:
+                parts = [self.latent.take(x, axis=0) for x in parts]
+            step, sums = windows.step, sum(parts[1:], parts[0])
+            yield self._near(windows, sums, padded // step, -(-size // step), size, offsets)
+
+    def _near(self, windows, sums, padded, n, size, offsets) -> np.ndarray:
         mine = windows.segments
-        place = np.full(len(sums), -1)  # of each block among those that hold words
-        place[block] = np.arange(len(block))
-        ones, keys = np.ones(sums.shape[1], np.float32), []
+        row_of = np.repeat(np.arange(len(n)), padded)
+        nth = np.arange(len(row_of)) - np.repeat(np.cumsum(padded) - padded, padded)
+        keys = []
         for k, x, dots in zip(
-            windows.blocks, _sliding(sums, windows.blocks), _sliding(sums @ self.vectors[mine].T, windows.blocks)
+            windows.blocks, _sliding(sums, windows.blocks), _sliding(sums @ self.scaled[mine].T, windows.blocks)
         ):
-            norm = np.sqrt((x * x) @ ones)
-            at = np.flatnonzero(dots >= np.maximum(norm, 1e-6)[:, None] * self.threshold[mine])
-            hit, which = place[at // len(mine)], at % len(mine)
-            row = row_of[hit]
+            norm = np.maximum(np.sqrt(np.vecdot(x, x)), np.float32(1e-6))
             # A row shorter than the window is one window.
-            whole = (hit >= 0) & (nth[hit] <= np.maximum(n[row] - k, 0))
-            hit, row, segment = hit[whole], row[whole], mine[which[whole]]
+            norm[nth[: len(x)] > np.maximum(n - k, 0)[row_of[: len(x)]]] = np.inf
+            hit, which = np.divmod(_places(dots >= norm[:, None]), len(mine))
+            row, segment = row_of[hit], mine[which]
             step, region = self.step[segment], self.region[segment]
             low = nth[hit] * windows.step
             high = np.minimum(low + k * windows.step, size[row])
@@ -426,7 +478,7 @@ class Search:
                 keys.append((row * len(self.seg.item) + segment) * (PIECE + 1) + begin)
         pair, begin = np.divmod(np.unique(np.concatenate(keys)), PIECE + 1)
         row, segment = np.divmod(pair, len(self.seg.item))
-        return row, segment, offsets[row] + begin * self.step[segment]
+        return np.stack([row, segment, offsets[row] + begin * self.step[segment]])
 
     def whole(self, offsets: np.ndarray, terms: np.ndarray, items: list[list[int]]) -> tuple[np.ndarray, ...]:
         """The same for all segments of the given items of each row (by their first segment), however little is found."""
@@ -438,9 +490,9 @@ class Search:
                 for s in range(item, ends[np.searchsorted(ends, item, side="right")]):
                     n = max(0, -(-int(size - self.region[s]) // int(self.step[s]))) + 1
                     begin = offsets[row] + np.arange(n) * self.step[s]
-                    one = self._verified(np.full(n, row), np.full(n, s), begin, offsets, terms, np.ones_like(self.need))
-                    best = one[:, np.lexsort((-one[3], -one[2]))[:1]]
-                    found.append(np.vstack([best, np.zeros_like(best[:1])]))
+                    each = np.full(n, row), np.full(n, s), begin, np.zeros(n, bool)
+                    one = self._verified(*each, offsets, terms, np.ones_like(self.need))
+                    found.append(one[:, np.lexsort((-one[3], -one[2]))[:1]])
         return self._best(found, offsets, terms)
 
     def _best(self, found: list[np.ndarray], offsets: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -459,12 +511,12 @@ class Search:
             cosine.append(self._cosine(row[part], segment[part], begin[order[part]], offsets, terms))
         return row, segment, matched[order], answer[order], np.concatenate(cosine), by_cosine
 
-    def _candidates(self, offsets: np.ndarray, terms: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Row, segment and begin of all regions with ``least`` anchors, in portions of about ``PAIRS`` anchor hits."""
+    def _hits(self, offsets: np.ndarray, terms: np.ndarray) -> Iterator[tuple]:
+        """Anchor hits by segment and place, in portions of about ``PAIRS``: segments from, to, and the sorted keys."""
         row_of = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
         gap = int(self.region.max())
         place = np.arange(len(terms)) + row_of * gap  # no region reaches into the next row
-        order = np.argsort(terms, kind="stable")
+        order = np.argsort(terms.astype(term_type(self.seg.size + 1)), kind="stable")
         count = np.bincount(terms, minlength=self.seg.size + 1)
         first = np.cumsum(count) - count
         hits = np.concatenate([[0], np.cumsum(count[self.anchor])])
@@ -476,11 +528,10 @@ class Search:
             mine = slice(begins[low], begins[high])
             n = count[self.anchor[mine]]
             at = np.repeat(first[self.anchor[mine]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            key = np.sort(np.repeat((self.anchor_of[mine] - low) * base, n) + place[order[at]])
-            yield self._regions(key, base, low, offsets, row_of, gap)
+            yield low, high, base, np.sort(np.repeat((self.anchor_of[mine] - low) * base, n) + place[order[at]]), gap
             low = high
 
-    def _regions(self, key, base, low, offsets, row_of, gap) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _regions(self, key, base, low, offsets, gap) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The regions in which a sorted hit is the first one and ``least`` hits lie."""
         # Padded places back to places: the row is that whose padded begin is the last one before.
         segment = low + key // base
@@ -501,17 +552,17 @@ class Search:
         nth = np.repeat(lowest - (np.cumsum(n) - n), n) + np.arange(n.sum())
         return np.repeat(row, n), np.repeat(segment, n), offsets[np.repeat(row, n)] + nth * np.repeat(step, n)
 
-    def _verified(self, row, segment, begin, offsets, terms, need) -> np.ndarray:
-        """Row, segment, matched words, matched answer words and begin of the regions that can be a leak."""
+    def _verified(self, row, segment, begin, by_cosine, offsets, terms, need) -> np.ndarray:
+        """Row, segment, matched words, matched answer words, begin and source of the regions that can be a leak."""
         regions = self._words(row, segment, begin, offsets, terms)
         # No common subsequence is longer than the number of the segment's words that the region holds.
         present = np.bitwise_or.reduce(self.masks[segment[:, None], regions], axis=1)
         full = np.flatnonzero(np.bitwise_count(present) >= need[segment])
-        row, segment, begin, regions = row[full], segment[full], begin[full], regions[full]
+        row, segment, begin, by_cosine, regions = row[full], segment[full], begin[full], by_cosine[full], regions[full]
         bits = _match(regions, segment, self.masks, self.full)
         matched = np.bitwise_count(bits).astype(np.int64)
         answer = np.bitwise_count(bits & self.seg.answer_bits[segment]).astype(np.int64)
-        return np.stack([row, segment, matched, answer, begin])[:, matched >= need[segment]]
+        return np.stack([row, segment, matched, answer, begin, by_cosine])[:, matched >= need[segment]]
 
     def _words(self, row, segment, begin, offsets, terms) -> np.ndarray:
         ahead = np.arange(int(self.region[segment].max(initial=0)))
@@ -551,7 +602,7 @@ def search(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = Search(seg, latent, frequency, threshold)
         items = pa.array(seg.item, pa.int64())
-        for part, offsets, terms in _chunks(batches):
+        for part, offsets, terms in _chunks(batches, seg.size):
             got = find.whole(offsets, terms, part.column("items").to_pylist()) if named else find(offsets, terms)
             row, segment, matched, answer, cosine, by_cosine = got
             yield pa.RecordBatch.from_arrays(

@@ -239,3 +239,78 @@ def test_terms_are_told_apart_by_their_whole_hashes():
     vocabulary = np.array([5, 6, 9, 1 << 60], np.uint64)  # the first three share a slot
     look = D.term_lookup(vocabulary)
     assert look(np.array([6, 7, 9, 1 << 60, (1 << 60) + 1, 5, 2**64 - 1], np.uint64)).tolist() == [1, -1, 2, 3, -1, 0, -1]
+
+
+def mixed_search(rng, threshold):
+    """Segments of all classes, texts around every second one of them, and the search with one threshold."""
+    lengths = [9, 11, 14, 20, 23, 25, 36, 47, 50, 64] * 3
+    items = [rng.integers(0, 2**63, n).astype(np.uint64) for n in lengths]
+    seg = D._segments([(i, item, 5) for i, item in enumerate(items)])
+    latent = np.linalg.qr(rng.normal(size=(seg.size, 96)))[0].astype(np.float32)
+    frequency, texts = rng.integers(1, 50, seg.size), []
+    for s, n in enumerate(lengths):
+        copy = seg.terms[seg.first[s] : seg.first[s + 1]].copy()
+        copy[rng.choice(n, n // 3, replace=False)] = seg.size
+        texts += [copy, np.where(rng.random(300) < 0.5, rng.integers(0, seg.size, 300), seg.size)]
+        if s % 2:
+            texts[-1][100 : 100 + n] = copy
+    texts.append(np.array([seg.size]))
+    find = D.Search(seg, latent, frequency, np.full(len(lengths), threshold, np.float32))
+    return find, texts, np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+
+
+def test_windows_are_those_of_plain_cosines(monkeypatch):
+    find, texts, offsets = mixed_search(np.random.default_rng(12), 0.45)
+    want, near = set(), set()  # pairs of row and segment; those too close to the threshold to tell
+    for windows in find.classes:
+        for row, text in enumerate(texts):
+            n = -(-len(text) // windows.step)
+            for k in windows.blocks:
+                for i in range(max(n - k, 0) + 1):
+                    x = find.latent[text[i * windows.step : (i + k) * windows.step]].sum(axis=0, dtype=np.float64)
+                    cosine = find.vectors[windows.segments] @ x / max(np.linalg.norm(x), 1e-6)
+                    want |= {(row, int(s)) for s in windows.segments[cosine >= 0.45 + 1e-5]}
+                    near |= {(row, int(s)) for s in windows.segments[abs(cosine - 0.45) < 1e-5]}
+    assert len({s for _, s in want}) == 30
+    for most in (1, 700, 1 << 20):
+        monkeypatch.setattr(D, "SEARCH_WORDS", most)
+        got = set()
+        for row, segment, begin in find._by_cosine(offsets, np.concatenate(texts)):
+            assert ((begin >= offsets[row]) & (begin < offsets[row + 1])).all()
+            got |= set(zip(row.tolist(), segment.tolist()))
+        assert want <= got <= want | near
+
+
+def test_regions_of_the_cosine_without_anchors_are_not_compared(monkeypatch):
+    find, texts, offsets = mixed_search(np.random.default_rng(13), D.LOWEST)
+    terms, plain, compared = np.concatenate(texts), find._verified, []
+    regions = np.concatenate([np.stack(x) for x in find._by_cosine(offsets, terms)], axis=1)
+    kept = plain(*regions, np.ones(regions.shape[1], bool), offsets, terms, find.need)
+
+    def counted(row, segment, begin, by_cosine, *rest):
+        compared.append(by_cosine.sum())
+        return plain(row, segment, begin, by_cosine, *rest)
+
+    monkeypatch.setattr(find, "_verified", counted)
+    row, segment, *_, by_cosine = find(offsets, terms)
+    # The same pairs as where every region is compared, from a small part of the regions.
+    assert set(zip(row[by_cosine], segment[by_cosine])) == set(zip(*kept[:2])) != set()
+    assert sum(compared) < 0.5 * regions.shape[1]
+
+
+def test_terms_of_large_vocabularies_are_whole(spark):
+    texts = [(1, "alpha beta gamma"), (2, ""), (3, "beta " * 9000), (None, "delta")]
+    hashes = D.words_of(D.pa.array(["alpha beta gamma"])).hashes
+    for size in (1 << 15, (1 << 15) + 1):
+        fill = np.random.default_rng(14).integers(0, 2**63, size - 3).astype(np.uint64)
+        vocabulary = np.unique(np.concatenate([hashes, fill]))
+        want = np.searchsorted(vocabulary, hashes).tolist()
+        batches = D.term_rows(documents(spark, texts), vocabulary).toArrow().to_batches()
+        got = [
+            (part.column("doc_id")[i].as_py(), terms[a:b].tolist())
+            for part, offsets, terms in D._chunks((b.slice(k) for b in batches for k in range(min(2, b.num_rows))), len(vocabulary))
+            for i, (a, b) in enumerate(zip(offsets[:-1], offsets[1:]))
+        ]
+        assert (1, want) in got and (None, [-1]) in got
+        assert {len(t) for d, t in got if d == 3} == {D.PIECE, 9000 - D.PIECE + D.OVERLAP}
+        assert all(set(t) == {want[1]} for d, t in got if d == 3)
