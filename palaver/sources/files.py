@@ -22,5 +22,11 @@ class Files:
     def touch(self, path: str) -> None:
         self._fs.create(self._path(path), True).close()
 
+    def move(self, path: str, to: str) -> None:
+        """Rename within this file system; ``to`` must not exist."""
+        self._fs.mkdirs(self._path(to).getParent())
+        if not self._fs.rename(self._path(path), self._path(to)):
+            raise OSError(f"could not move {path} to {to}")
+
     def remove(self, path: str) -> None:
         self._fs.delete(self._path(path), True)

@@ -1,10 +1,13 @@
 import datetime as dt
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from palaver.operators import dedup, enrich, history, incremental, layout, merge, quality, retention, running
 from palaver.sources import readers, tables
+from palaver.sources.files import Files
 
 
 def rows(df):
@@ -270,3 +273,83 @@ def test_upsert_partitions_stages_each_row_once(spark, tmp_path):
     assert sorted(r.v for r in spark.read.parquet(staging).collect()) == ["loose", "old"]
     rows = {(r.k, r.p, r.v) for r in spark.read.schema(ddl).parquet(path).collect()}
     assert rows == {("a", 1, "new"), ("b", 1, "old"), ("c", 2, "old"), ("d", 3, "new"), (None, 1, "loose")}
+
+
+def test_a_merge_leaves_nothing_but_the_table(spark, tmp_path):
+    """Neither staged rows nor folders beside the table stay, and the session keeps its settings."""
+    path, scratch = tmp_path / "t", Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    ddl = "k string, p int, v string"
+    tables.replace_table(spark.createDataFrame([("a", 1, "old"), ("b", 1, "old"), ("c", 2, "old")], ddl), str(path), ["p"])
+    before, setting = set(scratch.glob("*")), spark.conf.get(tables.CLEANUP)
+    change = spark.createDataFrame([("a", 1, "new"), (None, 1, "new"), ("d", 3, "new")], ddl)
+    assert tables.upsert_partitions(spark, change, str(path), ["k"], ["p"]) == 4
+    assert set(scratch.glob("*")) == before and spark.conf.get(tables.CLEANUP) == setting
+    assert [f.name for f in tmp_path.iterdir()] == ["t"]
+    got = spark.read.schema(ddl).parquet(str(path)).collect()
+    assert {(r.k, r.p, r.v) for r in got} == {
+        ("a", 1, "new"), ("b", 1, "old"), ("c", 2, "old"), ("d", 3, "new"), (None, 1, "new"),
+    }
+
+
+def test_a_write_leaves_no_shuffle_files(spark, tmp_path):
+    local = Path(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()[0].getPath())
+    gone = tables.staged(spark.range(1000).repartition(4, "id"), "rows")
+    before = set(local.rglob("shuffle_*.data"))
+    tables.write_table(gone.repartition(5, "id"), str(tmp_path / "t"))
+    until = time.monotonic() + 30  # they are removed behind the job
+    while set(local.rglob("shuffle_*.data")) - before and time.monotonic() < until:
+        time.sleep(0.1)
+    assert not set(local.rglob("shuffle_*.data")) - before
+    folder = Path(gone.inputFiles()[0].removeprefix("file://")).parent
+    tables.discard(gone)
+    assert not folder.exists()
+
+
+def test_a_move_that_failed_is_finished_by_another(spark, tmp_path, monkeypatch):
+    path, aside = str(tmp_path / "t"), str(tmp_path / "aside")
+    frame = spark.range(6).selectExpr("id AS k", "CAST(id % 3 AS INT) AS p")
+    tables.replace_table(frame.withColumn("v", F.lit("old")), path, ["p"])
+    tables.replace_table(frame.filter("p < 2").withColumn("v", F.lit("new")), aside, ["p"])
+    plain, moves = Files.move, []
+
+    def fails(self, *where):
+        moves.append(where)
+        if len(moves) == 4:
+            raise OSError("stopped")
+        plain(self, *where)
+
+    monkeypatch.setattr(Files, "move", fails)
+    with pytest.raises(OSError, match="stopped"):
+        tables.place_directories(spark, aside, path, ["p"])
+    monkeypatch.setattr(Files, "move", plain)
+    tables.place_directories(spark, aside, path, ["p"])
+    got = spark.read.parquet(path).collect()
+    assert sorted((r.k, r.v) for r in got) == [(k, "old" if k % 3 == 2 else "new") for k in range(6)]
+    assert [f.name for f in tmp_path.iterdir()] == ["t"]
+
+
+@pytest.mark.parametrize("replaced, joined", [
+    (range(0, 100), False), (range(100, 200), False), (range(0, 10), True), (range(5, 100), True),
+])
+def test_rows_that_stay_are_found_by_the_smaller_set_of_keys(spark, tmp_path, replaced, joined):
+    """All or none of the rows go without a join; else the join is with the fewer keys."""
+    path, ddl = str(tmp_path / "t"), "k bigint, p int, v string"
+    spark.range(100).selectExpr("id AS k", "1 AS p", "'old' AS v").unionByName(
+        spark.range(1).selectExpr("CAST(NULL AS BIGINT) AS k", "1 AS p", "'old' AS v")
+    ).write.parquet(path)
+    source = spark.createDataFrame([(k, 1, "new") for k in replaced], ddl)
+    kept, folder = tables._staying(spark.read.schema(ddl).parquet(path), source, ["k"])
+    assert sorted(r.k for r in kept.dropna().collect()) == sorted(set(range(100)) - set(replaced))
+    assert kept.filter("k IS NULL").count() == 1
+    text = plan(kept)
+    assert ("Join" in text) is joined
+    assert ("LeftSemi" in text) is (len(set(range(100)) - set(replaced)) == 5)
+
+
+def test_merging_keys_must_be_unique(spark, tmp_path):
+    path, ddl = str(tmp_path / "t"), "k bigint, p int, v string"
+    tables.replace_table(spark.createDataFrame([(1, 1, "old")], ddl), path, ["p"])
+    with pytest.raises(Exception, match="duplicate merge key"):
+        tables.upsert_partitions(spark, spark.createDataFrame([(1, 1, "x"), (1, 1, "y")], ddl), path, ["k"], ["p"])
+    assert rows(tables.read_table(spark, path).select("k", "v")) == [(1, "old")]
+    assert [f.name for f in tmp_path.iterdir()] == ["t"]

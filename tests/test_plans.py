@@ -404,3 +404,30 @@ def test_a_first_clustered_load_writes_messages_once_a_layer(spark, tmp_path, mo
     assert written.count(f"{root}/silver/messages") == 1
     again = lake.run_lake(spark, lake_input(spark, content="'b'", updatedAt="TIMESTAMP '2024-01-09'"), root, AS_OF, cluster=True)
     assert contents(again.table("silver/messages")) == {"m1": "b"} and staged.count("messages") == 1
+
+
+def test_an_update_writes_messages_once_a_layer_and_keeps_no_copy(spark, tmp_path, monkeypatch):
+    """The staged batch goes when bronze has it; the rows that stay are written beside the new ones, and no row twice."""
+    from palaver.sources import tables
+
+    root, written, copies = str(tmp_path / "lake"), {}, []
+    plain, plain_staged = tables.write_table, lake.staged
+
+    def write(df, path, *args, **kwargs):
+        name = path.removeprefix(f"{root}/").split(".merging-")[0]
+        written[name] = written.get(name, 0) + (rows := plain(df, path, *args, **kwargs))
+        return rows
+
+    monkeypatch.setattr(tables, "write_table", write)
+    monkeypatch.setattr(lake, "staged", lambda df, label: copies.append((label, out := plain_staged(df, label))) or out)
+    first = lake_input(spark, content="'a'")
+    first["messages"] = first["messages"].unionByName(raw_message(spark, _id="named_struct('oid', 'm2')", content="'b'"))
+    lake.run_lake(spark, first, root, AS_OF)
+    written.clear()
+    edit = lake_input(spark, content="'c'", updatedAt="TIMESTAMP '2024-01-09'")
+    run = lake.run_lake(spark, edit, root, AS_OF, changed_since="2024-01-01")
+    assert contents(run.table("silver/messages")) == {"m1": "c", "m2": "b"}
+    assert written["bronze/messages"] == written["silver/messages"] == 2
+    ((label, batch),) = [c for c in copies if c[0] == "messages"]
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist"):
+        batch.collect()

@@ -152,6 +152,27 @@ def test_a_first_load_writes_messages_without_a_shuffle_by_day(spark, tmp_path,
     assert len([r for r in files if r.day == 1]) == rows.select("messageType").distinct().count() > 1
 
 
+def test_a_merge_writes_messages_without_a_shuffle_by_day(spark, tmp_path):
+    """New rows and rows that stay lie in files of one task each."""
+    messages, lake = hot_messages(spark, str(tmp_path / "b")), Lake(spark, str(tmp_path / "lake"))
+    task, late = F.concat_ws(" ", F.lit("task"), "messageType", F.spark_partition_id()), F.col("_id").cast("int") % 2 == 0
+    with conf(
+        spark, spark__sql__adaptive__coalescePartitions__enabled="false", spark__sql__shuffle__partitions="4",
+        spark__sql__files__maxPartitionBytes="100KB", spark__sql__files__openCostInBytes="1",
+    ):
+        lake.upsert("bronze/messages", messages.filter(~late).withColumn("messageType", F.lit("old")))
+        merged = messages.filter(late | (F.col("_id") < "2")).withColumn("messageType", F.lit("new"))
+        tables.upsert_partitions(
+            spark, merged.withColumn("messageType", task), f"{tmp_path}/lake/bronze/messages", ["_id"],
+            schemas.DAY_PARTITIONS, placed=True,
+        )
+        rows = lake.upsert("bronze/messages", merged.limit(0))
+    found = rows.groupBy(F.input_file_name().alias("file"), "day").agg(F.count_distinct("messageType").alias("tasks")).collect()
+    assert {r.tasks for r in found} == {1} and len([r for r in found if r.day == 1]) > 2
+    counts = {r.messageType[:4]: r["count"] for r in rows.groupBy("messageType").count().collect()}
+    assert rows.count() == ROWS and set(counts) == {"old", "task"}
+
+
 def test_events_of_one_file_become_messages_in_several_tasks(spark, tmp_path):
     spark.range(0, 20_000, 1, 1).selectExpr(
         "id AS event_id", "TIMESTAMP '2024-01-01' + make_dt_interval(CAST(id % 30 AS INT)) AS ts", "id % 100 AS user_id",
